@@ -1,6 +1,13 @@
 """The corpus queries and, where SQL can express them, their SQL twins."""
 
-from . import mixing
+from . import licenses, mixing, repetition
 
-QUERIES = {"op2_source_mixing": mixing.op2_source_mixing}
-ORACLES = {"op2_source_mixing": mixing.OP2_SQL}
+QUERIES = {
+    "op2_source_mixing": mixing.op2_source_mixing,
+    "op3_repetition_rules": repetition.op3_repetition_rules,
+    "op9_license_scan": licenses.op9_license_scan,
+}
+ORACLES = {
+    "op2_source_mixing": mixing.OP2_SQL,
+    "op3_repetition_rules": repetition.OP3_SQL,
+}
