@@ -1,8 +1,9 @@
 """The corpus queries and, where SQL can express them, their SQL twins."""
 
-from . import bpe, licenses, merkle, mixing, repetition, tokenstore
+from . import bpe, licenses, merkle, mixing, repetition, tokenstore, toxicity
 
 QUERIES = {
+    "op1_toxicity_crf": toxicity.op1_toxicity_crf,
     "op2_source_mixing": mixing.op2_source_mixing,
     "op3_repetition_rules": repetition.op3_repetition_rules,
     "op4_byte_bpe": bpe.op4_byte_bpe,
