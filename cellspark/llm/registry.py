@@ -1,12 +1,13 @@
 """The corpus queries and, where SQL can express them, their SQL twins."""
 
-from . import bpe, licenses, merkle, mixing, repetition, tokenstore, toxicity
+from . import bpe, licenses, merkle, mixing, repetition, substrings, tokenstore, toxicity
 
 QUERIES = {
     "op1_toxicity_crf": toxicity.op1_toxicity_crf,
     "op2_source_mixing": mixing.op2_source_mixing,
     "op3_repetition_rules": repetition.op3_repetition_rules,
     "op4_byte_bpe": bpe.op4_byte_bpe,
+    "op5_suffix_dedup": substrings.op5_suffix_dedup,
     "op6_merkle_fingerprint": merkle.op6_merkle_fingerprint,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_token_store": tokenstore.op10_token_store,

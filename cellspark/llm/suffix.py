@@ -11,23 +11,25 @@ class SuffixArray:
     key: int64 symbols.  Symbols must differ between texts (or a unique separator must end each), so that no common
     prefix reaches across a text's end.  Doubling sorts again only those suffixes whose rank is still shared, so the work
     beyond the first sort follows the repeated part.  depth: compare no more than about so many symbols (None: all).
+    A symbol may pack `step` smaller ones at its place and the next; end[i] is then where the text that holds i ends, and
+    equal suffixes may keep equal ranks.
     """
 
-    def __init__(self, key: np.ndarray, depth: int | None = None):
+    def __init__(self, key: np.ndarray, depth: int | None = None, step: int = 1, end: np.ndarray | None = None):
         n = len(key)
-        self.n, self.steps, self.levels = n, [], []
+        self.n, self.steps, self.levels, self.end = n, [], [], np.full(n, n) if end is None else end
         self.sa = np.argsort(key, kind="stable").astype(np.int64)
         s = key[self.sa]
         head = np.ones(n, bool)
         head[1:] = s[1:] != s[:-1]
-        slot = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+        slot = np.maximum.accumulate(np.where(head, np.arange(n), 0)) if n else np.zeros(0, np.int64)
         rank = np.empty(n, np.int64)
         rank[self.sa] = slot  # of the first suffix with the same prefix
-        self.head = head
-        h = 1
+        small = np.int32 if n < 2**31 else np.int64
+        h = step
         self.steps.append(h)
-        self.levels.append(rank.astype(np.int32) if n < 2**31 else rank)
-        while True:
+        self.levels.append(rank.astype(small))
+        while n:
             shared = ~head
             shared[:-1] |= ~head[1:]
             slots = np.flatnonzero(shared)
@@ -35,7 +37,8 @@ class SuffixArray:
                 break
             pos = self.sa[slots]
             nxt = pos + h
-            second = np.where(nxt < n, rank[np.minimum(nxt, n - 1)] + 1, 0)
+            inside = nxt < self.end[pos]
+            second = np.where(inside, rank[np.where(inside, nxt, 0)] + 1, 0)
             first = rank[pos]
             order = np.lexsort((second, first))
             pos, first, second = pos[order], first[order], second[order]
@@ -47,10 +50,10 @@ class SuffixArray:
             rank[pos] = np.maximum.accumulate(np.where(new, slots, 0))
             h *= 2
             self.steps.append(h)
-            self.levels.append(rank.astype(np.int32) if n < 2**31 else rank)
+            self.levels.append(rank.astype(small))
 
     def lcp(self) -> np.ndarray:
-        """lcp[i]: common prefix of the suffixes sa[i - 1] and sa[i]; lcp[0] = 0.  Below 2 * the last step it is exact."""
+        """lcp[i]: common prefix of the suffixes sa[i - 1] and sa[i] in whole steps; lcp[0] = 0.  Exact below twice the last step."""
         out = np.zeros(self.n, np.int64)
         if self.n < 2:
             return out
@@ -61,10 +64,10 @@ class SuffixArray:
         for h, rank in zip(reversed(self.steps), reversed(self.levels)):
             for _ in range(2 if h == self.steps[-1] else 1):
                 x, y = a + got, b + got
-                same = (x < self.n) & (y < self.n)
+                same = (x < self.end[a]) & (y < self.end[b])
                 same[same] = rank[x[same]] == rank[y[same]]
                 got += h * same
-        out[at + 1] = got
+        out[at + 1] = np.minimum(got, np.minimum(self.end[a] - a, self.end[b] - b))
         return out
 
 
