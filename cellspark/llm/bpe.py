@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +25,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filled, table
+from .common import filled, kept_in_worker, table
 
 #: Bounds of one worker's memory: remembered pieces, and transitions made.  Beyond them pieces are encoded without being kept.
-MAX_PIECES = 250_000
+MAX_PIECES = 350_000
 MAX_TRANSITIONS = 150_000
 MAX_PAIRS = 500_000
+_FIRST, _SECOND = itemgetter(0), itemgetter(1)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -212,38 +215,51 @@ class Transducer:
         return out
 
 
-class TextEncoder:
-    """Pieces by a pattern, each encoded by the transducer; pieces are remembered as (count, 'id id ...', packed ids).
+class Pieces(dict):
+    """Remembered pieces: 'id id ...' and packed ids.  A missing piece is encoded and taken in until the memory is full.
 
-    The memory takes pieces until it is full.  If it then misses more often than it holds pieces, four times over, it is
-    emptied, so that it follows a change of language.
+    If a full memory then misses four times as often as it holds pieces, it is emptied, so that it follows a change of
+    language.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = MAX_PIECES):
-        self.fst, self.find, self.most, self.missed = Transducer(ranks), regex.compile(pattern).findall, most, 0
-        self.known: dict[str, tuple[int, str, bytes]] = {}
+    def __init__(self, fst: Transducer, most: int):
+        super().__init__()
+        self.fst, self.most, self.missed = fst, most, 0
 
-    def _learn(self, piece: str) -> tuple[int, str, bytes]:
+    def __missing__(self, piece: str) -> tuple[str, bytes]:
         ids = self.fst.encode(piece.encode())
-        got = (len(ids), " ".join(map(str, ids)), struct.pack(f"<{len(ids)}I", *ids))
-        if len(self.known) < self.most:
+        got = (" ".join(map(str, ids)), struct.pack(f"<{len(ids)}I", *ids))
+        if len(self) < self.most:
             if len(piece) <= 64:
-                self.known[piece] = got
+                self[piece] = got
         else:
             self.missed += 1
             if self.missed > 4 * self.most:
                 self.missed = 0
-                self.known.clear()
+                self.clear()
         return got
 
+
+def ascii_form(pattern: str) -> str | None:
+    """The pattern for texts of ASCII only, where the classes are short; None if it holds anything else of its kind."""
+    out = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\t-\r A-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]").replace(r"(?!\S)", r"(?![^\t-\r ])").replace(r"\s", r"[\t-\r ]")
+    return None if "\\p" in out or "\\s" in out or "\\S" in out else out
+
+
+class TextEncoder:
+    """Pieces by a pattern, each encoded by the transducer."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = MAX_PIECES):
+        self.fst, self.find = Transducer(ranks), regex.compile(pattern).findall
+        short = ascii_form(pattern)
+        self.find_ascii = re.compile(short).findall if short else self.find
+        self.known = Pieces(self.fst, most)
+
     def encode(self, text: str) -> tuple[int, str, np.ndarray]:
         """(number of ids, decimal ids joined by spaces, ids)."""
-        known, learn = self.known, self._learn
-        got = [known.get(p) or learn(p) for p in self.find(text)]
-        if not got:
-            return 0, "", np.zeros(0, np.uint32)
-        n, joined, packed = zip(*got)
-        return sum(n), " ".join(joined), np.frombuffer(b"".join(packed), "<u4")
+        got = list(map(self.known.__getitem__, (self.find_ascii if text.isascii() else self.find)(text)))
+        ids = np.frombuffer(b"".join(map(_SECOND, got)), "<u4")
+        return len(ids), " ".join(map(_FIRST, got)), ids
 
 
 class Utf8Stream:
@@ -282,6 +298,14 @@ def decode(ids, vocabulary: list[bytes], chunk: int = 8192):
     stream.close()
 
 
+def build(path: str, pattern: str) -> tuple[TextEncoder, list[bytes]]:
+    ranks = load_ranks(path)
+    vocabulary = [b""] * (max(ranks.values()) + 1)
+    for k, v in ranks.items():
+        vocabulary[v] = k
+    return TextEncoder(ranks, pattern), vocabulary
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids array<int>) of every whole text.
 
@@ -293,11 +317,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     kind = narrow.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        ranks = load_ranks(path)
-        enc = TextEncoder(ranks, pattern)
-        vocabulary = [b""] * (max(ranks.values()) + 1)
-        for k, v in ranks.items():
-            vocabulary[v] = k
+        enc, vocabulary = kept_in_worker(("bpe", path, pattern), lambda: build(path, pattern))
         for batch in batches:
             n, dig, dec, lists = [], [], [], []
             for text in filled(batch, "text"):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 import numpy as np
@@ -134,3 +136,13 @@ def u64_mix(x: np.ndarray) -> np.ndarray:
         x *= np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
     return x
+
+
+def kept_in_worker(key: tuple, make):
+    """make() once in a Python worker process, which Spark uses for many tasks; the last such object of a kind is kept."""
+    home = sys.modules.setdefault("_cellspark_worker", types.ModuleType("_cellspark_worker"))
+    held = getattr(home, key[0], None)
+    if held is None or held[0] != key:
+        held = (key, make())
+        setattr(home, key[0], held)
+    return held[1]
