@@ -24,69 +24,107 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut_ids, filled, scratch, table, u64_mix
+from .common import cut_ids, filled, kept_in_worker, raw, scratch, slices, table, u64_mix, word_array, word_spans
 
 NULL_KEY = 2**63 - 1
 BLOCK = 8 << 20
 LAYOUT = "shard int, low long, n_ids long, bits array<binary>, prints binary, first binary, offsets binary, keys binary, payload array<binary>"
 ARROW = pa.schema([("shard", pa.int32()), ("low", pa.int64()), ("n_ids", pa.int64()), ("bits", pa.list_(pa.binary())), ("prints", pa.binary()), ("first", pa.binary()), ("offsets", pa.binary()), ("keys", pa.binary()), ("payload", pa.list_(pa.binary()))])
 GAMMA = 2.0
-MAX_CHUNKS = 300_000
+MAX_CHUNKS = 400_000
 
 
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+POINT, PLAIN = np.zeros(256, bool), np.zeros(256, bool)
+POINT[[ord("."), ord(",")]] = True
+PLAIN[48:58] = PLAIN[65:91] = PLAIN[97:123] = True
+
 # --- encoding -------------------------------------------------------------------------------------------------------
 
 
 class ChunkEncoder:
-    """Encodes texts with the tokenizers library, blank-separated chunk by chunk, remembering frequent chunks.
+    """Encodes texts with the tokenizers library, white-space separated chunk by chunk, remembering frequent chunks.
 
-    Exact for tokenizers whose normaliser and pre-tokeniser neither join nor look across blanks and newlines and drop
-    them, which is checked on the file's declaration; for others whole texts are encoded.
+    Exact for tokenizers whose normaliser and pre-tokeniser neither join nor look across ASCII white space and drop it,
+    which is checked on the file's declaration; for others, and for texts with a special token's string, whole texts are
+    encoded.  Chunks are told apart in Arrow and ids are gathered in NumPy, so Python sees each chunk once a batch.
     """
 
     def __init__(self, path: str, dtype: str, most: int = MAX_CHUNKS):
         import json
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.dtype, self.most = Tokenizer.from_file(path), dtype, most
+        self.tokenizer, self.dtype, self.most = Tokenizer.from_file(path), np.dtype(dtype), most
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
         normal = (said.get("normalizer") or {}).get("normalizers", [])
         split = ((said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-        self.by_chunk = {x["type"] for x in normal} <= {"NFC", "Replace", "Lowercase"} and split.get("type") == "Split" and split.get("invert") and split.get("behavior") == "Removed" and r"[^\s\p{L}\p{N}]+" in split["pattern"].get("Regex", "")
-        self.special = [x["content"] for x in said.get("added_tokens", [])]
-        self.known: dict[str, bytes] = {"": b""}
+        self.by_chunk = {x["type"] for x in normal} == {"NFC", "Replace", "Lowercase"} and split.get("type") == "Split" and split.get("invert") and split.get("behavior") == "Removed" and r"[^\s\p{L}\p{N}]+" in split["pattern"].get("Regex", "")
+        self.special = [x["content"].encode() for x in said.get("added_tokens", [])]
+        mark = self._ids(["\x01"])[0] if self.by_chunk else []
+        self.mark = int(mark[0]) if len(mark) == 1 else None  # only a chunk with this character yields its id
+        self.known: dict[bytes, bytes] = {}
         self.missed = 0
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The packed ids of each text."""
-        if not self.by_chunk:
-            return self._library(texts)
-        known, special = self.known, self.special
-        cut = [None if any(s in t for s in special) else t.replace("\n", " ").split(" ") for t in texts]
-        new = list({c for chunks in cut if chunks for c in chunks if c not in known})
-        own = dict(zip(new, self._library(new))) if new else {}
-        get = (known | own).__getitem__ if len(own) > len(known) else None
+    def _chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """The packed ids of new chunks; many go through the library as one text, told apart by a mark."""
+        if self.mark is None or any(b"\x01" in c for c in chunks):
+            return [x.tobytes() for x in self._ids([c.decode() for c in chunks])]
         out = []
-        for text, chunks in zip(texts, cut):
-            if chunks is None:
-                out += self._library([text])
-            elif get:
-                out.append(b"".join(map(get, chunks)))
-            else:
-                out.append(b"".join([known[c] if c in known else own[c] for c in chunks]))
-        self.missed += len(own)
-        if len(known) < self.most:
-            for c in new[: self.most - len(known)]:
-                if len(c) <= 64:
-                    known[c] = own[c]
+        for lo in range(0, len(chunks), 500):
+            part = chunks[lo : lo + 500]
+            ids = self._ids([b" \x01 ".join(part).decode()])[0]
+            got = np.split(ids, np.flatnonzero(ids == self.mark))
+            out += [got[0].tobytes(), *[x[1:].tobytes() for x in got[1:]]]
+        return out
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The packed ids of each text (no nulls)."""
+        data, off = raw(texts)
+        whole = data.tobytes()
+        if not self.by_chunk:
+            return [x.tobytes() for x in self._ids(texts.to_pylist())]
+        data = LOWER[data]  # the normaliser lowers anyway
+        starts, ends, first = word_spans(data, off)
+        if not len(starts):
+            return [b""] * len(texts)
+        # a point or comma that ends a chunk after an ASCII letter or digit is a piece of its own
+        tail = (ends - starts > 1) & POINT[data[ends - 1]]
+        tail[tail] = PLAIN[data[ends[tail] - 2]]
+        at = np.repeat(np.arange(len(starts)), 1 + tail)
+        second = np.concatenate([[False], at[1:] == at[:-1]])
+        first = first + np.concatenate([[0], np.cumsum(tail)])[first]
+        starts, ends = np.where(second, ends[at] - 1, starts[at]), np.where(tail[at] & ~second, ends[at] - 1, ends[at])
+        coded = word_array(data, starts, ends).dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        packed = list(map(self.known.get, chunks))
+        new = [i for i, x in enumerate(packed) if x is None]
+        for i, x in zip(new, self._chunks([chunks[i] for i in new])):
+            packed[i] = x
+        self.missed += len(new)
+        if len(self.known) < self.most:
+            self.known.update((chunks[i], packed[i]) for i in new[: self.most - len(self.known)] if len(chunks[i]) <= 64)
         elif self.missed > 4 * self.most:  # the language has changed
-            self.known, self.missed = {"": b""}, 0
+            self.known, self.missed = {}, 0
+        width = self.dtype.itemsize
+        size = np.array([len(x) for x in packed]) // width
+        flat, begin = np.frombuffer(b"".join(packed), self.dtype), np.cumsum(size) - size
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        n = size[index]
+        stop = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(begin[index] - stop[:-1], n) + np.arange(stop[-1])]
+        cut = stop[first].tolist()
+        out = [ids[i:j].tobytes() for i, j in zip(cut, cut[1:])]
+        if any(s in whole for s in self.special):
+            for i, text in enumerate(texts.to_pylist()):
+                if any(s in text.encode() for s in self.special):
+                    out[i] = self._ids([text])[0].tobytes()
         return out
 
 
@@ -164,10 +202,11 @@ class Shard:
 
     def dump(self) -> dict:
         """The columns of LAYOUT besides shard and low; the payload in blocks."""
-        raw = self.payload.tobytes()
+        width = self.payload.itemsize
+        step = BLOCK // width
         return {
             "n_ids": len(self.payload), "bits": [len(b).to_bytes(8, "little") + np.packbits(b).tobytes() for b in self.levels], "prints": self.prints.astype("<u4").tobytes(),
-            "first": self.first.astype("<i8").tobytes(), "offsets": self.offsets.astype("<i8").tobytes(), "payload": [raw[at : at + BLOCK] for at in range(0, len(raw), BLOCK)],
+            "first": self.first.astype("<i8").tobytes(), "offsets": self.offsets.astype("<i8").tobytes(), "payload": [self.payload[at : at + step].tobytes() for at in range(0, len(self.payload), step)],
         }
 
     @staticmethod
@@ -186,20 +225,21 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, dtype: str =
     """
     spark = docs.sparkSession
     keyed = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_KEY)).alias("key"), docs[text_col].alias("text"))
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or 4 * parts
     cuts = np.array(cut_ids(keyed, "key", shards), np.int64)
     end = np.array([end_id], dtype).tobytes()
 
     def encode(batches):
-        enc = ChunkEncoder(tokenizer, dtype)
+        enc = kept_in_worker(("chunks", tokenizer, dtype), lambda: ChunkEncoder(tokenizer, dtype))
         for batch in batches:
             keys = batch.column(0).to_numpy()
             texts = filled(batch, "text")
-            for lo in range(0, len(keys), 512):
-                part = texts.slice(lo, 512).to_pylist()
-                got = enc.encode(part)
-                k = keys[lo : lo + 512]
-                yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(cuts, k, "right"), pa.int32()), pa.array(k), pa.array([zlib.crc32(t.encode()) for t in part], pa.int64()), pa.array([g + end for g in got], pa.binary())], names=["shard", "key", "tie", "ids"])
+            for lo, hi in slices(texts):
+                part, k = texts.slice(lo, hi - lo), keys[lo:hi]
+                got = [g + end for g in enc.encode(part)]
+                tie = [zlib.crc32(t.as_buffer() or b"") for t in part]
+                yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(cuts, k, "right"), pa.int32()), pa.array(k), pa.array(tie, pa.int64()), pa.array(got, pa.binary())], names=["shard", "key", "tie", "ids"])
 
     def build(batches):
         now, keys, rows = None, [], []
@@ -223,7 +263,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, dtype: str =
             yield flush()
 
     packed = keyed.mapInArrow(encode, "shard int, key long, tie long, ids binary")
-    dealt = packed.repartition(shards, "shard").sortWithinPartitions("shard", "key", "tie", "ids")
+    dealt = packed.repartition(parts, "shard").sortWithinPartitions("shard", "key", "tie", "ids")
     dealt.mapInArrow(build, LAYOUT).write.parquet(path)
 
 
