@@ -1,6 +1,6 @@
 """The corpus queries and, where SQL can express them, their SQL twins."""
 
-from . import bpe, licenses, merkle, mixing, neardup, repetition, substrings, tokenstore, toxicity
+from . import bpe, licenses, merkle, mixing, neardup, repetition, substrings, tokencounts, tokenstore, toxicity
 
 QUERIES = {
     "op1_toxicity_crf": toxicity.op1_toxicity_crf,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op5_suffix_dedup": substrings.op5_suffix_dedup,
     "op6_merkle_fingerprint": merkle.op6_merkle_fingerprint,
+    "op7_token_counts": tokencounts.op7_token_counts,
     "op8_jaccard_forest": neardup.op8_jaccard_forest,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_token_store": tokenstore.op10_token_store,

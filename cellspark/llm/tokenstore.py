@@ -51,19 +51,21 @@ class ChunkEncoder:
     encoded.  Chunks are told apart in Arrow and ids are gathered in NumPy, so Python sees each chunk once a batch.
     """
 
-    def __init__(self, path: str, dtype: str, most: int = MAX_CHUNKS):
+    def __init__(self, path: str, dtype: str, most: int = MAX_CHUNKS, plain: bool = False):
+        """plain: the strings of special tokens in a text are ordinary text."""
         import json
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype, self.most = Tokenizer.from_file(path), np.dtype(dtype), most
+        self.tokenizer.encode_special_tokens = plain
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
         normal = (said.get("normalizer") or {}).get("normalizers", [])
         split = ((said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
         self.by_chunk = {x["type"] for x in normal} == {"NFC", "Replace", "Lowercase"} and split.get("type") == "Split" and split.get("invert") and split.get("behavior") == "Removed" and r"[^\s\p{L}\p{N}]+" in split["pattern"].get("Regex", "")
-        self.special = [x["content"].encode() for x in said.get("added_tokens", [])]
+        self.special = [x["content"].encode() for x in said.get("added_tokens", []) if not plain]
         mark = self._ids(["\x01"])[0] if self.by_chunk else []
         self.mark = int(mark[0]) if len(mark) == 1 else None  # only a chunk with this character yields its id
         self.known: dict[bytes, bytes] = {}
