@@ -1,9 +1,9 @@
 """Toxic spans and document scores from a linear-chain conditional random field.
 
-Labels are given for documents only, so token tags are weak: a word is tagged toxic in a toxic document if it stands there
-in far more distinct contexts (word before, word after) than in clean documents.  Counting contexts, not documents, keeps
-copies of one text from voting more than once.  The field has a weight a word, one for unknown words, transitions and a
-start; it is trained by gradient ascent on the tag likelihood, with forward-backward marginals.  A document's score is a
+Labels are given for documents only, so token tags are weak: a word is tagged toxic in a toxic document if it, or a
+beginning of it, stands in contexts (word before, word after) of its own in far more documents than of clean ones.  Counting only documents with
+a new context keeps copies of one text from voting more than once.  The field has weights for words and their beginnings, transitions
+and a start; it is trained by gradient ascent on the tag likelihood, with forward-backward marginals.  A document's score is a
 logistic function of its largest marginal and of its expected number of toxic words, fitted on the same training rows.
 Tokens whose marginal is above one half, joined where adjacent, are the offending spans, as code-point offsets.
 
@@ -19,20 +19,21 @@ other columns are not touched.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc_mod3, filled, table
 
-MAX_TRAIN = 2500
-WINDOW, WINDOWS = 64, 64
-VOCABULARY = 20_000
-EPOCHS = 60
+MAX_TRAIN = 1500
+WINDOW, WINDOWS = 64, 24
+VOCABULARY = 60_000
+PREFIXES = (3, 4, 5, 6, 7)
+EPOCHS = 40
 THRESHOLD = 0.7
 TOKEN = re.compile(r"\w+")
 
@@ -105,28 +106,47 @@ def probability(alpha: np.ndarray, beta: np.ndarray) -> np.ndarray:
     return p[1] / (p[0] + p[1])
 
 
+class Gains(dict):
+    """Log potentials of words, made from their features when first met; as many as `most` are remembered."""
+
+    def __init__(self, weights: dict[str, float], bias: float, most: int = 200_000):
+        super().__init__()
+        self.weights, self.bias, self.most = weights, bias, most
+
+    def __missing__(self, word: str) -> float:
+        get = self.weights.get
+        gain = self.bias + sum([get(f, 0.0) for f in word_features(word)])
+        if len(self) < self.most:
+            self[word] = gain
+        return gain
+
+
+def word_features(word: str) -> list[str]:
+    return ["=" + word, *[f"{k}{word[:k]}" for k in PREFIXES if len(word) >= k]]
+
+
 @dataclass
 class Field:
     """A trained field and the document model on top of it."""
 
-    words: dict[str, int]  # 0: unknown
-    weight: np.ndarray
+    weights: dict[str, float]  # of features
+    bias: float
     trans: np.ndarray
     start: float
     doc: np.ndarray  # intercept, largest marginal, log of one plus the expected count
     prior: float | None = None  # where there was nothing to learn from
 
-    def tag(self, tokens: list[list[str]]) -> list[np.ndarray]:
+    def tag(self, tokens: list[list[str]], gains: Gains | None = None) -> list[np.ndarray]:
         """The marginal of tag 1 of each token of each text."""
-        get = self.words.get
         size = np.array([len(t) for t in tokens])
         if not size.sum():
             return [np.zeros(0)] * len(tokens)
-        ids = np.fromiter((get(w, 0) for t in tokens for w in t), np.int64, int(size.sum()))
+        at = (Gains(self.weights, self.bias) if gains is None else gains).__getitem__
+        gain = np.fromiter((x for t in tokens for x in map(at, t)), float, int(size.sum()))
         ends = np.cumsum(size)
-        first = np.zeros(len(ids), bool)
+        first = np.zeros(len(gain), bool)
         first[(ends - size)[size > 0]] = True
-        alpha, beta, _, _ = marginals(self.weight[ids], first, self.trans, self.start)
+        alpha, beta, _, _ = marginals(gain, first, self.trans, self.start)
         return np.split(probability(alpha, beta), ends[:-1])
 
     def score(self, tags: list[np.ndarray]) -> np.ndarray:
@@ -140,78 +160,113 @@ def features(p: np.ndarray) -> tuple[float, float, float]:
     return (1.0, float(p.max()), float(np.log1p(p.sum()))) if len(p) else (1.0, 0.0, 0.0)
 
 
-def toxic_words(toxic: list[list[str]], clean: list[list[str]]) -> set[str]:
-    """Words of far more distinct contexts in toxic than in clean token lists (ratio over 5, 3 standard errors)."""
-
-    def contexts(lists):
-        return Counter(w for _, w, _ in {(a, w, b) for t in lists for a, w, b in zip(["", *t], t, [*t[1:], ""])})
-
-    a, b = contexts(toxic), contexts(clean)
-    na, nb = max(1, sum(a.values())), max(1, sum(b.values()))
-    out = set()
-    for w, n in a.items():
-        if n >= 3:
-            gain = np.log((n + 0.5) / na) - np.log((b[w] + 0.5) / nb)
-            if gain > np.log(5) and gain > 3 * np.sqrt(1 / (n + 0.5) + 1 / (b[w] + 0.5)) or n >= 5 and not b[w] and gain > np.log(5):
-                out.add(w)
-    return out
-
-
-def fit(samples: list[tuple[int, list[list[str]]]], share: float) -> Field:
-    """samples: (label, windows of tokens) of training documents; share: of toxic ones among all labelled rows."""
-    toxic = [w for y, ws in samples if y for w in ws]
-    clean = [w for y, ws in samples if not y for w in ws]
-    if not toxic or not clean:
-        return Field({}, np.zeros(1), np.ones((2, 2)), 0.0, np.zeros(3), float(share))
-    lexicon = toxic_words(toxic, clean)
-    count = Counter(w for ws in (toxic, clean) for t in ws for w in t)
-    common = [w for w, n in count.most_common(VOCABULARY) if n > 1]
-    words = {w: i for i, w in enumerate(dict.fromkeys([*sorted(lexicon), *common]), 1)}
-    seqs = [(y, t) for y, ws in samples for t in ws if t]
-    ids = np.fromiter((words.get(w, 0) for _, t in seqs for w in t), np.int64)
-    tags = np.fromiter((y and w in lexicon for y, t in seqs for w in t), bool, len(ids)).astype(float)
-    size = np.array([len(t) for _, t in seqs])
-    first = np.zeros(len(ids), bool)
+def _shares(feature: np.ndarray, codes: np.ndarray, size: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """For each feature, the documents that show it in a context (words before and after) that no earlier one has."""
+    if not len(codes):
+        return np.zeros(n)
+    ends = np.cumsum(size)
+    before, after = np.concatenate([[-1], codes[:-1]]), np.concatenate([codes[1:], [-1]])
+    before[(ends - size)[size > 0]] = -1
+    after[ends[size > 0] - 1] = -1
+    side = (before + 1) * (codes.max() + 2) + after + 1
+    order = np.lexsort((side, feature))  # stable: of equal contexts the first document's comes first
+    w, side = feature[order], side[order]
+    new = np.concatenate([[True], (w[1:] != w[:-1]) | (side[1:] != side[:-1])])
+    pairs = np.unique(w[new] * (doc.max() + 1) + np.repeat(doc, size)[order][new])
+    return np.bincount(pairs // (doc.max() + 1), minlength=n).astype(float)
+
+
+def toxic_features(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> np.ndarray:
+    """Which features have far larger shares of toxic (a of na) than of clean texts (b of nb): ratio over 5, by 3 standard errors."""
+    gain = np.log((a + 0.5) / max(1, na)) - np.log((b + 0.5) / max(1, nb))
+    sure = (gain > 3 * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))) | ((a >= 5) & (b == 0))
+    return (a >= 3) & (gain > np.log(5)) & sure
+
+
+def fit(labels: np.ndarray, windows: pa.Array, owner: np.ndarray, share: float) -> Field:
+    """labels: of the training documents; windows: tokens joined by blanks; owner: each window's document (ascending);
+    share: of toxic ones among all labelled rows."""
+    labels = np.asarray(labels).astype(bool)
+    if labels.all() or not labels.any() or not len(windows):
+        return Field({}, 0.0, np.ones((2, 2)), 0.0, np.zeros(3), float(share))
+    split = pc.split_pattern(windows, " ")
+    size = np.diff(split.offsets.to_numpy()).astype(np.int64)
+    coded = split.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    names = coded.dictionary.to_pylist()
+    # features of each distinct word: the word, and its beginnings; 0 where it has none
+    table_of, columns = [""], []
+    ids: dict[str, int] = {}
+    for i in range(1 + len(PREFIXES)):
+        col = np.zeros(len(names), np.int64)
+        for j, name in enumerate(names):
+            if i == 0 or len(name) >= PREFIXES[i - 1]:
+                f = "=" + name if i == 0 else f"{PREFIXES[i - 1]}{name[: PREFIXES[i - 1]]}"
+                col[j] = ids.setdefault(f, len(ids) + 1)
+                if col[j] == len(table_of):
+                    table_of.append(f)
+        columns.append(col)
+    n = len(table_of)
+    toxic, of_window = np.repeat(labels[owner], size), labels[owner]
+    marked, count = np.zeros(n, bool), np.zeros(n)
+    for col in columns:
+        feature = col[codes]
+        a, b = (_shares(feature[toxic == t], codes[toxic == t], size[of_window == t], owner[of_window == t], n) for t in (True, False))
+        m = toxic_features(a, b, int(labels.sum()), int((~labels).sum()))
+        m[0] = False
+        marked |= m
+        count += np.bincount(feature, minlength=n)
+    count[0] = 0
+    keep = marked.copy()
+    keep[np.argsort(-count, kind="stable")[:VOCABULARY]] = True
+    keep &= count > 1
+    place = np.where(keep, np.cumsum(keep), 0)
+    n = int(keep.sum()) + 1
+    hit = np.any([marked[col] for col in columns], axis=0)
+    tags = (toxic & hit[codes]).astype(float)
+    columns = [place[col] for col in columns]
+    table_of = [f for f, k in zip(table_of, keep) if k]
+    first = np.zeros(len(codes), bool)
     first[np.cumsum(size) - size] = True
-    n = len(words) + 1
-    base = max(tags.mean(), 1e-6)
-    theta = np.zeros(n + 5)  # words, transitions 00 01 10 11, start
-    theta[:n] = np.log(base)
+    bias = np.log(max(tags.mean(), 1e-6))
+    theta = np.zeros(n + 5)  # features (0: none), transitions 00 01 10 11, start
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     inner = np.flatnonzero(~first)
     y0, y1 = tags[inner - 1], tags[inner]
-    seen = np.concatenate([np.bincount(ids, tags, n), [((1 - y0) * (1 - y1)).sum(), ((1 - y0) * y1).sum(), (y0 * (1 - y1)).sum(), (y0 * y1).sum()], [tags[first].sum()]])
+    by_feature = lambda x: sum(np.bincount(col, np.bincount(codes, x, len(names)), n) for col in columns)
+    seen = np.concatenate([by_feature(tags), [((1 - y0) * (1 - y1)).sum(), ((1 - y0) * y1).sum(), (y0 * (1 - y1)).sum(), (y0 * y1).sum()], [tags[first].sum()]])
+
+    def gains() -> np.ndarray:
+        return (bias + sum(theta[col] for col in columns))[codes]
+
     for step in range(1, EPOCHS + 1):
         trans = np.exp(theta[n : n + 4]).reshape(2, 2)
-        alpha, beta, e, _ = marginals(theta[ids], first, trans, theta[-1])
+        alpha, beta, e, _ = marginals(gains(), first, trans, theta[-1])
         p = probability(alpha, beta)
-        a, b = alpha[:, inner - 1], beta[:, inner] * np.stack([np.ones(len(inner)), e[inner]])
-        pair = [a[i] * trans[i, j] * b[j] for i in (0, 1) for j in (0, 1)]
+        fwd, bwd = alpha[:, inner - 1], beta[:, inner]
+        bwd[1] *= e[inner]
+        pair = [fwd[i] * trans[i, j] * bwd[j] for i in (0, 1) for j in (0, 1)]
         total = sum(pair)
-        want = np.concatenate([np.bincount(ids, p, n), [(x / total).sum() for x in pair], [p[first].sum()]])
-        prior = np.concatenate([theta[:n] - np.log(base), theta[n:]])
-        g = seen - want - 0.05 * prior
+        g = seen - np.concatenate([by_feature(p), [(x / total).sum() for x in pair], [p[first].sum()]]) - 0.05 * theta
+        g[0] = 0
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta += 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    field = Field(words, theta[:n], np.exp(theta[n : n + 4]).reshape(2, 2), float(theta[-1]), np.zeros(3))
+    trans, start = np.exp(theta[n : n + 4]).reshape(2, 2), float(theta[-1])
     # the document model: logistic regression by Newton steps, then the intercept moved from the sample's share to the corpus's
-    y = np.array([float(s) for s, _ in samples])
-    parts = field.tag([t for _, ws in samples for t in ws])
-    x, at = [], 0
-    for _, ws in samples:
-        x.append(features(np.concatenate(parts[at : at + len(ws)]) if ws else np.zeros(0)))
-        at += len(ws)
-    x = np.array(x)
-    w = np.zeros(3)
+    alpha, beta, _, _ = marginals(gains(), first, trans, start)
+    p = probability(alpha, beta)
+    doc = np.repeat(owner, size)
+    top, mass = np.zeros(len(labels)), np.bincount(doc, p, len(labels))
+    np.maximum.at(top, doc, p)
+    x, y = np.stack([np.ones(len(labels)), top, np.log1p(mass)], 1), labels.astype(float)
+    w, ridge = np.zeros(3), np.array([1e-3, 0.1, 0.1])
     for _ in range(25):
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (q * (1 - q))[:, None]).T @ x + np.diag([1e-3, 0.1, 0.1])
-        w += np.linalg.solve(h, x.T @ (y - q) - np.array([1e-3, 0.1, 0.1]) * w)
+        w += np.linalg.solve((x.T * (q * (1 - q))) @ x + np.diag(ridge), x.T @ (y - q) - ridge * w)
     w[1:] = np.maximum(w[1:], 0)  # more toxic words never lower a score
     if 0 < share < 1:
         w[0] += np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean()))
-    field.doc = w
-    return field
+    return Field({f: float(x) for f, x in zip(table_of, theta[1:n]) if abs(x) > 1e-3}, float(bias), trans, start, w)
 
 
 # --- over tables ----------------------------------------------------------------------------------------------------
@@ -241,10 +296,12 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     kind = narrow.schema["__id"].dataType.simpleString()
     rows = narrow.join(F.broadcast(chosen), "__id").select("__id", "__y", "__text").mapInArrow(cut, f"id {kind}, y int, windows array<string>")
     got = rows.dropDuplicates(["y", "windows"]).toArrow()
-    order = np.argsort([str(x) for x in got.column("id").to_pylist()], kind="stable")
-    ys, ws = got.column("y").to_pylist(), got.column("windows").to_pylist()
+    got = got.sort_by([("id", "ascending")])
+    windows = got.column("windows").combine_chunks()
+    windows = windows.chunk(0) if isinstance(windows, pa.ChunkedArray) else windows
     total = sum(n.values())
-    return fit([(ys[i], [w.split(" ") for w in ws[i]]) for i in order], n.get(1, 0) / total if total else 0.0)
+    owner = np.repeat(np.arange(got.num_rows), np.diff(windows.offsets.to_numpy()))
+    return fit(got.column("y").to_numpy(), windows.flatten(), owner, n.get(1, 0) / total if total else 0.0)
 
 
 def spans(text: str, p: np.ndarray) -> list[tuple[int, int, float]]:
@@ -272,11 +329,12 @@ def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     narrow = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    shipped = spark.sparkContext.broadcast(field)  # at most VOCABULARY words and the toxic ones among the training words
+    shipped = spark.sparkContext.broadcast(field)  # at most VOCABULARY features and the toxic ones of the training words
     shape = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("p", pa.float64())]))
 
     def run(batches):
         model = shipped.value
+        gains = Gains(model.weights, model.bias)
         for batch in batches:
             col = filled(batch, "text")
             lo = 0
@@ -287,7 +345,7 @@ def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
                     texts.append(text)
                     tokens.append(TOKEN.findall(text.lower()))
                     n += len(tokens[-1])
-                tags = model.tag(tokens)
+                tags = model.tag(tokens, gains)
                 cols = [batch.column(0).slice(lo, len(texts)), pa.array(model.score(tags)), pa.array([int((p > 0.5).sum()) for p in tags], pa.int64())]
                 if with_spans:
                     found = [spans(t, p) if (p > 0.5).any() else [] for t, p in zip(texts, tags)]
@@ -298,6 +356,24 @@ def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     return narrow.mapInArrow(run, f"doc_id {kind}, score double, n_toxic_words long" + ", spans array<struct<start:int,stop:int,p:double>>" * with_spans)
 
 
+def keep_clean(docs: DataFrame, field: Field, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """docs without those that score `threshold` or more; rows are filtered where they are read."""
+    shipped = docs.sparkSession.sparkContext.broadcast(field)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        model = shipped.value
+        gains = Gains(model.weights, model.bias)
+        for batch in batches:
+            col = batch.column(at)
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                tags = model.tag([TOKEN.findall((t.as_py() or "").lower()) for t in col.slice(lo, 256)], gains)
+                yield part.filter(pa.array(model.score(tags) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     field = train(docs, table(spark, sf_dir, "labels"))
