@@ -291,5 +291,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("doc").alias("doc_id"), F.coalesce("class_id", "doc").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "cid", (F.col("cid").isNull() | ((F.col("cid") == F.col("lead")) & F.col("doc").eqNullSafe(F.coalesce("class_id", "doc")))).alias("is_kept"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one document of each component: that of the smallest id.  Texts without words stay."""
+    found = near_duplicates(docs, id_col, text_col).where("is_kept")
+    key = lambda i, c: F.sha2(F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("null")), F.coalesce(F.hex(c), F.lit("-"))), 256)
+    kept = stored(found.groupBy(key(F.col("doc_id"), F.col("cid")).alias("__key")).agg(F.count("*").alias("__n"), F.first("cid").isNull().alias("__bare")), "neardup-kept")
+    at = docs.columns.index(text_col)
+    shape = docs.select("*", F.lit(b"").alias("__cid")).schema
+
+    def add(batches):
+        for batch in batches:
+            texts = batch.column(at)
+            texts = texts.fill_null("") if texts.null_count else texts
+            cid = []
+            for lo, hi in slices(texts, 2 << 20):
+                cid += digests(*shingles(texts.slice(lo, hi - lo)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cid, pa.binary())], names=[*batch.schema.names, "__cid"])
+
+    for field in shape:
+        field.nullable = True
+    marked = docs.mapInArrow(add, shape).withColumn("__key", key(F.col(id_col), F.col("__cid")))
+    out = marked.join(kept.hint("merge"), "__key")
+    if kept.where("__n > 1 AND NOT __bare").limit(1).count():  # repeated rows of one id
+        once = out.where("__n > 1 AND NOT __bare").dropDuplicates(["__key"])
+        out = out.where("__n = 1 OR __bare").unionByName(once)
+    return out.select(*docs.columns)
+
+
 def op8_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")

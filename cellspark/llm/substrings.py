@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import filled, raw, slices, stored, table, u64_mix
 from .suffix import SuffixArray, maximal_repeats
@@ -361,6 +362,44 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **h
     return out.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "th", "text", "spans")
 
 
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = None, **how) -> DataFrame:
+    """docs with repeats cut from their texts, and size_col set to the code points left.
+
+    A character of which some bytes go is dropped whole.  Rows of one id and one text take the other columns of one of
+    them.  Other columns are shuffled without texts and meet them where the repeats do.
+    """
+    repeats, texts = find_repeats(keyed(docs, id_col, text_col), **how)
+    others = [c for c in docs.columns if c != text_col]
+    text = F.coalesce(docs[text_col], F.lit(""))
+    rest = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("th"), F.struct(*[docs[c] for c in others], docs[text_col].isNull().alias("__no_text")).alias("rest"))
+    rest = rest.groupBy("doc", "th").agg(F.first("rest").alias("rest"))
+    joined = texts.join(repeats.hint("merge"), ["doc", "th"], "left").join(rest.hint("merge"), ["doc", "th"])
+
+    def cut(batches):
+        for batch in batches:
+            out = []
+            for text, blobs in zip(batch.column(0), batch.column(1).to_pylist()):
+                spans = spans_to_cut(blobs) if blobs else []
+                if not spans:
+                    out.append(text.as_py())
+                    continue
+                data, at, left = text.as_buffer().to_pybytes(), 0, []
+                for a, b in spans:
+                    left.append(data[at:a])
+                    at = b
+                # a piece's broken ends are dropped before the pieces meet, so no new character arises
+                out.append("".join(x.decode("utf-8", "ignore") for x in [*left, data[at:]]))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column(2)], names=["text", "rest"])
+
+    left = joined.select("text", "notes", "rest").mapInArrow(cut, T.StructType([T.StructField("text", T.StringType()), T.StructField("rest", rest.schema["rest"].dataType)]))
+    new = F.when(~F.col("rest.__no_text"), F.col("text"))
+    columns = []
+    for c in docs.columns:
+        kind = docs.schema[c].dataType
+        columns.append(new.alias(c) if c == text_col else F.length(new).cast(kind).alias(c) if c == size_col else F.col("rest").getField(c).alias(c))
+    return left.select(*columns)
+
+
 def digest(df: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 from the rows of removed()."""
 
