@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from .plans import exon_queries, queries
+
+QUERIES: dict = {**queries.QUERIES, **exon_queries.QUERIES}
+ORACLES: dict[str, str] = {**queries.ORACLES, **exon_queries.ORACLES}
