@@ -36,8 +36,10 @@ from .common import filled, raw, slices, stored, table, u64_mix
 from .suffix import SuffixArray, maximal_repeats
 
 LENGTH = 100
-GRAM = 24
-HOT = 50_000
+GRAM = 32
+HOT = 20_000
+#: Runs whose bytes are sorted at once: about 150 bytes each, some 150 bytes of work a byte.
+GROUP_RUNS = 2_000
 NULL_ID = 2**63 - 1
 _B1, _B2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 
@@ -299,9 +301,9 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
         doc, th, a = t.column(2).to_numpy(), t.column(3).to_numpy(), t.column(4).to_numpy().astype(np.int64)
         edge = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])).tolist() + [len(h)]
         lo = 0
-        while lo < len(edge) - 1:  # whole groups, up to about 20,000 runs at a time
+        while lo < len(edge) - 1:  # whole groups, up to GROUP_RUNS runs at a time where they are small
             hi = lo + 1
-            while hi < len(edge) - 1 and edge[hi + 1] - edge[lo] <= 20_000:
+            while hi < len(edge) - 1 and edge[hi + 1] - edge[lo] <= GROUP_RUNS:
                 hi += 1
             at = order[edge[lo] : edge[hi]]
             lo = hi
