@@ -214,7 +214,7 @@ def verified(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, ti
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(docs[id_col].cast("long").alias("rep"), docs[text_col].alias("text")).where(F.col("text").isNotNull())
-    joined = texts.join(members, "rep").select("text", "cid", "copies", "family", "tiles")
+    joined = texts.join(members.hint("merge"), "rep").select("text", "cid", "copies", "family", "tiles")
 
     def sets(batches):
         for batch in batches:
