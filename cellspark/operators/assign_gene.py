@@ -38,42 +38,48 @@ def stacked_blocks(pairs: DataFrame, ids: list[str], flank: int = FLANK) -> Data
     return rows.select(*ids, "chrom", F.col("b.strand").alias("strand"), (F.col("b.start") + F.col("k.by")).alias("start"), (F.col("b.end") + F.col("k.by")).alias("end"), "k.kind")
 
 
-def stacked_features(exons: DataFrame, genes: DataFrame) -> DataFrame:
-    """chrom, strand, start, end, gene_id, level: merged exons and gene bodies."""
-    return gene_parts(exons).select("chrom", "strand", "start", "end", "gene_id", F.lit("exon").alias("level")).unionByName(genes.select("chrom", "strand", "start", "end", "gene_id", F.lit("gene").alias("level")))
+def stacked_features(exons: DataFrame, genes: DataFrame, ends: DataFrame) -> DataFrame:
+    """chrom, f_strand, start, end, gene_id, level, ends: merged exons and gene bodies, each with its gene's transcript ends."""
+    cols = ["chrom", F.col("strand").alias("f_strand"), "start", "end", "gene_id"]
+    both = gene_parts(exons).select(*cols, F.lit("exon").alias("level")).unionByName(genes.select(*cols, F.lit("gene").alias("level")))
+    return both.join(ends.groupBy("gene_id").agg(F.collect_set("end_d").alias("ends")), "gene_id", "left")
 
 
-def hits(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, width: int = 1 << 14) -> DataFrame:
-    """ids, stage, gene_id, covered, aligned: how much of a pair's aligned length each gene covers in each stage."""
+def hits(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14) -> DataFrame:
+    """ids, stage, gene_id, whole, distance: the genes that each stage finds for a pair.
+
+    whole: the gene covers every aligned base; distance: of mate 1's directional end to the gene's nearest transcript end,
+    null for random primers.  Hits are dealt by pair, so what follows by pair needs no further exchange.
+    """
     aligned = F.aggregate(F.concat("blocks1", "blocks2"), F.lit(0).cast("long"), lambda a, b: a + b["end"] - b["start"])
-    blocks = stacked_blocks(pairs.withColumn("__aligned", aligned), [*ids, "__aligned"])
-    features = stacked_features(exons, genes).withColumnRenamed("strand", "f_strand")
-    both = overlap_join(blocks, features, ["chrom"], width)
+    mate = F.struct(aligned.alias("aligned"), F.col("strand1").alias("strand"), F.col("start1").alias("start"), F.col("end1").alias("end"), "is_randomn")
+    blocks = stacked_blocks(pairs.withColumn("__m", mate), [*ids, "__m"])
+    both = overlap_join(blocks, stacked_features(exons, genes, ends), ["chrom"], width)
     sense, level = F.col("strand") == F.col("f_strand"), F.col("level")
     stage = F.when(F.col("kind") == "plain", F.when(sense & (level == "exon"), 1).when(sense, 2).when(level == "exon", 4).otherwise(5)).when(sense & (level == "gene"), 3)
-    return both.withColumn("stage", stage).where("stage IS NOT NULL").groupBy(*ids, "stage", "gene_id").agg(F.sum("overlap").alias("covered"), F.first("__aligned").alias("aligned"))
-
-
-def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14, chroms: DataFrame | None = None) -> DataFrame:
-    """ids and stage, gene_id, region (exon or intron), status (counted, ambiguous, no_feature, unmapped): one row a pair."""
-    found = hits(pairs, ids, exons, genes, width)
-    genes_of = found.groupBy(*ids).agg(F.min("stage").alias("stage"), F.collect_list(F.struct("stage", "gene_id", (F.col("covered") == F.col("aligned")).alias("whole"))).alias("h"))
-    deciding = F.filter("h", lambda x: x["stage"] == F.col("stage"))
-    genes_of = genes_of.withColumn("h", deciding).withColumn("whole", F.exists("h", lambda x: x["whole"]))
-    genes_of = genes_of.select(*ids, "stage", "whole", F.transform(F.filter("h", lambda x: x["whole"] | ~F.col("whole")), lambda x: x["gene_id"]).alias("candidates"))
-    # the nearest transcript end, for pairs with several candidates
-    e1 = pairs.select(*ids, "strand1", "start1", "end1", "is_randomn")
-    many = genes_of.where(F.size("candidates") > 1).join(e1, ids).where(~F.col("is_randomn"))
-    strand = F.when(F.col("stage") <= 3, flipped(F.col("strand1"))).otherwise(F.col("strand1"))
-    at = many.select(*ids, directional_end(F.col("start1"), F.col("end1"), strand).alias("r1_end"), F.explode("candidates").alias("gene_id"))
-    dist = at.join(ends, "gene_id").groupBy(*ids, "gene_id").agg(F.min(F.abs(F.col("end_d") - F.col("r1_end"))).alias("d"))
-    near = dist.groupBy(*ids).agg(F.min("d").alias("low"), F.min_by("gene_id", F.struct("d", "gene_id")).alias("nearest"), F.collect_list("d").alias("all"))
-    near = near.select(*ids, F.when(F.size(F.filter("all", lambda d: d < F.col("low") + NEAR)) == 1, F.col("nearest")).alias("nearest"))
-    out = pairs.select(*ids, "chrom").join(genes_of, ids, "left").join(near, ids, "left")
-    gene = F.when(F.size("candidates") == 1, F.element_at("candidates", 1)).otherwise(F.col("nearest"))
-    status = F.when(F.col("stage").isNull(), "no_feature").when(gene.isNull(), "ambiguous").otherwise("counted")
-    region = F.when(F.col("stage").isNotNull(), F.when((F.col("stage") == 1) | ((F.col("stage") == 4) & F.col("whole")), "exon").otherwise("intron"))
+    found = both.withColumn("stage", stage).where("stage IS NOT NULL").repartition(*ids).groupBy(*ids, "stage", "gene_id").agg(F.sum("overlap").alias("covered"), F.first("__m").alias("m"), F.first("ends").alias("ends"))
+    strand = F.when(F.col("stage") <= 3, flipped(F.col("m.strand"))).otherwise(F.col("m.strand"))
+    at = directional_end(F.col("m.start"), F.col("m.end"), strand)
+    distance = F.when(~F.col("m.is_randomn"), F.array_min(F.transform("ends", lambda e: F.abs(e - at))))
+    return found.select(*ids, "stage", "gene_id", (F.col("covered") == F.col("m.aligned")).alias("whole"), distance.alias("distance"))
+
+
+def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14, chroms: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """ids, keep and stage, gene_id, region (exon or intron), status (counted, ambiguous, no_feature, unmapped), n_candidates: one row a pair.
+
+    Several candidates are settled by the smallest distance, unless another lies within NEAR of it.
+    """
+    found = hits(pairs, ids, exons, genes, ends, width).withColumn("__p", F.lit(None).cast(pairs.select(F.struct("chrom", *keep).alias("p")).schema["p"].dataType))
+    every = pairs.select(*ids, F.lit(None).cast("int").alias("stage"), F.lit(None).cast("string").alias("gene_id"), F.lit(None).cast("boolean").alias("whole"), F.lit(None).cast("long").alias("distance"), F.struct("chrom", *keep).alias("__p")).repartition(*ids)
+    per = found.unionByName(every).groupBy(*ids).agg(F.min("stage").alias("stage"), F.max("__p").alias("__p"), F.collect_list(F.when(F.col("gene_id").isNotNull(), F.struct("stage", "gene_id", "whole", "distance"))).alias("h"))
+    per = per.withColumn("h", F.filter("h", lambda x: x["stage"] == F.col("stage"))).withColumn("whole", F.exists("h", lambda x: x["whole"]))
+    per = per.withColumn("h", F.filter("h", lambda x: x["whole"] | ~F.col("whole"))).withColumn("low", F.array_min(F.transform("h", lambda x: x["distance"])))
+    near = F.filter("h", lambda x: x["distance"] < F.col("low") + NEAR)
+    gene = F.when(F.size("h") == 1, F.get("h", 0)["gene_id"]).when(F.size(near) == 1, F.get(near, 0)["gene_id"])
+    out = per.select(*ids, "__p.*", "stage", "whole", gene.alias("gene_id"), F.size("h").alias("n_candidates"))
+    status = F.when(F.col("stage").isNull(), "no_feature").when(F.col("gene_id").isNull(), "ambiguous").otherwise("counted")
     if chroms is not None:
         out = out.join(F.broadcast(chroms.select("chrom", F.lit(True).alias("__known"))), "chrom", "left")  # one row a chromosome
         status = F.when(F.col("__known").isNull(), "unmapped").otherwise(status)
-    return out.select(*ids, "stage", gene.alias("gene_id"), region.alias("region"), status.alias("status"))
+    region = F.when(F.col("stage").isNotNull(), F.when((F.col("stage") == 1) | ((F.col("stage") == 4) & F.col("whole")), "exon").otherwise("intron"))
+    return out.select(*ids, *keep, "stage", "gene_id", region.alias("region"), status.alias("status"), "n_candidates")

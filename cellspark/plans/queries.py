@@ -267,7 +267,7 @@ res AS (SELECT pair.pid, cell, d.stage, coalesce(p1.gene_id, sole.g) AS gene_id,
 def assigned_genes(spark: SparkSession, sf: str) -> DataFrame:
     x = exon_view(spark, sf)
     p = pair_view(spark, sf)
-    return assign_gene.assign(p, PID, x, gene_view(x), views.ends_view(x), WIDTH).join(p.select("pid", "cell"), "pid")
+    return assign_gene.assign(p, PID, x, gene_view(x), views.ends_view(x), WIDTH, keep=("cell",))
 
 
 @query(f"{ASSIGN} SELECT pid, stage, gene_id, region, status FROM res")
@@ -278,11 +278,7 @@ def gene_assign(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"{ASSIGN} SELECT sole.pid, g AS gene_id FROM sole")
 def nearest_end(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs with several candidate genes that a nearest transcript end settles."""
-    out = assigned_genes(spark, sf).where("status = 'counted'")
-    x = exon_view(spark, sf)
-    many = assign_gene.hits(pair_view(spark, sf), PID, x, gene_view(x), WIDTH).groupBy("pid", "stage").agg(F.count("*").alias("n"), F.count_if(F.col("covered") == F.col("aligned")).alias("m"))
-    many = many.where((F.col("m") > 1) | ((F.col("m") == 0) & (F.col("n") > 1)))
-    return out.join(many, ["pid", "stage"], "left_semi").select("pid", "gene_id")
+    return assigned_genes(spark, sf).where("status = 'counted' AND n_candidates > 1").select("pid", "gene_id")
 
 
 @query(f"{ASSIGN}, c AS (SELECT cell, gene_id, region, count(*) AS count FROM res WHERE status = 'counted' GROUP BY 1, 2, 3) SELECT cell, gene_id, sum(count)::BIGINT AS count FROM c GROUP BY 1, 2")
