@@ -138,11 +138,41 @@ def u64_mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _home() -> types.ModuleType:
+    return sys.modules.setdefault("_cellspark_worker", types.ModuleType("_cellspark_worker"))
+
+
 def kept_in_worker(key: tuple, make):
-    """make() once in a Python worker process, which Spark uses for many tasks; the last such object of a kind is kept."""
-    home = sys.modules.setdefault("_cellspark_worker", types.ModuleType("_cellspark_worker"))
-    held = getattr(home, key[0], None)
+    """make() once in a Python worker process, which Spark uses for many tasks; only the last such object is kept."""
+    home = _home()
+    held = getattr(home, "held", None)
     if held is None or held[0] != key:
-        held = (key, make())
-        setattr(home, key[0], held)
+        home.held = None
+        held = home.held = (key, make())
     return held[1]
+
+
+def lean(run, keeps: bool = False):
+    """The function for mapInArrow, in a worker that gives memory back: what an earlier operator kept goes before (unless
+    `keeps`), and what this task freed goes back to the system after it, as workers stay while other operators run."""
+
+    def give_back():
+        import ctypes
+        import gc
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    def wrapped(batches):
+        if not keeps:
+            _home().held = None
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped

@@ -32,12 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import filled, raw, slices, stored, table, u64_mix
+from .common import filled, lean, raw, slices, stored, table, u64_mix
 from .suffix import SuffixArray, maximal_repeats
 
 LENGTH = 100
 GRAM = 32
-HOT = 20_000
+HOT = 8_000
 #: Runs whose bytes are sorted at once: about 150 bytes each, some 150 bytes of work a byte.
 GROUP_RUNS = 2_000
 NULL_ID = 2**63 - 1
@@ -64,7 +64,7 @@ class Rolling:
     def __init__(self, data: np.ndarray, base: int, powers: dict):
         n = len(data) + 1
         if len(powers.get(base, ((),))[0]) < n:
-            powers[base] = _powers(base, max(n, 1 << 20))
+            powers[base] = _powers(base, max(n, 1 << 19))
         self.up, down = powers[base]
         with np.errstate(over="ignore"):
             self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * down[: n - 1])])
@@ -136,11 +136,11 @@ def notes_of(rec: np.ndarray, kind) -> np.ndarray:
     return out
 
 
-def repeated(docs: np.ndarray, ths: np.ndarray, begins: np.ndarray, texts: list[bytes], groups: np.ndarray, length: int):
+def repeated(docs: np.ndarray, ths: np.ndarray, begins: np.ndarray, texts: list[bytes], length: int):
     """Repeats among runs that share an anchor: (index of the run, start in it, bytes) of all but each first occurrence.
 
     The runs are laid end to end; seven bytes make one symbol (base 257, zero past a run's end), so doubling reaches 112
-    bytes in four rounds.  The anchor's group is part of no key: equal strings belong to equal anchors anyway.
+    bytes in four rounds.  Anchors are part of no key: equal strings belong to equal anchors anyway.
     """
     data = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 1
     size = np.array([len(t) for t in texts])
@@ -153,9 +153,11 @@ def repeated(docs: np.ndarray, ths: np.ndarray, begins: np.ndarray, texts: list[
     padded = np.concatenate([data, np.zeros(7, np.int64)])
     for i in range(7):
         key = key * 257 + np.where(at + i < end, padded[i : i + n], 0)
+    del padded
     arr = SuffixArray(key, depth=int(size.max()), step=7, end=end)
-    lcp = arr.lcp()
-    lcp = _finer(arr, lcp, key, end)
+    lcp = _finer(arr, arr.lcp(), key, end)
+    arr.levels.clear()
+    del key, end
     before = np.concatenate([[0], data[:-1]])
     first = stop - size
     before[first] = -1 - np.arange(len(texts))  # a run's start differs from all
@@ -174,6 +176,21 @@ def repeated(docs: np.ndarray, ths: np.ndarray, begins: np.ndarray, texts: list[
     return np.concatenate(out_run), np.concatenate(out_at), np.concatenate(out_n)
 
 
+def holds_repeat(texts: list[bytes], length: int) -> np.ndarray:
+    """Which runs hold a window whose hash stands in these runs twice: the others need no sorting."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    size = np.array([len(t) for t in texts])
+    n = size - length + 1
+    run = np.repeat(np.arange(len(texts)), n)
+    start = np.repeat(np.cumsum(size) - size - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    h = Rolling(data, _B2, {}).of(start, start + length)
+    order = np.argsort(h)
+    same = h[order][1:] == h[order][:-1]
+    out = np.zeros(len(texts), bool)
+    out[run[order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]]] = True
+    return out
+
+
 def _finer(arr: SuffixArray, lcp: np.ndarray, key: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Common prefixes to the byte: the last, partly equal symbol holds up to six more."""
     out = lcp.copy()
@@ -204,7 +221,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
         for batch in batches:
             doc, th, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
             got = []
-            for lo, hi in slices(texts, 1 << 20):
+            for lo, hi in slices(texts, 1 << 19):
                 data, off = raw(texts.slice(lo, hi - lo))
                 if len(data) < length:
                     continue
@@ -255,8 +272,8 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
             d, t, packed = by_document(both["doc"][lo : lo + 1_000_000], both["th"][lo : lo + 1_000_000], notes[lo : lo + 1_000_000])
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(packed, pa.binary())], names=["doc", "th", "notes"])
 
-    records = docs.mapInArrow(scan, "bucket int, records binary, doc long, th long, notes binary")
-    notes = stored(records.repartition(parts, "bucket").mapInArrow(meet, FOUND), "substring-notes")
+    records = docs.mapInArrow(lean(scan), "bucket int, records binary, doc long, th long, notes binary")
+    notes = stored(records.repartition(parts, "bucket").mapInArrow(lean(meet), FOUND), "substring-notes")
     per_doc = lambda df: df.groupBy("doc", "th").agg(F.collect_list("notes").alias("notes"))
 
     def has(byte: int):
@@ -266,7 +283,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
             for batch in batches:
                 yield batch.filter(pa.array([bool((np.frombuffer(x, NOTE)["kind"] == byte).any()) for x in batch.column(2).to_pylist()], pa.bool_()))
 
-        return notes.mapInArrow(keep, FOUND)
+        return notes.mapInArrow(lean(keep), FOUND)
 
     def cut_runs(kind: int, windows: bool):
         def cut(batches):
@@ -289,7 +306,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
 
         asked = per_doc(has(kind))
         shape = "w binary, doc long, th long, a int" if windows else "bucket int, h binary, doc long, th long, a int, bytes binary"
-        return docs.join(asked.hint("merge"), ["doc", "th"]).select("doc", "th", "text", "notes").mapInArrow(cut, shape)
+        return docs.join(asked.hint("merge"), ["doc", "th"]).select("doc", "th", "text", "notes").mapInArrow(lean(cut), shape)
 
     def compare(batches):
         held = [b for b in batches if b.num_rows]
@@ -307,13 +324,18 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
                 hi += 1
             at = order[edge[lo] : edge[hi]]
             lo = hi
-            run, start, n = repeated(doc[at], th[at], a[at], t.column(5).take(pa.array(at)).to_pylist(), h[at], length)
+            texts = t.column(5).take(pa.array(at)).to_pylist()
+            some = holds_repeat(texts, length)
+            at, texts = at[some], [x for x, keep in zip(texts, some) if keep]
+            if not texts:
+                continue
+            run, start, n = repeated(doc[at], th[at], a[at], texts, length)
             notes_ = np.zeros(len(run), NOTE)
             notes_["a"], notes_["n"] = a[at][run] + start, n
             d, tt, packed = by_document(doc[at][run], th[at][run], notes_)
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(tt, pa.int64()), pa.array(packed, pa.binary())], names=["doc", "th", "notes"])
 
-    found = notes.unionByName(cut_runs(1, False).repartition(parts, "bucket").mapInArrow(compare, FOUND))
+    found = notes.unionByName(cut_runs(1, False).repartition(parts, "bucket").mapInArrow(lean(compare), FOUND))
     if has(2).limit(1).count():
         rows = cut_runs(2, True)
         first = rows.groupBy("w").agg(F.min(F.struct("doc", "th", "a")).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -326,7 +348,7 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
                 d, t, packed = by_document(b.column(0).to_numpy(), b.column(1).to_numpy(), x)
                 yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(packed, pa.binary())], names=["doc", "th", "notes"])
 
-        found = found.unionByName(later.select("doc", "th", "a").mapInArrow(note, FOUND))
+        found = found.unionByName(later.select("doc", "th", "a").mapInArrow(lean(note), FOUND))
     return per_doc(found), docs
 
 
@@ -360,7 +382,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **h
             got = [[{"start": a, "stop": b} for a, b in spans_to_cut(n)] if n else [] for n in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(got, shape)], names=["doc", "th", "text", "spans"])
 
-    out = joined.mapInArrow(spans, "doc long, th long, text string, spans array<struct<start:int,stop:int>>")
+    out = joined.mapInArrow(lean(spans), "doc long, th long, text string, spans array<struct<start:int,stop:int>>")
     return out.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "th", "text", "spans")
 
 
@@ -393,7 +415,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_
                 out.append("".join(x.decode("utf-8", "ignore") for x in [*left, data[at:]]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column(2)], names=["text", "rest"])
 
-    left = joined.select("text", "notes", "rest").mapInArrow(cut, T.StructType([T.StructField("text", T.StringType()), T.StructField("rest", rest.schema["rest"].dataType)]))
+    left = joined.select("text", "notes", "rest").mapInArrow(lean(cut), T.StructType([T.StructField("text", T.StringType()), T.StructField("rest", rest.schema["rest"].dataType)]))
     new = F.when(~F.col("rest.__no_text"), F.col("text"))
     columns = []
     for c in docs.columns:
@@ -421,7 +443,7 @@ def digest(df: DataFrame) -> DataFrame:
                 sha.append(h.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return df.select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return df.select("doc_id", "text", "spans").mapInArrow(lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
