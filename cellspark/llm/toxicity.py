@@ -27,10 +27,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod3, filled, table
+from .common import crc_mod3, filled, lean, table
 
-MAX_TRAIN = 1500
-WINDOW, WINDOWS = 64, 24
+MAX_TRAIN = 1000
+WINDOW, WINDOWS = 64, 20
 VOCABULARY = 60_000
 PREFIXES = (3, 4, 5, 6, 7)
 EPOCHS = 40
@@ -136,6 +136,10 @@ class Field:
     doc: np.ndarray  # intercept, largest marginal, log of one plus the expected count
     prior: float | None = None  # where there was nothing to learn from
 
+    def plain(self) -> tuple:
+        """Values that any worker can unpickle."""
+        return self.weights, self.bias, self.trans, self.start, self.doc, self.prior
+
     def tag(self, tokens: list[list[str]], gains: Gains | None = None) -> list[np.ndarray]:
         """The marginal of tag 1 of each token of each text."""
         size = np.array([len(t) for t in tokens])
@@ -177,10 +181,18 @@ def _shares(feature: np.ndarray, codes: np.ndarray, size: np.ndarray, doc: np.nd
 
 
 def toxic_features(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> np.ndarray:
-    """Which features have far larger shares of toxic (a of na) than of clean texts (b of nb): ratio over 5, by 3 standard errors."""
-    gain = np.log((a + 0.5) / max(1, na)) - np.log((b + 0.5) / max(1, nb))
-    sure = (gain > 3 * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))) | ((a >= 5) & (b == 0))
-    return (a >= 3) & (gain > np.log(5)) & sure
+    """Which features have far larger shares of toxic (a of na) than of clean texts (b of nb).
+
+    The ratio must exceed 5, and chance must be ruled out for all features together: the Chernoff bound on the binomial
+    tail, times the number of features, below 1 %.
+    """
+    n = a + b
+    p0 = min(max(a.sum() / max(1, n.sum()), 1e-9), 1 - 1e-9)
+    share = np.divide(a, n, out=np.zeros(len(n)), where=n > 0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        surprise = n * (np.where(a > 0, share * np.log(share / p0), 0) + np.where(b > 0, (1 - share) * np.log((1 - share) / (1 - p0)), 0))
+    ratio = np.log((a + 0.5) / max(1, na)) - np.log((b + 0.5) / max(1, nb))
+    return (share > p0) & (ratio > np.log(5)) & (surprise > np.log(max(1, int((n >= 3).sum())) / 0.01))
 
 
 def fit(labels: np.ndarray, windows: pa.Array, owner: np.ndarray, share: float) -> Field:
@@ -329,11 +341,11 @@ def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     narrow = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    shipped = spark.sparkContext.broadcast(field)  # at most VOCABULARY features and the toxic ones of the training words
+    shipped = spark.sparkContext.broadcast(field.plain())  # plain values;  at most VOCABULARY features and the toxic ones of the training words
     shape = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("p", pa.float64())]))
 
     def run(batches):
-        model = shipped.value
+        model = Field(*shipped.value)
         gains = Gains(model.weights, model.bias)
         for batch in batches:
             col = filled(batch, "text")
@@ -353,16 +365,16 @@ def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "score", "n_toxic_words", "spans"][: len(cols)])
                 lo += len(texts)
 
-    return narrow.mapInArrow(run, f"doc_id {kind}, score double, n_toxic_words long" + ", spans array<struct<start:int,stop:int,p:double>>" * with_spans)
+    return narrow.mapInArrow(lean(run), f"doc_id {kind}, score double, n_toxic_words long" + ", spans array<struct<start:int,stop:int,p:double>>" * with_spans)
 
 
 def keep_clean(docs: DataFrame, field: Field, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """docs without those that score `threshold` or more; rows are filtered where they are read."""
-    shipped = docs.sparkSession.sparkContext.broadcast(field)
+    shipped = docs.sparkSession.sparkContext.broadcast(field.plain())
     at = docs.columns.index(text_col)
 
     def run(batches):
-        model = shipped.value
+        model = Field(*shipped.value)
         gains = Gains(model.weights, model.bias)
         for batch in batches:
             col = batch.column(at)
@@ -371,7 +383,7 @@ def keep_clean(docs: DataFrame, field: Field, threshold: float = THRESHOLD, text
                 tags = model.tag([TOKEN.findall((t.as_py() or "").lower()) for t in col.slice(lo, 256)], gains)
                 yield part.filter(pa.array(model.score(tags) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op1_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
