@@ -25,10 +25,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filled, kept_in_worker, table
+from .common import filled, kept_in_worker, lean, table
 
 #: Bounds of one worker's memory: remembered pieces, and transitions made.  Beyond them pieces are encoded without being kept.
-MAX_PIECES = 350_000
+MAX_PIECES = 450_000
 MAX_TRANSITIONS = 150_000
 MAX_PAIRS = 500_000
 _FIRST, _SECOND = itemgetter(0), itemgetter(1)
@@ -334,7 +334,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
             cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(dig, pa.string()), pa.array(dec, pa.string())]
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(lists, pa.list_(pa.int32()))] if ids else []), names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids)
 
-    return narrow.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids)
+    return narrow.mapInArrow(lean(run, keeps=True), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filled, raw, slices, stored, table, u64_mix, word_spans
+from .common import filled, lean, raw, slices, stored, table, u64_mix, word_spans
 from .components import connected_components
 from .substrings import Rolling
 
@@ -109,7 +109,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 sig = signatures(h, off)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(digests(h, off), pa.binary()), pa.array(np.diff(off), pa.int64()), pa.array([s.tobytes() for s in sig], pa.binary())], names=["doc", "cid", "n", "sig"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].alias("text")).mapInArrow(run, "doc long, cid binary, n long, sig binary")
+    return docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].alias("text")).mapInArrow(lean(run), "doc long, cid binary, n long, sig binary")
 
 
 def families(classes: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
@@ -152,14 +152,14 @@ def families(classes: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Data
         a, b = pairs[:, :2].astype(">u8"), pairs[:, 2:].astype(">u8")
         yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in a], pa.binary()), pa.array([x.tobytes() for x in b], pa.binary())], names=["a", "b"])
 
-    tied = classes.select("cid", "sig").mapInArrow(leaves, "bucket int, leaves binary").repartition(parts, "bucket").mapInArrow(neighbours, "a binary, b binary").where("a != b")
+    tied = classes.select("cid", "sig").mapInArrow(lean(leaves), "bucket int, leaves binary").repartition(parts, "bucket").mapInArrow(lean(neighbours), "a binary, b binary").where("a != b")
     tied = tied.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def low_bytes(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.frombuffer(s, np.uint32).astype(np.uint8).tobytes() for s in batch.column(1).to_pylist()], pa.binary())], names=["cid", "low"])
 
-    small = classes.select("cid", "sig").mapInArrow(low_bytes, "cid binary, low binary")
+    small = classes.select("cid", "sig").mapInArrow(lean(low_bytes), "cid binary, low binary")
     wide = tied.join(small.select(F.col("cid").alias("a"), F.col("low").alias("x")), "a").join(small.select(F.col("cid").alias("b"), F.col("low").alias("y")), "b")
 
     def alike(batches):
@@ -168,7 +168,7 @@ def families(classes: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Data
                 x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
                 yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(1) >= AGREE))
 
-    return connected_components(wide.select("a", "b", "x", "y").mapInArrow(alike, "a binary, b binary"))
+    return connected_components(wide.select("a", "b", "x", "y").mapInArrow(lean(alike), "a binary, b binary"))
 
 
 def links_in(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,8 +251,8 @@ def verified(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, ti
         if rows:
             yield from _tile(rows)
 
-    dealt = joined.mapInArrow(sets, "key binary, cid binary, copies long, side int, data binary")
-    return dealt.repartition(parts, "key").sortWithinPartitions("key", "cid").mapInArrow(count, "cid binary, links long, peer binary")
+    dealt = joined.mapInArrow(lean(sets), "key binary, cid binary, copies long, side int, data binary")
+    return dealt.repartition(parts, "key").sortWithinPartitions("key", "cid").mapInArrow(lean(count), "cid binary, links long, peer binary")
 
 
 def _set_batch(out: list) -> pa.RecordBatch:
@@ -310,7 +310,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     for field in shape:
         field.nullable = True
-    marked = docs.mapInArrow(add, shape).withColumn("__key", key(F.col(id_col), F.col("__cid")))
+    marked = docs.mapInArrow(lean(add), shape).withColumn("__key", key(F.col(id_col), F.col("__cid")))
     out = marked.join(kept.hint("merge"), "__key")
     if kept.where("__n > 1 AND NOT __bare").limit(1).count():  # repeated rows of one id
         once = out.where("__n > 1 AND NOT __bare").dropDuplicates(["__key"])

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import filled, raw, slices, table, word_codes, word_spans
+from .common import filled, lean, raw, slices, table, word_codes, word_spans
 from .suffix import SuffixArray
 
 MIN_REPEAT = 8
@@ -93,7 +93,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *[pa.array(v, pa.int64()) for v in m.values()], pa.array(failed), pa.array(good & ~failed)], names=["doc_id", *m, "base_failed", "kept"])
 
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, {SCHEMA}, base_failed boolean, kept boolean")
+    return narrow.mapInArrow(lean(run), f"doc_id {kind}, {SCHEMA}, base_failed boolean, kept boolean")
 
 
 def op3_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

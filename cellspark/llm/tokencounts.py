@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import filled, kept_in_worker, scratch, slices, stored, table
+from .common import filled, kept_in_worker, lean, scratch, slices, stored, table
 from .tokenstore import ChunkEncoder, tokenizer_path
 
 BLOCK_IDS = 1 << 19
@@ -67,7 +67,7 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, end_id: int = END, dt
         if out is not None:
             close()
 
-    return stored(narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, file string, ordinal long"), "flat-keys")
+    return stored(narrow.mapInArrow(lean(run, keeps=True), f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, file string, ordinal long"), "flat-keys")
 
 
 def read_blocks(spark: SparkSession, path: str, width: int, block_ids: int = BLOCK_IDS) -> DataFrame:
@@ -92,7 +92,7 @@ def count_tokens(blocks: DataFrame, end_id: int = END, dtype: str = "<u2") -> Da
                 last.append(int(at[-1]) if len(at) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(ends, pa.binary()), pa.array(last, pa.int64())], names=["file", "block", "n", "ends", "last"])
 
-    found = blocks.select("file", F.col("block").cast("long").alias("block"), "ids").mapInArrow(search, "file string, block long, n long, ends binary, last long")
+    found = blocks.select("file", F.col("block").cast("long").alias("block"), "ids").mapInArrow(lean(search), "file string, block long, n long, ends binary, last long")
     order = Window.partitionBy("file").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     placed = found.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("end", F.col("base") + F.col("last"))
@@ -109,7 +109,7 @@ def count_tokens(blocks: DataFrame, end_id: int = END, dtype: str = "<u2") -> Da
                     size, starts, done = np.append(size, base + n - 1 - prev[-1]), np.append(starts, prev[-1] + 1), np.append(done, False)
                 yield pa.RecordBatch.from_arrays([pa.array([file] * len(size), pa.string()), pa.array(docs + np.arange(len(size)), pa.int64()), pa.array(starts, pa.int64()), pa.array(size, pa.int64()), pa.array(done)], names=["file", "ordinal", "start", "n_tokens", "finished"])
 
-    return placed.mapInArrow(stitch, "file string, ordinal long, start long, n_tokens long, finished boolean")
+    return placed.mapInArrow(lean(stitch), "file string, ordinal long, start long, n_tokens long, finished boolean")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut_ids, filled, kept_in_worker, raw, scratch, slices, table, u64_mix, word_array, word_spans
+from .common import cut_ids, filled, kept_in_worker, lean, raw, scratch, slices, table, u64_mix, word_array, word_spans
 
 NULL_KEY = 2**63 - 1
 BLOCK = 8 << 20
@@ -264,9 +264,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, dtype: str =
         if now is not None:
             yield flush()
 
-    packed = keyed.mapInArrow(encode, "shard int, key long, tie long, ids binary")
+    packed = keyed.mapInArrow(lean(encode, keeps=True), "shard int, key long, tie long, ids binary")
     dealt = packed.repartition(parts, "shard").sortWithinPartitions("shard", "key", "tie", "ids")
-    dealt.mapInArrow(build, LAYOUT).write.parquet(path)
+    dealt.mapInArrow(lean(build), LAYOUT).write.parquet(path)
 
 
 def _answers(shard: Shard, before: int, keys: np.ndarray):
@@ -304,7 +304,7 @@ def read_all(spark: SparkSession, path: str, dtype: str = "<u2") -> DataFrame:
                 row = batch.slice(i, 1).to_pylist()[0]
                 yield _answers(Shard.load(row, dtype), before[row["shard"]], np.frombuffer(row["keys"], "<i8"))
 
-    return files.mapInArrow(answer, ANSWER)
+    return files.mapInArrow(lean(answer), ANSWER)
 
 
 def read_keys(spark: SparkSession, path: str, keys: DataFrame, id_col: str = "doc_id", dtype: str = "<u2") -> DataFrame:
@@ -327,8 +327,8 @@ def read_keys(spark: SparkSession, path: str, keys: DataFrame, id_col: str = "do
                 row = batch.slice(i, 1).to_pylist()[0]
                 yield _answers(Shard.load(row, dtype), before[row["shard"]], np.array(row["asked"], np.int64))
 
-    asked = keys.select(F.coalesce(keys[id_col].cast("long"), F.lit(NULL_KEY)).alias("key")).distinct().mapInArrow(route, "shard int, key long")
-    return files.drop("keys").join(asked.groupBy("shard").agg(F.collect_list("key").alias("asked")), "shard").mapInArrow(answer, ANSWER)
+    asked = keys.select(F.coalesce(keys[id_col].cast("long"), F.lit(NULL_KEY)).alias("key")).distinct().mapInArrow(lean(route), "shard int, key long")
+    return files.drop("keys").join(asked.groupBy("shard").agg(F.collect_list("key").alias("asked")), "shard").mapInArrow(lean(answer), ANSWER)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
