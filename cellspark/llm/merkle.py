@@ -115,3 +115,25 @@ def op6_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = wide.select("doc_id", F.element_at(F.transform(F.array("edited"), row), 1).alias("r"))
     return out.select("doc_id", "r.n_chars", "r.edited_sha256", "r.f.fingerprint", "r.f.edited_fingerprint", "r.f.near_edited", "r.f.near_next", "r.f.first_edit")
+
+
+def _sql_leaves(x: str) -> str:
+    """Lists of leaves by paragraph in DuckDB; a lookbehind is not at hand there, so cut places are marked first."""
+    return f"list_transform(string_split({x}, chr(10)), lambda p: list_transform(string_split(regexp_replace(p, '([.!?,;:|]) ', '\\1' || chr(1), 'g'), chr(1)), lambda s: md5(s)))"
+
+
+OP6_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT doc_id, t, coalesce(lead(t) OVER o, first_value(t) OVER o) AS nx, length(t) AS c FROM d WINDOW o AS (ORDER BY doc_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (SELECT *, left(t, c - c // 2) || left(nx, c // 2) AS ed FROM n),
+l AS (SELECT *, {_sql_leaves('t')} AS lt, {_sql_leaves('ed')} AS le, {_sql_leaves('nx')} AS ln FROM e),
+g AS (SELECT *, list_transform(lt, lambda x: md5(array_to_string(x, ','))) AS dt, list_transform(le, lambda x: md5(array_to_string(x, ','))) AS de,
+  list_distinct(flatten(lt)) AS st, list_distinct(flatten(le)) AS se, list_distinct(flatten(ln)) AS sn FROM l)
+SELECT doc_id, c::BIGINT AS n_chars, sha256(ed) AS edited_sha256,
+  sha256(array_to_string(list_transform(range(0, (len(dt) + {SECTION - 1}) // {SECTION}), lambda i: md5(array_to_string(dt[i * {SECTION} + 1 : i * {SECTION} + {SECTION}], ','))), ',') || '/' || len(dt)) AS fingerprint,
+  sha256(array_to_string(list_transform(range(0, (len(de) + {SECTION - 1}) // {SECTION}), lambda i: md5(array_to_string(de[i * {SECTION} + 1 : i * {SECTION} + {SECTION}], ','))), ',') || '/' || len(de)) AS edited_fingerprint,
+  len(list_intersect(st, se))::DOUBLE / (len(st) + len(se) - len(list_intersect(st, se))) AS near_edited,
+  len(list_intersect(st, sn))::DOUBLE / (len(st) + len(sn) - len(list_intersect(st, sn))) AS near_next,
+  list_filter(range(0, len(de)), lambda j: de[j + 1] IS DISTINCT FROM dt[j + 1])[1] AS first_edit
+FROM g
+"""

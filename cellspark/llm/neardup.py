@@ -320,3 +320,26 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def op8_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+c AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM p JOIN c a ON x = a.doc_id JOIN c b ON y = b.doc_id WHERE 9 * k >= 4 * (a.n + b.n)),
+r(x, y) AS (
+  SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+m AS (
+  SELECT x, min(y) AS low FROM r GROUP BY x),
+k AS (
+  SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT doc_id, least(doc_id, coalesce(low, doc_id)) AS class_id, coalesce(k.n, 0)::BIGINT AS n_links
+FROM documents LEFT JOIN m ON doc_id = m.x LEFT JOIN k ON doc_id = k.x
+"""

@@ -17,4 +17,6 @@ QUERIES = {
 ORACLES = {
     "op2_source_mixing": mixing.OP2_SQL,
     "op3_repetition_rules": repetition.OP3_SQL,
+    "op6_merkle_fingerprint": merkle.OP6_SQL,
+    "op8_jaccard_forest": neardup.OP8_SQL,
 }
