@@ -23,7 +23,10 @@ BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by"
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-GATE = r"(?i)licen[cs]|(?<![A-Za-z0-9\u0080-￿])(?:cc0?|l?a?gplv?[123]?|mpl|epl|cddl|eupl|bsd|spdx|wtfpl|copyleft|public +domain|creative +commons)(?![A-Za-z0-9\u0080-￿])"
+_NAMES = "cc0?|g?fdl|[al]?gplv?[123]?|mpl|epl|cddl|eupl|0?bsd|spdx|wtfpl|copyleft|apache|afl|osl|ofl|lppl|odbl|cecill|freebsd"
+_PHRASES = ["public domain", "creative commons", "rights reserved", "permission is hereby granted", "redistribution and use"]
+#: What a text must hold for any rule to run on it: a beginning of "license", a licence's name, or one of a few phrases.
+GATE = rf"(?i)licen[cs]|(?<![A-Za-z0-9\u0080-\uFFFF])(?:{_NAMES}|{'|'.join(p.replace(' ', SEPARATORS) for p in _PHRASES)})(?![A-Za-z0-9\u0080-\uFFFF])"
 
 #: label stem, (keyword, name) pairs, versions
 VERSIONED = [
