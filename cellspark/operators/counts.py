@@ -84,3 +84,22 @@ def species_of(genes: DataFrame, order: str = "line") -> DataFrame:
 def common_cells(a: DataFrame, b: DataFrame, cell: str = "cell") -> tuple[DataFrame, DataFrame]:
     """Both tables restricted to the cells that the other has too."""
     return a.join(b.select(cell).distinct(), cell, "left_semi"), b.join(a.select(cell).distinct(), cell, "left_semi")
+
+
+def layer_counts(assigned: DataFrame, cell: str = "cell", umi: str = "umi") -> DataFrame:
+    """cell, gene_id, layer, count: molecules by splicing state.
+
+    A molecule (cell, UMI, gene) is spliced where all its pairs count for exons, unspliced where all reach into an
+    intron, else ambiguous; pairs without a single gene are left out.
+    """
+    intron = F.col("region") == "intron"
+    one = assigned.where("status = 'counted'").groupBy(cell, umi, "gene_id").agg(F.bool_and(intron).alias("all"), F.bool_or(intron).alias("any"))
+    layer = F.when(F.col("all"), "unspliced").when(F.col("any"), "ambiguous").otherwise("spliced")
+    return one.groupBy(cell, "gene_id", layer.alias("layer")).agg(F.count("*").alias("count"))
+
+
+def combine_layers(*parts: DataFrame) -> DataFrame:
+    """Layer tables of several prefixes as one; cells named <prefix>:<cell> keep the part behind the colon."""
+    out = union_matrices(*parts)
+    name = F.col("cell").cast("string")
+    return out.withColumn("cell", F.when(F.contains(name, F.lit(":")), F.split_part(name, F.lit(":"), F.lit(2))).otherwise(name))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,10 +61,8 @@ def named(tagged: DataFrame) -> DataFrame:
 def trim_adapter(reads: DataFrame, column: str, adapter: str, least: int = 3, error_rate: float = 0.1) -> DataFrame:
     """Cut a 3' adapter from `column`: the leftmost place from which the read matches the adapter, whole or to the read's
     end, with at least `least` bases and at most error_rate mismatches (no gaps).  Runs in Arrow batches."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
 
-    @pandas_udf("string")
+    @F.pandas_udf("string")
     def cut(seqs: pd.Series) -> pd.Series:
         def one(s):
             if s is None:

@@ -267,7 +267,7 @@ res AS (SELECT pair.pid, cell, d.stage, coalesce(p1.gene_id, sole.g) AS gene_id,
 def assigned_genes(spark: SparkSession, sf: str) -> DataFrame:
     x = exon_view(spark, sf)
     p = pair_view(spark, sf)
-    return assign_gene.assign(p, PID, x, gene_view(x), views.ends_view(x), WIDTH, keep=("cell",))
+    return assign_gene.assign(p, PID, x, gene_view(x), views.ends_view(x), WIDTH, keep=("cell", "umi"))
 
 
 @query(f"{ASSIGN} SELECT pid, stage, gene_id, region, status FROM res")
@@ -292,6 +292,15 @@ def cell_unmatched_rate(spark: SparkSession, sf: str) -> DataFrame:
     return counts.unmatched_rate(assigned_genes(spark, sf), ["cell"]).withColumn("unmatched_rate", F.round("unmatched_rate", 6))
 
 
+LAYERS = f"""{ASSIGN}, mol AS (SELECT res.cell, umi, gene_id, bool_and(region = 'intron') AS al, bool_or(region = 'intron') AS an FROM res JOIN pair ON res.pid = pair.pid WHERE status = 'counted' GROUP BY 1, 2, 3)
+SELECT cell, gene_id, CASE WHEN al THEN 'unspliced' WHEN an THEN 'ambiguous' ELSE 'spliced' END AS layer, count(*) AS count FROM mol GROUP BY 1, 2, 3"""
+
+
+@query(LAYERS)
+def velocity_layers(spark: SparkSession, sf: str) -> DataFrame:
+    return counts.layer_counts(assigned_genes(spark, sf))
+
+
 COUNTS = "SELECT l_suppkey AS cell, l_partkey AS gene, count(*) AS count FROM lineitem GROUP BY 1, 2"
 
 

@@ -138,3 +138,32 @@ def test_bam_source(spark, tmp_path):
     spark.dataSource.register(bam.BamSource)
     rows = sorted(map(tuple, spark.read.format("bam").load(str(tmp_path / "a.bam")).collect()))
     assert rows == [("r1", 99, "chr1", 4, 30, "10M5N"), ("r2", 4, None, -1, 30, "*")]
+
+
+def test_adapter_trimming(spark):
+    d = spark.createDataFrame([("ACGTAAAAAAAA",), ("ACGTACGAAA",), ("ACGT",), (None,), ("ACGTAAAATAAACC",)], "s string")
+    assert [r.s for r in reads.trim_adapter(d, "s", "AAAAAAAA").collect()] == ["ACGT", "ACGTACG", "ACGT", None, "ACGTAAAATAAACC"]
+
+
+def test_layers(spark):
+    rows = [("c", 1, "g", "exon", "counted"), ("c", 1, "g", "exon", "counted"), ("c", 2, "g", "intron", "counted"), ("c", 3, "g", "intron", "counted"), ("c", 3, "g", "exon", "counted"), ("c", 4, None, "exon", "ambiguous")]
+    a = spark.createDataFrame(rows, "cell string, umi int, gene_id string, region string, status string")
+    got = {r.layer: r["count"] for r in counts.layer_counts(a).collect()}
+    assert got == {"spliced": 1, "unspliced": 1, "ambiguous": 1}
+    part = spark.createDataFrame([("p:c", "g", "spliced", 1)], "cell string, gene_id string, layer string, count int")
+    assert [r.cell for r in counts.combine_layers(part).collect()] == ["c"]
+
+
+def test_species_and_files(spark):
+    g = spark.createDataFrame([("ENSMUSG01", 0), ("ENSG01", 1)], "gene_id string, line int")
+    assert counts.species_of(g).first().species == "mouse"
+    files = spark.createDataFrame([(f"A_1_{k}.fastq.gz",) for k in ("R1", "R2", "R3")] + [("B_2_R1.fastq.gz",), ("odd.txt",)], "name string")
+    assert [r.prefix for r in stats.complete_prefixes(files, ["R1", "R2", "R3"]).collect()] == ["A_1"]
+
+
+def test_cell_tags_and_mates(spark):
+    p = spark.createDataFrame([("t1", "t1"), ("n1", "t1")], "rt string, shortdt string")
+    a = spark.createDataFrame([("i", "L", "n1", "U", 65), ("i", "L", "zz", "U", 65)], "i7 string, ligation string, rt string, umi string, flag int")
+    assert [(r.CB, r.UB) for r in alignments.cell_tags(a, p).collect()] == [("i.L.t1", "U")]
+    m = spark.createDataFrame([("x", 64, 1), ("x", 128, 2), ("y", 64, 1), ("y", 64, 1), ("y", 128, 3), ("z", 64, 1)], "name string, flag int, pos int")
+    assert [(r.name, r.mate1.pos, r.mate2.pos) for r in alignments.pair_mates(m, ["name"]).collect()] == [("x", 1, 2)]
