@@ -25,10 +25,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filled, kept_in_worker, lean, table
+from .common import filled, kept_in_worker, lean, slices, table
 
 #: Bounds of one worker's memory: remembered pieces, and transitions made.  Beyond them pieces are encoded without being kept.
-MAX_PIECES = 450_000
+MAX_PIECES = 350_000
 MAX_TRANSITIONS = 150_000
 MAX_PAIRS = 500_000
 _FIRST, _SECOND = itemgetter(0), itemgetter(1)
@@ -319,20 +319,23 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     def run(batches):
         enc, vocabulary = kept_in_worker(("bpe", path, pattern), lambda: build(path, pattern))
         for batch in batches:
-            n, dig, dec, lists = [], [], [], []
-            for text in filled(batch, "text"):
-                count, joined, packed = enc.encode(text.as_py())
-                got = packed.tolist()
-                back = hashlib.sha256()
-                for part in decode(got, vocabulary):
-                    back.update(part.encode())
-                n.append(count)
-                dig.append(hashlib.sha256(joined.encode()).hexdigest())
-                dec.append(back.hexdigest())
+            texts = filled(batch, "text")
+            for lo, hi in slices(texts, 2 << 20):
+                n, dig, dec, got = [], [], [], []
+                for text in texts.slice(lo, hi - lo):
+                    count, joined, packed = enc.encode(text.as_py())
+                    back = hashlib.sha256()
+                    for part in decode(packed.tolist(), vocabulary):
+                        back.update(part.encode())
+                    n.append(count)
+                    dig.append(hashlib.sha256(joined.encode()).hexdigest())
+                    dec.append(back.hexdigest())
+                    if ids:
+                        got.append(packed)
+                cols = [batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(dig, pa.string()), pa.array(dec, pa.string())]
                 if ids:
-                    lists.append(got)
-            cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(dig, pa.string()), pa.array(dec, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols + ([pa.array(lists, pa.list_(pa.int32()))] if ids else []), names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * ids)
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(np.concatenate(got).astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(cols)])
 
     return narrow.mapInArrow(lean(run, keeps=True), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids)
 

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod3, filled, lean, table
 
-MAX_TRAIN = 1000
-WINDOW, WINDOWS = 64, 20
+MAX_TRAIN = 800
+WINDOW, WINDOWS = 64, 16
 VOCABULARY = 60_000
 PREFIXES = (3, 4, 5, 6, 7)
 EPOCHS = 40
@@ -205,20 +205,15 @@ def fit(labels: np.ndarray, windows: pa.Array, owner: np.ndarray, share: float)
     size = np.diff(split.offsets.to_numpy()).astype(np.int64)
     coded = split.flatten().dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    names = coded.dictionary.to_pylist()
+    words = coded.dictionary
     # features of each distinct word: the word, and its beginnings; 0 where it has none
-    table_of, columns = [""], []
-    ids: dict[str, int] = {}
-    for i in range(1 + len(PREFIXES)):
-        col = np.zeros(len(names), np.int64)
-        for j, name in enumerate(names):
-            if i == 0 or len(name) >= PREFIXES[i - 1]:
-                f = "=" + name if i == 0 else f"{PREFIXES[i - 1]}{name[: PREFIXES[i - 1]]}"
-                col[j] = ids.setdefault(f, len(ids) + 1)
-                if col[j] == len(table_of):
-                    table_of.append(f)
-        columns.append(col)
-    n = len(table_of)
+    parts, columns, n = [], [], 1
+    for k in (0, *PREFIXES):
+        own = (pc.utf8_slice_codeunits(words, 0, k) if k else words).dictionary_encode()
+        col = own.indices.to_numpy(zero_copy_only=False).astype(np.int64) + n
+        columns.append(np.where(pc.utf8_length(words).to_numpy(zero_copy_only=False) >= k, col, 0))
+        parts.append((n, f"{k}" if k else "=", own.dictionary))
+        n += len(own.dictionary)
     toxic, of_window = np.repeat(labels[owner], size), labels[owner]
     marked, count = np.zeros(n, bool), np.zeros(n)
     for col in columns:
@@ -237,7 +232,7 @@ def fit(labels: np.ndarray, windows: pa.Array, owner: np.ndarray, share: float)
     hit = np.any([marked[col] for col in columns], axis=0)
     tags = (toxic & hit[codes]).astype(float)
     columns = [place[col] for col in columns]
-    table_of = [f for f, k in zip(table_of, keep) if k]
+    table_of = [mark + w for start_, mark, own in parts for w in own.filter(pa.array(keep[start_ : start_ + len(own)])).to_pylist()]
     first = np.zeros(len(codes), bool)
     first[np.cumsum(size) - size] = True
     bias = np.log(max(tags.mean(), 1e-6))
@@ -245,7 +240,7 @@ def fit(labels: np.ndarray, windows: pa.Array, owner: np.ndarray, share: float)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     inner = np.flatnonzero(~first)
     y0, y1 = tags[inner - 1], tags[inner]
-    by_feature = lambda x: sum(np.bincount(col, np.bincount(codes, x, len(names)), n) for col in columns)
+    by_feature = lambda x: sum(np.bincount(col, np.bincount(codes, x, len(words)), n) for col in columns)
     seen = np.concatenate([by_feature(tags), [((1 - y0) * (1 - y1)).sum(), ((1 - y0) * y1).sum(), (y0 * (1 - y1)).sum(), (y0 * y1).sum()], [tags[first].sum()]])
 
     def gains() -> np.ndarray:
