@@ -5,8 +5,9 @@ Words are `[^\\x20\\x09-\\x0D]+`; a text's set is its five-word shingles (all it
 1. Texts with equal sets form a class; classes, not copies, go on.
 2. Forest.  A class has a signature of TREES * DEPTH hashes, DEPTH a tree.  In each tree classes are sorted by signature:
    a prefix trie.  The matched prefix is shortened from DEPTH until the recall 1 - (1 - s^d)^TREES at the threshold s
-   reaches TARGET.  Neighbours in a trie that share the prefix are tied if their signatures agree in 0.6 of all places,
-   which two similar sets miss by six standard errors; the ties' components are families.  Edges are linear in classes.
+   reaches TARGET.  All classes that share the prefix are compared, and tied if their signatures agree in 0.6 of all
+   places, which two similar sets miss by six standard errors; the ties' components are families.  Equal crowds of
+   several trees are compared once, crowds of more than SPAN classes in pairs of tiles; edges are linear in a crowd's classes.
 3. Verification.  Sets of a family meet and all its pairs are compared exactly, in tiles: a large family is cut into
    tiles of TILE classes, and each pair of tiles is a group of its own.  Pairs are counted where they meet and never
    become rows; a tile gives each class its number of links and one edge to its local component.
@@ -22,6 +23,8 @@ other columns are not touched.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +41,8 @@ TARGET = 0.999999
 AGREE = 0.6
 TILE = 1024
 _BASE = 0xD6E8FEB86659FD93
-TIE = np.dtype([("key", "<u8"), ("order", "<u4"), ("hi", "<u8"), ("lo", "<u8")])
+SPAN = 8192
+LEAF = np.dtype([("key", "<u8"), ("hi", "<u8"), ("lo", "<u8")])
 
 
 def depth_for(threshold: float, trees: int, depth: int, target: float) -> int:
@@ -112,7 +116,67 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].alias("text")).mapInArrow(lean(run), "doc long, cid binary, n long, sig binary")
 
 
-def families(classes: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels (the smallest place of each component) after a and b are tied."""
+    a, b = np.concatenate([np.arange(len(label)), a]), np.concatenate([label, b])
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        for at in (a, b, label[a], label[b]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def tie(start: np.ndarray, side: np.ndarray, low: np.ndarray, block: int = 1024, few: int = 64) -> np.ndarray:
+    """For each row the smallest row of its component, where rows of a group are tied if they agree in AGREE of all places.
+
+    start: where each group begins; side: 0 where all pairs of a group count, else 1 and 2, and only pairs across count.
+    """
+    n = len(low)
+    size = np.diff(np.append(start, n))
+    group = np.repeat(np.arange(len(start)), size)
+    label = np.arange(n)
+    at = np.flatnonzero(size[group] <= few)  # all small groups at once, by the distance of two rows
+    left, right = [], []
+    for k in range(1, few):
+        i, j = at[:-k], at[k:]
+        i, j = (x[(group[i] == group[j]) & ((side[i] == 0) | (side[i] != side[j]))] for x in (i, j))
+        near = (low[i] == low[j]).mean(1) >= AGREE
+        left.append(i[near])
+        right.append(j[near])
+        if not (group[at[:-k]] == group[at[k:]]).any():
+            break
+    if left:
+        label = _merge(label, np.concatenate(left), np.concatenate(right))
+    kind = np.uint8 if low.shape[1] < 256 else np.uint16
+    for g in np.flatnonzero(size > few).tolist():
+        lo, hi = int(start[g]), int(start[g] + size[g])
+        cols = np.ascontiguousarray(low[lo:hi].T)
+        cut = int((side[lo:hi] < 2).sum())  # rows are sorted by side
+        cross = cut < hi - lo
+        mine = np.arange(hi - lo)
+        for i in range(0, cut, block):
+            ii = min(i + block, cut)
+            for j in range(cut if cross else i, hi - lo, block):
+                jj = min(j + block, hi - lo)
+                if (mine[i:ii] == mine[i]).all() and (mine[j:jj] == mine[i]).all():
+                    continue  # one component already
+                same = np.zeros((ii - i, jj - j), kind)
+                for c in cols:
+                    same += c[i:ii, None] == c[None, j:jj]
+                a, b = np.nonzero(same >= AGREE * len(cols))
+                a, b = mine[a + i], mine[b + j]
+                if (a != b).any():
+                    a, b = np.unique(np.stack([a, b])[:, a != b], axis=1)
+                    mine = _merge(mine, a, b)
+        label[lo:hi] = mine + lo
+    return label
+
+
+def families(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, span: int = SPAN) -> DataFrame:
     """classes: cid, sig -> node, component: families of classes that may hold similar ones."""
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = depth_for(NUM / DEN, trees, depth, TARGET)
@@ -126,8 +190,8 @@ def families(classes: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Data
             with np.errstate(over="ignore"):
                 for i in range(d):
                     key = u64_mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, i].astype(np.uint64) + np.uint64(1))
-            rec = np.zeros(key.size, TIE)
-            rec["key"], rec["order"] = key.ravel(), sig[:, :, min(d, depth - 1)].ravel()
+            rec = np.zeros(key.size, LEAF)
+            rec["key"] = key.ravel()
             cid = np.frombuffer(b"".join(batch.column(0).to_pylist()), ">u8").reshape(-1, 2)
             rec["hi"], rec["lo"] = np.repeat(cid[:, 0], trees), np.repeat(cid[:, 1], trees)
             bucket = (rec["key"] % np.uint64(parts)).astype(np.int64)
@@ -136,8 +200,8 @@ def families(classes: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Data
             cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
             yield pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int32()), pa.array([rec[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(rec)])], pa.binary())], names=["bucket", "leaves"])
 
-    def neighbours(batches):
-        held = [np.frombuffer(x, TIE) for b in batches for x in b.column(1).to_pylist()]
+    def crowds(batches):
+        held = [np.frombuffer(x, LEAF) for b in batches for x in b.column(1).to_pylist()]
         if not held:
             return
         rec = np.concatenate(held)
@@ -145,30 +209,68 @@ def families(classes: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Data
         order = np.argsort(rec["key"], kind="stable")
         same = rec["key"][order][1:] == rec["key"][order][:-1]
         rec = rec[order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]]
-        rec = rec[np.lexsort((rec["lo"], rec["hi"], rec["order"], rec["key"]))]
-        at = np.flatnonzero(rec["key"][1:] == rec["key"][:-1])
-        cells = np.stack([rec["hi"], rec["lo"]], 1)
-        pairs = np.unique(np.concatenate([cells[at], cells[at + 1]], 1), axis=0)
-        a, b = pairs[:, :2].astype(">u8"), pairs[:, 2:].astype(">u8")
-        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in a], pa.binary()), pa.array([x.tobytes() for x in b], pa.binary())], names=["a", "b"])
-
-    tied = classes.select("cid", "sig").mapInArrow(lean(leaves), "bucket int, leaves binary").repartition(parts, "bucket").mapInArrow(lean(neighbours), "a binary, b binary").where("a != b")
-    tied = tied.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        rec = rec[np.lexsort((rec["lo"], rec["hi"], rec["key"]))]
+        cells = np.stack([rec["hi"], rec["lo"]], 1).astype(">u8")
+        cut = np.flatnonzero(np.concatenate([[True], rec["key"][1:] != rec["key"][:-1]])) if len(rec) else np.zeros(0, np.int64)
+        left, right, n = [], [], 0
+        for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(rec)]):
+            tiles = [cells[i : min(i + span, hi)].tobytes() for i in range(lo, hi, span)]
+            for i, x in enumerate(tiles):
+                for y in [b"", *tiles[i + 1 :]]:
+                    left.append(x)
+                    right.append(y)
+                    n += len(x) + len(y)
+                    if n > 4 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["x", "y"])
+                        left, right, n = [], [], 0
+        if left:
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["x", "y"])
+
+    def members(batches):
+        for batch in batches:
+            cells, crowd, side = [], [], []
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                name = blake2b(x + b"|" + y, digest_size=16).digest()
+                a, b = len(x) // 16, len(y) // 16
+                cells += [x[i : i + 16] for i in range(0, len(x), 16)] + [y[i : i + 16] for i in range(0, len(y), 16)]
+                crowd += [name] * (a + b)
+                side += [1 if b else 0] * a + [2] * b
+                if len(cells) > 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(cells, pa.binary()), pa.array(crowd, pa.binary()), pa.array(side, pa.int32())], names=["cid", "crowd", "side"])
+                    cells, crowd, side = [], [], []
+            if cells:
+                yield pa.RecordBatch.from_arrays([pa.array(cells, pa.binary()), pa.array(crowd, pa.binary()), pa.array(side, pa.int32())], names=["cid", "crowd", "side"])
 
     def low_bytes(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.frombuffer(s, np.uint32).astype(np.uint8).tobytes() for s in batch.column(1).to_pylist()], pa.binary())], names=["cid", "low"])
 
-    small = classes.select("cid", "sig").mapInArrow(lean(low_bytes), "cid binary, low binary")
-    wide = tied.join(small.select(F.col("cid").alias("a"), F.col("low").alias("x")), "a").join(small.select(F.col("cid").alias("b"), F.col("low").alias("y")), "b")
+    def ties(cid, start, side, low):
+        label = tie(start, side, low)
+        i = np.flatnonzero(label != np.arange(len(label)))
+        return pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in cid[i]], pa.binary()), pa.array([x.tobytes() for x in cid[label[i]]], pa.binary())], names=["a", "b"])
 
-    def alike(batches):
+    def alike(batches):  # rows come sorted by crowd; one that goes on in the next batch waits for it
+        held = None
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
-                yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(1) >= AGREE))
-
-    return connected_components(wide.select("a", "b", "x", "y").mapInArrow(lean(alike), "a binary, b binary"))
+            if not batch.num_rows:
+                continue
+            got = [raw(batch.column(c))[0].reshape(batch.num_rows, -1) for c in (0, 1, 3)] + [batch.column(2).to_numpy()]
+            if held is not None:
+                got = [np.concatenate(x) for x in zip(held, got)]
+            cid, crowd, low, side = got
+            start = np.flatnonzero(np.concatenate([[True], (crowd[1:] != crowd[:-1]).any(1)]))
+            last = int(start[-1])
+            if last:
+                yield ties(cid[:last], start[:-1], side[:last], low[:last])
+            held = [x[last:].copy() for x in got]
+        if held is not None:
+            yield ties(held[0], np.zeros(1, np.int64), held[3], held[2])
+
+    met = classes.select("cid", "sig").mapInArrow(lean(leaves), "bucket int, leaves binary").repartition(parts, "bucket").mapInArrow(lean(crowds), "x binary, y binary").distinct()
+    small = classes.select("cid", "sig").mapInArrow(lean(low_bytes), "cid binary, low binary")
+    wide = met.mapInArrow(lean(members), "cid binary, crowd binary, side int").join(small.hint("merge"), "cid").select("cid", "crowd", "side", "low")
+    return connected_components(wide.repartition(parts, "crowd").sortWithinPartitions("crowd", "side", "cid").mapInArrow(lean(alike), "a binary, b binary"))
 
 
 def links_in(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

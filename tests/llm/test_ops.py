@@ -437,6 +437,48 @@ def test_near_duplicates(spark, tile):
     assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in got) == brute_near(rows)
 
 
+@pytest.mark.parametrize("span", [None, 40])
+def test_similar_sets_meet_in_crowds(spark, span):
+    # sets of similarity 0.43 crowd the tries; 100 of them have a partner of 0.84 or so
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    has = rng.random((4000, 400)) < 0.6
+    for i in range(100):
+        has[3999 - i] = has[i]
+        has[3999 - i, rng.choice(400, 80, replace=False)] = rng.random(80) < 0.6
+    sets = [np.sort(pool[x]) for x in has]
+    off = np.concatenate([[0], np.cumsum(has.sum(1))])
+    h = np.concatenate(sets)
+    cid, sig = neardup.digests(h, off), neardup.signatures(h, off)
+    x = has.astype(np.float32)
+    both = x @ x.T
+    a, b = np.nonzero(np.triu(9 * both >= 4 * (has.sum(1)[:, None] + has.sum(1)[None, :]), 1))
+    assert len(a) > 60
+    classes = spark.createDataFrame([(c, s.tobytes()) for c, s in zip(cid, sig)], "cid binary, sig binary")
+    comp = {bytes(r.node): bytes(r.component) for r in neardup.families(classes, **({"span": span} if span else {})).collect()}
+    lost = sum(comp.get(cid[i], i) != comp.get(cid[j], j) for i, j in zip(a, b))
+    assert lost == 0, f"{lost} of {len(a)} links lost"
+
+
+@pytest.mark.parametrize("few, sides", [(64, False), (4, False), (64, True), (4, True)])
+def test_ties_within_groups(few, sides):
+    rng = np.random.default_rng(5)
+    size = np.array([2, 3, 1, 30, 7, 50, 2])
+    start, n = np.cumsum(size) - size, int(size.sum())
+    low = rng.integers(0, 2, (n, 20)).astype(np.uint8)
+    side = np.concatenate([np.sort(rng.integers(1, 3, k)) if sides and k > 2 else np.zeros(k, int) for k in size])
+    group = np.repeat(np.arange(len(size)), size)
+    want = np.arange(n)
+    for _ in range(n):
+        for i in range(n):
+            for j in range(i):
+                if group[i] == group[j] and (not side[i] or side[i] != side[j]) and (low[i] == low[j]).mean() >= neardup.AGREE:
+                    want[i] = want[j] = min(want[i], want[j])
+        if (want == want[want]).all():
+            break
+    assert (neardup.tie(start, side, low, block=8, few=few) == want).all()
+
+
 def test_keep_one(spark, docs):
     out = neardup.keep_one(docs)
     kept = out.collect()
