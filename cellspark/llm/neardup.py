@@ -16,7 +16,7 @@ A row's n_links is the number of other documents with similarity 0.8 or more, co
 of its connected component.
 
 Cases: a null or empty text has no words, no links, and is its own class (two empty texts are not linked); equal rows are
-copies; rows with a null id take part, and are named where they alone make a class by a null class_id; texts of fewer
+copies; rows with a null id take part, and are named where they alone make a component by a null class_id; texts of fewer
 than five words match texts of the same words; very long texts are taken whole; an empty table gives an empty table;
 other columns are not touched.
 """
@@ -310,13 +310,23 @@ def links_in(sets: list[np.ndarray], weight: np.ndarray, side: np.ndarray) -> tu
 
 
 def verified(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, tile: int = TILE) -> DataFrame:
-    """members: cid, rep (a document of the class), copies, family, tiles -> cid, links, peer: a row for each class and tile pair.
+    """members: cid, rep (a document of the class, or null), copies, family, tiles -> cid, links, peer: a row for each class and tile pair.
 
-    Only the members' texts are shuffled on, as sets.
+    Only the members' texts are shuffled on, as sets.  Classes of rows with null ids have no rep and meet their texts by cid.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(docs[id_col].cast("long").alias("rep"), docs[text_col].alias("text")).where(F.col("text").isNotNull())
-    joined = texts.join(members.hint("merge"), "rep").select("text", "cid", "copies", "family", "tiles")
+    joined = texts.join(members.where("rep IS NOT NULL").hint("merge"), "rep").select("text", "cid", "copies", "family", "tiles")
+
+    def named(batches):
+        for batch in batches:
+            for lo, hi in slices(batch.column(0), 2 << 20):
+                part = batch.column(0).slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([part, pa.array(digests(*shingles(part)), pa.binary())], names=["text", "cid"])
+
+    if members.where("rep IS NULL").limit(1).count():
+        bare = texts.where("rep IS NULL").select("text").mapInArrow(lean(named), "text string, cid binary").dropDuplicates(["cid"])
+        joined = joined.unionByName(bare.join(members.where("rep IS NULL").hint("merge"), "cid").select("text", "cid", "copies", "family", "tiles"))
 
     def sets(batches):
         for batch in batches:
@@ -381,13 +391,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(sketched.where("cid IS NOT NULL").groupBy("cid").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig")), "neardup-classes")
     family = families(classes)
     size = family.groupBy("component").agg(F.count("*").alias("n")).withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
-    members = family.join(size, "component").join(classes.select(F.col("cid").alias("node"), "rep", "copies"), "node").select(F.col("node").alias("cid"), "rep", "copies", F.col("component").alias("family"), "tiles").where("rep IS NOT NULL")
+    members = family.join(size, "component").join(classes.select(F.col("cid").alias("node"), "rep", "copies"), "node").select(F.col("node").alias("cid"), "rep", "copies", F.col("component").alias("family"), "tiles")
     tiles = stored(verified(docs, stored(members, "neardup-members"), id_col, text_col, tile), "neardup-links")
     links = tiles.groupBy("cid").agg(F.sum("links").alias("links"))
     comp = connected_components(tiles.select(F.col("cid").alias("a"), F.col("peer").alias("b")))
     root = classes.select("cid", "rep", "copies").join(comp.select(F.col("node").alias("cid"), "component"), "cid", "left").join(links, "cid", "left")
     root = root.select("cid", "rep", "copies", F.coalesce("component", "cid").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
-    low = root.groupBy("component").agg(F.min("rep").alias("class_id"), F.min(F.struct("rep", "cid")).alias("lead"))
+    low = root.groupBy("component").agg(F.min("rep").alias("class_id"), F.min(F.struct(F.col("rep").isNull().alias("bare"), "rep", "cid")).alias("lead"))
     of_class = root.join(low, "component").select("cid", "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links"), F.col("lead.cid").alias("lead"))
     out = sketched.select("doc", "cid").join(of_class.hint("merge"), "cid", "left")  # hot classes are split by the adaptive join
     return out.select(F.col("doc").alias("doc_id"), F.coalesce("class_id", "doc").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "cid", (F.col("cid").isNull() | ((F.col("cid") == F.col("lead")) & F.col("doc").eqNullSafe(F.coalesce("class_id", "doc")))).alias("is_kept"))

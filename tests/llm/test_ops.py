@@ -479,6 +479,18 @@ def test_ties_within_groups(few, sides):
     assert (neardup.tie(start, side, low, block=8, few=few) == want).all()
 
 
+def test_near_copies_with_null_ids(spark):
+    rnd = random.Random(12)
+    one, two, three = ([f"w{rnd.randrange(500)}" for _ in range(100)] for _ in range(3))
+    near = lambda t, i: " ".join([*t[:i], "x", *t[i + 1 :]])
+    rows = [(7, " ".join(one)), (None, near(one, 50)), (None, near(one, 50)), (None, " ".join(two)), (None, near(two, 3)), (9, " ".join(three)), (8, near(three, 4)), (None, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.near_duplicates(d).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in got) == brute_near(rows)
+    kept = neardup.keep_one(d).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["7", "8", "None", "None"] and sum(r.text is None for r in kept) == 1
+
+
 def test_keep_one(spark, docs):
     out = neardup.keep_one(docs)
     kept = out.collect()
