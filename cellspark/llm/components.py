@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,14 +30,17 @@ def _state(edges: DataFrame) -> tuple:
     return r["n"], r["s"]
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """edges: a, b (any ordered type) -> node, component (its smallest node).  Nodes without an edge are not listed.
 
     Every round's edges are written to the shared folder.  Edges of a component end as a star on its smallest node.
+    Rounds go on until the edges repeat; where `rounds` bounds them and they run out before that, it raises.
     """
     now = stored(edges.select("a", "b").where("a != b").distinct(), "components")
     seen = _state(now)
-    for _ in range(rounds):
+    for i in count():
+        if i == rounds:
+            raise RuntimeError(f"edges still change after {rounds} rounds")
         now = stored(_small(_large(now)), "components")
         new = _state(now)
         if new == seen:

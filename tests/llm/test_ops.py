@@ -516,6 +516,13 @@ def test_components(spark):
     assert got == want
 
 
+def test_components_never_stop_short(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components.connected_components(edges, rounds=1)
+    assert {r.component for r in components.connected_components(edges).collect()} == {0}
+
+
 # --- 9 ---
 
 
