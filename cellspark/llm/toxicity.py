@@ -4,11 +4,13 @@ Labels are given for documents only, so token tags are weak: a word is tagged to
 beginning of it, stands in contexts (word before, word after) of its own in far more documents than of clean ones.  Counting only documents with
 a new context keeps copies of one text from voting more than once.  The field has weights for words and their beginnings, transitions
 and a start; it is trained by gradient ascent on the tag likelihood, with forward-backward marginals.  A document's score is a
-logistic function of its largest marginal and of its expected number of toxic words, fitted on the same training rows.
+logistic function of its largest marginal and of its expected number of toxic words, fitted on the same training rows; the
+number is taken over words tagged toxic, as the small marginals of the others would add up with a text's length.
 Tokens whose marginal is above one half, joined where adjacent, are the offending spans, as code-point offsets.
 
-Training takes at most MAX_TRAIN documents of each label (in order of a hash of the id) and WINDOWS windows of WINDOW
-words of each (all of shorter texts); scoring takes all words of all texts.
+Training takes at most MAX_TRAIN documents of each label (in order of a hash of the id), whole.  The field learns from as
+many of them as hold MAX_WORDS words for each label (a document that would exceed it is left out, none is cut); the document
+model learns from all of them, those that the field left out scored on executors.  Scoring takes all words of all texts.
 
 Cases: a null or empty text has no words and the score of the empty text; rows without label, id or text never train;
 conflicting labels of one id count as toxic; without labels of both kinds every score is the share of toxic labels (0
@@ -27,10 +29,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod3, filled, lean, table
+from .common import crc_mod3, filled, lean, stored, table
 
 MAX_TRAIN = 800
-WINDOW, WINDOWS = 64, 16
+MAX_WORDS = 819_200
 VOCABULARY = 60_000
 PREFIXES = (3, 4, 5, 6, 7)
 EPOCHS = 40
@@ -38,6 +40,10 @@ THRESHOLD = 0.7
 TOKEN = re.compile(r"\w+")
 
 
+def tokens_of(text: str) -> list[str]:
+    return TOKEN.findall(text.lower())
+
+
 # --- the field ------------------------------------------------------------------------------------------------------
 
 
@@ -161,7 +167,7 @@ class Field:
 
 
 def features(p: np.ndarray) -> tuple[float, float, float]:
-    return (1.0, float(p.max()), float(np.log1p(p.sum()))) if len(p) else (1.0, 0.0, 0.0)
+    return (1.0, float(p.max()), float(np.log1p(p[p > 0.5].sum()))) if len(p) else (1.0, 0.0, 0.0)
 
 
 def _shares(feature: np.ndarray, codes: np.ndarray, size: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -195,13 +201,14 @@ def toxic_features(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> np.ndarray
     return (share > p0) & (ratio > np.log(5)) & (surprise > np.log(max(1, int((n >= 3).sum())) / 0.01))
 
 
-def fit(labels: np.ndarray, windows: pa.Array, owner: np.ndarray, share: float) -> Field:
-    """labels: of the training documents; windows: tokens joined by blanks; owner: each window's document (ascending);
-    share: of toxic ones among all labelled rows."""
+def fit(labels: np.ndarray, texts: pa.Array, owner: np.ndarray, share: float, others=None) -> Field:
+    """labels: of the training documents; texts: tokens joined by blanks; owner: each text's document (ascending); share:
+    of toxic ones among all labelled rows; others: gives labels and features of documents that only the document model
+    learns from, when called with the field."""
     labels = np.asarray(labels).astype(bool)
-    if labels.all() or not labels.any() or not len(windows):
+    if labels.all() or not labels.any() or not len(texts):
         return Field({}, 0.0, np.ones((2, 2)), 0.0, np.zeros(3), float(share))
-    split = pc.split_pattern(windows, " ")
+    split = pc.split_pattern(texts, " ")
     size = np.diff(split.offsets.to_numpy()).astype(np.int64)
     coded = split.flatten().dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -214,11 +221,11 @@ def fit(labels: np.ndarray, windows: pa.Array, owner: np.ndarray, share: float)
         columns.append(np.where(pc.utf8_length(words).to_numpy(zero_copy_only=False) >= k, col, 0))
         parts.append((n, f"{k}" if k else "=", own.dictionary))
         n += len(own.dictionary)
-    toxic, of_window = np.repeat(labels[owner], size), labels[owner]
+    toxic, of_text = np.repeat(labels[owner], size), labels[owner]
     marked, count = np.zeros(n, bool), np.zeros(n)
     for col in columns:
         feature = col[codes]
-        a, b = (_shares(feature[toxic == t], codes[toxic == t], size[of_window == t], owner[of_window == t], n) for t in (True, False))
+        a, b = (_shares(feature[toxic == t], codes[toxic == t], size[of_text == t], owner[of_text == t], n) for t in (True, False))
         m = toxic_features(a, b, int(labels.sum()), int((~labels).sum()))
         m[0] = False
         marked |= m
@@ -263,9 +270,13 @@ def fit(labels: np.ndarray, windows: pa.Array, owner: np.ndarray, share: float)
     alpha, beta, _, _ = marginals(gains(), first, trans, start)
     p = probability(alpha, beta)
     doc = np.repeat(owner, size)
-    top, mass = np.zeros(len(labels)), np.bincount(doc, p, len(labels))
+    top, mass = np.zeros(len(labels)), np.bincount(doc, np.where(p > 0.5, p, 0), len(labels))
     np.maximum.at(top, doc, p)
     x, y = np.stack([np.ones(len(labels)), top, np.log1p(mass)], 1), labels.astype(float)
+    field = Field({f: float(x) for f, x in zip(table_of, theta[1:n]) if abs(x) > 1e-3}, float(bias), trans, start, np.zeros(3))
+    if others is not None:
+        more_y, more_x = others(field)
+        x, y = np.concatenate([x, more_x]), np.concatenate([y, more_y])
     w, ridge = np.zeros(3), np.array([1e-3, 0.1, 0.1])
     for _ in range(25):
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -273,42 +284,59 @@ def fit(labels: np.ndarray, windows: pa.Array, owner: np.ndarray, share: float)
     w[1:] = np.maximum(w[1:], 0)  # more toxic words never lower a score
     if 0 < share < 1:
         w[0] += np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean()))
-    return Field({f: float(x) for f, x in zip(table_of, theta[1:n]) if abs(x) > 1e-3}, float(bias), trans, start, w)
+    field.doc = w
+    return field
 
 
 # --- over tables ----------------------------------------------------------------------------------------------------
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", most: int = MAX_TRAIN) -> Field:
-    """Fit on rows whose crc32(id) mod 3 is not 1.  What reaches the driver is bounded by most, WINDOWS and WINDOW."""
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", most: int = MAX_TRAIN, words: int = MAX_WORDS) -> Field:
+    """Fit on rows whose crc32(id) mod 3 is not 1.  The texts that reach the driver are bounded by most and words a label."""
     known = labels.where(labels[label_col].isNotNull() & labels[id_col].isNotNull() & (crc_mod3(labels[id_col]) != 1)).groupBy(labels[id_col].alias("__id")).agg(F.max(labels[label_col].cast("int")).alias("__y"))
     n = {r["__y"]: r["count"] for r in known.groupBy("__y").count().collect()}  # two rows
     pick = lambda y: known.where(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(most)
     chosen = pick(1).unionByName(pick(0))  # at most 2 * most rows
     narrow = docs.select(docs[id_col].alias("__id"), docs[text_col].alias("__text")).where(F.col("__text").isNotNull())
 
-    def cut(batches):
+    def tokenised(batches):
         for batch in batches:
-            out_id, out_y, out = [], [], []
-            for key, y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                tokens = TOKEN.findall(text.as_py().lower())
-                starts = list(range(0, len(tokens), WINDOW))
-                if len(starts) > WINDOWS:  # spread over the whole text
-                    starts = [starts[i * len(starts) // WINDOWS] for i in range(WINDOWS)]
-                out_id.append(key)
-                out_y.append(y)
-                out.append([" ".join(tokens[s : s + WINDOW]) for s in starts])
-            yield pa.RecordBatch.from_arrays([pa.array(out_id, batch.schema.field(0).type), pa.array(out_y, pa.int32()), pa.array(out, pa.list_(pa.string()))], names=["id", "y", "windows"])
+            tokens = [tokens_of(text.as_py()) for text in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.int32()), pa.array([" ".join(t) for t in tokens], pa.string()), pa.array([len(t) for t in tokens], pa.int64())], names=["id", "y", "tokens", "n"])
 
     kind = narrow.schema["__id"].dataType.simpleString()
-    rows = narrow.join(F.broadcast(chosen), "__id").select("__id", "__y", "__text").mapInArrow(cut, f"id {kind}, y int, windows array<string>")
-    got = rows.dropDuplicates(["y", "windows"]).toArrow()
+    rows = narrow.join(F.broadcast(chosen), "__id").select("__id", "__y", "__text").mapInArrow(tokenised, f"id {kind}, y int, tokens string, n long")
+    rows = stored(rows.dropDuplicates(["y", "tokens"]).withColumn("at", F.xxhash64("tokens")), "toxicity-train")
+    room, left_out = {0: words, 1: words}, []
+    for r in rows.select("y", "at", "n").orderBy("at", "y").collect():  # numbers only
+        if r["n"] <= room[r["y"]]:
+            room[r["y"]] -= r["n"]
+        else:
+            left_out.append((r["y"], r["at"]))
+    beyond = F.lit(False)
+    for y in (0, 1):
+        beyond |= (F.col("y") == y) & F.col("at").isin([a for z, a in left_out if z == y])
+    got = (rows.where(~beyond) if left_out else rows).toArrow()
     got = got.sort_by([("id", "ascending")])
-    windows = got.column("windows").combine_chunks()
-    windows = windows.chunk(0) if isinstance(windows, pa.ChunkedArray) else windows
+    owner = np.flatnonzero(got.column("n").to_numpy() > 0)
+    texts = got.column("tokens").take(pa.array(owner)).combine_chunks()
+    texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
     total = sum(n.values())
-    owner = np.repeat(np.arange(got.num_rows), np.diff(windows.offsets.to_numpy()))
-    return fit(got.column("y").to_numpy(), windows.flatten(), owner, n.get(1, 0) / total if total else 0.0)
+
+    def others(field: Field) -> tuple[np.ndarray, np.ndarray]:
+        shipped = docs.sparkSession.sparkContext.broadcast(field.plain())
+
+        def run(batches):
+            model = Field(*shipped.value)
+            gains = Gains(model.weights, model.bias)
+            for batch in batches:
+                x = [features(model.tag([t.as_py().split()], gains)[0]) for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([i[1] for i in x], pa.float64()), pa.array([i[2] for i in x], pa.float64())], names=["y", "top", "mass"])
+
+        more = rows.where(beyond).orderBy("at", "y").select("y", "tokens").mapInArrow(lean(run), "y int, top double, mass double").toArrow()
+        return more.column("y").to_numpy().astype(float), np.stack([np.ones(more.num_rows), more.column("top").to_numpy(), more.column("mass").to_numpy()], 1)
+
+    return fit(got.column("y").to_numpy(), texts, owner, n.get(1, 0) / total if total else 0.0, others if left_out else None)
 
 
 def spans(text: str, p: np.ndarray) -> list[tuple[int, int, float]]:
@@ -350,7 +378,7 @@ def score(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
                 while lo + len(texts) < batch.num_rows and n < 200_000:
                     text = col[lo + len(texts)].as_py()
                     texts.append(text)
-                    tokens.append(TOKEN.findall(text.lower()))
+                    tokens.append(tokens_of(text))
                     n += len(tokens[-1])
                 tags = model.tag(tokens, gains)
                 cols = [batch.column(0).slice(lo, len(texts)), pa.array(model.score(tags)), pa.array([int((p > 0.5).sum()) for p in tags], pa.int64())]
@@ -375,7 +403,7 @@ def keep_clean(docs: DataFrame, field: Field, threshold: float = THRESHOLD, text
             col = batch.column(at)
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                tags = model.tag([TOKEN.findall((t.as_py() or "").lower()) for t in col.slice(lo, 256)], gains)
+                tags = model.tag([tokens_of(t.as_py() or "") for t in col.slice(lo, 256)], gains)
                 yield part.filter(pa.array(model.score(tags) < threshold))
 
     return docs.mapInArrow(lean(run), docs.schema)

@@ -94,6 +94,44 @@ def test_toxicity_learns_words_and_finds_spans(spark):
     assert again == {i: r.score for i, r in got.items()}
 
 
+@pytest.mark.parametrize("most_words", [toxicity.MAX_WORDS, 15_000])
+def test_toxicity_takes_long_texts_whole(spark, most_words):
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    prose_of = lambda n: [rnd.choice(words) for _ in range(n)]
+    rows, lab = [], []
+    for i in range(900):
+        bad = i % 4 == 0
+        t = prose_of(5_000 if i % 90 < 2 else rnd.randrange(5, 60))
+        for _ in range(2 * bad):
+            t.insert(rnd.randrange(64, 300) if len(t) > 300 else rnd.randrange(len(t)), rnd.choice(["vile", "nasty", "rotten"]))
+        rows.append((i, " ".join(t)))
+        lab.append((i, int(bad)))
+    long = [(5000, " ".join(prose_of(20_000))), (5001, " ".join(prose_of(20_000) + ["vile", "rotten"])), (5002, " ".join(prose_of(300_000)))]
+    d = spark.createDataFrame(rows + long, "doc_id long, text string")
+    field = toxicity.train(d, spark.createDataFrame(lab, "doc_id long, toxic int"), words=most_words)
+    got = {r.doc_id: r.score for r in toxicity.score(d, field).where("doc_id >= 5000").collect()}
+    assert got[5000] < 0.5 and got[5001] >= 0.7 and got[5002] < 0.5
+
+
+def test_training_sees_all_words_of_a_text(spark):
+    # the only toxic words stand where a choice of windows would not look
+    rnd = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(300):
+        t = [rnd.choice(words) for _ in range(64 * 40)]
+        if i % 2:
+            t[70 : 70 + 4] = rnd.choice([["vile", "w1", "rotten", "w2"], ["w3", "rotten", "w4", "vile"]])
+            t[100] = "vile"
+        rows.append((i, " ".join(t)))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    field = toxicity.train(d, spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.score(d, field).collect()}
+    held = [i for i in range(300) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert np.mean([(got[i] >= 0.7) == bool(i % 2) for i in held]) > 0.97
+
+
 def test_toxicity_cases(spark, docs, labels):
     field = toxicity.train(docs, labels)
     got = toxicity.score(docs, field).collect()
