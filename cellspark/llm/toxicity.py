@@ -41,7 +41,11 @@ TOKEN = re.compile(r"\w+")
 
 
 def tokens_of(text: str) -> list[str]:
-    return TOKEN.findall(text.lower())
+    """Lower-cased tokens, as many as the text itself has."""
+    low = text.lower()
+    if len(low) == len(text):
+        return TOKEN.findall(low)
+    return [t.lower() for t in TOKEN.findall(text)]  # a capital I with a dot grows when lowered, by a mark that is no word character
 
 
 # --- the field ------------------------------------------------------------------------------------------------------
@@ -341,13 +345,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
 
 def spans(text: str, p: np.ndarray) -> list[tuple[int, int, float]]:
     """(start, stop, largest marginal) of runs of tokens whose marginal is above one half."""
-    low = text.lower()
-    if len(low) != len(text):  # a few capitals grow when lowered; then offsets are those of single lowered characters
-        low = "".join(c.lower()[0] for c in text)
     out: list[tuple[int, int, float]] = []
     near = False
-    tokens = [(m.start(), m.end()) for m in TOKEN.finditer(low)]
-    if len(tokens) != len(p):
+    tokens = [(m.start(), m.end()) for m in TOKEN.finditer(text)]
+    if len(tokens) != len(p):  # of another text
         return out
     for (a, b), q in zip(tokens, p.tolist()):
         if q > 0.5:

@@ -144,6 +144,15 @@ def test_toxicity_cases(spark, docs, labels):
     assert toxicity.spans("İ bad", np.array([0.0, 0.0, 0.9]))[-1:] in ([], [(2, 5, 0.9)])
 
 
+def test_spans_of_letters_that_grow(spark):
+    assert toxicity.tokens_of("İstanbul İ BAD") == ["i̇stanbul", "i̇", "bad"]
+    assert toxicity.spans("İstanbul bad", np.array([0.0, 0.9])) == [(9, 12, 0.9)]
+    field = toxicity.Field({"=bad": 20.0}, -8.0, np.ones((2, 2)), 0.0, np.zeros(3))
+    d = spark.createDataFrame([(1, "İstanbul'da BAD İyi bad")], "doc_id long, text string")
+    r = toxicity.score(d, field).first()
+    assert r.n_toxic_words == 2 and [(s.start, s.stop) for s in r.spans] == [(12, 15), (20, 23)]
+
+
 # --- 2 ---
 
 
