@@ -155,7 +155,7 @@ def repeated(docs: np.ndarray, ths: np.ndarray, begins: np.ndarray, texts: list[
         key = key * 257 + np.where(at + i < end, padded[i : i + n], 0)
     del padded
     arr = SuffixArray(key, depth=int(size.max()), step=7, end=end)
-    lcp = _finer(arr, arr.lcp(), key, end)
+    lcp = _finer(arr, arr.lcp(), key, end, length)
     arr.levels.clear()
     del key, end
     before = np.concatenate([[0], data[:-1]])
@@ -191,11 +191,11 @@ def holds_repeat(texts: list[bytes], length: int) -> np.ndarray:
     return out
 
 
-def _finer(arr: SuffixArray, lcp: np.ndarray, key: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _finer(arr: SuffixArray, lcp: np.ndarray, key: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
     """Common prefixes to the byte: the last, partly equal symbol holds up to six more."""
     out = lcp.copy()
     a, b = arr.sa[:-1], arr.sa[1:]
-    i = np.flatnonzero(lcp[1:] >= 7 * (LENGTH // 7) - 6)
+    i = np.flatnonzero(lcp[1:] >= 7 * (length // 7) - 6)
     a, b = a[i], b[i]
     x, y = a + lcp[1:][i], b + lcp[1:][i]
     inside = (x < end[a]) & (y < end[b])

@@ -367,6 +367,17 @@ def test_substring_dedup(spark, hot):
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest() and r.n_removed == len(b) - len(kept) and r.n_spans == len(want[r.doc_id])
 
 
+@pytest.mark.parametrize("length", [20, 50, 100])
+def test_repeats_are_exact_at_any_length(length):
+    rnd = random.Random(8)
+    some = lambda n: bytes(rnd.randrange(97, 123) for _ in range(n))
+    for more in range(9):
+        both = some(length + more)
+        runs = [some(11) + b"1" + both + b"2" + some(5), some(30) + b"3" + both + b"4" + some(9)]
+        run, at, n = substrings.repeated(np.array([1, 2]), np.array([0, 0]), np.array([0, 0]), runs, length)
+        assert (run.tolist(), at.tolist(), n.tolist()) == ([1], [31], [length + more])
+
+
 def test_substring_cases(spark, docs):
     got = substrings.removed(docs)
     rows = got.collect()
