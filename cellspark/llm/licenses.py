@@ -23,7 +23,7 @@ BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by"
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_NAMES = "cc0?|g?fdl|[al]?gplv?[123]?|mpl|epl|cddl|eupl|0?bsd|spdx|wtfpl|copyleft|apache|afl|osl|ofl|lppl|odbl|cecill|freebsd"
+_NAMES = "cc0?|0?bsd|spdx|wtfpl|copyleft|freebsd|(?:[al]?gpl|g?fdl|mpl|epl|cddl|eupl|apache|afl|osl|ofl|lppl|odbl|cecill)(?:v?[0-9]+)?"
 _PHRASES = ["public domain", "creative commons", "rights reserved", "permission is hereby granted", "redistribution and use"]
 #: What a text must hold for any rule to run on it: a beginning of "license", a licence's name, or one of a few phrases.
 GATE = rf"(?i)licen[cs]|(?<![A-Za-z0-9\u0080-\uFFFF])(?:{_NAMES}|{'|'.join(p.replace(' ', SEPARATORS) for p in _PHRASES)})(?![A-Za-z0-9\u0080-\uFFFF])"
@@ -90,6 +90,12 @@ PLAIN = [
     ("sspl", "server side public license", "server side public license"),
     ("proprietary", "all rights reserved", "all rights reserved"),
 ]
+#: The identifiers of labels that have no versions of their own, in word form.
+SPDX = {
+    "mit": "mit", "bsd-2-clause": "bsd 2 clause", "bsd-3-clause": "bsd 3 clause", "bsd-4-clause": "bsd 4 clause", "bsd-zero-clause": "0bsd", "isc": "isc", "zlib": "zlib", "unlicense": "unlicense",
+    "wtfpl": "wtfpl", "cc0": "cc0 1 0", "postgresql": "postgresql", "python": "(?:python|psf) 2 0", "php": "php 3 01?", "ruby": "ruby", "openssl": "openssl", "ncsa": "ncsa", "vim": "vim", "x11": "x11",
+    "beerware": "beerware", "json": "json", "ms-pl": "ms pl", "ms-rl": "ms rl", "sspl": "sspl 1 0",
+}
 
 
 def rules() -> list[tuple[str, str, str]]:
@@ -101,7 +107,7 @@ def rules() -> list[tuple[str, str, str]]:
             major, minor = v.split(".")
             number = f"{major}(?: {minor})?" if minor == "0" else f"{major} {minor}"
             for word, name in names:
-                tail = f"(?:{name})(?: licen[cs]e)?(?: (?:version|v))? v?{number}"
+                tail = f"(?:{name})(?: licen[cs]e)?(?: (?:version|v))? ?v?{number}"
                 out.append((f"{stem}-{v}-or-later", word, f"{tail} or (?:\\(?at your option\\)? )?(?:any )?later(?: version)?"))
                 out.append((f"{stem}-{v}", word, f"{grant}{tail}"))
                 out.append((f"{stem}-{v}", word, f"{tail}(?: only)?"))
@@ -117,6 +123,7 @@ def rules() -> list[tuple[str, str, str]]:
         for word, name in names:
             if word != "apache":
                 out.append((stem, word, f"(?:{grant})?(?:{name})"))
+    out += [(label, "spdx license identifier", f"spdx license identifier {name}") for label, name in SPDX.items()]
     for label, word, name in PLAIN:
         out.append((label, word, f"{grant}{name}"))
         out.append((label, word, name))

@@ -614,6 +614,16 @@ def test_licenses(spark, docs):
     assert len(licenses.rules()) > 300 and licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_joined_versions_and_spdx(spark):
+    want = {
+        "under GPLv2 here": "gpl-2.0", "GPLv3": "gpl-3.0", "LGPLv2.1": "lgpl-2.1", "AGPLv3+": "agpl-3.0", "MPLv2": "mpl-2.0", "GPLv2 or later": "gpl-2.0-or-later", "GPL2": "gpl-2.0", "EPLv1.0": "epl-1.0",
+        "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: ISC": "isc", "SPDX-License-Identifier: 0BSD": "bsd-zero-clause", "SPDX-License-Identifier: Zlib": "zlib", "SPDX-License-Identifier: MIT OR Apache-2.0": "apache-2.0,mit",
+        "GPLv": "", "gplv2x": "", "a mit b": "",
+    }
+    d = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    assert {list(want)[r.doc_id]: r.labels for r in licenses.scan(d).collect()} == want
+
+
 def test_rules_are_valid_and_gated(spark):
     for label, word, pattern in licenses.rules():
         re.compile(pattern)
