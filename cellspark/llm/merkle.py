@@ -8,19 +8,23 @@ texts up to hash collisions.  Where two trees differ, the differing sections and
 The fingerprint is the root; the likeness of two fingerprints is the Jaccard index of their trees' distinct leaves.
 
 Cases: a null text counts as empty; the empty text is one empty paragraph with one empty leaf, so two empty texts are
-alike (1.0); repeated rows get equal fingerprints; equal ids follow each other in order of length and hash, null ids
-last; a table of one row is followed by itself; an empty table gives an empty table; a very long text is one row, hashed
+alike (1.0); an edit that changes nothing (equal neighbours, texts of one character) has likeness 1.0 and no first place;
+repeated rows get equal fingerprints; equal ids follow each other in order of length and hash, null ids last, and either
+may be cut over several ranges; a table of one row is followed by itself; an empty table gives an empty table; a very long text is one row, hashed
 in one pass; other columns are not touched.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut_ids, table
+from .common import table
 
 SECTION = 8
+LOW = 1 - 2**63
 PIECE_END = r"(?<=[.!?,;:|]) "
 
 
@@ -62,35 +66,56 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(docs[id_col].alias("doc_id"), tree(F.coalesce(docs[text_col], F.lit(""))).alias("tree")).select("doc_id", "tree.*")
 
 
-def bucket_of(key: Column, cuts: list[int]) -> Column:
-    """The range that a key falls in: a search in two steps, so its work grows with the root of the number of cuts."""
+def _cuts(keyed: DataFrame, parts: int) -> list[tuple[int, int]]:
+    """At most parts - 1 ascending (key, tie) that cut the rows into ranges of about equal counts.
+
+    A key that several quantiles fall on (one id, or no id, of many rows) is cut again, by quantiles of its ties.
+    """
+    if parts < 2:
+        return []
+    probs, accuracy = [i / parts for i in range(1, parts)], max(10_000, 20 * parts)
+    many = Counter(keyed.agg(F.percentile_approx("key", probs, accuracy).alias("q")).first()["q"] or [])
+    cuts = {(k, LOW) for k in many}
+    hot = [k for k, n in many.items() if n > 1]  # fewer than parts
+    if hot:
+        for r in keyed.where(F.col("key").isin(hot)).groupBy("key").agg(F.percentile_approx("tie", probs, accuracy).alias("q")).collect():
+            n = many[r["key"]] + 1
+            cuts |= {(r["key"], r["q"][i * parts // n - 1]) for i in range(1, n)}
+    return sorted(cuts)
+
+
+def bucket_of(at: Column, cuts: list[tuple[int, int]]) -> Column:
+    """The range that a struct<key, tie> falls in: a search in two steps, so its work grows with the root of the number of cuts."""
     if not cuts:
         return F.lit(0)
     step = max(1, int(len(cuts) ** 0.5))
-    all_cuts, coarse = (F.expr("array(" + ",".join(f"{c}L" for c in x) + ")") for x in (cuts, cuts[step - 1 :: step]))
-    low = F.size(F.filter(coarse, lambda c: c <= key)) * step
-    return low + F.size(F.filter(F.slice(all_cuts, low + 1, step), lambda c: c <= key))
+    all_cuts, coarse = (F.expr("array(" + ",".join(f"named_struct('key', {k}L, 'tie', {t}L)" for k, t in x) + ")") for x in (cuts, cuts[step - 1 :: step]))
+    low = F.size(F.filter(coarse, lambda c: c <= at)) * step
+    return low + F.size(F.filter(F.slice(all_cuts, low + 1, step), lambda c: c <= at))
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str, parts: int | None = None) -> DataFrame:
-    """key, text, next: each row with the text of the row after it in ascending id (after the last: the first).
+    """doc_id, text, next: each row with the text of the row after it in ascending id (after the last: the first).
 
-    Ids are cut into ranges; a window runs in each range.  The first rows of a range are also dealt to the range before
-    it, as its end, so texts are shuffled once and nothing is gathered in one place.
+    Rows are cut into ranges of (id, tie); a window runs in each range.  The first rows of a range are also dealt to the
+    range before it, as its end, so texts are shuffled once and nothing is gathered in one place.
     """
     spark = docs.sparkSession
     top = 2**63 - 1
-    keyed = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(top)).alias("key"), docs[id_col].isNull().alias("no_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    text = F.coalesce(docs[text_col], F.lit(""))
+    tie = F.length(text).cast("long") * F.lit(2**32) + F.xxhash64(text).bitwiseAND(F.lit(2**32 - 1))
+    keyed = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(top)).alias("key"), tie.alias("tie"), docs[id_col].isNull().alias("no_id"), text.alias("text"))
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = cut_ids(keyed, "key", parts)
-    bucket = bucket_of(F.col("key"), cuts)
-    lows = sorted((r["b"], r["lo"]) for r in keyed.groupBy(bucket.alias("b")).agg(F.min("key").alias("lo")).collect())  # one row a range
-    # a range's lowest key, and the range before it (the first follows the last)
-    tails = {lo: lows[i - 1][0] for i, (_, lo) in enumerate(lows)}
-    ends = spark.sql("SELECT * FROM VALUES " + ", ".join(f"({k}L, {b})" for k, b in tails.items() or {0: 0}.items()) + " AS t(key, tail)")
-    dealt = keyed.join(F.broadcast(ends), "key", "left")  # as many rows as ranges, two numbers each
-    both = dealt.select("key", "no_id", "text", F.explode(F.when(F.col("tail").isNull(), F.array(F.struct(bucket.alias("b"), F.lit(False).alias("tail")))).otherwise(F.array(F.struct(bucket.alias("b"), F.lit(False).alias("tail")), F.struct(F.col("tail").alias("b"), F.lit(True).alias("tail"))))).alias("at")).select("key", "no_id", "text", "at.b", "at.tail")
-    order = Window.partitionBy("b").orderBy("tail", "key", F.length("text"), F.xxhash64("text"))
+    at = F.struct("key", "tie")
+    bucket = bucket_of(at, _cuts(keyed, parts))
+    lows = sorted((r["b"], *r["lo"]) for r in keyed.groupBy(bucket.alias("b")).agg(F.min(at).alias("lo")).collect())  # one row a range
+    # a range's lowest row, and the range before it (the first follows the last)
+    tails = [(k, t, lows[i - 1][0]) for i, (_, k, t) in enumerate(lows)]
+    ends = spark.sql("SELECT * FROM VALUES " + ", ".join(f"({k}L, {t}L, {b})" for k, t, b in tails or [(0, 0, 0)]) + " AS t(key, tie, tail)")
+    dealt = keyed.join(F.broadcast(ends), ["key", "tie"], "left")  # as many rows as ranges, three numbers each
+    own = F.struct(bucket.alias("b"), F.lit(False).alias("tail"))
+    both = dealt.select("key", "tie", "no_id", "text", F.explode(F.when(F.col("tail").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("tail").alias("b"), F.lit(True).alias("tail"))))).alias("at")).select("key", "tie", "no_id", "text", "at.b", "at.tail")
+    order = Window.partitionBy("b").orderBy("tail", "key", "tie")
     return both.withColumn("next", F.lead("text").over(order)).where(~F.col("tail")).select(F.when(~F.col("no_id"), F.col("key")).alias("doc_id"), "text", F.coalesce("next", "text").alias("next"))
 
 
@@ -100,16 +125,20 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, 1, F.length(text) - half), F.substring(following, F.lit(1), half))
 
 
-def op6_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = with_next(table(spark, sf_dir, "documents"), "doc_id", "text")
-    wide = pairs.withColumn("edited", edited(F.col("text"), F.col("next")))
+def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every text's tree against those of its edited text and of the next document.
+
+    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and first_edit: the number of
+    the first paragraph that the edit changed, null where the edited text equals the text.
+    """
+    wide = with_next(docs, id_col, text_col).withColumn("edited", edited(F.col("text"), F.col("next")))
 
     def row(e: Column) -> Column:
         return F.struct(
             F.length("text").cast("long").alias("n_chars"), F.sha2(e.cast("binary"), 256).alias("edited_sha256"),
             F.element_at(F.transform(F.array(F.struct(tree(F.col("text")).alias("own"), tree(e).alias("edited"), tree(F.col("next")).alias("next"))), lambda t: F.struct(
                 t["own"]["root"].alias("fingerprint"), t["edited"]["root"].alias("edited_fingerprint"), likeness(t["own"], t["edited"]).alias("near_edited"), likeness(t["own"], t["next"]).alias("near_next"),
-                F.element_at(differing(t["own"], t["edited"]), 1).cast("long").alias("first_edit"),
+                F.get(differing(t["own"], t["edited"]), 0).cast("long").alias("first_edit"),
             )), 1).alias("f"),
         )
 
@@ -117,6 +146,10 @@ def op6_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "r.n_chars", "r.edited_sha256", "r.f.fingerprint", "r.f.edited_fingerprint", "r.f.near_edited", "r.f.near_next", "r.f.first_edit")
 
 
+def op6_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edits(table(spark, sf_dir, "documents"))
+
+
 def _sql_leaves(x: str) -> str:
     """Lists of leaves by paragraph in DuckDB; a lookbehind is not at hand there, so cut places are marked first."""
     return f"list_transform(string_split({x}, chr(10)), lambda p: list_transform(string_split(regexp_replace(p, '([.!?,;:|]) ', '\\1' || chr(1), 'g'), chr(1)), lambda s: md5(s)))"

@@ -425,6 +425,45 @@ def test_next_documents(spark, docs, parts):
     assert merkle.with_next(docs.limit(0), "doc_id", "text", parts).count() == 0
 
 
+def brute_edits(rows):
+    """(id, n_chars, digests and likenesses) of each row against its edited text and the next row."""
+    key = lambda r: (r[0] is None, r[0] or 0, len(r[1] or ""))
+    rows = [(i, t or "") for i, t in sorted(rows, key=key)]
+    out = []
+    for (i, t), (_, following) in zip(rows, rows[1:] + rows[:1]):
+        half = len(t) // 2
+        e = t[: len(t) - half] + following[:half]
+        own, new, other = brute_tree(t), brute_tree(e), brute_tree(following)
+        first = next((j for j, d in enumerate(new[2]) if j >= len(own[2]) or own[2][j] != d), None)
+        like = lambda a, b: len(a[1] & b[1]) / len(a[1] | b[1])
+        out.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), own[0], new[0], like(own, new), like(own, other), first))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("rows", [
+    ROWS, ROWS[:1], [(1, ""), (2, None), (3, "")], [(1, "a"), (2, "b")], [(1, "same text. here"), (2, "same text. here"), (3, "other")],
+    [(1, "ab\ncd\nef\ngh"), (2, "ef\ngh and more")], [(None, f"text {'x' * i} of no id") for i in range(40)] + [(5, "y" * i) for i in range(40)],
+])
+def test_edits(spark, rows):
+    got = merkle.compare_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted([tuple(r) for r in got], key=str) == brute_edits(rows)
+
+
+def test_edits_of_nothing(spark, docs):
+    assert merkle.compare_edits(docs.limit(0)).count() == 0
+
+
+def test_one_id_is_cut_over_ranges(spark):
+    rows = [(None if i % 3 else 4, "z" * i) for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = d.select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("key"), F.length("text").cast("long").alias("tie"))
+    assert len(merkle._cuts(keyed, 20)) >= 15
+    plan = merkle.with_next(d, "doc_id", "text", 20)
+    got = sorted((r.doc_id or 9, r.text, r.next) for r in plan.collect())
+    want = sorted(((i or 9, t) for i, t in rows), key=lambda r: (r[0], len(r[1])))
+    assert got == sorted((i, t, n) for (i, t), (_, n) in zip(want, want[1:] + want[:1]))
+
+
 # --- 7 ---
 
 
