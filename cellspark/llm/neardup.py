@@ -30,9 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filled, lean, raw, slices, stored, table, u64_mix, word_spans
+from .common import Rolling, filled, lean, raw, slices, stored, table, u64_mix, word_spans
 from .components import connected_components
-from .substrings import Rolling
 
 WORDS = 5
 NUM, DEN = 4, 5  # similarity

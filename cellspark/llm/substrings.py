@@ -4,17 +4,24 @@ Every byte covered by a string of LENGTH bytes that also starts earlier (smaller
 goes.  Work follows the repeats, not the pairs:
 
 1. Anchors.  Of the GRAM-byte hashes in each window of LENGTH bytes the smallest (leftmost) is its anchor, so equal
-   windows have equal anchors at equal places.  A document's windows fall into runs with one anchor, one record a run:
-   anchor hash, hash of the run's bytes, place.  Within a batch, all but the first record of equal runs are settled at
-   once, so a group of copies of any size leaves one record a batch.
-2. Records meet by anchor.  Equal runs: all but the first are repeats.  Anchors with runs that differ go on.
-3. Those runs' bytes meet by anchor.  An enhanced suffix array over them gives common-prefix intervals by a stack scan;
-   the left-diverse ones are the maximal repeats, with all their occurrences; all but the first are repeats.  Anchors
-   with more than HOT different runs go another way: each window is one row, the first of equal windows is found by a
-   partial aggregation, and a splittable join marks the others.  Both ways give the same rows.
-4. Repeats meet their documents, whose bytes are cut.
-
-Texts are shuffled once (the exchange serves steps 3 and 4).  Anchors, runs and windows never cross documents.
+   windows have equal anchors at equal places.  A document's windows fall into runs with one anchor, one record a run.
+2. Records meet by anchor, in fine buckets that stream through a task.  An anchor of more than one record is owned by the
+   document (and the segment of it) that shows it first, and the owner is told to all documents that show it.
+3. Stretches.  A document's neighbouring runs of one owner make one stretch of text, however long; stretches meet by owner.
+   As the owner follows from the anchor, equal windows always meet.
+4. Suffix array.  Of an owner's stretches those suffixes are sorted that share their first LENGTH bytes with another one
+   and, together, do not all follow the same byte: no other suffix begins a maximal repeat, so this test of left
+   extension spares the sort of all places inside repeats.  A stack scan of the common prefixes gives the interval tree;
+   each interval is a maximal repeat with all its occurrences, and all but the first occurrence go.  Stretches that are
+   equal as a whole are one text with several occurrences.
+5. Repeats meet their documents, whose bytes are cut.
+
+Texts are shuffled once (the exchange serves steps 3 and 5).  Nothing crosses documents.
+
+Crowds are split and pre-aggregated, with the same removed bytes: where a batch holds more than CROWD equal runs of an
+anchor, only the first goes on and the others go as repeats; where it holds many different ones, or all batches together
+hold more than HOT, the anchor's suffixes are dealt by their first LENGTH bytes (the interval at that depth) instead of by
+owner, after the first of each batch was kept.  repeats() never pre-aggregates, and gives those strings at LENGTH bytes.
 
 Cases: a null text is empty; texts shorter than LENGTH lose nothing; rows of one id and one text are one document, and
 equal; rows of one id and different texts are documents of their own, in order of a text hash; null ids come last; very
@@ -27,51 +34,33 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import filled, lean, raw, slices, stored, table, u64_mix
-from .suffix import SuffixArray, maximal_repeats
+from .common import Rolling, lean, raw, slices, stored, table, u64_mix
+from .suffix import SparseSuffixes
 
 LENGTH = 100
 GRAM = 32
-HOT = 8_000
-#: Runs whose bytes are sorted at once: about 150 bytes each, some 150 bytes of work a byte.
-GROUP_RUNS = 2_000
+CROWD = 64
+HOT = 4096
+#: (different runs of an anchor up to, bytes of a segment): owners of crowded anchors are cut finer.
+SEGMENTS = ((64, 1 << 16), (HOT, 1 << 12))
+#: Stretches whose suffixes are sorted at once, where groups are small.
+GROUP_BYTES = 1 << 20
+#: Buckets that a partition is read in.
+FINE = 3
 NULL_ID = 2**63 - 1
 _B1, _B2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 
-#: One run of windows: anchor hash, hash of its bytes, document (id, text hash), start, bytes.
-RECORD = np.dtype([("h", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("th", "<u4"), ("a", "<i4"), ("n", "<i4")])
-#: What a document learns of itself: 0 a repeat, 1 a run to compare, 2 a run of a hot anchor.
-NOTE = np.dtype([("kind", "u1"), ("a", "<i4"), ("n", "<i4"), ("h", "<u8")])
-
-
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        up = np.full(n, base, np.uint64)
-        up[0] = 1
-        down = np.full(n, pow(base, -1, 2**64), np.uint64)
-        down[0] = 1
-        return np.cumprod(up), np.cumprod(down)
-
-
-class Rolling:
-    """Polynomial hashes modulo 2^64 of any spans of a byte array."""
-
-    def __init__(self, data: np.ndarray, base: int, powers: dict):
-        n = len(data) + 1
-        if len(powers.get(base, ((),))[0]) < n:
-            powers[base] = _powers(base, max(n, 1 << 19))
-        self.up, down = powers[base]
-        with np.errstate(over="ignore"):
-            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * down[: n - 1])])
-
-    def of(self, start, stop) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return u64_mix((self.sums[stop] - self.sums[start]) * self.up[start])
+#: One run of windows: anchor hash, document (id, text hash), start, a hash of its bytes, bytes; crowd: stands for a batch's crowd.
+RECORD = np.dtype([("h", "<u8"), ("doc", "<i8"), ("th", "<u4"), ("a", "<i4"), ("c", "<u4"), ("n", "<i4"), ("crowd", "u1")])
+#: What a document learns of a run: a repeat, a run of an owner's stretch, or a run of a hot anchor.
+NOTE = np.dtype([("doc", "<i8"), ("th", "<u4"), ("a", "<i4"), ("n", "<i4"), ("kind", "u1"), ("key", "<u8")])
+REPEAT, SHARED, CROWDED = 0, 1, 2
+SPAN = np.dtype([("a", "<i4"), ("n", "<i4")])
+WINDOW = np.dtype([("w", "<u8"), ("v", "<u8"), ("doc", "<i8"), ("th", "<u4"), ("a", "<i4")])
 
 
 def runs(data: np.ndarray, off: np.ndarray, length: int, gram: int, powers: dict):
@@ -106,118 +95,103 @@ def runs(data: np.ndarray, off: np.ndarray, length: int, gram: int, powers: dict
     return a, stop - a, key[p], whole
 
 
-def settle(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sort records by (h, c, document, start), drop doubles, and mark all but the first of equal (h, c)."""
-    order = np.lexsort((rec["a"], rec["th"], rec["doc"], rec["c"], rec["h"]))
-    rec = rec[order]
-    new = np.ones(len(rec), bool)
-    if len(rec) > 1:
-        new[1:] = rec[1:] != rec[:-1]
-    rec = rec[new]
-    later = np.zeros(len(rec), bool)
-    if len(rec) > 1:
-        later[1:] = (rec["h"][1:] == rec["h"][:-1]) & (rec["c"][1:] == rec["c"][:-1])
-    return rec, later
+def pieces(data: np.ndarray, off: np.ndarray, length: int, gram: int, powers: dict, most: int = 1 << 22):
+    """runs(), for one long row in pieces that share no window; a run at a border is two."""
+    if len(off) > 2 or len(data) <= most:
+        return runs(data, off, length, gram, powers)
+    got = []
+    for lo in range(0, len(data) - length + 1, most):
+        part = data[lo : lo + most + length - 1]
+        a, n, h, c = runs(part, np.array([0, len(part)]), length, gram, powers)
+        got.append((a + lo, n, h, c))
+    return tuple(np.concatenate(x) for x in zip(*got))
 
 
-def by_document(doc: np.ndarray, th: np.ndarray, notes: np.ndarray):
-    """(documents, text hashes, packed notes): one row a document."""
-    if not len(doc):
-        return [], [], []
-    order = np.lexsort((th, doc))
-    doc, th, notes = doc[order], th[order], notes[order]
-    cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (th[1:] != th[:-1])]))
-    return doc[cut].tolist(), th[cut].astype(np.int64).tolist(), [notes[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(doc)])]
+# --- small pieces ---------------------------------------------------------------------------------------------------
 
 
-def notes_of(rec: np.ndarray, kind) -> np.ndarray:
-    out = np.zeros(len(rec), NOTE)
-    out["kind"], out["a"], out["n"], out["h"] = kind, rec["a"], rec["n"], rec["h"]
+def heads(*cols: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    out = np.ones(len(cols[0]), bool)
+    if len(out) > 1:
+        out[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
     return out
 
 
-def repeated(docs: np.ndarray, ths: np.ndarray, begins: np.ndarray, texts: list[bytes], length: int):
-    """Repeats among runs that share an anchor: (index of the run, start in it, bytes) of all but each first occurrence.
+def sizes(head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each row's group, rows of each group)."""
+    return np.cumsum(head) - 1, np.diff(np.append(np.flatnonzero(head), len(head)))
 
-    The runs are laid end to end; seven bytes make one symbol (base 257, zero past a run's end), so doubling reaches 112
-    bytes in four rounds.  Anchors are part of no key: equal strings belong to equal anchors anyway.
-    """
-    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + 1
-    size = np.array([len(t) for t in texts])
-    stop = np.cumsum(size)
-    run = np.repeat(np.arange(len(texts)), size)
-    end = stop[run]
-    n = len(data)
-    key = np.zeros(n, np.int64)
-    at = np.arange(n)
-    padded = np.concatenate([data, np.zeros(7, np.int64)])
-    for i in range(7):
-        key = key * 257 + np.where(at + i < end, padded[i : i + n], 0)
-    del padded
-    arr = SuffixArray(key, depth=int(size.max()), step=7, end=end)
-    lcp = _finer(arr, arr.lcp(), key, end, length)
-    arr.levels.clear()
-    del key, end
-    before = np.concatenate([[0], data[:-1]])
-    first = stop - size
-    before[first] = -1 - np.arange(len(texts))  # a run's start differs from all
-    absolute = begins[run] + at - first[run]
-    age = np.empty(n, np.int64)
-    age[np.lexsort((absolute, ths[run], docs[run]))] = np.arange(n)
-    out_run, out_at, out_n = [], [], []
-    for size_, places in maximal_repeats(arr.sa, lcp, before, length):
-        later = places[age[places] != age[places].min()]
-        out_run.append(run[later])
-        out_at.append(later - first[run[later]])
-        out_n.append(np.full(len(later), size_))
-    if not out_run:
-        z = np.zeros(0, np.int64)
-        return z, z, z
-    return np.concatenate(out_run), np.concatenate(out_at), np.concatenate(out_n)
-
-
-def holds_repeat(texts: list[bytes], length: int) -> np.ndarray:
-    """Which runs hold a window whose hash stands in these runs twice: the others need no sorting."""
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    size = np.array([len(t) for t in texts])
-    n = size - length + 1
-    run = np.repeat(np.arange(len(texts)), n)
-    start = np.repeat(np.cumsum(size) - size - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    h = Rolling(data, _B2, {}).of(start, start + length)
-    order = np.argsort(h)
-    same = h[order][1:] == h[order][:-1]
-    out = np.zeros(len(texts), bool)
-    out[run[order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]]] = True
-    return out
 
+def cells(part: np.ndarray, rec: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Records packed by part."""
+    order = np.argsort(part, kind="stable")
+    part, rec = part[order], rec[order]
+    cut = np.flatnonzero(heads(part)).tolist() if len(part) else []
+    return part[cut].tolist(), [rec[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(rec)])]
+
+
+def spread(doc: np.ndarray, parts: int) -> np.ndarray:
+    return (u64_mix(doc) % np.uint64(parts)).astype(np.int64)
+
+
+def found(doc: np.ndarray, th: np.ndarray, a: np.ndarray, n) -> tuple[list, list, list]:
+    """(documents, text hashes, packed spans): one row a document; overlapping spans are joined."""
+    if not len(doc):
+        return [], [], []
+    order = np.lexsort((a, th, doc))
+    doc, th, a = doc[order], th[order], a[order].astype(np.int64)
+    stop = a + (n[order] if isinstance(n, np.ndarray) else n)
+    new = heads(doc, th)
+    base = (np.cumsum(new) - 1) << 32  # documents apart, so that one running maximum serves all
+    far = np.maximum.accumulate(base + stop) - base
+    new[1:] |= a[1:] > far[:-1]
+    at = np.flatnonzero(new)
+    out = np.zeros(len(at), SPAN)
+    out["a"], out["n"] = a[at], far[np.append(at[1:], len(a)) - 1] - a[at]
+    doc, th = doc[at], th[at].astype(np.int64)
+    cut = np.flatnonzero(heads(doc, th))
+    return doc[cut].tolist(), th[cut].tolist(), [out[i:j].tobytes() for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(out)])]
+
+
+def _batch(names: list[str], *cols: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(cols), names=names)
 
-def _finer(arr: SuffixArray, lcp: np.ndarray, key: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
-    """Common prefixes to the byte: the last, partly equal symbol holds up to six more."""
-    out = lcp.copy()
-    a, b = arr.sa[:-1], arr.sa[1:]
-    i = np.flatnonzero(lcp[1:] >= 7 * (length // 7) - 6)
-    a, b = a[i], b[i]
-    x, y = a + lcp[1:][i], b + lcp[1:][i]
-    inside = (x < end[a]) & (y < end[b])
-    i, a, b, x, y = i[inside], a[inside], b[inside], x[inside], y[inside]
-    more = np.zeros(len(i), np.int64)
-    for k in range(1, 7):
-        more += key[x] // 257 ** (7 - k) == key[y] // 257 ** (7 - k)
-    got = np.minimum(lcp[1:][i] + more, np.minimum(end[a] - a, end[b] - b))
-    out[1:][i] = got
-    return out
 
+def by_key(batches, key: int, value: int):
+    """(key, values) of runs of equal keys in rows that come sorted; rows without a value are left out."""
+    now, held = None, []
+    for batch in batches:
+        for k, v in zip(batch.column(key).to_pylist(), batch.column(value).to_pylist()):
+            if v is None:
+                continue
+            if k != now and held:
+                yield now, held
+                held = []
+            now = k
+            held.append(v)
+    if held:
+        yield now, held
+
+
+# --- 1, 2: anchors --------------------------------------------------------------------------------------------------
 
-FOUND = "doc long, th long, notes binary"
 
+def notes_by_document(docs: DataFrame, length: int, gram: int, crowd: int | None, hot: int) -> DataFrame:
+    """docs: doc, th, text -> doc, th, notes (packed, by start) of the documents that share an anchor."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fine = parts * FINE
 
-def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """docs: doc, th, text (no nulls).  -> (repeats: doc, th, notes of kind 0; the texts dealt by document)."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def told(rec: np.ndarray, kind, key=0) -> np.ndarray:
+        out = np.zeros(len(rec), NOTE)
+        for c in ("doc", "th", "a", "n"):
+            out[c] = rec[c]
+        out["kind"], out["key"] = kind, key
+        return out
 
     def scan(batches):
         powers: dict = {}
+        names = ["bucket", "records", "notes"]
         for batch in batches:
             doc, th, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
             got = []
@@ -225,156 +199,321 @@ def find_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
                 data, off = raw(texts.slice(lo, hi - lo))
                 if len(data) < length:
                     continue
-                a, n, h, c = runs(data, off, length, gram, powers)
+                a, n, h, c = pieces(data, off, length, gram, powers)
                 row = np.searchsorted(off, a, "right") - 1
                 rec = np.zeros(len(a), RECORD)
-                rec["h"], rec["c"], rec["doc"], rec["th"], rec["a"], rec["n"] = h, c, doc[lo:hi][row], th[lo:hi][row], a - off[row], n
+                rec["h"], rec["c"], rec["doc"], rec["th"], rec["a"], rec["n"] = h, c & np.uint64(0xFFFFFFFF), doc[lo:hi][row], th[lo:hi][row], a - off[row], n
                 got.append(rec)
             if not got:
                 continue
-            rec, later = settle(np.concatenate(got))
-            d, t, notes = by_document(rec["doc"][later], rec["th"][later], notes_of(rec[later], 0))
-            if d:
-                yield pa.RecordBatch.from_arrays([pa.array([x % parts for x in d], pa.int32()), pa.nulls(len(d), pa.binary()), pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(notes, pa.binary())], names=["bucket", "records", "doc", "th", "notes"])
-            rec = rec[~later]
-            bucket = (rec["h"] % np.uint64(parts)).astype(np.int64)
-            rec, bucket = rec[np.argsort(bucket, kind="stable")], np.sort(bucket)
-            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            if len(cut):
-                blobs = [rec[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(rec)])]
-                none = pa.nulls(len(cut), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int32()), pa.array(blobs, pa.binary()), none, none, pa.nulls(len(cut), pa.binary())], names=["bucket", "records", "doc", "th", "notes"])
+            rec = np.concatenate(got)
+            got.clear()
+            if crowd is not None:
+                rec, known = thinned(rec)
+                if len(known):
+                    to, blobs = cells(spread(known["doc"], fine), known)
+                    yield _batch(names, pa.array(to, pa.int32()), pa.nulls(len(to), pa.binary()), pa.array(blobs, pa.binary()))
+            to, blobs = cells((rec["h"] % np.uint64(fine)).astype(np.int64), rec)
+            yield _batch(names, pa.array(to, pa.int32()), pa.array(blobs, pa.binary()), pa.nulls(len(to), pa.binary()))
+
+    def thinned(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A batch's records without its crowds, and the notes on those."""
+        group, size = sizes(heads(rec["h"][(order := np.argsort(rec["h"], kind="stable"))]))
+        many = np.zeros(len(rec), bool)
+        many[order] = size[group] > crowd
+        if not many.any():
+            return rec, np.zeros(0, NOTE)
+        few, rec = rec[~many], rec[many]
+        rec = rec[np.lexsort((rec["a"], rec["th"], rec["doc"], rec["c"], rec["h"]))]
+        rec = rec[heads(*[rec[c] for c in ("h", "c", "doc", "th", "a")])]
+        head = heads(rec["h"], rec["c"])
+        group, size = sizes(head)
+        later = ~head & (size[group] > crowd)
+        known, rec = told(rec[later], REPEAT), rec[~later]
+        head = heads(rec["h"])
+        group, size = sizes(head)
+        wide = size[group] > 4 * crowd
+        known = np.concatenate([known, told(rec[wide], CROWDED)])
+        rec["crowd"] = wide
+        return np.concatenate([few, rec[~wide | head]]), known
+
+    def owners(rec: np.ndarray) -> np.ndarray:
+        """Notes on the records of anchors that stand more than once."""
+        rec = rec[np.lexsort((rec["a"], rec["th"], rec["doc"], rec["h"]))]
+        rec = rec[heads(*[rec[c] for c in ("h", "doc", "th", "a")])]
+        head = heads(rec["h"])
+        group, size = sizes(head)
+        first = np.flatnonzero(head)
+        by = np.lexsort((rec["c"], rec["h"]))
+        kinds = np.bincount(group[by][heads(rec["h"][by], rec["c"][by])], minlength=len(first))
+        crowded = (kinds > hot) | (np.maximum.reduceat(rec["crowd"], first) > 0)
+        segment = np.full(len(first), SEGMENTS[-1][1])
+        for most, width in reversed(SEGMENTS):
+            segment[kinds <= most] = width
+        own = rec[first]
+        with np.errstate(over="ignore"):
+            key = u64_mix(u64_mix(own["doc"].astype(np.uint64) ^ (own["th"].astype(np.uint64) << np.uint64(31))) + (own["a"] // segment).astype(np.uint64) * np.uint64(2) + (segment == SEGMENTS[0][1]).astype(np.uint64))
+        keep = (size[group] > 1) & (rec["crowd"] == 0)
+        return told(rec[keep], np.where(crowded, CROWDED, SHARED)[group[keep]], key[group[keep]])
 
     def meet(batches):
-        held = []
+        held: list[np.ndarray] = []
+
+        def flush():
+            x = np.concatenate(held)
+            held.clear()
+            to, blobs = cells(spread(x["doc"], fine), x)
+            return _batch(["at", "notes"], pa.array(to, pa.int32()), pa.array(blobs, pa.binary()))
+
+        def records():
+            for batch in batches:
+                known = batch.column(2).is_valid()
+                if known.true_count:
+                    held.extend(np.frombuffer(x, NOTE) for x in batch.column(2).filter(known).to_pylist())
+                yield batch
+
+        for _, blobs in by_key(records(), 0, 1):
+            held.append(owners(np.frombuffer(b"".join(blobs), RECORD)))
+            if sum(map(len, held)) > 1_000_000:
+                yield flush()
+        if sum(map(len, held)):
+            yield flush()
+
+    def gather(batches):
+        for _, blobs in by_key(batches, 0, 1):
+            x = np.frombuffer(b"".join(blobs), NOTE)
+            x = x[np.lexsort((x["kind"], x["a"], x["th"], x["doc"]))]
+            cut = np.flatnonzero(heads(x["doc"], x["th"]))
+            packed = [x[i:j].tobytes() for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(x)])]
+            yield _batch(["doc", "th", "notes"], pa.array(x["doc"][cut]), pa.array(x["th"][cut].astype(np.int64)), pa.array(packed, pa.binary()))
+
+    records = docs.mapInArrow(lean(scan), "bucket int, records binary, notes binary").repartition(parts, "bucket").sortWithinPartitions("bucket")
+    cells_ = records.mapInArrow(lean(meet), "at int, notes binary").repartition(parts, "at").sortWithinPartitions("at")
+    return cells_.mapInArrow(lean(gather), "doc long, th long, notes binary")
+
+
+# --- 3, 4: stretches and their suffixes ------------------------------------------------------------------------------
+
+STRETCH = "kind int, key long, sid binary, doc long, th long, a int, data binary"
+_STRETCH = [x.split()[0] for x in STRETCH.split(", ")]
+
+
+def stretches(docs: DataFrame, notes: DataFrame, length: int, once: bool) -> DataFrame:
+    """Rows of kind SHARED: a stretch's text under its owner's key; REPEAT: packed spans of a document; CROWDED: packed windows of a bucket.
+
+    once: of equal stretches (and windows) that a task meets, only the first goes on, and the others are repeats.
+    """
+    fine = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * FINE
+
+    def rows(kind, key, sid, doc, th, a, data):
+        n = len(key)
+        none = lambda t: pa.nulls(n, t)
+        return _batch(_STRETCH, pa.array([kind] * n, pa.int32()), pa.array(key, pa.int64()), pa.array(sid, pa.binary()) if sid else none(pa.binary()), pa.array(doc, pa.int64()) if doc else none(pa.int64()), pa.array(th, pa.int64()) if th else none(pa.int64()), pa.array(a, pa.int32()) if a else none(pa.int32()), pa.array(data, pa.binary()))
+
+    def cut(batches):
+        met: dict[bytes, tuple] = {}
+        powers: dict = {}
         for batch in batches:
-            known = batch.filter(pc.is_valid(batch.column(4)))
-            if known.num_rows:
-                yield known.select(["doc", "th", "notes"])
-            held += [np.frombuffer(x, RECORD) for x in batch.column(1).to_pylist() if x is not None]
-        if not held:
+            texts = [x.as_buffer().to_pybytes() for x in batch.column(2)]
+            lists = [np.frombuffer(x, NOTE) for x in batch.column(3).to_pylist()]
+            row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+            x = np.concatenate(lists) if lists else np.zeros(0, NOTE)
+            known, shared, crowded = (x["kind"] == k for k in (REPEAT, SHARED, CROWDED))
+            gone = [(x["doc"][known], x["th"][known], x["a"][known], x["n"][known].astype(np.int64))]
+            # stretches: neighbouring runs of one owner
+            s, at = x[shared], row[shared]
+            stop = s["a"] + s["n"]
+            new = heads(at, s["key"])
+            new[1:] |= s["a"][1:] != stop[:-1] - length + 1
+            begin = np.flatnonzero(new)
+            end = np.append(begin[1:], len(s))[: len(begin)] - 1
+            keys, sids, docs_, ths, starts, data, again = [], [], [], [], [], [], []
+            for r, key, doc, th, a, b in zip(at[begin].tolist(), s["key"][begin].view(np.int64).tolist(), s["doc"][begin].tolist(), s["th"][begin].tolist(), s["a"][begin].tolist(), stop[end].tolist()):
+                text = texts[r][a:b]
+                sid = hashlib.blake2b(text, digest_size=16, key=key.to_bytes(8, "little", signed=True)).digest()
+                if once:
+                    first = met.get(sid)
+                    if first is not None and first <= (doc, th, a):
+                        if first != (doc, th, a):
+                            again.append((doc, th, a, b - a))
+                        continue
+                    if len(met) >= 200_000:
+                        met.clear()
+                    met[sid] = (doc, th, a)
+                for col, v in zip((keys, sids, docs_, ths, starts, data), (key, sid, doc, th, a, text)):
+                    col.append(v)
+                if len(data) >= 5_000:
+                    yield rows(SHARED, keys, sids, docs_, ths, starts, data)
+                    keys, sids, docs_, ths, starts, data = [], [], [], [], [], []
+            if keys:
+                yield rows(SHARED, keys, sids, docs_, ths, starts, data)
+            if again:
+                gone.append(tuple(np.array(c, np.int64) for c in zip(*again)))
+            # windows of crowds
+            for lo in range(0, int(crowded.sum()), 20_000):
+                c, at = x[crowded][lo : lo + 20_000], row[crowded][lo : lo + 20_000]
+                w = windows(c, [texts[r][a : a + n] for r, a, n in zip(at.tolist(), c["a"].tolist(), c["n"].tolist())], length, powers)
+                if once:
+                    w, later = firsts(w)
+                    gone.append((later["doc"], later["th"], later["a"], np.full(len(later), length, np.int64)))
+                to, blobs = cells((w["w"] % np.uint64(fine)).astype(np.int64), w)
+                yield rows(CROWDED, to, None, None, None, None, blobs)
+            d, t, spans = found(*[np.concatenate([g[i].astype(np.int64) for g in gone]) for i in range(4)])
+            if d:
+                yield rows(REPEAT, d, None, d, t, None, spans)
+
+    return docs.join(notes.hint("merge"), ["doc", "th"]).select("doc", "th", "text", "notes").mapInArrow(lean(cut), STRETCH)
+
+
+def windows(notes: np.ndarray, texts: list[bytes], length: int, powers: dict) -> np.ndarray:
+    """Every window of the runs, named by 128 bits of hash."""
+    data, size = np.frombuffer(b"".join(texts), np.uint8), notes["n"].astype(np.int64)
+    n = size - length + 1
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    start = np.repeat(np.cumsum(size) - size, n) + place
+    out = np.zeros(len(start), WINDOW)
+    out["w"], out["v"] = (Rolling(data, b, powers).of(start, start + length) for b in (_B1, _B2))
+    for c in ("doc", "th"):
+        out[c] = np.repeat(notes[c], n)
+    out["a"] = np.repeat(notes["a"], n) + place
+    return out
+
+
+def firsts(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the first of equal windows, the others), each window once."""
+    w = w[np.lexsort((w["a"], w["th"], w["doc"], w["v"], w["w"]))]
+    w = w[heads(*[w[c] for c in WINDOW.names])]
+    head = heads(w["w"], w["v"])
+    return w[head], w[~head]
+
+
+def compared(rows: DataFrame, length: int, group_bytes: int, table_of_repeats: bool) -> DataFrame:
+    """Stretches by owner and crowds by window -> doc, th, spans (packed) of all occurrences but the first; or, as a table of
+    repeats, rid, length, and an occurrence's stretch and place in it, or (crowds) its document and place."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def spans(doc, th, a, n):
+        d, t, packed = found(np.asarray(doc, np.int64), np.asarray(th, np.int64), np.asarray(a, np.int64), np.asarray(n, np.int64) if np.ndim(n) else n)
+        return _batch(["doc", "th", "spans"], pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(packed, pa.binary()))
+
+    def occurrences(rid, n, sid, doc, th, at):
+        return _batch(["rid", "length", "sid", "doc", "th", "at"], pa.array(rid, pa.binary()), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(at, pa.int64()))
+
+    def sort(held: list[tuple]):
+        """held: (doc, th, a, sid, text) of whole groups."""
+        held.sort(key=lambda x: x[:3])  # so a smaller place is an earlier one
+        arr = SparseSuffixes([x[4] for x in held], length, groups=table_of_repeats)
+        if not table_of_repeats:
+            run, at, n = arr.later()
+            doc, th, a = (np.array([x[i] for x in held], np.int64)[run] for i in range(3))
+            yield spans(doc, th, a + at, n)
             return
-        rec = np.concatenate(held)
-        held.clear()
-        order = np.argsort(rec["h"], kind="stable")
-        h = rec["h"][order]
-        same = h[1:] == h[:-1]
-        twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        rec, later = settle(rec[order[twice]])
-        firsts = rec[~later]
-        h = firsts["h"]
-        start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-        count = np.repeat(np.diff(np.concatenate([start, [len(h)]])), np.diff(np.concatenate([start, [len(h)]])))
-        go = count > 1
-        both = np.concatenate([rec[later], firsts[go]])
-        notes = notes_of(both, np.concatenate([np.zeros(int(later.sum()), np.uint8), np.where(count[go] > hot, 2, 1).astype(np.uint8)]))
-        for lo in range(0, len(both), 1_000_000):
-            d, t, packed = by_document(both["doc"][lo : lo + 1_000_000], both["th"][lo : lo + 1_000_000], notes[lo : lo + 1_000_000])
-            yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(packed, pa.binary())], names=["doc", "th", "notes"])
-
-    records = docs.mapInArrow(lean(scan), "bucket int, records binary, doc long, th long, notes binary")
-    notes = stored(records.repartition(parts, "bucket").mapInArrow(lean(meet), FOUND), "substring-notes")
-    per_doc = lambda df: df.groupBy("doc", "th").agg(F.collect_list("notes").alias("notes"))
-
-    def has(byte: int):
-        """Documents with a note of a kind: kinds stand at every NOTE.itemsize-th byte."""
-
-        def keep(batches):
-            for batch in batches:
-                yield batch.filter(pa.array([bool((np.frombuffer(x, NOTE)["kind"] == byte).any()) for x in batch.column(2).to_pylist()], pa.bool_()))
+        out = []
+        for n, places in arr.repeats:
+            rid = hashlib.blake2b(arr.data[places[0] : places[0] + n], digest_size=16).digest()
+            run, at = arr.place(np.array(places))
+            out += [(rid, n, held[r][3], None, None, i) for r, i in zip(run.tolist(), at.tolist())]
+        if out:
+            yield occurrences(*zip(*out))
 
-        return notes.mapInArrow(lean(keep), FOUND)
+    def compare(batches):
+        held, size, key, kind, last = [], 0, None, None, None
+        blobs: list[bytes] = []
+
+        def crowd():
+            first, later = firsts(np.frombuffer(b"".join(blobs), WINDOW))
+            blobs.clear()
+            if not table_of_repeats:
+                return spans(later["doc"], later["th"], later["a"], length)
+            both = np.concatenate([first, later])
+            both = both[np.lexsort((both["v"], both["w"]))]
+            group, n = sizes(heads(both["w"], both["v"]))
+            both = both[n[group] > 1]
+            rid = [x.tobytes() for x in both[["w", "v"]]]
+            return occurrences(rid, [length] * len(rid), [None] * len(rid), both["doc"], both["th"].astype(np.int64), both["a"].astype(np.int64))
 
-    def cut_runs(kind: int, windows: bool):
-        def cut(batches):
-            for batch in batches:
-                out = []
-                for doc, th, text, blobs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
-                    data = text.as_buffer().to_pybytes()
-                    for note in np.frombuffer(b"".join(blobs), NOTE):
-                        if note["kind"] == kind:
-                            a, n = int(note["a"]), int(note["n"])
-                            if windows:
-                                out += [(hashlib.md5(data[s : s + length]).digest(), doc, th, s) for s in range(a, a + n - length + 1)]
-                            else:
-                                out.append((int(note["h"]) % parts, int(note["h"]).to_bytes(8, "little"), doc, th, a, data[a : a + n]))
-                cols = list(zip(*out)) or [[]] * (4 if windows else 6)
-                if windows:
-                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32())], names=["w", "doc", "th", "a"])
+        for batch in batches:
+            again, known = [], []
+            for k, ky, sid, doc, th, a, data in zip(*[batch.column(i).to_pylist() for i in range(7)]):
+                if (k, ky) != (kind, key):
+                    if size >= group_bytes:
+                        yield from sort(held)
+                        held, size = [], 0
+                    if blobs:
+                        yield crowd()
+                    kind, key = k, ky
+                if k == REPEAT:
+                    known.append((doc, th, data))
+                elif k == CROWDED:
+                    blobs.append(data)
+                elif last is not None and last[0] == sid:
+                    if last[1:4] != (doc, th, a):  # a later occurrence of an equal stretch
+                        again.append((doc, th, a, len(data), sid, data, last[4]))
+                        last = (sid, doc, th, a, True)
                 else:
-                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int32()), pa.array(cols[5], pa.binary())], names=["bucket", "h", "doc", "th", "a", "bytes"])
+                    last = (sid, doc, th, a, False)
+                    held.append((doc, th, a, sid, data))
+                    size += len(data)
+            if known and not table_of_repeats:
+                d, t, packed = zip(*known)
+                yield _batch(["doc", "th", "spans"], pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(packed, pa.binary()))
+            if again and not table_of_repeats:
+                yield spans(*list(zip(*again))[:3], np.array([x[3] for x in again]))
+            elif again:
+                whole = [(hashlib.blake2b(x[5], digest_size=16).digest(), x[3], x[4], None, None, 0) for x in again if not x[6]]
+                if whole:
+                    yield occurrences(*zip(*whole))
+        if held:
+            yield from sort(held)
+        if blobs:
+            yield crowd()
+
+    dealt = rows.repartition(parts, "key").sortWithinPartitions("kind", "key", "sid", "doc", "th", "a")
+    return dealt.mapInArrow(lean(compare), "rid binary, length long, sid binary, doc long, th long, at long" if table_of_repeats else "doc long, th long, spans binary")
+
+# --- 5: over tables -------------------------------------------------------------------------------------------------
 
-        asked = per_doc(has(kind))
-        shape = "w binary, doc long, th long, a int" if windows else "bucket int, h binary, doc long, th long, a int, bytes binary"
-        return docs.join(asked.hint("merge"), ["doc", "th"]).select("doc", "th", "text", "notes").mapInArrow(lean(cut), shape)
 
-    def compare(batches):
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        t = pa.Table.from_batches(held)
-        h = np.frombuffer(b"".join(t.column(1).to_pylist()), "<u8")
-        order = np.argsort(h, kind="stable")
-        doc, th, a = t.column(2).to_numpy(), t.column(3).to_numpy(), t.column(4).to_numpy().astype(np.int64)
-        edge = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])).tolist() + [len(h)]
-        lo = 0
-        while lo < len(edge) - 1:  # whole groups, up to GROUP_RUNS runs at a time where they are small
-            hi = lo + 1
-            while hi < len(edge) - 1 and edge[hi + 1] - edge[lo] <= GROUP_RUNS:
-                hi += 1
-            at = order[edge[lo] : edge[hi]]
-            lo = hi
-            texts = t.column(5).take(pa.array(at)).to_pylist()
-            some = holds_repeat(texts, length)
-            at, texts = at[some], [x for x, keep in zip(texts, some) if keep]
-            if not texts:
-                continue
-            run, start, n = repeated(doc[at], th[at], a[at], texts, length)
-            notes_ = np.zeros(len(run), NOTE)
-            notes_["a"], notes_["n"] = a[at][run] + start, n
-            d, tt, packed = by_document(doc[at][run], th[at][run], notes_)
-            yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(tt, pa.int64()), pa.array(packed, pa.binary())], names=["doc", "th", "notes"])
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    text = F.coalesce(docs[text_col], F.lit(""))
+    return docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("th"), text.alias("text"))
 
-    found = notes.unionByName(cut_runs(1, False).repartition(parts, "bucket").mapInArrow(lean(compare), FOUND))
-    if has(2).limit(1).count():
-        rows = cut_runs(2, True)
-        first = rows.groupBy("w").agg(F.min(F.struct("doc", "th", "a")).alias("first"), F.count("*").alias("n")).where("n > 1")
-        later = rows.join(first.hint("merge"), "w").where(F.struct("doc", "th", "a") != F.col("first"))
 
-        def note(batches):
-            for b in batches:
-                x = np.zeros(b.num_rows, NOTE)
-                x["a"], x["n"] = b.column(2).to_numpy(), length
-                d, t, packed = by_document(b.column(0).to_numpy(), b.column(1).to_numpy(), x)
-                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(packed, pa.binary())], names=["doc", "th", "notes"])
+def find_repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, hot: int = HOT, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """texts: doc, th, text (no nulls) -> doc, th, spans (a list of packed ones) of every occurrence of a repeat but its first."""
+    notes = stored(notes_by_document(texts, length, gram, crowd, hot), "substring-notes")
+    return compared(stretches(texts, notes, length, True), length, group_bytes, False).groupBy("doc", "th").agg(F.collect_list("spans").alias("spans"))
 
-        found = found.unionByName(later.select("doc", "th", "a").mapInArrow(lean(note), FOUND))
-    return per_doc(found), docs
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """The maximal repeats of at least `length` bytes with all their occurrences: rid (hash of the string), length, doc_id, start.
+
+    Groups are maximal within an owner: a repeat that goes on into another owner's text, or leaves its owner's segment
+    (SEGMENTS), is given in pieces that overlap; those of crowds are given as their strings of `length` bytes.
+    """
+    texts = keyed(docs, id_col, text_col)
+    notes = stored(notes_by_document(texts, length, gram, None, hot), "substring-notes")
+    rows = stored(stretches(texts, notes, length, False), "substring-stretches")
+    places = stored(compared(rows, length, group_bytes, True), "substring-repeats")
+    who = rows.where(F.col("kind") == SHARED).select("sid", "doc", "th", "a").distinct()
+    of_stretch = places.where("sid IS NOT NULL").select("rid", "length", "sid", "at").join(who, "sid").select("rid", "length", "doc", "th", (F.col("a") + F.col("at")).alias("start"))
+    of_crowd = places.where("sid IS NULL").select("rid", "length", "doc", "th", F.col("at").alias("start"))
+    return of_stretch.unionByName(of_crowd).distinct().select("rid", "length", F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "start")
 
 
 def spans_to_cut(blobs: list[bytes]) -> list[tuple[int, int]]:
     """Maximal removed runs of a document, ascending."""
-    x = np.frombuffer(b"".join(blobs), NOTE)
-    x = x[x["kind"] == 0]
+    x = np.frombuffer(b"".join(blobs), SPAN)
     if not len(x):
         return []
-    x = x[np.argsort(x["a"], kind="stable")]
-    a = x["a"].astype(np.int64)
-    stop = np.maximum.accumulate(a + x["n"])
-    new = np.concatenate([[True], a[1:] > stop[:-1]])
-    at = np.flatnonzero(new)
-    return list(zip(a[at].tolist(), stop[np.concatenate([at[1:] - 1, [len(a) - 1]])].tolist()))
-
-
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    text = F.coalesce(docs[text_col], F.lit(""))
-    return docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("th"), text.alias("text"))
+    _, _, packed = found(np.zeros(len(x), np.int64), np.zeros(len(x), np.int64), x["a"], x["n"].astype(np.int64))
+    return [(a, a + n) for a, n in np.frombuffer(packed[0], SPAN).tolist()]
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """One row a document: doc_id, th (text hash), text, spans array<struct<start, stop>> of bytes to remove."""
-    repeats, texts = find_repeats(keyed(docs, id_col, text_col), **how)
-    joined = texts.join(repeats.hint("merge"), ["doc", "th"], "left").select("doc", "th", "text", "notes")
+    texts = keyed(docs, id_col, text_col)
+    joined = texts.join(find_repeats(texts, **how).hint("merge"), ["doc", "th"], "left").select("doc", "th", "text", F.col("spans").alias("blobs"))
     shape = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def spans(batches):
@@ -392,12 +531,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_
     A character of which some bytes go is dropped whole.  Rows of one id and one text take the other columns of one of
     them.  Other columns are shuffled without texts and meet them where the repeats do.
     """
-    repeats, texts = find_repeats(keyed(docs, id_col, text_col), **how)
+    texts = keyed(docs, id_col, text_col)
     others = [c for c in docs.columns if c != text_col]
     text = F.coalesce(docs[text_col], F.lit(""))
     rest = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("th"), F.struct(*[docs[c] for c in others], docs[text_col].isNull().alias("__no_text")).alias("rest"))
     rest = rest.groupBy("doc", "th").agg(F.first("rest").alias("rest"))
-    joined = texts.join(repeats.hint("merge"), ["doc", "th"], "left").join(rest.hint("merge"), ["doc", "th"])
+    joined = texts.join(find_repeats(texts, **how).hint("merge"), ["doc", "th"], "left").join(rest.hint("merge"), ["doc", "th"])
 
     def cut(batches):
         for batch in batches:
@@ -415,7 +554,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_
                 out.append("".join(x.decode("utf-8", "ignore") for x in [*left, data[at:]]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column(2)], names=["text", "rest"])
 
-    left = joined.select("text", "notes", "rest").mapInArrow(lean(cut), T.StructType([T.StructField("text", T.StringType()), T.StructField("rest", rest.schema["rest"].dataType)]))
+    left = joined.select("text", "spans", "rest").mapInArrow(lean(cut), T.StructType([T.StructField("text", T.StringType()), T.StructField("rest", rest.schema["rest"].dataType)]))
     new = F.when(~F.col("rest.__no_text"), F.col("text"))
     columns = []
     for c in docs.columns:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import cmp_to_key
+
 import numpy as np
 
+from .common import Rolling
+
 
 class SuffixArray:
     """Suffix array of an integer sequence with the longest common prefixes of neighbours.
@@ -71,39 +75,163 @@ class SuffixArray:
         return out
 
 
-def intervals(lcp: np.ndarray, least: int):
-    """Stack scan of the common-prefix interval tree: yields (length, left, right) of every interval with length >= least.
+def climb(lcp: list[int], place: list[int], change: list[int], least: int, groups: bool) -> tuple[list[int], list[tuple[int, int, int]]]:
+    """Stack scan of the common-prefix interval tree over sorted suffixes (lcp[i]: of i - 1 and i; below `least` there is no interval).
 
-    An interval is a maximal run sa[left..right] whose suffixes share a prefix of that length; children come before parents.
-    Entries below `least` only end runs, so they are skipped in one step.
+    -> for each suffix the length of the longest string that it shares with an earlier place, or 0; and, if asked for, every
+    maximal repeat as (length, left, right), children before parents.  An interval is right-maximal by construction; it is
+    left-maximal if its occurrences do not all follow the same symbol: `change` counts the changes of that symbol along the
+    suffixes.  Each interval knows its earliest place; where two meet in their parent the later one loses, so every suffix
+    loses once, and the work is linear however deep the tree is.
     """
-    big = lcp >= least
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], big, [False]]).astype(np.int8)))
-    for lo, hi in zip(edge[::2].tolist(), edge[1::2].tolist()):
-        stack: list[tuple[int, int]] = []  # (length, left)
-        for i, v in enumerate(lcp[lo:hi].tolist(), lo):
-            left = i - 1
-            while stack and stack[-1][0] > v:
-                length, left = stack.pop()
-                yield length, left, i - 1
-            if not stack or stack[-1][0] < v:
-                stack.append((v, left))
-        while stack:
-            length, left = stack.pop()
-            yield length, left, hi - 1
-
-
-def maximal_repeats(sa: np.ndarray, lcp: np.ndarray, before: np.ndarray, least: int):
-    """(length, positions) of every maximal repeat of at least `least` symbols, with all its occurrences.
-
-    before[p] is the symbol in front of position p, unique where a text begins.  An interval is right-maximal by
-    construction; it is left-maximal if its occurrences do not all follow the same symbol, which is tested by counting
-    the changes of that symbol along the suffix array.
+    n = len(lcp)
+    lost, out = [0] * n, []
+    stack: list[list[int]] = []  # length, left, earliest
+    for i in range(1, n + 1):
+        v = lcp[i] if i < n else 0
+        left = best = i - 1
+        while stack and stack[-1][0] > v:
+            size, left, other = stack.pop()
+            if place[other] < place[best]:
+                best, other = other, best
+            lost[other] = size
+            if groups and change[i - 1] != change[left]:
+                out.append((size, left, i - 1))
+        if v < least:
+            continue
+        if stack and stack[-1][0] == v:
+            other = stack[-1][2]
+            if place[other] < place[best]:
+                best, other = other, best
+            lost[other] = v
+            stack[-1][2] = best
+        else:
+            stack.append([v, left, best])
+    return lost, out
+
+
+class SparseSuffixes:
+    """Enhanced suffix array of those suffixes of byte strings that can begin a maximal repeat of at least `least` bytes.
+
+    Suffixes with equal first `least` bytes make a block.  Where all of a block follow the same byte, every repeat that
+    begins there begins earlier too, so the block is passed over; the others are sorted and their interval trees climbed.
+    A smaller place in the strings, laid end to end, is an earlier one.  Blocks are found by hash and compared by bytes.
+    later(): for each suffix that shares `least` bytes or more with an earlier one, the longest such string.
+    repeats: (length, places) of every maximal repeat, if groups are asked for.
     """
-    if not len(sa):
-        return
-    front = before[sa]
-    change = np.concatenate([[0], np.cumsum(front[1:] != front[:-1])])
-    for length, left, right in intervals(lcp, least):
-        if change[right] != change[left]:
-            yield length, sa[left : right + 1]
+
+    SHORT = 512  # bytes that a block is sorted by first
+
+    def __init__(self, texts: list[bytes], least: int, groups: bool = False, window: int = 1 << 20, most: int = 8 << 20):
+        self.least, self.groups, self.window = least, groups, window
+        self.data = b"".join(texts)
+        size = np.array([len(t) for t in texts], np.int64)
+        self.stop = np.cumsum(size)
+        self.begin = self.stop - size
+        self.repeats: list[tuple[int, list[int]]] = []
+        self._at: list[int] = []
+        self._n: list[int] = []
+        passes = -(-len(self.data) // most)
+        for k in range(passes):  # blocks by a share of their hashes, so that memory is bounded
+            self._blocks(k, passes)
+
+    def _blocks(self, k: int, passes: int) -> None:
+        data, powers = np.frombuffer(self.data, np.uint8), {}
+        hashes, places = [], []
+        for lo in range(0, len(data), self.window):
+            at = np.arange(lo, min(lo + self.window, len(data)))
+            at = at[self.stop[np.searchsorted(self.begin, at, "right") - 1] - at >= self.least]
+            if len(at):
+                h = Rolling(data[lo : int(at[-1]) + self.least], 0xC2B2AE3D27D4EB4F, powers).of(at - lo, at - lo + self.least)
+                if passes > 1:
+                    mine = h % np.uint64(passes) == k
+                    h, at = h[mine], at[mine]
+                hashes.append(h)
+                places.append(at)
+        if not hashes:
+            return
+        h, at = np.concatenate(hashes), np.concatenate(places)
+        order = np.argsort(h, kind="stable")  # places of a block ascend
+        h, at = h[order], at[order]
+        same = h[1:] == h[:-1]
+        two = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        h, at = h[two], at[two]
+        if not len(h):
+            return
+        head = np.concatenate([[True], h[1:] != h[:-1]])
+        first = np.flatnonzero(head)
+        block = np.cumsum(head) - 1
+        run = np.searchsorted(self.begin, at, "right") - 1
+        front = np.where(self.begin[run] == at, -1 - run, data[at - 1])  # a string's begin differs from all
+        diverse = np.logical_or.reduceat(front != front[first][block], first)
+        go = diverse[block]
+        size = np.diff(np.append(first, len(at)))[diverse].tolist()
+        at, end, front = at[go].tolist(), self.stop[run[go]].tolist(), front[go].tolist()
+        i = 0
+        for n in size:
+            self._block(at[i : i + n], end[i : i + n], front[i : i + n])
+            i += n
+
+    def _common(self, x: int, y: int, most: int) -> int:
+        """Bytes that the suffixes at x and y share, `most` at most: longer and longer pieces are compared, then halves."""
+        data, n, step = self.data, 0, 128
+        while n < most:
+            size = min(step, most - n)
+            if data[x + n : x + n + size] == data[y + n : y + n + size]:
+                n += size
+                step *= 2
+                continue
+            while size > 1:
+                half = size // 2
+                if data[x + n : x + n + half] == data[y + n : y + n + half]:
+                    n += half
+                    size -= half
+                else:
+                    size = half
+            return n
+        return most
+
+    def _block(self, at: list[int], end: list[int], front: list[int]) -> None:
+        if len(at) == 2:
+            n = self._common(at[0], at[1], min(end[0] - at[0], end[1] - at[1]))
+            if n >= self.least:
+                self._at.append(at[1])
+                self._n.append(n)
+                if self.groups:
+                    self.repeats.append((n, at))
+            return
+        data, short, common = self.data, self.SHORT, self._common
+        keys = [data[p : min(p + short, e)] for p, e in zip(at, end)]
+        order = sorted(range(len(at)), key=keys.__getitem__)
+
+        def compare(i: int, j: int) -> int:
+            m = min(end[i] - at[i], end[j] - at[j])
+            n = common(at[i], at[j], m)
+            return (end[i] - at[i]) - (end[j] - at[j]) if n == m else data[at[i] + n] - data[at[j] + n]
+
+        lo = 0
+        for hi in range(1, len(order) + 1):  # those that are equal so far, by all their bytes
+            if hi == len(order) or keys[order[hi]] != keys[order[lo]]:
+                if hi - lo > 1 and len(keys[order[lo]]) == short:
+                    order[lo:hi] = sorted(order[lo:hi], key=cmp_to_key(compare))
+                lo = hi
+        lcp = [0] + [common(at[i], at[j], min(end[i] - at[i], end[j] - at[j])) for i, j in zip(order, order[1:])]
+        change = [0]
+        for i, j in zip(order, order[1:]):
+            change.append(change[-1] + (front[i] != front[j]))
+        places = [at[i] for i in order]
+        lost, found = climb(lcp, places, change, self.least, self.groups)
+        for p, n in zip(places, lost):
+            if n:
+                self._at.append(p)
+                self._n.append(n)
+        self.repeats += [(n, places[a : b + 1]) for n, a, b in found]
+
+    def place(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(string, place in it)."""
+        run = np.searchsorted(self.begin, at, "right") - 1
+        return run, at - self.begin[run]
+
+    def later(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(string, place in it, length)."""
+        return *self.place(np.array(self._at, np.int64)), np.array(self._n, np.int64)

@@ -248,15 +248,44 @@ def test_suffix_array_against_sorting():
         assert arr.sa.tolist() == want
         lcp = [0] + [next((k for k in range(len(key)) if max(a, b) + k >= len(key) or key[a + k] != key[b + k])) for a, b in zip(want, want[1:])]
         assert arr.lcp().tolist() == lcp
-        text = key.tolist()
-        maximal = set()
-        for n in range(2, len(text)):
-            for i in range(len(text) - n + 1):
-                at = [j for j in range(len(text) - n + 1) if text[j : j + n] == text[i : i + n]]
-                if len(at) > 1 and len({text[j - 1] if j else -1 for j in at}) > 1 and len({text[j + n] if j + n < len(text) else -1 for j in at}) > 1:
-                    maximal.add((n, tuple(at)))
-        before = np.concatenate([[-1], key[:-1]])
-        assert {(n, tuple(sorted(p.tolist()))) for n, p in suffix.maximal_repeats(arr.sa, arr.lcp(), before, 2)} == maximal
+
+
+def brute_repeats(strings, least):
+    """{(string, its places as (number, start))} of the maximal repeats of byte strings."""
+    where = {}
+    for k, t in enumerate(strings):
+        for i in range(len(t)):
+            for j in range(i + least, len(t) + 1):
+                where.setdefault(t[i:j], []).append((k, i))
+    out = set()
+    for w, at in where.items():
+        if len(at) > 1:
+            left = {strings[k][i - 1] if i else (k,) for k, i in at}
+            right = {strings[k][i + len(w)] if i + len(w) < len(strings[k]) else (k, 1) for k, i in at}
+            if len(left) > 1 and len(right) > 1:
+                out.add((w, tuple(at)))
+    return out
+
+
+@pytest.mark.parametrize("most", [1 << 20, 40])
+@pytest.mark.parametrize("short", [512, 6])
+def test_sparse_suffixes(most, short, monkeypatch):
+    monkeypatch.setattr(suffix.SparseSuffixes, "SHORT", short)
+    rnd = random.Random(6)
+    for _ in range(60):
+        strings = [bytes(rnd.choice(b"ab" if rnd.random() < 0.5 else b"abcd") for _ in range(rnd.randrange(4, 60))) for _ in range(rnd.randrange(1, 5))]
+        arr = suffix.SparseSuffixes(strings, 4, groups=True, window=rnd.choice([5, 50, 1 << 20]), most=most)
+        got = set()
+        for n, at in arr.repeats:
+            run, i = arr.place(np.array(sorted(at)))
+            got.add((strings[run[0]][i[0] : i[0] + n], tuple(zip(run.tolist(), i.tolist()))))
+        assert got == brute_repeats(strings, 4) and len(got) == len(arr.repeats)
+        # the suffixes that begin at a block's border lose the longest string that they share with an earlier place
+        whole = b"".join(strings)
+        for r, i, n in zip(*[x.tolist() for x in arr.later()]):
+            p = int(arr.begin[r]) + i
+            best = max((next(k for k in range(len(whole)) if q + k >= arr.stop[qr] or p + k >= arr.stop[r] or whole[q + k] != whole[p + k]) for qr in range(len(strings)) for q in range(int(arr.begin[qr]), int(arr.stop[qr])) if q < p), default=0)
+            assert n == best
 
 
 # --- 4 ---
@@ -337,29 +366,39 @@ def brute_dedup(rows, length):
     return result
 
 
-@pytest.mark.parametrize("hot", [substrings.HOT, 1])
-def test_substring_dedup(spark, hot):
-    rnd = random.Random(7)
+def brute_spans(rows, length):
+    """{id: spans of bytes covered by a string of `length` bytes that also starts earlier}; rows in order of distinct ids."""
+    want, seen = {}, set()
+    for i, t in rows:
+        b, cut = t.encode(), bytearray(len(t.encode()))
+        for j in range(len(b) - length + 1):
+            if b[j : j + length] in seen:
+                cut[j : j + length] = b"\1" * length
+            seen.add(b[j : j + length])
+        want[i] = [(m.start(), m.end()) for m in re.finditer(b"\1+", bytes(cut))]
+    return want
+
+
+def repetitive(n=120, seed=7):
+    rnd = random.Random(seed)
     base = ["".join(rnd.choice("abé \n") for _ in range(rnd.randrange(90, 300))) for _ in range(8)]
     rows = []
-    for i in range(120):
+    for i in range(n):
         parts = []
         for _ in range(rnd.randrange(5)):
             p, k = rnd.choice(base), rnd.random()
             a = rnd.randrange(len(p))
             parts.append(p if k < 0.3 else p[a:] if k < 0.5 else p[:a] if k < 0.7 else "".join(rnd.choice("abé") for _ in range(40)) if k < 0.9 else "ab" * rnd.randrange(150))
         rows.append((i, "".join(parts)))
+    return rows
+
+
+@pytest.mark.parametrize("how", [{}, {"hot": 1}, {"crowd": 2}, {"crowd": 2, "hot": 3, "group_bytes": 300}])
+def test_substring_dedup(spark, how):
+    rows = repetitive()
     d = spark.createDataFrame(rows, "doc_id long, text string")
-    want = {}
-    seen = set()
-    for i, t in rows:
-        b, cut = t.encode(), bytearray(len(t.encode()))
-        for j in range(len(b) - 99):
-            if b[j : j + 100] in seen:
-                cut[j : j + 100] = b"\1" * 100
-            seen.add(b[j : j + 100])
-        want[i] = [(m.start(), m.end()) for m in re.finditer(b"\1+", bytes(cut))]
-    out = substrings.removed(d, hot=hot)
+    want = brute_spans(rows, 100)
+    out = substrings.removed(d, **how)
     assert {r.doc_id: [tuple(s) for s in r.spans] for r in out.collect()} == want
     for r in substrings.digest(out).collect():
         b = rows[r.doc_id][1].encode()
@@ -367,15 +406,67 @@ def test_substring_dedup(spark, hot):
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest() and r.n_removed == len(b) - len(kept) and r.n_spans == len(want[r.doc_id])
 
 
-@pytest.mark.parametrize("length", [20, 50, 100])
-def test_repeats_are_exact_at_any_length(length):
+@pytest.mark.parametrize("parts", [1, 3, 13])
+def test_substring_dedup_in_any_layout(spark, parts):
+    """Crowds of copies, near copies and one line in many texts, dealt over other numbers of partitions."""
+    rnd = random.Random(parts)
+    some = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    copy, line = some(1500), some(130)
+    rows = [(i, copy) for i in range(60)]
+    rows += [(i, copy[: (k := rnd.randrange(1400))] + some(3) + copy[k + 3 :]) for i in range(60, 120)]
+    rows += [(i, some(rnd.randrange(200)) + line + some(rnd.randrange(200))) for i in range(120, 220)]
+    rows.append((220, "\n".join([line] * 40)))
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        out = substrings.removed(spark.createDataFrame(rnd.sample(rows, len(rows)), "doc_id long, text string").repartition(parts), crowd=5, hot=20)
+        assert {r.doc_id: [tuple(s) for s in r.spans] for r in out.collect()} == brute_spans(rows, 100)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
+@pytest.mark.parametrize("length", [40, 50, 100])
+def test_repeats_are_exact_at_any_length(spark, length):
     rnd = random.Random(8)
-    some = lambda n: bytes(rnd.randrange(97, 123) for _ in range(n))
-    for more in range(9):
+    some = lambda n: "".join(chr(rnd.randrange(97, 123)) for _ in range(n))
+    rows, want = [], {}
+    for more in range(-1, 9):
         both = some(length + more)
-        runs = [some(11) + b"1" + both + b"2" + some(5), some(30) + b"3" + both + b"4" + some(9)]
-        run, at, n = substrings.repeated(np.array([1, 2]), np.array([0, 0]), np.array([0, 0]), runs, length)
-        assert (run.tolist(), at.tolist(), n.tolist()) == ([1], [31], [length + more])
+        rows += [(2 * more, some(11) + "1" + both + "2" + some(length)), (2 * more + 1, some(30) + "3" + both + "4" + some(length))]
+        want |= {2 * more: [], 2 * more + 1: [(31, 31 + length + more)] if more >= 0 else []}
+    got = substrings.removed(spark.createDataFrame(rows, "doc_id long, text string"), length=length)
+    assert {r.doc_id: [tuple(s) for s in r.spans] for r in got.collect()} == want
+
+
+def test_a_long_passage_is_one_repeat(spark):
+    rnd = random.Random(9)
+    some = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
+    passage, whole = some(5000), some(700)
+    rows = [(i, some(50 * i) + str(i) + passage + str(i) + some(90)) for i in range(5)] + [(5, whole), (6, whole), (7, some(300) + "!" + passage[1000:1400] + "!" + some(300))]
+    found = substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    groups = {}
+    for r in found:
+        groups.setdefault((r.rid, r.length), set()).add((r.doc_id, r.start))
+    by_length = {n: at for (_, n), at in groups.items()}
+    assert by_length == {5000: {(i, 50 * i + 1) for i in range(5)}, 700: {(5, 0), (6, 0)}, 400: {(i, 50 * i + 1001) for i in range(5)} | {(7, 301)}}
+
+
+def test_repeats_against_brute_force(spark):
+    rows = repetitive(40, 3)
+    texts_ = [t.encode() for _, t in rows]
+    got = {}
+    for r in substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=60, gram=16).collect():
+        got.setdefault((r.rid, r.length), set()).add((r.doc_id, r.start))
+    for (_, n), at in got.items():  # every group holds all places of one string
+        w = {texts_[i][a : a + n] for i, a in at}
+        assert len(w) == 1
+        w = w.pop()
+        assert at == {(i, m.start()) for i, t in enumerate(texts_) for m in re.finditer(b"(?=" + re.escape(w) + b")", t)}
+    cut = {}
+    for at_n, at in got.items():
+        for i, a in sorted(at)[1:]:
+            cut.setdefault(i, set()).update(range(a, a + at_n[1]))
+    assert {i: c for i, c in cut.items()} == {i: {x for a, b in s for x in range(a, b)} for i, s in brute_spans(rows, 60).items() if s}
 
 
 def test_substring_cases(spark, docs):
