@@ -5,10 +5,13 @@ and it may follow the last token of the encoding of what stands before it.  The
 holds the tokens already fixed (only the last matters) and, for each earlier place from which a token could still reach
 the present one, a node of the token trie and the tokens pending up to that place.  Tokens that all live places share are
 emitted, which happens after a bounded lookahead, as no place lives longer than the longest token.  Transitions are made
-when first met and kept; a pair of tokens is tested
-once, by undoing the merges beside their boundary.
+when first met.  Their number is bounded: when a generation of states is full it becomes the old one and a new one begins,
+which takes over from the old what is still met; what is not goes with it.  A pair of tokens is tested once, by undoing
+the merges beside their boundary.
 
-Decoding.  Ids give bytes; an incremental UTF-8 automaton keeps the bytes of an unfinished character between chunks.
+Decoding.  An incremental UTF-8 automaton reads the ids' bytes one at a time and keeps the value and the bounds of an
+unfinished character between ids and chunks.  Ids whose bytes take it from its start to its start are known beforehand, by
+the same automaton, and give their characters at once.
 """
 
 from __future__ import annotations
@@ -27,8 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import filled, kept_in_worker, lean, slices, table
 
-#: Bounds of one worker's memory: remembered pieces, and transitions made.  Beyond them pieces are encoded without being kept.
-MAX_PIECES = 350_000
+#: Bounds of one worker's memory: pieces, transitions and pairs remembered in a generation; two generations are kept.
+MAX_PIECES = 200_000
 MAX_TRANSITIONS = 150_000
 MAX_PAIRS = 500_000
 _FIRST, _SECOND = itemgetter(0), itemgetter(1)
@@ -39,6 +42,16 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+class State:
+    """Tokens fixed so far (the last of them), live places, and the transitions made from here."""
+
+    __slots__ = ("anchor", "places", "next")
+
+    def __init__(self, anchor: int, places: tuple):
+        self.anchor, self.places = anchor, places
+        self.next: dict[int, tuple[State, tuple[int, ...]]] = {}
+
+
 class Transducer:
     """Encodes one piece of bytes at a time by `ranks`."""
 
@@ -63,12 +76,20 @@ class Transducer:
         self.proper: dict[int, bool] = {}
         self.pairs: dict[int, bool] = {}
         self.split: dict[int, tuple[int, int]] = {}
-        self._reset()
+        self.young: dict[tuple, State] = {}
+        self.turn()
 
-    def _reset(self) -> None:
-        self.ids = {(-1, ((0, ()),)): 0}
-        self.states = [(-1, ((0, ()),))]
-        self.move: dict[int, tuple[int, tuple[int, ...]]] = {}
+    def turn(self) -> None:
+        """Begin a generation of states."""
+        self.old, self.young, self.made = self.young, {}, 0
+        self.start = self._state(-1, ((0, ()),))
+
+    def _state(self, anchor: int, places: tuple) -> State:
+        key = (anchor, places)
+        got = self.young.get(key)
+        if got is None:
+            got = self.young[key] = State(anchor, places)
+        return got
 
     def merge(self, piece: bytes, until: int = 1) -> list[int]:
         """The definition: merge the adjacent pair of the lowest rank, leftmost first, until none or `until` parts are left."""
@@ -128,18 +149,31 @@ class Transducer:
             self.pairs[key] = self._follows(before, token)
         return self.pairs[key]
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        anchor, places = self.states[state]
+    def _step(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
+        """A transition: taken over from the old generation, or made."""
+        if self.made >= self.most:
+            self.turn()
+        self.made += 1
+        before = self.old.get((state.anchor, state.places))
+        got = before.next.get(byte) if before is not None else None
+        if got is not None:
+            got = state.next[byte] = (self._state(got[0].anchor, got[0].places), got[1])
+            return got
+        child, token, pairs, anchor = self.child, self.token, self.pairs, state.anchor
         alive, chain = [], None
-        for node, pending in places:
-            nxt = self.child.get(node << 8 | byte)
+        for node, pending in state.places:
+            nxt = child.get(node << 8 | byte)
             if nxt is None:
                 continue
             if self.inner[nxt]:
                 alive.append((nxt, pending))
-            t = self.token[nxt]
-            if chain is None and t >= 0 and self._allowed(pending[-1] if pending else anchor, t):
-                chain = (*pending, t)
+            if chain is None:
+                t = token[nxt]
+                if t >= 0:
+                    last = pending[-1] if pending else anchor
+                    ok = pairs.get(last << 32 | t)
+                    if self._allowed(last, t) if ok is None else ok:
+                        chain = (*pending, t)
         if chain is None:
             raise ValueError("the vocabulary lacks a byte")
         alive.append((0, chain))
@@ -149,94 +183,43 @@ class Transducer:
             if n == len(chain):
                 break
         out = chain[:n]
-        key = (out[-1] if out else anchor, tuple((node, p[n:]) for node, p in alive))
-        to = self.ids.get(key)
-        if to is None:
-            to = self.ids[key] = len(self.states)
-            self.states.append(key)
-        return to, out
-
-    def run(self, piece: bytes) -> list[int]:
-        """The same result without making states: longest tokens first, going back where none may follow.
-
-        A place is reached by the one encoding of what stands before it, so no place is tried twice.
-        """
-        child, token, pairs, allowed, n = self.child, self.token, self.pairs, self._allowed, len(piece)
-        ends: list[list[tuple[int, int]]] = []  # of each place on the way: tokens that begin there, the longest last
-        out, tried, i = [], set(), 0
-        while True:
-            here, node = [], 0
-            for j in range(i, n):
-                node = child.get(node << 8 | piece[j])
-                if node is None:
-                    break
-                if token[node] >= 0:
-                    here.append((token[node], j + 1))
-            ends.append(here)
-            while True:
-                here = ends[-1]
-                if not here:
-                    ends.pop()
-                    out.pop()
-                    continue
-                t, j = here.pop()
-                if j in tried:
-                    continue
-                before = out[-1] if out else -1
-                ok = pairs.get(before << 32 | t) if out else None
-                if allowed(before, t) if ok is None else ok:
-                    break
-            out.append(t)
-            if j == n:
-                return out
-            tried.add(j)
-            i = j
+        got = state.next[byte] = (self._state(out[-1] if out else anchor, tuple([(node, p[n:]) for node, p in alive])), out)
+        return got
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
         out: list[int] = []
-        state, move = 0, self.move
+        state = self.start
         for b in piece:
-            key = state << 8 | b
-            got = move.get(key)
-            if got is None:
-                if len(move) >= self.most:
-                    return self.run(piece)
-                got = move[key] = self._step(state, b)
-            state = got[0]
-            if got[1]:
-                out += got[1]
-        for node, pending in reversed(self.states[state][1]):
-            if node == 0:
-                out += pending
-                break
+            got = state.next.get(b)
+            state, fixed = self._step(state, b) if got is None else got
+            if fixed:
+                out += fixed
+        out += state.places[-1][1]  # the place at the end, where all before it is encoded
         return out
 
 
 class Pieces(dict):
-    """Remembered pieces: 'id id ...' and packed ids.  A missing piece is encoded and taken in until the memory is full.
-
-    If a full memory then misses four times as often as it holds pieces, it is emptied, so that it follows a change of
-    language.
-    """
+    """Remembered pieces: 'id id ...' and packed ids.  A full generation becomes the old one, from which pieces that are met
+    again come back, so the memory follows a change of language."""
 
     def __init__(self, fst: Transducer, most: int):
         super().__init__()
-        self.fst, self.most, self.missed = fst, most, 0
+        self.fst, self.most = fst, most
+        self.old: dict[str, tuple[str, bytes]] = {}
 
     def __missing__(self, piece: str) -> tuple[str, bytes]:
-        ids = self.fst.encode(piece.encode())
-        got = (" ".join(map(str, ids)), struct.pack(f"<{len(ids)}I", *ids))
-        if len(self) < self.most:
-            if len(piece) <= 64:
-                self[piece] = got
-        else:
-            self.missed += 1
-            if self.missed > 4 * self.most:
-                self.missed = 0
+        got = self.old.get(piece)
+        if got is None:
+            ids = self.fst.encode(piece.encode())
+            got = (" ".join(map(str, ids)), struct.pack(f"<{len(ids)}I", *ids))
+        if len(piece) <= 64:
+            if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
+            self[piece] = got
         return got
 
 
@@ -263,47 +246,78 @@ class TextEncoder:
 
 
 class Utf8Stream:
-    """Incremental UTF-8 automaton over chunks of bytes: feed() gives the finished characters, close() checks the end.
+    """Incremental UTF-8 automaton: feed() gives the characters that a chunk of bytes finishes, close() checks the end.
 
-    Its state between chunks is the unfinished character's bytes, at most three.
+    State: continuation bytes still to come, the bounds of the next one (which exclude overlong forms, surrogates and values
+    beyond U+10FFFF), and the value so far.
     """
 
-    NEED = np.zeros(256, np.int8)  # continuation bytes that a lead byte asks for; -1: not a lead byte
-    NEED[0x80:0xC2], NEED[0xC2:0xE0], NEED[0xE0:0xF0], NEED[0xF0:0xF5], NEED[0xF5:] = -1, 1, 2, 3, -1
+    __slots__ = ("need", "low", "high", "value")
 
     def __init__(self) -> None:
-        self.rest = b""
+        self.need, self.low, self.high, self.value = 0, 0x80, 0xBF, 0
 
     def feed(self, chunk: bytes) -> str:
-        data = self.rest + chunk
-        keep = 0
-        for back in range(1, min(3, len(data)) + 1):
-            need = int(self.NEED[data[-back]])
-            if need >= 0:  # a lead byte, or ASCII
-                keep = back if need >= back else 0
-                break
-        self.rest = data[len(data) - keep :]
-        return data[: len(data) - keep].decode("utf-8")
+        if not self.need and chunk.isascii():
+            return str(chunk, "ascii")
+        need, low, high, value, out = self.need, self.low, self.high, self.value, []
+        for b in chunk:
+            if need:
+                if not low <= b <= high:
+                    raise ValueError("a character is broken")
+                value, need, low, high = value << 6 | b & 0x3F, need - 1, 0x80, 0xBF
+                if not need:
+                    out.append(value)
+            elif b < 0x80:
+                out.append(b)
+            elif 0xC2 <= b < 0xE0:
+                need, value = 1, b & 0x1F
+            elif 0xE0 <= b < 0xF0:
+                need, value, low, high = 2, b & 0x0F, 0xA0 if b == 0xE0 else 0x80, 0x9F if b == 0xED else 0xBF
+            elif 0xF0 <= b < 0xF5:
+                need, value, low, high = 3, b & 0x07, 0x90 if b == 0xF0 else 0x80, 0x8F if b == 0xF4 else 0xBF
+            else:
+                raise ValueError("no character begins so")
+        self.need, self.low, self.high, self.value = need, low, high, value
+        return "".join(map(chr, out))
 
     def close(self) -> None:
-        if self.rest:
+        if self.need:
             raise ValueError("the text ends within a character")
 
 
-def decode(ids, vocabulary: list[bytes], chunk: int = 8192):
+class Vocabulary:
+    """Bytes of each id, and the characters of those ids that leave the automaton where they found it, at its start."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        size = max(ranks.values(), default=-1) + 1
+        self.data, self.whole = [b""] * size, [None] * size
+        for data, i in ranks.items():
+            self.data[i] = data
+            stream = Utf8Stream()
+            try:
+                text = stream.feed(data)
+            except ValueError:
+                continue
+            self.whole[i] = text if not stream.need else None
+
+
+def decode(ids, vocabulary: Vocabulary, chunk: int = 8192):
     """The decoded text in parts, as ids stream in."""
     stream = Utf8Stream()
+    whole, data, feed = vocabulary.whole, vocabulary.data, stream.feed
     for i in range(0, len(ids), chunk):
-        yield stream.feed(b"".join(map(vocabulary.__getitem__, ids[i : i + chunk])))
+        part = ids[i : i + chunk]
+        texts = [whole[t] for t in part]
+        if stream.need or None in texts:
+            texts = [text if text is not None and not stream.need else feed(data[t]) for t, text in zip(part, texts)]
+        yield "".join(texts)
     stream.close()
 
 
-def build(path: str, pattern: str) -> tuple[TextEncoder, list[bytes]]:
+def build(path: str, pattern: str) -> tuple[TextEncoder, Vocabulary]:
     ranks = load_ranks(path)
-    vocabulary = [b""] * (max(ranks.values()) + 1)
-    for k, v in ranks.items():
-        vocabulary[v] = k
-    return TextEncoder(ranks, pattern), vocabulary
+    return TextEncoder(ranks, pattern), Vocabulary(ranks)
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
