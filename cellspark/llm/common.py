@@ -163,6 +163,22 @@ class Rolling:
             return u64_mix((self.sums[stop] - self.sums[start]) * self.up[start])
 
 
+def by_key(batches, key: int, value: int):
+    """(key, values) of runs of equal keys in rows that come sorted; rows without a value are left out."""
+    now, held = None, []
+    for batch in batches:
+        for k, v in zip(batch.column(key).to_pylist(), batch.column(value).to_pylist()):
+            if v is None:
+                continue
+            if k != now and held:
+                yield now, held
+                held = []
+            now = k
+            held.append(v)
+    if held:
+        yield now, held
+
+
 def _home() -> types.ModuleType:
     return sys.modules.setdefault("_cellspark_worker", types.ModuleType("_cellspark_worker"))
 

@@ -10,24 +10,30 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
+def _lowest(tied: DataFrame, low: DataFrame) -> DataFrame:
+    """Each row's node met with the node's lowest: both sides are plain tables, so the rows of a star's centre can be split."""
+    return tied.join(stored(low, "components-low").hint("merge"), "a")
+
+
 def _large(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours are tied to the smallest of its neighbours and itself."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
-    return both.where("b > a").join(low.hint("merge"), "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a != b").distinct()
+    return _lowest(both.where("b > a"), low).select(F.col("b").alias("a"), F.col("low").alias("b")).where("a != b").distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are tied to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     low = down.groupBy("a").agg(F.min("b").alias("low"))
-    tied = down.join(low.hint("merge"), "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a != b")
+    tied = _lowest(down, low).select(F.col("b").alias("a"), F.col("low").alias("b")).where("a != b")
     return tied.unionByName(low.select("a", F.col("low").alias("b"))).distinct()
 
 
 def _state(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("s")).first()
-    return r["n"], r["s"]
+    """Number of edges and 128 bits of hash over them as a set."""
+    r = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"), F.bit_xor(F.xxhash64("b", "a", F.lit(1))).alias("y")).first()
+    return r["n"], r["x"], r["y"]
 
 
 def connected_components(edges: DataFrame, rounds: int | None = None) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Rolling, filled, lean, raw, slices, stored, table, u64_mix, word_spans
+from .common import Rolling, by_key, filled, lean, raw, slices, stored, table, u64_mix, word_spans
 from .components import connected_components
 
 WORDS = 5
@@ -41,6 +41,8 @@ AGREE = 0.6
 TILE = 1024
 _BASE = 0xD6E8FEB86659FD93
 SPAN = 8192
+#: Buckets of the forest that a partition is read in.
+FINE = 3
 LEAF = np.dtype([("key", "<u8"), ("hi", "<u8"), ("lo", "<u8")])
 
 
@@ -178,6 +180,7 @@ def tie(start: np.ndarray, side: np.ndarray, low: np.ndarray, block: int = 1024,
 def families(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, span: int = SPAN) -> DataFrame:
     """classes: cid, sig -> node, component: families of classes that may hold similar ones."""
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fine = parts * FINE
     d = depth_for(NUM / DEN, trees, depth, TARGET)
 
     def leaves(batches):
@@ -193,18 +196,17 @@ def families(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, span: i
             rec["key"] = key.ravel()
             cid = np.frombuffer(b"".join(batch.column(0).to_pylist()), ">u8").reshape(-1, 2)
             rec["hi"], rec["lo"] = np.repeat(cid[:, 0], trees), np.repeat(cid[:, 1], trees)
-            bucket = (rec["key"] % np.uint64(parts)).astype(np.int64)
+            bucket = (rec["key"] % np.uint64(fine)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             rec, bucket = rec[order], bucket[order]
             cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
             yield pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int32()), pa.array([rec[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(rec)])], pa.binary())], names=["bucket", "leaves"])
 
     def crowds(batches):
-        held = [np.frombuffer(x, LEAF) for b in batches for x in b.column(1).to_pylist()]
-        if not held:
-            return
-        rec = np.concatenate(held)
-        held.clear()
+        for _, blobs in by_key(batches, 0, 1):  # rows come sorted by bucket
+            yield from crowds_in(np.frombuffer(b"".join(blobs), LEAF))
+
+    def crowds_in(rec: np.ndarray):
         order = np.argsort(rec["key"], kind="stable")
         same = rec["key"][order][1:] == rec["key"][order][:-1]
         rec = rec[order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]]
@@ -266,7 +268,7 @@ def families(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, span: i
         if held is not None:
             yield ties(held[0], np.zeros(1, np.int64), held[3], held[2])
 
-    met = classes.select("cid", "sig").mapInArrow(lean(leaves), "bucket int, leaves binary").repartition(parts, "bucket").mapInArrow(lean(crowds), "x binary, y binary").distinct()
+    met = classes.select("cid", "sig").mapInArrow(lean(leaves), "bucket int, leaves binary").repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(crowds), "x binary, y binary").distinct()
     small = classes.select("cid", "sig").mapInArrow(lean(low_bytes), "cid binary, low binary")
     wide = met.mapInArrow(lean(members), "cid binary, crowd binary, side int").join(small.hint("merge"), "cid").select("cid", "crowd", "side", "low")
     return connected_components(wide.repartition(parts, "crowd").sortWithinPartitions("crowd", "side", "cid").mapInArrow(lean(alike), "a binary, b binary"))

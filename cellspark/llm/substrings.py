@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Rolling, lean, raw, slices, stored, table, u64_mix
+from .common import Rolling, by_key, lean, raw, slices, stored, table, u64_mix
 from .suffix import SparseSuffixes
 
 LENGTH = 100
@@ -158,22 +158,6 @@ def _batch(names: list[str], *cols: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(cols), names=names)
 
 
-def by_key(batches, key: int, value: int):
-    """(key, values) of runs of equal keys in rows that come sorted; rows without a value are left out."""
-    now, held = None, []
-    for batch in batches:
-        for k, v in zip(batch.column(key).to_pylist(), batch.column(value).to_pylist()):
-            if v is None:
-                continue
-            if k != now and held:
-                yield now, held
-                held = []
-            now = k
-            held.append(v)
-    if held:
-        yield now, held
-
-
 # --- 1, 2: anchors --------------------------------------------------------------------------------------------------
 
 
