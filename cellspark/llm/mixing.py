@@ -35,7 +35,7 @@ def draw(doc_id: F.Column, seed: str) -> F.Column:
 def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """One row a source from (source key, size): __mix_source, source_size, target.
 
-    Sources are ranked by code point.  Targets fill like water: those whose share would pass `most` times their size stop
+    Sources are ranked by code point.  Targets fill like water, in one pass: those whose share would pass `most` times their size stop
     there and the excess is dealt to the others by weight.  Everything here is one row a source; ranks and running sums
     are taken in ranges of sources, so no task needs all of them.
     """
@@ -54,21 +54,21 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     rank = F.row_number().over(Window.partitionBy("__part").orderBy(F.col(_KEY).asc_nulls_last())) - 1 + base[F.col("__part")]
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (rank % len(weights) + 1).cast("int"))
     ranked = stored(ranged.withColumn("__w", w).drop("__part"), "mix-ranked")
-    # each round fixes the sources above their cap, as their share only grows afterwards
-    full = F.lit(False)
-    level = 0.0
-    while True:
-        open_ = F.col("__w").isNotNull() & ~full
-        got = ranked.agg(F.sum("source_size").alias("all"), F.sum(F.when(full, F.col("source_size")).otherwise(0)).alias("capped"), F.sum(F.when(open_, F.col("__w")).otherwise(0.0)).alias("w")).first()
-        if not got["w"]:
-            break
-        level = (share * float(got["all"]) - most * float(got["capped"])) / got["w"]
-        now = F.col("__w") * F.lit(level) > most * F.col("source_size").cast("double")
-        if not ranked.filter(now & ~full).limit(1).count():
-            break
-        full = now
+    # Sources are filled in order of size by weight.  With the first k of them at their caps the level of the others is
+    # (what is left) / (their weight); it rises as long as the next source is above its cap, and falls from there on.
+    by_ratio = F.col("source_size") / F.col("__w")
+    order = stored(ranked.withColumn("__ratio", by_ratio).repartitionByRange(parts, "__ratio").withColumn("__part", F.spark_partition_id()), "mix-order")
+    size_before, w_before, total_size, total_w = {}, {}, 0, 0.0
+    for r in order.groupBy("__part").agg(F.sum("source_size").alias("s"), F.sum("__w").alias("w")).orderBy("__part").collect():  # one row a partition
+        size_before[r["__part"]], w_before[r["__part"]] = total_size, total_w
+        total_size, total_w = total_size + r["s"], total_w + r["w"]
+    before = Window.partitionBy("__part").orderBy("__ratio", F.col(_KEY).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    of = lambda known: F.create_map(*[F.lit(x) for kv in known.items() for x in kv])[F.col("__part")]
+    capped = F.coalesce(F.sum("source_size").over(before), F.lit(0)) + of(size_before)
+    weight = F.lit(total_w) - (F.coalesce(F.sum("__w").over(before), F.lit(0.0)) + of(w_before))
+    level = order.select(((F.lit(share * float(total_size)) - F.lit(float(most)) * capped.cast("double")) / weight).alias("level")).agg(F.max("level")).first()[0]
     cap = most * F.col("source_size").cast("double")
-    return ranked.select(_KEY, "source_size", F.when(full, cap).otherwise(F.lit(level) * F.col("__w")).alias("target"))
+    return ranked.select(_KEY, "source_size", F.least(cap, F.lit(level) * F.col("__w")).alias("target"))
 
 
 def with_rates(docs: DataFrame, id_col: str, source_col: str, size: F.Column, **mix) -> DataFrame:
