@@ -12,6 +12,8 @@ is an error.  Writing: a null text is empty; repeated rows are repeated; other c
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,9 +38,7 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, end_id: int = END, dt
     end = np.array([end_id], dtype).tobytes()
 
     def run(batches):
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        store, root = open_store(path)
         store.create_dir(root, recursive=True)
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         enc = kept_in_worker(("plain", tokenizer, dtype), lambda: ChunkEncoder(tokenizer, dtype, plain=True))
@@ -70,12 +70,38 @@ def write_flat(docs: DataFrame, path: str, tokenizer: str, end_id: int = END, dt
     return stored(narrow.mapInArrow(lean(run, keeps=True), f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, file string, ordinal long"), "flat-keys")
 
 
+def open_store(path: str):
+    """(the store that Arrow opens for the address, the path in it)."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if "://" in path else re.sub("^(file:)?/*", "file:///", path))
+
+
 def read_blocks(spark: SparkSession, path: str, width: int, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """file, block, ids (bytes) of the flat files below path; files are read by Spark, so of 2 GB at most each."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path).where("length > 0")
+    """file, block, ids (bytes) of the flat files below path, of any size: blocks are byte ranges, dealt over the tasks and
+    read there; Spark only lists the files."""
     step = block_ids * width
-    cut = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content", F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / step).cast("int"))).alias("block"))
-    return cut.select("file", "block", F.substring(F.col("content"), F.col("block") * step + 1, F.lit(step)).alias("ids"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path).select("path", "length").where("length > 0")
+    blocks = files.select("path", "length", F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / step).cast("long"))).alias("block"))
+
+    def read(batches):
+        held, source = None, None
+        for batch in batches:
+            for name, length, block in zip(*[c.to_pylist() for c in batch.columns]):
+                if name != held:
+                    if source is not None:
+                        source.close()
+                    store, at = open_store(name)
+                    held, source = name, store.open_input_file(at)
+                ids = source.read_at(min(step, length - block * step), block * step)
+                yield pa.RecordBatch.from_arrays([pa.array([name.rpartition("/")[2]]), pa.array([block], pa.int64()), pa.array([ids], pa.binary())], names=["file", "block", "ids"])
+        if source is not None:
+            source.close()
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # neighbouring blocks of a file go to one task, so a file is opened once by it
+    dealt = blocks.repartition(parts, "path", F.floor(F.col("block") / 8)).sortWithinPartitions("path", "block")
+    return dealt.mapInArrow(lean(read), "file string, block long, ids binary")
 
 
 def count_tokens(blocks: DataFrame, end_id: int = END, dtype: str = "<u2") -> DataFrame:
