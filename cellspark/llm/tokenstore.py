@@ -7,7 +7,7 @@ fingerprint of its key, so that foreign keys are refused, and the key's first ro
 one bit array after another (1.6 levels on average), one slot, one offset: constant time.
 
 Files are Parquet, one row a shard, written and read by Spark on any store it can reach: a row is never split, so a
-shard is read in one task without a shuffle.  The number of shards sets their size.
+shard is read in one task without a shuffle.  The number of shards follows the input's bytes (SHARD_BYTES).
 
 Cases: a null text is empty and yields only the end id; null keys come last, under a key of their own; rows with equal
 keys stand together in a defined order (by text hash) and share one slot; a very long text is one run of a payload; an
@@ -28,6 +28,8 @@ from .common import cut_ids, filled, kept_in_worker, lean, raw, scratch, slices,
 
 NULL_KEY = 2**63 - 1
 BLOCK = 8 << 20
+#: Bytes of input that a shard is meant for, where the plan tells them.
+SHARD_BYTES = 64 << 20
 LAYOUT = "shard int, low long, n_ids long, bits array<binary>, prints binary, first binary, offsets binary, keys binary, payload array<binary>"
 ARROW = pa.schema([("shard", pa.int32()), ("low", pa.int64()), ("n_ids", pa.int64()), ("bits", pa.list_(pa.binary())), ("prints", pa.binary()), ("first", pa.binary()), ("offsets", pa.binary()), ("keys", pa.binary()), ("payload", pa.list_(pa.binary()))])
 GAMMA = 2.0
@@ -220,6 +222,12 @@ class Shard:
 # --- files ----------------------------------------------------------------------------------------------------------
 
 
+def shards_for(docs: DataFrame) -> int:
+    """One for each SHARD_BYTES that Spark expects the input to hold; 0 where it cannot tell."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return -(-size // SHARD_BYTES) if size < 1 << 60 else 0
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, dtype: str = "<u2", id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> None:
     """Encode every text, append end_id, and write shards of ascending ids to path.
 
@@ -228,7 +236,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, dtype: str =
     spark = docs.sparkSession
     keyed = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_KEY)).alias("key"), docs[text_col].alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = shards or 4 * parts
+    shards = shards or max(4 * parts, shards_for(docs))
     cuts = np.array(cut_ids(keyed, "key", shards), np.int64)
     end = np.array([end_id], dtype).tobytes()
 
@@ -265,7 +273,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, dtype: str =
             yield flush()
 
     packed = keyed.mapInArrow(lean(encode, keeps=True), "shard int, key long, tie long, ids binary")
-    dealt = packed.repartition(parts, "shard").sortWithinPartitions("shard", "key", "tie", "ids")
+    dealt = packed.repartitionById(min(parts, shards), F.col("shard") % min(parts, shards)).sortWithinPartitions("shard", "key", "tie", "ids")
     dealt.mapInArrow(lean(build), LAYOUT).write.parquet(path)
 
 
