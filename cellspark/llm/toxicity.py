@@ -8,7 +8,9 @@ logistic function of its largest marginal and of its expected number of toxic wo
 number is taken over words tagged toxic, as the small marginals of the others would add up with a text's length.
 Tokens whose marginal is above one half, joined where adjacent, are the offending spans, as code-point offsets.
 
-Training takes at most MAX_TRAIN documents of each label (in order of a hash of the id), whole.  The field learns from as
+Training takes at most MAX_TRAIN documents of each label (in order of a hash of the id), whole; of equal texts the one of
+the smallest id, so reruns agree.  The field has weights for all features that it tags by and for the VOCABULARY most frequent
+others of the training documents, a bound on what is broadcast.  The field learns from as
 many of them as hold MAX_WORDS words for each label (a document that would exceed it is left out, none is cut); the document
 model learns from all of them, those that the field left out scored on executors.  Scoring takes all words of all texts.
 
@@ -310,7 +312,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
 
     kind = narrow.schema["__id"].dataType.simpleString()
     rows = narrow.join(F.broadcast(chosen), "__id").select("__id", "__y", "__text").mapInArrow(tokenised, f"id {kind}, y int, tokens string, n long")
-    rows = stored(rows.dropDuplicates(["y", "tokens"]).withColumn("at", F.xxhash64("tokens")), "toxicity-train")
+    rows = stored(rows.groupBy("y", "tokens", "n").agg(F.min("id").alias("id")).withColumn("at", F.xxhash64("tokens")), "toxicity-train")
     room, left_out = {0: words, 1: words}, []
     for r in rows.select("y", "at", "n").orderBy("at", "y").collect():  # numbers only
         if r["n"] <= room[r["y"]]:
