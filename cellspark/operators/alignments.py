@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cigar import cigar_blocks, natural_key, passes_sam_filter, reference_end
@@ -31,9 +31,10 @@ def dedup(pairs: DataFrame, key: list[str], name: str) -> DataFrame:
     return pairs.groupBy(*key).agg(first.alias("__r")).select(*key, *[F.col("__r").getField(c).alias(c) for c in rest])
 
 
-def dedup_ranked(pairs: DataFrame, key: list[str], order: list) -> DataFrame:
-    """The same by a window, for orders that are columns already."""
-    return pairs.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("__n = 1").drop("__n")
+def sort_by_place(alignments: DataFrame, chroms: list[str]) -> DataFrame:
+    """In order of chromosome (as listed, others by name behind them), position and name, in ranges; unmapped ones last."""
+    place = F.array_position(F.array(*[F.lit(c) for c in chroms]), F.col("chrom"))
+    return alignments.sort(F.col("chrom").isNull(), F.when(place > 0, place).otherwise(F.lit(len(chroms) + 1)), "chrom", "pos", "name")
 
 
 def with_blocks(alignments: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cigar import directional_end
 from .intervals import merge
+from .ranks import ranked
 
 
 def distinct_exons(exons: DataFrame) -> DataFrame:
@@ -32,13 +33,12 @@ def transcript_ends(transcripts: DataFrame) -> DataFrame:
 
 def gene_dictionary(genes: DataFrame) -> DataFrame:
     """Two rows a gene: exon at index 2k, intron at 2k + 1, k in file order."""
-    k = F.row_number().over(Window.orderBy("line")) - 1  # one row a gene of one annotation
-    return genes.withColumn("__k", k).select(F.explode(F.array(F.struct((2 * F.col("__k")).alias("gene_index"), F.lit("exon").alias("feature")), F.struct((2 * F.col("__k") + 1).alias("gene_index"), F.lit("intron").alias("feature")))).alias("__f"), "gene_id", "gene_type", "gene_name").select("__f.gene_index", "gene_id", "gene_type", "gene_name", "__f.feature")
+    return ranked(genes, "line", "__k").select(F.explode(F.array(F.struct((2 * F.col("__k")).alias("gene_index"), F.lit("exon").alias("feature")), F.struct((2 * F.col("__k") + 1).alias("gene_index"), F.lit("intron").alias("feature")))).alias("__f"), "gene_id", "gene_type", "gene_name").select("__f.gene_index", "gene_id", "gene_type", "gene_name", "__f.feature")
 
 
 def exon_dictionary(exons: DataFrame) -> DataFrame:
-    kept = distinct_exons(exons)
-    return kept.select((F.row_number().over(Window.orderBy("line")) - 1).alias("exon_index"), F.concat_ws("-", "gene_id", "exon_id").alias("gene_exon_id"), "gene_type", "gene_name", "chrom", "strand", (F.col("start") + 1).alias("start"), "end", (F.col("end") - F.col("start")).alias("length"))
+    kept = ranked(distinct_exons(exons), "line", "exon_index")
+    return kept.select("exon_index", F.concat_ws("-", "gene_id", "exon_id").alias("gene_exon_id"), "gene_type", "gene_name", "chrom", "strand", (F.col("start") + 1).alias("start"), "end", (F.col("end") - F.col("start")).alias("length"))
 
 
 def require_columns(gtf: DataFrame) -> DataFrame:

@@ -65,7 +65,8 @@ def hits(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, e
 
 
 def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14, chroms: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """ids, keep and stage, gene_id, region (exon or intron), status (counted, ambiguous, no_feature, unmapped), n_candidates: one row a pair.
+    """ids, keep and stage, gene_id, region (exon or intron), status (counted, ambiguous, no_feature, unmapped), n_candidates,
+    whole (a candidate holds all aligned bases): one row a pair.
 
     Several candidates are settled by the smallest distance, unless another lies within NEAR of it.
     """
@@ -82,4 +83,4 @@ def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame,
         out = out.join(F.broadcast(chroms.select("chrom", F.lit(True).alias("__known"))), "chrom", "left")  # one row a chromosome
         status = F.when(F.col("__known").isNull(), "unmapped").otherwise(status)
     region = F.when(F.col("stage").isNotNull(), F.when((F.col("stage") == 1) | ((F.col("stage") == 4) & F.col("whole")), "exon").otherwise("intron"))
-    return out.select(*ids, *keep, "stage", "gene_id", region.alias("region"), status.alias("status"), "n_candidates")
+    return out.select(*ids, *keep, "stage", "gene_id", region.alias("region"), status.alias("status"), "n_candidates", "whole")

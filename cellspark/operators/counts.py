@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .intervals import containment_join
+
 
 def feature_counts(assigned: DataFrame, by: list[str], weight: str | None = None) -> DataFrame:
     """Summed weight (or number of rows) a cell and feature; partial sums are made before the shuffle."""
@@ -40,8 +42,8 @@ def merge_primers(cells: DataFrame, primers: DataFrame, unit: list[str]) -> Data
     """Cells of the two primers of a well as one.
 
     cells: unit columns, rt, umi_count, unmatched_rate; primers: rt, shortdt, is_randomn, sample.  A logical cell is
-    (unit, shortdt).  Its rate is weighted by reads, umi_count / (1 - rate); a single primer keeps its own.  Unknown RT
-    barcodes go.
+    (unit, shortdt).  Its rate is weighted by reads, umi_count / (1 - rate); a single primer keeps its own.  The sample is the
+    short-dT primer's.  Unknown RT barcodes go.
     """
     side = F.broadcast(primers) if primers.limit(100_001).count() <= 100_000 else primers
     known = cells.join(side, "rt")
@@ -51,7 +53,7 @@ def merge_primers(cells: DataFrame, primers: DataFrame, unit: list[str]) -> Data
         F.sum(F.when(F.col("is_randomn"), F.col("umi_count")).otherwise(0)).alias("randomn_umi_count"),
         F.sum(F.when(~F.col("is_randomn"), F.col("umi_count")).otherwise(0)).alias("shortdt_umi_count"),
         F.count("*").alias("n_primers"),
-        F.first("sample").alias("sample"),
+        F.coalesce(F.min(F.when(~F.col("is_randomn"), F.col("sample"))), F.min("sample")).alias("sample"),
     )
 
 
@@ -86,18 +88,32 @@ def common_cells(a: DataFrame, b: DataFrame, cell: str = "cell") -> tuple[DataFr
     return a.join(b.select(cell).distinct(), cell, "left_semi"), b.join(a.select(cell).distinct(), cell, "left_semi")
 
 
-def layer_counts(assigned: DataFrame, cell: str = "cell", umi: str = "umi") -> DataFrame:
+def layer_counts(assigned: DataFrame, cell: str = "cell", umi: str = "umi", spanning: bool = False) -> DataFrame:
     """cell, gene_id, layer, count: molecules by splicing state.
 
     A molecule (cell, UMI, gene) is spliced where all its pairs count for exons, unspliced where all reach into an
-    intron, else ambiguous; pairs without a single gene are left out.
+    intron, else ambiguous; pairs without a single gene are left out.  spanning: a pair that an exon finds but does not
+    hold as a whole (`whole`) reaches into the intron too.
     """
     intron = F.col("region") == "intron"
+    if spanning:
+        intron |= ~F.col("whole")
     one = assigned.where("status = 'counted'").groupBy(cell, umi, "gene_id").agg(F.bool_and(intron).alias("all"), F.bool_or(intron).alias("any"))
     layer = F.when(F.col("all"), "unspliced").when(F.col("any"), "ambiguous").otherwise("spliced")
     return one.groupBy(cell, "gene_id", layer.alias("layer")).agg(F.count("*").alias("count"))
 
 
+def mask_repeats(assigned: DataFrame, pairs: DataFrame, repeats: DataFrame, ids: list[str], width: int = 1 << 14) -> DataFrame:
+    """assigned without those intronic pairs of which a mate lies in a repeat (chrom, start, end) as a whole.
+
+    pairs: ids, chrom, start1, end1, start2, end2.
+    """
+    mates = pairs.select(*ids, "chrom", F.explode(F.array(F.struct(F.col("start1").alias("start"), F.col("end1").alias("end")), F.struct(F.col("start2").alias("start"), F.col("end2").alias("end")))).alias("m"))
+    inside = containment_join(mates.select(*ids, "chrom", "m.start", "m.end"), repeats.select("chrom", "start", "end"), ["chrom"], width).select(*ids).distinct()
+    marked = assigned.join(inside.withColumn("__masked", F.lit(True)), ids, "left")
+    return marked.where(F.col("__masked").isNull() | ~F.coalesce(F.col("region") == "intron", F.lit(False))).drop("__masked")
+
+
 def combine_layers(*parts: DataFrame) -> DataFrame:
     """Layer tables of several prefixes as one; cells named <prefix>:<cell> keep the part behind the colon."""
     out = union_matrices(*parts)

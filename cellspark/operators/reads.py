@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import read_name
@@ -49,7 +50,7 @@ def tag(fragments: DataFrame, ligations: DataFrame, rts: DataFrame, primers: Dat
     from_left = F.endswith(F.col("r2_seq"), F.col("__r2")) & (ahead > 0) if r2_trim == "suffix" else F.lit(False)
     out = out.withColumn("r2_qual", F.when(from_left & F.contains(F.col("r2_seq"), F.col("__r2")), F.substring(F.col("r2_qual"), ahead + 1, F.length("__r2"))).otherwise(F.substring(F.col("r2_qual"), F.lit(1), F.length("__r2"))))
     out = out.withColumn("r2_seq", F.col("__r2")).drop("__r2", "__q1")
-    return out.withColumn("long_enough", (F.length("r1_seq") >= layout.min_length) & (F.length("r2_seq") >= layout.min_length))
+    return out.withColumn("long_enough", long_enough(F.col("r1_seq"), F.col("r2_seq"), layout))
 
 
 def named(tagged: DataFrame) -> DataFrame:
@@ -58,24 +59,69 @@ def named(tagged: DataFrame) -> DataFrame:
     return tagged.where("long_enough").select("prefix", name.alias("name"), "r1_seq", "r1_qual", "r2_seq", "r2_qual")
 
 
-def trim_adapter(reads: DataFrame, column: str, adapter: str, least: int = 3, error_rate: float = 0.1) -> DataFrame:
+def trim_quality(seq: Column, qual: Column, least: int = 20) -> Column:
+    """Bases of seq that stay when its 3' end is cut by quality: at the place behind which the sum of (least - quality) is
+    largest, looked for from the end until the sum falls below zero."""
+    codes = F.reverse(F.transform(F.filter(F.split(qual, ""), lambda c: c != ""), lambda c: F.ascii(c) - 33))
+    first = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("top"), F.lit(0).alias("cut"), F.lit(0).alias("at"), F.lit(False).alias("over"))
+
+    def step(acc: Column, q: Column) -> Column:
+        total = acc["sum"] + least - q
+        over = acc["over"] | (total < 0)
+        better = ~over & (total > acc["top"])
+        return F.struct(total.alias("sum"), F.when(better, total).otherwise(acc["top"]).alias("top"), F.when(better, acc["at"] + 1).otherwise(acc["cut"]).alias("cut"), (acc["at"] + 1).alias("at"), over.alias("over"))
+
+    return F.length(seq) - F.aggregate(codes, first, step, lambda acc: acc["cut"])
+
+
+def adapter_at(texts: list[str | None], adapter: str, least: int, error_rate: float) -> list[int | None]:
+    """For each read the leftmost place from which it matches the adapter, whole or to the read's end, or its length.
+
+    All reads are compared at once, a base of the adapter at a time; beyond a read's end nothing is compared.
+    """
+    size = np.array([len(t or "") for t in texts])
+    width, k = int(size.max(initial=0)), len(adapter)
+    if not width:
+        return [None if t is None else 0 for t in texts]
+    base = np.zeros((len(texts), width + k), np.uint8)
+    inside = np.arange(width) < size[:, None]
+    base[:, :width][inside] = np.frombuffer("".join(t or "" for t in texts).encode("latin-1", "replace"), np.uint8)
+    wrong = np.zeros((len(texts), width), np.int16)
+    for j, c in enumerate(adapter.encode()):
+        wrong += (base[:, j : j + width] != c) & (np.arange(j, j + width) < size[:, None])
+    there = np.minimum(size[:, None] - np.arange(width), k)  # bases compared from each place
+    allowed = np.array([int(error_rate * n) for n in range(k + 1)])
+    hit = (there >= least) & (wrong <= allowed[np.maximum(there, 0)])
+    at = np.where(hit.any(1), hit.argmax(1), size)
+    return [None if t is None else int(i) for t, i in zip(texts, at)]
+
+
+def trim_adapter(reads: DataFrame, column: str, adapter: str, least: int = 3, error_rate: float = 0.1, qual: str | None = None) -> DataFrame:
     """Cut a 3' adapter from `column`: the leftmost place from which the read matches the adapter, whole or to the read's
-    end, with at least `least` bases and at most error_rate mismatches (no gaps).  Runs in Arrow batches."""
-
-    @F.pandas_udf("string")
-    def cut(seqs: pd.Series) -> pd.Series:
-        def one(s):
-            if s is None:
-                return None
-            for i in range(len(s) - least + 1):
-                part = s[i : i + len(adapter)]
-                if sum(a != b for a, b in zip(part, adapter)) <= int(error_rate * len(part)):
-                    return s[:i]
-            return s
-
-        return seqs.map(one)
-
-    return reads.withColumn(column, cut(column))
+    end, with at least `least` bases and at most error_rate mismatches (no gaps); the qualities in `qual` are cut alike.
+    Places are found in Arrow batches, a whole batch at once."""
+
+    @F.pandas_udf("int")
+    def place(seqs: pd.Series) -> pd.Series:
+        return pd.Series(adapter_at(seqs.tolist(), adapter, least, error_rate), index=seqs.index, dtype="Int32")
+
+    out = reads.withColumn("__at", place(column))
+    cut = lambda c: F.substring(F.col(c), F.lit(1), F.col("__at"))
+    return out.withColumns({c: cut(c) for c in (column, qual) if c}).drop("__at")
+
+
+def trim_pairs(fragments: DataFrame, adapter1: str = "AGATCGGAAGAGC", adapter2: str = "AAAAAAAA", quality: int = 20, least: int = 3, shortest: int = 20) -> DataFrame:
+    """r1 and r2 cut by quality, then by adapter; pairs of which a mate is left shorter than `shortest` go."""
+    for mate, adapter in (("r1", adapter1), ("r2", adapter2)):
+        seq, qual = f"{mate}_seq", f"{mate}_qual"
+        keep = fragments.withColumn("__keep", trim_quality(F.col(seq), F.col(qual), quality))
+        short = lambda c: F.substring(F.col(c), F.lit(1), F.col("__keep"))
+        fragments = trim_adapter(keep.withColumns({seq: short(seq), qual: short(qual)}).drop("__keep"), seq, adapter, least, qual=qual)
+    return fragments.where((F.length("r1_seq") >= shortest) & (F.length("r2_seq") >= shortest))
+
+
+def long_enough(r1: Column, r2: Column, layout: Layout = Layout()) -> Column:
+    return (F.length(r1) >= layout.min_length) & (F.length(r2) >= layout.min_length)
 
 
 def read_counts(tagged_left: DataFrame) -> DataFrame:

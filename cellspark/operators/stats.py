@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .alignments import alignment_counts
+from .ranks import ranked
+from .reads import read_counts
+
 METRICS = ["reads_total", "reads_barcode_passed", "reads_length_passed", "reads_trimmed", "reads_mapped", "alignments", "alignments_qc_filtered", "alignments_dedup"]
 
 
@@ -13,6 +19,26 @@ def last_values(log: DataFrame, order: str) -> DataFrame:
     return log.groupBy("prefix", "metric").agg(F.max_by("value", order).alias("value"))
 
 
+def run_counts(tagged: DataFrame | None = None, trimmed: DataFrame | None = None, alignments: DataFrame | None = None, deduped: DataFrame | None = None) -> DataFrame:
+    """prefix, metric, value: as many of METRICS as the given steps tell, one pass over each.
+
+    tagged: fragments with ligation and rt (null for misses) and long_enough; trimmed: fragments that adapter trimming
+    left; alignments: records with flag and mapq; deduped: pairs that duplicate removal left.
+    """
+    parts = []
+    if tagged is not None:
+        parts.append(read_counts(tagged))
+    if trimmed is not None:
+        parts.append(trimmed.groupBy("prefix").agg(F.count("*").alias("value")).select("prefix", F.lit("reads_trimmed").alias("metric"), "value"))
+    if alignments is not None:
+        parts.append(alignment_counts(alignments).unpivot("prefix", ["reads_mapped", "alignments", "alignments_qc_filtered"], "metric", "value"))
+    if deduped is not None:
+        parts.append(deduped.groupBy("prefix").agg(F.count("*").alias("value")).select("prefix", F.lit("alignments_dedup").alias("metric"), "value"))
+    if not parts:
+        raise ValueError("no step is given")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def pivot(log: DataFrame, metrics: list[str] = METRICS, missing: int = -1) -> DataFrame:
     """One row a prefix, one column a metric."""
     return log.groupBy("prefix").pivot("metric", metrics).agg(F.first("value")).na.fill(missing)
@@ -39,5 +65,5 @@ def renamed(name):
 
 
 def indexed(df: DataFrame, order: str, index: str) -> DataFrame:
-    """A dense index from 0 in the given order; for dictionaries of one annotation."""
-    return df.withColumn(index, F.row_number().over(Window.orderBy(order)) - 1)
+    """A dense index from 0 in the given order."""
+    return ranked(df, order, index)

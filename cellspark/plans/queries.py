@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar, names, sequences
-from ..operators import alignments, annotation, assign_exon, assign_gene, barcodes, counts, intervals, reads, stats
+from ..operators import alignments, annotation, assign_exon, assign_gene, barcodes, cells, counts, intervals, reads, stats
 from . import views
 from .views import EXON, GENE, PAIR, codes, exon_view, gene_view, pair_view, read, spark_sql
 
@@ -77,10 +77,11 @@ def barcode_correct(spark: SparkSession, sf: str) -> DataFrame:
     return barcodes.correct(_raw(spark, sf), _whitelist(spark, sf), "raw", "barcode").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "raw", "barcode")
 
 
-@query(f"WITH {WL}, r AS ({READ.replace('{seq}', SEQ)}) SELECT l_suppkey, count(*) AS reads_total, count(barcode) AS reads_barcode_passed FROM r LEFT JOIN wl ON raw = variant GROUP BY l_suppkey")
+@query(f"""WITH {WL}, r AS ({READ.replace('{seq}', SEQ)}), k AS (SELECT l_suppkey AS prefix, barcode IS NOT NULL AS known, l_linenumber > 2 AS lengthy FROM r LEFT JOIN wl ON raw = variant)
+SELECT prefix, 'reads_total' AS metric, count(*) AS value FROM k GROUP BY 1 UNION ALL SELECT prefix, 'reads_barcode_passed', count(*) FILTER (known) FROM k GROUP BY 1 UNION ALL SELECT prefix, 'reads_length_passed', count(*) FILTER (known AND lengthy) FROM k GROUP BY 1""")
 def barcode_stats(spark: SparkSession, sf: str) -> DataFrame:
     known = barcodes.correct(_raw(spark, sf), _whitelist(spark, sf), "raw", "barcode", "left")
-    return known.groupBy("l_suppkey").agg(F.count("*").alias("reads_total"), F.count("barcode").alias("reads_barcode_passed"))
+    return reads.read_counts(known.select(F.col("l_suppkey").alias("prefix"), F.col("barcode").alias("ligation"), F.col("barcode").alias("rt"), (F.col("l_linenumber") > 2).alias("long_enough")))
 
 
 R2 = f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, rt, is_randomn, 'ACGTACGT' || rt || repeat('T', 15) || repeat('GATC', 1 + l_linenumber) AS r1,
@@ -98,7 +99,45 @@ def read_trim(spark: SparkSession, sf: str) -> DataFrame:
     text = R2.replace("{seq}", SEQ_SPARK).replace("{rc}", rc_sql("rt")).replace("FROM lineitem", "FROM {lineitem}").replace("JOIN supplier", "JOIN {supplier}")
     q = spark.sql(text, lineitem=read(spark, sf, "lineitem"), supplier=read(spark, sf, "supplier"))
     out = q.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "is_randomn", sequences.trim_mate1(F.col("r1"), F.col("is_randomn")).alias("r1"), sequences.trim_after_primer(F.col("r2"), F.col("rt")).alias("r2"))
-    return out.withColumn("long_enough", (F.length("r1") >= reads.Layout().min_length) & (F.length("r2") >= reads.Layout().min_length))
+    return out.withColumn("long_enough", reads.long_enough(F.col("r1"), F.col("r2")))
+
+
+FRAGMENT = """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS name, substr(code, 1, 9) AS ligation, substr(code, 4, 9) AS rt, (l_suppkey // 4) % 2 = 1 AS is_randomn, l_returnflag AS flag, l_linenumber AS line FROM (SELECT *, {seq} AS code FROM supplier) s JOIN lineitem ON l_suppkey = s_suppkey"""
+MATES = "'ACGT' || CASE WHEN line % 2 = 0 THEN 'GGGG' ELSE 'TTTT' END || CASE WHEN flag = 'R' THEN substr(rt, 1, 4) || 'N' || substr(rt, 6) ELSE rt END || repeat('T', 15) || repeat('GATC', line) AS r1, repeat('CA', 12) || CASE WHEN line % 3 = 0 THEN substr({rc}, 1, 7) ELSE 'GG' END AS r2, CASE WHEN flag = 'A' AND line % 2 = 0 THEN 'NN' || substr(ligation, 3) ELSE ligation END AS i5"
+
+
+def _fragments(spark: SparkSession, sf: str) -> DataFrame:
+    inner = spark_sql(FRAGMENT).replace("{seq}", SEQ_SPARK).replace("FROM supplier", "FROM {supplier}").replace("JOIN lineitem", "JOIN {lineitem}")
+    return spark.sql(f"SELECT *, {MATES.replace('{rc}', rc_sql('rt'))} FROM ({inner}) f", supplier=read(spark, sf, "supplier"), lineitem=read(spark, sf, "lineitem"))
+
+
+@query(
+    f"""WITH f AS (SELECT *, {MATES.replace('{rc}', rc_sql('rt'))} FROM ({FRAGMENT.replace('{seq}', SEQ)}) f),
+t AS (SELECT name, ligation, rt, substr(r1, 1, 8) AS umi, CASE WHEN is_randomn THEN substr(r1, 18) ELSE substr(r1, 33) END AS r1_seq, CASE WHEN line % 3 = 0 THEN substr(r2, 1, 24) ELSE r2 END AS r2_seq FROM f WHERE NOT (flag = 'A' AND line % 2 = 0))
+SELECT *, length(r1_seq) >= 20 AND length(r2_seq) >= 20 AS long_enough FROM t"""
+)
+def attach_barcodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Barcodes at fixed places, corrected by whitelists, and both mates trimmed."""
+    f = _fragments(spark, sf)
+    wl = lambda c: barcodes.whitelist(f.select(F.col(c).alias("barcode")))
+    shaped = f.select("name", F.col("i5").alias("i5_seq"), F.col("r1").alias("r1_seq"), F.regexp_replace("r1", ".", "I").alias("r1_qual"), F.col("r2").alias("r2_seq"), F.regexp_replace("r2", ".", "I").alias("r2_qual"))
+    out = reads.tag(shaped, wl("ligation"), wl("rt"), f.select("rt", "is_randomn"), reads.Layout(ligation=9, rt=9))
+    return out.select("name", "ligation", "rt", "umi", "r1_seq", "r2_seq", "long_enough")
+
+
+@query("SELECT s_nationkey AS prefix, s_suppkey AS read_no, s_name AS name, 'R1' || s_name AS r1_seq, CASE WHEN s_suppkey % 3 <> 0 THEN 'I5' || s_name END AS i5_seq, CASE WHEN s_suppkey % 5 <> 0 THEN 'R2' || s_name END AS r2_seq FROM supplier")
+def zip_mates(spark: SparkSession, sf: str) -> DataFrame:
+    s = read(spark, sf, "supplier").select(F.col("s_nationkey").alias("prefix"), F.col("s_suppkey").alias("read_no"), F.col("s_name").alias("name"))
+    one = lambda kind, where="true": s.where(where).withColumn("seq", F.concat(F.lit(kind), "name")).withColumn("qual", F.lit("I"))
+    return reads.zip_mates(one("R1"), one("I5", "read_no % 3 <> 0"), one("R2", "read_no % 5 <> 0")).select("prefix", "read_no", "name", "r1_seq", "i5_seq", "r2_seq")
+
+
+ADAPTED = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, repeat('CAG', CAST(l_quantity AS INT) % 9) || repeat('A', l_linenumber + 2) || repeat('CG', l_partkey % 3) AS r2 FROM lineitem"
+
+
+@query(f"WITH a AS ({ADAPTED}) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, regexp_replace(r2, '(AAAAAAAA.*|A{{3,7}})$', '') AS r2 FROM a")
+def adapter_trim(spark: SparkSession, sf: str) -> DataFrame:
+    return reads.trim_adapter(spark.sql(ADAPTED.replace("FROM lineitem", "FROM {lineitem}"), lineitem=read(spark, sf, "lineitem")), "r2", "AAAAAAAA")
 
 
 WELL = "SELECT s_suppkey // 2 AS well, 'S_' || CAST(s_suppkey % 2 AS VARCHAR) || '_' || CAST((s_suppkey // 2) % 2 AS VARCHAR) || '_' || replace(s_name, '#', '_') AS sample, {seq} AS barcode, s_suppkey % 2 AS kind FROM supplier"
@@ -113,13 +152,17 @@ def sample_decode(spark: SparkSession, sf: str) -> DataFrame:
     return barcodes.rt_table(w.where("kind = 1"), w.where("kind = 0"), species="human")
 
 
-@query("SELECT '@' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR) || ',r' || CAST(l_orderkey AS VARCHAR) AS name, CAST(l_suppkey AS VARCHAR) AS ligation, CAST(l_partkey AS VARCHAR) AS rt, CAST(l_linenumber AS VARCHAR) AS umi, l_returnflag || '.' || CAST(l_suppkey AS VARCHAR) || '.' || CAST(l_partkey AS VARCHAR) AS cb FROM lineitem")
+@query(
+    """SELECT '@' || CAST(l_orderkey % 8 AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR) || ',r' || CAST(l_orderkey AS VARCHAR) AS name, CAST(l_orderkey % 8 AS VARCHAR) AS ligation, CAST(l_suppkey AS VARCHAR) AS rt,
+  CAST(l_linenumber AS VARCHAR) AS umi, l_returnflag || '.' || CAST(l_orderkey % 8 AS VARCHAR) || '.' || CAST(l_suppkey - l_suppkey % 2 AS VARCHAR) AS "CB", CAST(l_linenumber AS VARCHAR) AS "UB" FROM lineitem WHERE l_suppkey % 7 <> 0"""
+)
 def cell_tag(spark: SparkSession, sf: str) -> DataFrame:
+    """Names are written, taken apart, and give the tags; RT barcodes that the table lacks go."""
     s = lambda c: F.col(c).cast("string")
-    l = read(spark, sf, "lineitem").select("l_returnflag", names.read_name(s("l_suppkey"), s("l_partkey"), s("l_linenumber"), F.concat(F.lit("r"), s("l_orderkey"))).alias("name"))
+    l = read(spark, sf, "lineitem").select(F.col("l_returnflag").alias("i7"), names.read_name((F.col("l_orderkey") % 8).cast("string"), s("l_suppkey"), s("l_linenumber"), F.concat(F.lit("r"), s("l_orderkey"))).alias("name"))
     p = names.parse_read_name(F.substring(F.col("name"), F.lit(2), F.length("name")))
-    out = l.select("name", "l_returnflag", *[v.alias(k) for k, v in p.items()])
-    return out.select("name", "ligation", "rt", "umi", F.concat_ws(".", "l_returnflag", "ligation", "rt").alias("cb"))
+    known = read(spark, sf, "supplier").where("s_suppkey % 7 <> 0").select(s("s_suppkey").alias("rt"), (F.col("s_suppkey") - F.col("s_suppkey") % 2).cast("string").alias("shortdt"))
+    return alignments.cell_tags(l.select("name", "i7", *[v.alias(k) for k, v in p.items()]), known).select("name", "ligation", "rt", "umi", "CB", "UB")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag AS pcr_batch, CAST(l_suppkey AS VARCHAR) AS ligation_barcodes, CAST(l_partkey AS VARCHAR) || '.x' AS rt_barcodes FROM lineitem")
@@ -170,10 +213,19 @@ def pair_mates(spark: SparkSession, sf: str) -> DataFrame:
     return alignments.pair_mates(_aln(spark, sf), ["l_orderkey"]).select("l_orderkey", F.col("mate1.l_partkey").alias("part1"), F.col("mate2.l_partkey").alias("part2"))
 
 
-@query(f"{V}, r AS (SELECT *, s1 // 200 AS place, row_number() OVER (PARTITION BY cell, umi, chrom, s1 // 200 ORDER BY pid) AS n FROM pair) SELECT cell, umi, chrom, place, pid FROM r WHERE n = 1")
+NATURAL = "array_to_string(list_transform(regexp_extract_all(pid, '(\\d+|\\D+)', 1), lambda x: CASE WHEN regexp_matches(x, '^\\d') THEN lpad(x, 20, '0') ELSE x END), '')"
+
+
+@query(f"{V}, r AS (SELECT *, s1 // 200 AS place, row_number() OVER (PARTITION BY cell, umi, chrom, s1 // 200 ORDER BY {NATURAL}) AS n FROM pair) SELECT cell, umi, chrom, place, pid FROM r WHERE n = 1")
 def umi_dedup(spark: SparkSession, sf: str) -> DataFrame:
     p = pair_view(spark, sf).withColumn("place", F.floor(F.col("start1") / 200)).select("cell", "umi", "chrom", "place", "pid")
-    return p.groupBy("cell", "umi", "chrom", "place").agg(F.min("pid").alias("pid"))
+    return alignments.dedup(p, ["cell", "umi", "chrom", "place"], "pid").select("cell", "umi", "chrom", "place", "pid")
+
+
+@query(f"WITH a AS ({ALN}) SELECT l_suppkey AS prefix, metric, value FROM (SELECT l_suppkey, count(*) FILTER (flag & 64 = 64 AND flag & 260 = 0) AS reads_mapped, count(*) FILTER (flag & 64 = 64 AND flag & 4 = 0) AS alignments, count(*) FILTER (mapq >= 30 AND flag & 2 = 2 AND flag & 780 = 0) AS alignments_qc_filtered, count(*) FILTER (mapq > 40) AS alignments_dedup, count(*) FILTER (mapq > 20) AS reads_trimmed FROM a GROUP BY 1) UNPIVOT (value FOR metric IN (reads_mapped, alignments, alignments_qc_filtered, alignments_dedup, reads_trimmed))")
+def run_counts(spark: SparkSession, sf: str) -> DataFrame:
+    a = _aln(spark, sf).withColumnRenamed("l_suppkey", "prefix")
+    return stats.run_counts(trimmed=a.where("mapq > 20"), alignments=a, deduped=a.where("mapq > 40"))
 
 
 @query(
@@ -301,6 +353,29 @@ def velocity_layers(spark: SparkSession, sf: str) -> DataFrame:
     return counts.layer_counts(assigned_genes(spark, sf))
 
 
+@query(f"{ASSIGN} SELECT res.pid, CASE WHEN chrom IN ('chr1', 'chr2') THEN status ELSE 'unmapped' END AS status FROM res JOIN pair ON res.pid = pair.pid")
+def gene_assign_known(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs on chromosomes that the annotation does not name count as unmapped."""
+    x = exon_view(spark, sf)
+    known = spark.createDataFrame([("chr1",), ("chr2",)], "chrom string")
+    return assign_gene.assign(pair_view(spark, sf), PID, x, gene_view(x), views.ends_view(x), WIDTH, chroms=known).select("pid", "status")
+
+
+REPEAT = "SELECT chrom, s - s % 40 AS s, s - s % 40 + 40 AS e FROM exon WHERE line % 3 = 0"
+
+
+@query(f"""{ASSIGN}, rep AS ({REPEAT}), inside AS (SELECT DISTINCT pair.pid FROM pair JOIN rep ON pair.chrom = rep.chrom AND (s1 >= rep.s AND s1 + 15 <= rep.e OR s2 >= rep.s AND s2 + 15 <= rep.e)),
+mol AS (SELECT res.cell, umi, res.gene_id, bool_and(region = 'intron' OR NOT w) AS al, bool_or(region = 'intron' OR NOT w) AS an FROM res JOIN pair ON res.pid = pair.pid JOIN anyw ON res.pid = anyw.pid WHERE status = 'counted' AND NOT (region = 'intron' AND res.pid IN (SELECT pid FROM inside)) GROUP BY 1, 2, 3)
+SELECT split_part('x:' || CAST(cell AS VARCHAR), ':', 2) AS cell, gene_id, CASE WHEN al THEN 'unspliced' WHEN an THEN 'ambiguous' ELSE 'spliced' END AS layer, count(*) AS count FROM mol GROUP BY 1, 2, 3""")
+def masked_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Layers without intronic pairs in repeats; pairs that leave an exon count for the intron; cells lose their prefix."""
+    x, p = exon_view(spark, sf), pair_view(spark, sf)
+    repeats = x.where("line % 3 = 0").select("chrom", (F.col("start") - F.col("start") % 40).alias("start"), (F.col("start") - F.col("start") % 40 + 40).alias("end"))
+    a = counts.mask_repeats(assigned_genes(spark, sf), p.select("pid", "chrom", "start1", "end1", "start2", "end2"), repeats, PID, WIDTH)
+    one = counts.layer_counts(a.withColumn("cell", F.concat(F.lit("x:"), F.col("cell").cast("string"))), spanning=True)
+    return counts.combine_layers(one.where("layer = 'spliced'"), one.where("layer <> 'spliced'"))
+
+
 COUNTS = "SELECT l_suppkey AS cell, l_partkey AS gene, count(*) AS count FROM lineitem GROUP BY 1, 2"
 
 
@@ -370,7 +445,7 @@ def meta_left_join(spark: SparkSession, sf: str) -> DataFrame:
     m = _counts(spark, sf).groupBy("cell").agg(F.sum("count").alias("umi_count"))
     s = read(spark, sf, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("cell"), "s_nationkey")
     n = read(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("sample"))
-    return m.join(s, "cell", "left").join(n, "s_nationkey", "left").select("cell", "umi_count", "sample")
+    return cells.with_samples(cells.with_samples(m, s, "cell"), n, "s_nationkey").select("cell", "umi_count", "sample")
 
 
 # --- statistics -----------------------------------------------------------------------------------------------------

@@ -1,18 +1,63 @@
-"""BAM files by a Python data source: BGZF blocks are gzip members, records are fixed structs."""
+"""BAM files by a Python data source: BGZF blocks are gzip members, records are fixed structs.
+
+    spark.dataSource.register(BamSource)
+    spark.read.format("bam").load(path)
+    df.write.format("bam").option("references", "chr1:1000,chr2:500").mode("append").save(path)
+
+Reading gives one task a file and Arrow batches; writing one file a task, each a whole BAM with the header.
+"""
 
 from __future__ import annotations
 
 import gzip
 import struct
-
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-SCHEMA = "name string, flag int, chrom string, pos long, mapq int, cigar string"
+import zlib
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+
+SCHEMA = "name string, flag int, chrom string, pos long, mapq int, cigar string, mate_chrom string, mate_pos long, length int, seq string, qual string, tags map<string,string>"
+ARROW = pa.schema([
+    ("name", pa.string()), ("flag", pa.int32()), ("chrom", pa.string()), ("pos", pa.int64()), ("mapq", pa.int32()), ("cigar", pa.string()), ("mate_chrom", pa.string()), ("mate_pos", pa.int64()), ("length", pa.int32()),
+    ("seq", pa.string()), ("qual", pa.string()), ("tags", pa.map_(pa.string(), pa.string())),
+])
+#: Fixed values of the format: CIGAR operators, bases by code, and the end-of-file block.
 OPS = "MIDNSHP=X"
+BASES = "=ACMGRSVTWYHKDBN"
+EOF_BLOCK = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
+NUMBERS = {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I", "f": "<f"}
+BATCH = 20_000
+BLOCK = 60_000
+
+
+def _tags(data: bytes) -> list[tuple[str, str]]:
+    out, at = [], 0
+    while at < len(data):
+        tag, kind = data[at : at + 2].decode(), chr(data[at + 2])
+        at += 3
+        if kind in NUMBERS:
+            size = struct.calcsize(NUMBERS[kind])
+            value = str(struct.unpack_from(NUMBERS[kind], data, at)[0])
+        elif kind == "A":
+            size, value = 1, chr(data[at])
+        elif kind in "ZH":
+            end = data.index(0, at)
+            size, value = end - at + 1, data[at:end].decode()
+        elif kind == "B":
+            form = NUMBERS[chr(data[at])]
+            n = struct.unpack_from("<i", data, at + 1)[0]
+            size = 5 + n * struct.calcsize(form)
+            value = chr(data[at]) + "".join(f",{x}" for x in struct.unpack_from(f"<{n}{form[1]}", data, at + 5))
+        else:
+            raise ValueError(f"tag {tag} has the unknown type {kind}")
+        out.append((tag, value))
+        at += size
+    return out
 
 
 def records(stream):
-    """(name, flag, chrom, pos, mapq, cigar) of a decompressed BAM stream."""
+    """Rows of SCHEMA of a decompressed BAM stream."""
     if stream.read(4) != b"BAM\1":
         raise ValueError("not a BAM file")
     stream.read(struct.unpack("<i", stream.read(4))[0])
@@ -20,13 +65,69 @@ def records(stream):
     for _ in range(struct.unpack("<i", stream.read(4))[0]):
         chroms.append(stream.read(struct.unpack("<i", stream.read(4))[0])[:-1].decode())
         stream.read(4)
+    pairs = [a + b for a in BASES for b in BASES]
     while head := stream.read(4):
         data = stream.read(struct.unpack("<i", head)[0])
-        ref, pos, l_name, mapq, _, n_cigar, flag = struct.unpack_from("<iiBBHHH", data)
-        name = data[32 : 32 + l_name - 1].decode()
-        ops = struct.unpack_from(f"<{n_cigar}I", data, 32 + l_name)
-        cigar = "".join(f"{o >> 4}{OPS[o & 15]}" for o in ops) or "*"
-        yield name, flag, chroms[ref] if ref >= 0 else None, pos, mapq, cigar
+        ref, pos, l_name, mapq, _, n_cigar, flag, n_seq, mate, mate_pos, length = struct.unpack_from("<iiBBHHHiiii", data)
+        at = 32 + l_name
+        ops = struct.unpack_from(f"<{n_cigar}I", data, at)
+        at += 4 * n_cigar
+        half = (n_seq + 1) // 2
+        seq = "".join([pairs[b] for b in data[at : at + half]])[:n_seq] or "*"
+        qual = data[at + half : at + half + n_seq]
+        text = "*" if not qual or qual[0] == 255 else bytes([q + 33 for q in qual]).decode()
+        yield (
+            data[32 : 32 + l_name - 1].decode(), flag, chroms[ref] if ref >= 0 else None, pos, mapq, "".join([f"{o >> 4}{OPS[o & 15]}" for o in ops]) or "*",
+            chroms[mate] if mate >= 0 else None, mate_pos, length, seq, text, _tags(data[at + half + n_seq :]),
+        )
+
+
+def _bin(start: int, end: int) -> int:
+    """The smallest bin of the usual index that holds the interval."""
+    end -= 1
+    for shift, first in ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1)):
+        if start >> shift == end >> shift:
+            return first + (start >> shift)
+    return 0
+
+
+def packed(row: dict, numbers: dict[str, int]) -> bytes:
+    """A row of SCHEMA as a record; columns that a table lacks take the format's empty values, all tags are strings."""
+    name = (row.get("name") or "*").encode() + b"\0"
+    cigar, n, ops = row.get("cigar") or "*", 0, []
+    if cigar != "*":
+        for c in cigar:
+            if c.isdigit():
+                n = 10 * n + int(c)
+            else:
+                ops.append((n << 4) | OPS.index(c))
+                n = 0
+    seq = "" if (row.get("seq") or "*") == "*" else row["seq"].upper()
+    codes = [BASES.index(b) if b in BASES else 15 for b in seq] + [0] * (len(seq) % 2)
+    bases = bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2]))
+    qual = bytes([255] * len(seq)) if (row.get("qual") or "*") == "*" else bytes(ord(q) - 33 for q in row["qual"])
+    tags = b"".join(k.encode() + b"Z" + v.encode() + b"\0" for k, v in (row.get("tags") or []))
+    pos = -1 if row.get("pos") is None else row["pos"]
+    mate_pos = -1 if row.get("mate_pos") is None else row["mate_pos"]
+    span = sum(o >> 4 for o in ops if OPS[o & 15] in "MDN=X") or 1
+    fixed = struct.pack(
+        "<iiBBHHHiiii", numbers.get(row.get("chrom"), -1), pos, len(name), row.get("mapq") or 0, _bin(pos, pos + span) if pos >= 0 else 4680, len(ops), row.get("flag") or 0, len(seq), numbers.get(row.get("mate_chrom"), -1), mate_pos, row.get("length") or 0,
+    )
+    body = fixed + name + struct.pack(f"<{len(ops)}I", *ops) + bases + qual + tags
+    return struct.pack("<i", len(body)) + body
+
+
+def block(data: bytes) -> bytes:
+    """One BGZF block: a gzip member that tells its own size."""
+    deflate = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = deflate.compress(data) + deflate.flush()
+    return struct.pack("<4BI2BH2BHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+def _open(path: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if "://" in path else "file:///" + path.removeprefix("file:").lstrip("/"))
 
 
 class BamReader(DataSourceReader):
@@ -36,22 +137,82 @@ class BamReader(DataSourceReader):
     def partitions(self):
         from pyarrow import fs
 
-        store, root = fs.FileSystem.from_uri(self.path if "://" in self.path else f"file://{self.path}")
+        store, root = _open(self.path)
         info = store.get_file_info(root)
         files = [root] if info.is_file else [f.path for f in store.get_file_info(fs.FileSelector(root)) if f.path.endswith(".bam")]
         return [InputPartition(f) for f in sorted(files)]
 
     def read(self, partition):
-        from pyarrow import fs
-
-        store, _ = fs.FileSystem.from_uri(self.path if "://" in self.path else f"file://{self.path}")
+        store, _ = _open(self.path)
         with store.open_input_stream(partition.value, compression=None) as f, gzip.GzipFile(fileobj=f) as g:
-            yield from records(g)
+            held = []
+            for r in records(g):
+                held.append(r)
+                if len(held) == BATCH:
+                    yield self._batch(held)
+                    held = []
+            if held:
+                yield self._batch(held)
+
+    @staticmethod
+    def _batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ARROW.types)], schema=ARROW)
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    held: str
+    name: str
+
+
+class BamWriter(DataSourceArrowWriter):
+    """One file a task, under a name of its own until the job commits."""
+
+    def __init__(self, path: str, references: list[tuple[str, int]]):
+        self.path, self.references = path, references
+
+    def write(self, iterator):
+        from pyspark import TaskContext
+
+        store, root = _open(self.path)
+        store.create_dir(root, recursive=True)
+        task = TaskContext.get()
+        held, name = f"{root}/.{task.partitionId():05d}-{task.taskAttemptId()}", f"{root}/part-{task.partitionId():05d}.bam"
+        numbers = {c: i for i, (c, _) in enumerate(self.references)}
+        text = ("@HD\tVN:1.6\n" + "".join(f"@SQ\tSN:{c}\tLN:{n}\n" for c, n in self.references)).encode()
+        buffer = b"BAM\1" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(self.references)) + b"".join(struct.pack("<i", len(c) + 1) + c.encode() + b"\0" + struct.pack("<i", n) for c, n in self.references)
+        with store.open_output_stream(held) as out:
+            parts, size = [buffer], len(buffer)
+            for batch in iterator:
+                for row in batch.to_pylist():
+                    parts.append(packed(row, numbers))
+                    size += len(parts[-1])
+                    if size >= BLOCK:
+                        self._flush(out, b"".join(parts))
+                        parts, size = [], 0
+            self._flush(out, b"".join(parts))
+            out.write(EOF_BLOCK)
+        return Written(held, name)
+
+    @staticmethod
+    def _flush(out, data: bytes) -> None:
+        for at in range(0, len(data), BLOCK):
+            out.write(block(data[at : at + BLOCK]))
+
+    def commit(self, messages):
+        store, _ = _open(self.path)
+        for m in messages:
+            if m is not None:
+                store.move(m.held, m.name)
+
+    def abort(self, messages):
+        store, _ = _open(self.path)
+        for m in messages:
+            if m is not None:
+                store.delete_file(m.held)
 
 
 class BamSource(DataSource):
-    """spark.dataSource.register(BamSource); spark.read.format("bam").load(path).  One task a file."""
-
     @classmethod
     def name(cls):
         return "bam"
@@ -61,3 +222,9 @@ class BamSource(DataSource):
 
     def reader(self, schema):
         return BamReader(self.options["path"])
+
+    def writer(self, schema, overwrite):
+        if overwrite:
+            raise ValueError("BAM files are added to a folder, not replaced")
+        pairs = [x.rpartition(":") for x in self.options.get("references", "").split(",") if x]
+        return BamWriter(self.options["path"], [(c, int(n)) for c, _, n in pairs])

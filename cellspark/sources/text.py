@@ -1,50 +1,14 @@
-"""Readers and writers of sequence, annotation and matrix files."""
+"""Readers and writers of line files: SAM, GTF, RT tables, prefix lists."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FASTQ = "prefix string, read_no long, name string, seq string, qual string"
 SAM = "name string, flag int, chrom string, pos long, mapq int, cigar string, tags map<string,string>"
 FRAGMENTS = "prefix string, read_no long, name string, r1_seq string, r1_qual string, i5_seq string, i5_qual string, r2_seq string, r2_qual string"
 
 
-def read_fastq(spark: SparkSession, path: str, suffix: str = r"_R[123]\.fastq(\.gz)?$") -> DataFrame:
-    """FASTQ files (gzip or plain): prefix from the file name, read_no from 0.  A file is one task, as gzip cannot be split;
-    records stream through it."""
-    lines = spark.read.option("wholetext", False).text(path).select(F.regexp_replace(F.element_at(F.split(F.input_file_name(), "/"), -1), suffix, "").alias("prefix"), F.input_file_name().alias("file"), "value")
-
-    def records(batches: Iterator):
-        import pandas as pd
-
-        held: dict = {}
-        count: dict = {}
-        for pdf in batches:
-            out = []
-            for prefix, file, value in zip(pdf["prefix"], pdf["file"], pdf["value"]):
-                buf = held.setdefault(file, [])
-                buf.append(value)
-                if len(buf) == 4:
-                    out.append((prefix, count.get(file, 0), buf[0].removeprefix("@"), buf[1], buf[3]))
-                    count[file] = count.get(file, 0) + 1
-                    buf.clear()
-            yield pd.DataFrame(out, columns=["prefix", "read_no", "name", "seq", "qual"])
-
-    return lines.mapInPandas(records, FASTQ)
-
-
-def write_fastq(records: DataFrame, path: str, name: str = "name", seq: str = "seq", qual: str = "qual") -> None:
-    """Gzip text, one directory a prefix where the records have one."""
-    text = F.concat_ws("\n", F.concat(F.when(F.startswith(F.col(name), F.lit("@")), "").otherwise("@"), F.col(name)), F.col(seq), F.lit("+"), F.col(qual)).alias("value")
-    if "prefix" in records.columns:
-        records.select("prefix", text).write.partitionBy("prefix").option("compression", "gzip").text(path)
-    else:
-        records.select(text).write.option("compression", "gzip").text(path)
-
-
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """SAM text: positions become 0-based; optional fields a map of tag to value."""
     cols = F.split("value", "\t")
@@ -68,37 +32,18 @@ def read_rt_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", header=True, schema="sample string, shortdt string, randomn string", mode="FAILFAST")
 
 
-def read_stat_logs(spark: SparkSession, path: str) -> DataFrame:
-    """prefix (file name up to its first dot), metric, value."""
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    return spark.read.csv(path, sep="\t", schema="value long, metric string").select(F.split_part(name, F.lit("."), F.lit(1)).alias("prefix"), "metric", "value")
-
-
 def read_prefixes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where(F.length(F.trim("value")) > 0).select(F.col("value").alias("prefix"))
 
 
-def read_matrix_market(spark: SparkSession, path: str) -> DataFrame:
-    """row, col (from 0), value of a coordinate MatrixMarket file."""
-    lines = spark.read.text(path).withColumn("n", F.monotonically_increasing_id()).where(~F.startswith(F.col("value"), F.lit("%")))
-    size = lines.agg(F.min("n")).first()[0]
-    c = F.split("value", " ")
-    return lines.where(F.col("n") != (size if size is not None else -1)).select((c[0].cast("long") - 1).alias("row"), (c[1].cast("long") - 1).alias("col"), c[2].cast("double").alias("value"))
-
-
-def write_matrix_market(triplets: DataFrame, path: str, n_rows: int, n_cols: int, field: str = "integer") -> None:
-    """row, col (from 0), value -> one ordered coordinate file, written by streaming partition after partition."""
-    ordered = triplets.orderBy("row", "col")
-    with open(path, "w") as f:
-        f.write(f"%%MatrixMarket matrix coordinate {field} general\n%\n{n_rows} {n_cols} {triplets.count()}\n")
-        for r in ordered.toLocalIterator():
-            f.write(f"{r['row'] + 1} {r['col'] + 1} {int(r['value']) if field == 'integer' else r['value']}\n")
-
-
-def write_triplets(counts: DataFrame, path: str) -> None:
-    """Counts partitioned by i7, for pruned reads."""
-    counts.write.partitionBy("i7").parquet(path)
-
-
-def with_read_numbers(df: DataFrame, by: str, order: str) -> DataFrame:
-    return df.withColumn("read_no", F.row_number().over(Window.partitionBy(by).orderBy(order)) - 1)
+def write_sam(alignments: DataFrame, path: str, references: list[tuple[str, int]] = (), gzip: bool = False) -> None:
+    """Alignments (0-based pos, tags a map, other columns as in BAM files where there are any) as SAM text; parts make one file."""
+    have = set(alignments.columns)
+    col = lambda c, other: F.coalesce(F.col(c).cast("string"), F.lit(other)) if c in have else F.lit(other)
+    place = lambda c: F.coalesce((F.col(c) + 1).cast("string"), F.lit("0")) if c in have else F.lit("0")
+    fields = [col("name", "*"), col("flag", "0"), col("chrom", "*"), place("pos"), col("mapq", "0"), col("cigar", "*"), col("mate_chrom", "*"), place("mate_pos"), col("length", "0"), col("seq", "*"), col("qual", "*")]
+    tags = F.transform(F.array_sort(F.map_entries("tags")), lambda t: F.concat(t["key"], F.lit(":Z:"), t["value"])) if "tags" in have else F.array().cast("array<string>")
+    line = F.array_join(F.concat(F.array(*fields), F.coalesce(tags, F.array().cast("array<string>"))), "\t")
+    head = ["@HD\tVN:1.6", *[f"@SQ\tSN:{c}\tLN:{n}" for c, n in references]]
+    first = alignments.sparkSession.createDataFrame([("\n".join(head),)], "line string").coalesce(1)
+    first.unionByName(alignments.select(line.alias("line"))).write.text(path, compression="gzip" if gzip else "none")
