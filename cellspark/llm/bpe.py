@@ -4,10 +4,12 @@ Encoding.  Every prefix of a piece has one encoding, and its last token is fixed
 and it may follow the last token of the encoding of what stands before it.  The transducer reads one byte a step.  A state
 holds the tokens already fixed (only the last matters) and, for each earlier place from which a token could still reach
 the present one, a node of the token trie and the tokens pending up to that place.  Tokens that all live places share are
-emitted, which happens after a bounded lookahead, as no place lives longer than the longest token.  Transitions are made
-when first met.  Their number is bounded: when a generation of states is full it becomes the old one and a new one begins,
-which takes over from the old what is still met; what is not goes with it.  A pair of tokens is tested once, by undoing
-the merges beside their boundary.
+emitted, which happens after a bounded lookahead, as no place lives longer than the longest token.
+
+Determinisation is lazy.  A transition is kept once it was asked for OFTEN times; a short piece that asks for one before
+goes on through the same places to its end, without states being kept.  The number of transitions is
+bounded: when a generation of states is full it becomes the old one and a new one begins, which takes over from the old
+what is still met; what is not goes with it.  A pair of tokens is tested once, by undoing the merges beside their boundary.
 
 Decoding.  An incremental UTF-8 automaton reads the ids' bytes one at a time and keeps the value and the bounds of an
 unfinished character between ids and chunks.  Ids whose bytes take it from its start to its start are known beforehand, by
@@ -31,9 +33,12 @@ from pyspark.sql import functions as F
 from .common import filled, kept_in_worker, lean, slices, table
 
 #: Bounds of one worker's memory: pieces, transitions and pairs remembered in a generation; two generations are kept.
-MAX_PIECES = 200_000
+MAX_PIECES = 300_000
 MAX_TRANSITIONS = 150_000
 MAX_PAIRS = 500_000
+#: Bytes of a piece that may go on without states being kept.
+SHORT = 256
+OFTEN = 4
 _FIRST, _SECOND = itemgetter(0), itemgetter(1)
 
 
@@ -43,12 +48,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class State:
-    """Tokens fixed so far (the last of them), live places, and the transitions made from here."""
+    """Tokens fixed so far (the last of them), live places (a node and the tokens pending up to it), transitions made from here."""
 
-    __slots__ = ("anchor", "places", "next")
+    __slots__ = ("anchor", "places", "name", "next")
 
-    def __init__(self, anchor: int, places: tuple):
-        self.anchor, self.places = anchor, places
+    def __init__(self, anchor: int, places: list, name: tuple):
+        self.anchor, self.places, self.name = anchor, places, name
         self.next: dict[int, tuple[State, tuple[int, ...]]] = {}
 
 
@@ -58,37 +63,42 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], most: int = MAX_TRANSITIONS):
         self.ranks, self.most = ranks, most
         self.bytes_of = {v: k for k, v in ranks.items()}
-        # the token trie: (node << 8 | byte) -> node, with the token that ends at a node
-        self.child: dict[int, int] = {}
-        self.token: list[int] = [-1]
-        self.inner: list[bool] = [False]
+        # the token trie: a node is (its number, byte -> (the next node, or None where no longer token goes on; the token that
+        # ends there, or -1))
+        child: list[dict] = [{}]
+        token = [-1]
         for k, v in ranks.items():
             node = 0
             for b in k:
-                at = node << 8 | b
-                self.inner[node] = True
-                if at not in self.child:
-                    self.child[at] = len(self.token)
-                    self.token.append(-1)
-                    self.inner.append(False)
-                node = self.child[at]
-            self.token[node] = v
+                to = child[node].get(b)
+                if to is None:
+                    to = child[node][b] = len(child)
+                    child.append({})
+                    token.append(-1)
+                node = to
+            token[node] = v
+        nodes = [(i, {}) for i in range(len(child))]
+        for (_, edges), own in zip(nodes, child):
+            for b, to in own.items():
+                edges[b] = (nodes[to] if child[to] else None, token[to])
+        self.root = nodes[0]
         self.proper: dict[int, bool] = {}
         self.pairs: dict[int, bool] = {}
         self.split: dict[int, tuple[int, int]] = {}
         self.young: dict[tuple, State] = {}
+        self.asked: dict[int, int] = {}
         self.turn()
 
     def turn(self) -> None:
         """Begin a generation of states."""
         self.old, self.young, self.made = self.young, {}, 0
-        self.start = self._state(-1, ((0, ()),))
+        self.start = self._state(-1, [(self.root, ())])
 
-    def _state(self, anchor: int, places: tuple) -> State:
-        key = (anchor, places)
-        got = self.young.get(key)
+    def _state(self, anchor: int, places: list) -> State:
+        name = (anchor, *[x for (number, _), pending in places for x in (number, *pending, -1)])
+        got = self.young.get(name)
         if got is None:
-            got = self.young[key] = State(anchor, places)
+            got = self.young[name] = State(anchor, places, name)
         return got
 
     def merge(self, piece: bytes, until: int = 1) -> list[int]:
@@ -154,47 +164,90 @@ class Transducer:
         if self.made >= self.most:
             self.turn()
         self.made += 1
-        before = self.old.get((state.anchor, state.places))
+        before = self.old.get(state.name)
         got = before.next.get(byte) if before is not None else None
         if got is not None:
             got = state.next[byte] = (self._state(got[0].anchor, got[0].places), got[1])
             return got
-        child, token, pairs, anchor = self.child, self.token, self.pairs, state.anchor
+        pairs, anchor = self.pairs, state.anchor
         alive, chain = [], None
-        for node, pending in state.places:
-            nxt = child.get(node << 8 | byte)
-            if nxt is None:
+        for (_, edges), pending in state.places:
+            to = edges.get(byte)
+            if to is None:
                 continue
-            if self.inner[nxt]:
-                alive.append((nxt, pending))
-            if chain is None:
-                t = token[nxt]
-                if t >= 0:
-                    last = pending[-1] if pending else anchor
-                    ok = pairs.get(last << 32 | t)
-                    if self._allowed(last, t) if ok is None else ok:
-                        chain = (*pending, t)
+            node, t = to
+            if node is not None:
+                alive.append((node, pending))
+            if t >= 0 and chain is None:
+                last = pending[-1] if pending else anchor
+                ok = pairs.get(last << 32 | t)
+                if self._allowed(last, t) if ok is None else ok:
+                    chain = (*pending, t)
         if chain is None:
             raise ValueError("the vocabulary lacks a byte")
-        alive.append((0, chain))
+        alive.append((self.root, chain))
         n = 0
         while all(len(p) > n and p[n] == chain[n] for _, p in alive):
             n += 1
             if n == len(chain):
                 break
         out = chain[:n]
-        got = state.next[byte] = (self._state(out[-1] if out else anchor, tuple([(node, p[n:]) for node, p in alive])), out)
+        got = state.next[byte] = (self._state(out[-1] if out else anchor, [(node, p[n:]) for node, p in alive]), out)
         return got
 
+    def _rest(self, state: State, rest: bytes) -> list[int]:
+        """The tokens still to come when `rest` ends the piece: the same places, each knowing the place its last token begins at."""
+        pairs_get, allowed, root = self.pairs.get, self._allowed, self.root[1]
+        last = [pending[-1] if pending else state.anchor for _, pending in state.places]
+        begin = n = len(last)
+        back = [-1] * n
+        alive = [(i, node[1]) for i, (node, _) in enumerate(state.places)]
+        for byte in rest:
+            now = []
+            for i, edges in alive:
+                to = edges.get(byte)
+                if to is not None:
+                    node, t = to
+                    if node is not None:
+                        now.append((i, node[1]))
+                    if t >= 0 and len(last) == n:
+                        before = last[i]
+                        ok = pairs_get(before << 32 | t)
+                        if allowed(before, t) if ok is None else ok:
+                            last.append(t)
+                            back.append(i)
+            if len(last) == n:
+                raise ValueError("the vocabulary lacks a byte")
+            now.append((n, root))
+            n += 1
+            alive = now
+        out, i = [], n - 1
+        while i >= begin:
+            out.append(last[i])
+            i = back[i]
+        out.extend(reversed(state.places[i][1]))
+        out.reverse()
+        return out
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
         out: list[int] = []
         state = self.start
-        for b in piece:
+        for at, b in enumerate(piece):
             got = state.next.get(b)
-            state, fixed = self._step(state, b) if got is None else got
+            if got is None:
+                if len(piece) <= SHORT:
+                    key = id(state) << 8 | b
+                    times = self.asked.get(key, 0) + 1
+                    if times < OFTEN:
+                        if len(self.asked) >= self.most:
+                            self.asked.clear()
+                        self.asked[key] = times
+                        return out + self._rest(state, piece[at:])
+                got = self._step(state, b)
+            state, fixed = got
             if fixed:
                 out += fixed
         out += state.places[-1][1]  # the place at the end, where all before it is encoded
@@ -292,6 +345,7 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         size = max(ranks.values(), default=-1) + 1
         self.data, self.whole = [b""] * size, [None] * size
+        self.broken = np.ones(size, bool)  # not whole
         for data, i in ranks.items():
             self.data[i] = data
             stream = Utf8Stream()
@@ -299,7 +353,8 @@ class Vocabulary:
                 text = stream.feed(data)
             except ValueError:
                 continue
-            self.whole[i] = text if not stream.need else None
+            if not stream.need:
+                self.whole[i], self.broken[i] = text, False
 
 
 def decode(ids, vocabulary: Vocabulary, chunk: int = 8192):
@@ -308,10 +363,27 @@ def decode(ids, vocabulary: Vocabulary, chunk: int = 8192):
     whole, data, feed = vocabulary.whole, vocabulary.data, stream.feed
     for i in range(0, len(ids), chunk):
         part = ids[i : i + chunk]
-        texts = [whole[t] for t in part]
-        if stream.need or None in texts:
-            texts = [text if text is not None and not stream.need else feed(data[t]) for t, text in zip(part, texts)]
-        yield "".join(texts)
+        if not stream.need:
+            try:
+                text = "".join(map(whole.__getitem__, part))
+            except TypeError:  # an id that begins or ends within a character
+                text = None
+        if stream.need or text is None:
+            text = "".join([whole[t] if not stream.need and whole[t] is not None else feed(data[t]) for t in part])
+        yield text
+    stream.close()
+
+
+def decode_bytes(ids: np.ndarray, vocabulary: Vocabulary, chunk: int = 8192):
+    """The bytes of the decoded characters in parts: the same automaton, for those who need no text."""
+    stream, data = Utf8Stream(), vocabulary.data
+    for i in range(0, len(ids), chunk):
+        part = ids[i : i + chunk]
+        known = part.tolist()
+        if stream.need or vocabulary.broken[part].any():
+            yield "".join([vocabulary.whole[t] if not stream.need and vocabulary.whole[t] is not None else stream.feed(data[t]) for t in known]).encode()
+        else:
+            yield b"".join(map(data.__getitem__, known))
     stream.close()
 
 
@@ -339,8 +411,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
                 for text in texts.slice(lo, hi - lo):
                     count, joined, packed = enc.encode(text.as_py())
                     back = hashlib.sha256()
-                    for part in decode(packed.tolist(), vocabulary):
-                        back.update(part.encode())
+                    for part in decode_bytes(packed, vocabulary):
+                        back.update(part)
                     n.append(count)
                     dig.append(hashlib.sha256(joined.encode()).hexdigest())
                     dec.append(back.hexdigest())

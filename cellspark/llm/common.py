@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.paths import scratch
+
 #: ASCII white space: the separators of `[^\x20\x09-\x0D]+`.  UTF-8 never holds these bytes inside a longer character.
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -22,22 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if jdir.isDefined():
-            return jdir.get()
-        path = "file://" + tempfile.mkdtemp(prefix="cellspark-")
-        spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage is cut by files that outlive any executor."""
     path = scratch(df.sparkSession, name)
