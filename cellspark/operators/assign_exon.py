@@ -25,28 +25,40 @@ SET = "array<struct<gene_id:string,exon_id:string>>"
 WEIGHTS = "array<struct<exon_id:string,status:string,weight:double>>"
 
 
-def _spans(pairs: DataFrame, ids: list[str], by_part: bool) -> DataFrame:
-    """ids, chrom, mate, part, strand (sense), start, end."""
-    part = (lambda b: b["part"]) if by_part else (lambda b: F.lit(0))
-    one = lambda m, b, s: F.transform(b, lambda x: F.struct(F.lit(m).alias("mate"), part(x).alias("part"), s.alias("strand"), x["start"].alias("start"), x["end"].alias("end")))
-    flat = pairs.select(*ids, "chrom", F.explode(F.concat(one(1, F.col("blocks1"), flipped(F.col("strand1"))), one(2, F.col("blocks2"), F.col("strand2")))).alias("b"))
-    return flat.groupBy(*ids, "chrom", "b.mate", "b.part", "b.strand").agg(F.min("b.start").alias("start"), F.max("b.end").alias("end"))
+def _last(blocks: Column, by_part: bool) -> Column:
+    return F.coalesce(F.array_max(F.transform(blocks, lambda b: b["part"])), F.lit(0)) if by_part else F.lit(0)
 
 
-def sets(pairs: DataFrame, ids: list[str], exons: DataFrame, by_part: bool, width: int = 1 << 14) -> DataFrame:
-    """pairs with x1, x2: arrays over parts of sets of exons; antisense sets only where both mates have no sense exon."""
+def _spans(mate: int, strand: Column, by_part: bool) -> Column:
+    """array<struct<mate, part, strand, start, end>>: the spans of a mate's blocks, or of each N-free part of them."""
+    blocks = F.col(f"blocks{mate}")
+
+    def span(p: Column) -> Column:
+        own = F.filter(blocks, lambda b: b["part"] == p) if by_part else blocks
+        return F.struct(F.lit(mate).alias("mate"), p.alias("part"), strand.alias("strand"), F.array_min(F.transform(own, lambda b: b["start"])).alias("start"), F.array_max(F.transform(own, lambda b: b["end"])).alias("end"))
+
+    return F.filter(F.transform(F.sequence(F.lit(0), _last(blocks, by_part)), span), lambda s: s["start"].isNotNull())
+
+
+def sets(pairs: DataFrame, ids: list[str], exons: DataFrame, by_part: bool, width: int = 1 << 14, dealt: bool = False) -> DataFrame:
+    """ids, start1, end1, start2, end2 and x1, x2: arrays over parts of sets of exons; antisense sets only where both mates
+    have no sense exon.
+
+    Pairs are dealt by id once, before their spans are taken apart (dealt: they are already); the spans meet the broadcast
+    exons and come back together in the same task.
+    """
+    places = ["start1", "end1", "start2", "end2"]
     f = exons.select("chrom", F.col("strand").alias("f_strand"), "start", "end", "gene_id", "exon_id")
-    both = containment_join(_spans(pairs, ids, by_part), f, ["chrom"], width)
-    rows = both.groupBy(*ids).agg(F.collect_set(F.struct((F.col("strand") == F.col("f_strand")).alias("sense"), "mate", "part", F.struct("gene_id", "exon_id").alias("e"))).alias("__h"))
+    rows = (pairs if dealt else pairs.repartition(*ids)).select(*ids, "chrom", *places, _last(F.col("blocks1"), by_part).alias("__last1"), _last(F.col("blocks2"), by_part).alias("__last2"), F.explode_outer(F.concat(_spans(1, flipped(F.col("strand1")), by_part), _spans(2, F.col("strand2"), by_part))).alias("__s"))
+    both = containment_join(rows.select(*ids, "chrom", *places, "__last1", "__last2", "__s.*"), f, ["chrom"], width, how="left")
+    hit = F.when(F.col("inside"), F.struct((F.col("strand") == F.col("f_strand")).alias("sense"), "mate", "part", F.struct("gene_id", "exon_id").alias("e")))
+    out = both.groupBy(*ids).agg(*[F.first(c).alias(c) for c in (*places, "__last1", "__last2")], F.collect_set(hit).alias("__h"))
     used = F.filter("__h", lambda h: h["sense"] == F.exists("__h", lambda g: g["sense"]))
-    out = pairs.join(rows, ids, "left").withColumn("__h", F.coalesce(used, F.array().cast("array<struct<sense:boolean,mate:int,part:int,e:struct<gene_id:string,exon_id:string>>>")))
 
     def of(mate: int) -> Column:
-        blocks = F.col(f"blocks{mate}")
-        last = F.coalesce(F.array_max(F.transform(blocks, lambda b: b["part"])), F.lit(0)) if by_part else F.lit(0)
-        return F.transform(F.sequence(F.lit(0), last), lambda p: F.array_sort(F.transform(F.filter("__h", lambda h: (h["mate"] == mate) & (h["part"] == p)), lambda h: h["e"])))
+        return F.transform(F.sequence(F.lit(0), F.col(f"__last{mate}")), lambda p: F.array_sort(F.transform(F.filter("__h", lambda h: (h["mate"] == mate) & (h["part"] == p)), lambda h: h["e"])))
 
-    return out.withColumn("x1", of(1)).withColumn("x2", of(2)).drop("__h")
+    return out.withColumn("__h", used).withColumns({"x1": of(1), "x2": of(2)}).drop("__h", "__last1", "__last2")
 
 
 def genes(x: Column) -> Column:
@@ -151,12 +163,12 @@ def block_half(b1: Column, b2: Column) -> Column:
 METHODS = ("split_half", "pair_once", "block_once", "block_half")
 
 
-def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, method: str, width: int = 1 << 14) -> DataFrame:
+def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, method: str, width: int = 1 << 14, dealt: bool = False) -> DataFrame:
     """ids, exon_id, status, weight: what each pair adds to exons (exon_id) or to no_feature and ambiguous (status)."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     by_part = method.startswith("block")
-    x = sets(pairs, ids, exons, by_part, width)
+    x = sets(pairs, ids, exons, by_part, width, dealt)
     if by_part:
         swap = F.col("start1") >= F.col("start2")  # of equal starts mate 2 goes first
         first, second = F.when(swap, F.col("x2")).otherwise(F.col("x1")), F.when(swap, F.col("x1")).otherwise(F.col("x2"))

@@ -21,7 +21,7 @@ FLANK = 1000
 NEAR = 100
 
 
-def stacked_blocks(pairs: DataFrame, ids: list[str], flank: int = FLANK) -> DataFrame:
+def stacked_blocks(pairs: DataFrame, ids: list, flank: int = FLANK) -> DataFrame:
     """ids, kind, chrom, strand, start, end: every M block, plain for exons and bodies, and moved for the flank.
 
     The flank's shift is taken from mate 2 and reduced so that its start stays at 0; mate 1 then starts from the reduced
@@ -31,56 +31,64 @@ def stacked_blocks(pairs: DataFrame, ids: list[str], flank: int = FLANK) -> Data
     d = F.when(s2 == "+", F.lit(-flank)).otherwise(F.lit(flank)).cast("long")
     d2 = F.when((d < 0) & (F.col("start2") <= -d), -F.col("start2")).otherwise(d)
     d1 = F.when((d2 < 0) & (F.col("start1") <= -d2), -F.col("start1")).otherwise(d2)
-    one = lambda b, s, d: F.transform(b, lambda x: F.struct(s.alias("strand"), x["start"].alias("start"), x["end"].alias("end"), d.alias("shift")))
-    flat = pairs.select(*ids, "chrom", F.explode(F.concat(one(F.col("blocks1"), s1, d1), one(F.col("blocks2"), s2, d2))).alias("b"))
-    kinds = F.array(F.struct(F.lit("plain").alias("kind"), F.lit(0).cast("long").alias("by")), F.struct(F.lit("flank").alias("kind"), F.col("b.shift").alias("by")))
-    rows = flat.select(*ids, "chrom", "b", F.explode(kinds).alias("k"))
-    return rows.select(*ids, "chrom", F.col("b.strand").alias("strand"), (F.col("b.start") + F.col("k.by")).alias("start"), (F.col("b.end") + F.col("k.by")).alias("end"), "k.kind")
+
+    def moved(blocks, strand, kind: str, by):
+        return F.transform(blocks, lambda x: F.struct(strand.alias("strand"), (x["start"] + by).alias("start"), (x["end"] + by).alias("end"), F.lit(kind).alias("kind")))
+
+    every = F.concat(*[moved(F.col(b), s, k, by) for b, s, shift in (("blocks1", s1, d1), ("blocks2", s2, d2)) for k, by in (("plain", F.lit(0).cast("long")), ("flank", shift))])
+    return pairs.select(*ids, F.explode_outer(every).alias("__b")).select(*ids, "__b.*")
 
 
 def stacked_features(exons: DataFrame, genes: DataFrame, ends: DataFrame) -> DataFrame:
-    """chrom, f_strand, start, end, gene_id, level, ends: merged exons and gene bodies, each with its gene's transcript ends."""
+    """chrom, kind, f_strand, start, end, gene_id, level, ends: merged exons (for plain blocks) and gene bodies (for both
+    kinds), each with its gene's transcript ends."""
     cols = ["chrom", F.col("strand").alias("f_strand"), "start", "end", "gene_id"]
-    both = gene_parts(exons).select(*cols, F.lit("exon").alias("level")).unionByName(genes.select(*cols, F.lit("gene").alias("level")))
-    return both.join(ends.groupBy("gene_id").agg(F.collect_set("end_d").alias("ends")), "gene_id", "left")
+    parts = gene_parts(exons).select(F.lit("plain").alias("kind"), *cols, F.lit("exon").alias("level"))
+    bodies = genes.select(F.explode(F.array(F.lit("plain"), F.lit("flank"))).alias("kind"), *cols, F.lit("gene").alias("level"))
+    return parts.unionByName(bodies).join(ends.groupBy("gene_id").agg(F.collect_set("end_d").alias("ends")), "gene_id", "left")
 
 
-def hits(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14) -> DataFrame:
-    """ids, stage, gene_id, whole, distance: the genes that each stage finds for a pair.
+def hits(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14, keep: tuple[str, ...] = (), dealt: bool = False) -> DataFrame:
+    """ids, keep, chrom, stage, gene_id, whole, distance: the genes that each stage finds for a pair; a pair has a row of nulls
+    besides, as its blocks are kept where they meet nothing.
 
     whole: the gene covers every aligned base; distance: of mate 1's directional end to the gene's nearest transcript end,
-    null for random primers.  Hits are dealt by pair, so what follows by pair needs no further exchange.
+    null for random primers.  Pairs are dealt by id once, before their blocks are taken apart (dealt: they are already);
+    the annotation is broadcast, so all that follows by pair needs no further exchange.
     """
     aligned = F.aggregate(F.concat("blocks1", "blocks2"), F.lit(0).cast("long"), lambda a, b: a + b["end"] - b["start"])
-    mate = F.struct(aligned.alias("aligned"), F.col("strand1").alias("strand"), F.col("start1").alias("start"), F.col("end1").alias("end"), "is_randomn")
-    blocks = stacked_blocks(pairs.withColumn("__m", mate), [*ids, "__m"])
-    both = overlap_join(blocks, stacked_features(exons, genes, ends), ["chrom"], width)
+    at = lambda strand: F.when(~F.col("is_randomn"), directional_end(F.col("start1"), F.col("end1"), strand))
+    by_pair = [*ids, *keep, "chrom"]
+    mates = (pairs if dealt else pairs.repartition(*ids)).withColumns({"__aligned": aligned, "__sense": at(flipped(F.col("strand1"))), "__anti": at(F.col("strand1"))})
+    blocks = stacked_blocks(mates, [*by_pair, "__aligned", "__sense", "__anti"])
+    both = overlap_join(blocks, stacked_features(exons, genes, ends), ["chrom", "kind"], width, how="left")
     sense, level = F.col("strand") == F.col("f_strand"), F.col("level")
     stage = F.when(F.col("kind") == "plain", F.when(sense & (level == "exon"), 1).when(sense, 2).when(level == "exon", 4).otherwise(5)).when(sense & (level == "gene"), 3)
-    found = both.withColumn("stage", stage).where("stage IS NOT NULL").repartition(*ids).groupBy(*ids, "stage", "gene_id").agg(F.sum("overlap").alias("covered"), F.first("__m").alias("m"), F.first("ends").alias("ends"))
-    strand = F.when(F.col("stage") <= 3, flipped(F.col("m.strand"))).otherwise(F.col("m.strand"))
-    at = directional_end(F.col("m.start"), F.col("m.end"), strand)
-    distance = F.when(~F.col("m.is_randomn"), F.array_min(F.transform("ends", lambda e: F.abs(e - at))))
-    return found.select(*ids, "stage", "gene_id", (F.col("covered") == F.col("m.aligned")).alias("whole"), distance.alias("distance"))
+    own = F.when(F.col("stage") <= 3, F.col("__sense")).otherwise(F.col("__anti"))
+    found = both.withColumn("stage", F.when(F.col("overlap").isNotNull(), stage)).withColumns({"gene_id": F.when(F.col("stage").isNotNull(), F.col("gene_id")), "__far": F.when(F.col("stage").isNotNull(), F.array_min(F.transform("ends", lambda e: F.abs(e - own))))})
+    per = found.groupBy(*by_pair, "stage", "gene_id").agg(F.sum("overlap").alias("__covered"), F.min("__aligned").alias("__aligned"), F.min("__far").alias("distance"))
+    return per.select(*by_pair, "stage", "gene_id", (F.col("__covered") == F.col("__aligned")).alias("whole"), "distance")
 
 
-def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14, chroms: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14, chroms: DataFrame | None = None, keep: tuple[str, ...] = (), dealt: bool = False) -> DataFrame:
     """ids, keep and stage, gene_id, region (exon or intron), status (counted, ambiguous, no_feature, unmapped), n_candidates,
     whole (a candidate holds all aligned bases): one row a pair.
 
     Several candidates are settled by the smallest distance, unless another lies within NEAR of it.
     """
-    found = hits(pairs, ids, exons, genes, ends, width).withColumn("__p", F.lit(None).cast(pairs.select(F.struct("chrom", *keep).alias("p")).schema["p"].dataType))
-    every = pairs.select(*ids, F.lit(None).cast("int").alias("stage"), F.lit(None).cast("string").alias("gene_id"), F.lit(None).cast("boolean").alias("whole"), F.lit(None).cast("long").alias("distance"), F.struct("chrom", *keep).alias("__p")).repartition(*ids)
-    per = found.unionByName(every).groupBy(*ids).agg(F.min("stage").alias("stage"), F.max("__p").alias("__p"), F.collect_list(F.when(F.col("gene_id").isNotNull(), F.struct("stage", "gene_id", "whole", "distance"))).alias("h"))
+    kept = [c for c in ("chrom", *keep) if c not in ids]
+    per = hits(pairs, ids, exons, genes, ends, width, tuple(c for c in keep if c not in ids and c != "chrom"), dealt)
+    found = F.when(F.col("stage").isNotNull(), F.struct("stage", "gene_id", "whole", "distance"))
+    per = per.groupBy(*ids).agg(*[F.first(c).alias(c) for c in kept], F.min("stage").alias("stage"), F.collect_list(found).alias("h"))
     per = per.withColumn("h", F.filter("h", lambda x: x["stage"] == F.col("stage"))).withColumn("whole", F.exists("h", lambda x: x["whole"]))
     per = per.withColumn("h", F.filter("h", lambda x: x["whole"] | ~F.col("whole"))).withColumn("low", F.array_min(F.transform("h", lambda x: x["distance"])))
     near = F.filter("h", lambda x: x["distance"] < F.col("low") + NEAR)
     gene = F.when(F.size("h") == 1, F.get("h", 0)["gene_id"]).when(F.size(near) == 1, F.get(near, 0)["gene_id"])
-    out = per.select(*ids, "__p.*", "stage", "whole", gene.alias("gene_id"), F.size("h").alias("n_candidates"))
+    out = per.select(*ids, *kept, "stage", "whole", gene.alias("gene_id"), F.size("h").alias("n_candidates"))
     status = F.when(F.col("stage").isNull(), "no_feature").when(F.col("gene_id").isNull(), "ambiguous").otherwise("counted")
     if chroms is not None:
-        out = out.join(F.broadcast(chroms.select("chrom", F.lit(True).alias("__known"))), "chrom", "left")  # one row a chromosome
+        known = chroms.select("chrom", F.lit(True).alias("__known")).distinct()
+        out = out.join(F.broadcast(known) if known.limit(100_001).count() <= 100_000 else known, "chrom", "left")
         status = F.when(F.col("__known").isNull(), "unmapped").otherwise(status)
     region = F.when(F.col("stage").isNotNull(), F.when((F.col("stage") == 1) | ((F.col("stage") == 4) & F.col("whole")), "exon").otherwise("intron"))
     return out.select(*ids, *keep, "stage", "gene_id", region.alias("region"), status.alias("status"), "n_candidates", "whole")

@@ -17,7 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
-    if not spark.sparkContext.master.startswith("local["):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = "file://" + tempfile.mkdtemp(prefix="cellspark-")
     spark.sparkContext.setCheckpointDir(path)
