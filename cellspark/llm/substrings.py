@@ -46,7 +46,7 @@ GRAM = 32
 CROWD = 64
 HOT = 4096
 #: (different runs of an anchor up to, bytes of a segment): owners of crowded anchors are cut finer.
-SEGMENTS = ((64, 1 << 16), (HOT, 1 << 12))
+SEGMENTS = ((64, 1 << 16), (512, 1 << 12), (HOT, 1 << 10))
 #: Stretches whose suffixes are sorted at once, where groups are small.
 GROUP_BYTES = 1 << 20
 #: Buckets that a partition is read in.
@@ -55,12 +55,12 @@ NULL_ID = 2**63 - 1
 _B1, _B2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 
 #: One run of windows: anchor hash, document (id, text hash), start, a hash of its bytes, bytes; crowd: stands for a batch's crowd.
-RECORD = np.dtype([("h", "<u8"), ("doc", "<i8"), ("th", "<u4"), ("a", "<i4"), ("c", "<u4"), ("n", "<i4"), ("crowd", "u1")])
+RECORD = np.dtype([("h", "<u8"), ("doc", "<i8"), ("th", "<i8"), ("a", "<i4"), ("c", "<u4"), ("n", "<i4"), ("crowd", "u1")])
 #: What a document learns of a run: a repeat, a run of an owner's stretch, or a run of a hot anchor.
-NOTE = np.dtype([("doc", "<i8"), ("th", "<u4"), ("a", "<i4"), ("n", "<i4"), ("kind", "u1"), ("key", "<u8")])
+NOTE = np.dtype([("doc", "<i8"), ("th", "<i8"), ("a", "<i4"), ("n", "<i4"), ("kind", "u1"), ("key", "<u8")])
 REPEAT, SHARED, CROWDED = 0, 1, 2
 SPAN = np.dtype([("a", "<i4"), ("n", "<i4")])
-WINDOW = np.dtype([("w", "<u8"), ("v", "<u8"), ("doc", "<i8"), ("th", "<u4"), ("a", "<i4")])
+WINDOW = np.dtype([("w", "<u8"), ("v", "<u8"), ("doc", "<i8"), ("th", "<i8"), ("a", "<i4")])
 
 
 def runs(data: np.ndarray, off: np.ndarray, length: int, gram: int, powers: dict):
@@ -236,7 +236,7 @@ def notes_by_document(docs: DataFrame, length: int, gram: int, crowd: int | None
             segment[kinds <= most] = width
         own = rec[first]
         with np.errstate(over="ignore"):
-            key = u64_mix(u64_mix(own["doc"].astype(np.uint64) ^ (own["th"].astype(np.uint64) << np.uint64(31))) + (own["a"] // segment).astype(np.uint64) * np.uint64(2) + (segment == SEGMENTS[0][1]).astype(np.uint64))
+            key = u64_mix((u64_mix(own["doc"]) ^ own["th"].astype(np.uint64)) + segment.astype(np.uint64)) + (own["a"] // segment).astype(np.uint64)
         keep = (size[group] > 1) & (rec["crowd"] == 0)
         return told(rec[keep], np.where(crowded, CROWDED, SHARED)[group[keep]], key[group[keep]])
 
@@ -460,7 +460,7 @@ def compared(rows: DataFrame, length: int, group_bytes: int, table_of_repeats: b
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     text = F.coalesce(docs[text_col], F.lit(""))
-    return docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("th"), text.alias("text"))
+    return docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text).alias("th"), text.alias("text"))
 
 
 def find_repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, hot: int = HOT, group_bytes: int = GROUP_BYTES) -> DataFrame:
@@ -518,7 +518,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_
     texts = keyed(docs, id_col, text_col)
     others = [c for c in docs.columns if c != text_col]
     text = F.coalesce(docs[text_col], F.lit(""))
-    rest = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("th"), F.struct(*[docs[c] for c in others], docs[text_col].isNull().alias("__no_text")).alias("rest"))
+    rest = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(text).alias("th"), F.struct(*[docs[c] for c in others], docs[text_col].isNull().alias("__no_text")).alias("rest"))
     rest = rest.groupBy("doc", "th").agg(F.first("rest").alias("rest"))
     joined = texts.join(find_repeats(texts, **how).hint("merge"), ["doc", "th"], "left").join(rest.hint("merge"), ["doc", "th"])
 

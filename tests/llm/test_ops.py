@@ -487,6 +487,19 @@ def test_repeats_are_exact_at_any_length(spark, length):
     assert {r.doc_id: [tuple(s) for s in r.spans] for r in got.collect()} == want
 
 
+def test_texts_without_ids(spark):
+    """Texts of null ids are documents of their own, told apart by their hash, after all others."""
+    rnd = random.Random(10)
+    some = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = some(150)
+    rows = [(None, some(30 * i) + chr(48 + i) + passage + chr(48 + i) + some(40)) for i in range(6)] + [(3, some(20) + "x" + passage), (None, None), (None, "")]
+    out = substrings.removed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        at = r.text.find(passage)
+        assert [tuple(s) for s in r.spans] == ([(at, at + 150)] if r.doc_id is None and at >= 0 else [])
+
+
 def test_a_long_passage_is_one_repeat(spark):
     rnd = random.Random(9)
     some = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
