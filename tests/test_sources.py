@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellspark.operators import alignments, cells, ranks, reads, stats
-from cellspark.sources import bam, fastq, paths, tables, text
+from cellspark.sources import bam, fastq, genome, paths, tables, text
 
 RND = random.Random(2)
 
@@ -173,3 +173,17 @@ def test_final_cells_without_twins(spark):
     got = cells.cell_annotation(c, rate, p).collect()
     assert len(got) == 1 and got[0].asDict() | {"unmatched_rate": 0} == {"cell_id": "p.l.t1", "unmatched_rate": 0, "umi_count": 5, "gene_count": 1, "pcr_batch": "p", "ligation_barcodes": "l", "shortdt_umi_count": 3.0, "randomn_umi_count": 2.0, "rt_barcodes_shortdt": "t1", "sample": "s"}
     assert abs(got[0].unmatched_rate - (0.2 * 3.75 + 0.5 * 4) / 7.75) < 1e-9
+
+
+def test_genome_files(spark, tmp_path):
+    (tmp_path / "r.gtf").write_text('chr1\trmsk\texon\t11\t20\t1\t+\t.\tgene_id "L1"; transcript_id "L1_1";\n')
+    assert genome.resolve(spark, str(tmp_path / "r.gtf")) == str(tmp_path / "r.gtf")
+    with pytest.raises(FileNotFoundError):
+        genome.resolve(spark, str(tmp_path / "no.gtf"))
+    (tmp_path / "page.html").write_text("<html></html>")
+    with pytest.raises(ValueError):
+        genome.fetch((tmp_path / "page.html").as_uri(), str(tmp_path / "x"))
+    with pytest.raises(ValueError):
+        genome.repeats_form("xx1")
+    copied = genome._shared(spark, lambda local: genome.fetch((tmp_path / "r.gtf").as_uri(), local), "r.gtf")
+    assert tuple(genome.read_repeats(spark, copied).first()) == ("chr1", 10, 20, "+", "L1")
