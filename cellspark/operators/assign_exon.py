@@ -51,7 +51,7 @@ def sets(pairs: DataFrame, ids: list[str], exons: DataFrame, by_part: bool, widt
     f = exons.select("chrom", F.col("strand").alias("f_strand"), "start", "end", "gene_id", "exon_id")
     rows = (pairs if dealt else pairs.repartition(*ids)).select(*ids, "chrom", *places, _last(F.col("blocks1"), by_part).alias("__last1"), _last(F.col("blocks2"), by_part).alias("__last2"), F.explode_outer(F.concat(_spans(1, flipped(F.col("strand1")), by_part), _spans(2, F.col("strand2"), by_part))).alias("__s"))
     both = containment_join(rows.select(*ids, "chrom", *places, "__last1", "__last2", "__s.*"), f, ["chrom"], width, how="left")
-    hit = F.when(F.col("inside"), F.struct((F.col("strand") == F.col("f_strand")).alias("sense"), "mate", "part", F.struct("gene_id", "exon_id").alias("e")))
+    hit = F.when(F.col("f_start").isNotNull(), F.struct((F.col("strand") == F.col("f_strand")).alias("sense"), "mate", "part", F.struct("gene_id", "exon_id").alias("e")))
     out = both.groupBy(*ids).agg(*[F.first(c).alias(c) for c in (*places, "__last1", "__last2")], F.collect_set(hit).alias("__h"))
     used = F.filter("__h", lambda h: h["sense"] == F.exists("__h", lambda g: g["sense"]))
 

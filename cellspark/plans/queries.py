@@ -12,7 +12,8 @@ from .views import EXON, GENE, PAIR, codes, exon_view, gene_view, pair_view, rea
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-WIDTH = 256
+#: Bins as long as the views' exons are.
+WIDTH = 64
 PID = ["pid"]
 
 
