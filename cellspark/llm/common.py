@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +39,22 @@ def bounded_broadcast(df: DataFrame, small: DataFrame, on: str, how: str, rows:
     return df.join(F.broadcast(small) if rows <= limit else small.hint("merge"), on, how)
 
 
-def cut_ids(df: DataFrame, col: str, parts: int) -> list[int]:
-    """At most parts - 1 ascending ids that cut the column into ranges of about equal counts (narrow scan, one small row)."""
+def cut_rows(keyed: DataFrame, parts: int) -> list[tuple[int, int]]:
+    """At most parts - 1 ascending (key, tie) that cut the rows into ranges of about equal counts.
+
+    A key that several quantiles fall on (one id, or no id, of many rows) is cut again, by quantiles of its ties.
+    """
     if parts < 2:
         return []
-    probs = [i / parts for i in range(1, parts)]
-    got = df.agg(F.percentile_approx(col, probs, max(10_000, 20 * parts)).alias("q")).first()["q"]
-    return sorted(set(got or []))
+    probs, accuracy = [i / parts for i in range(1, parts)], max(10_000, 20 * parts)
+    many = Counter(keyed.agg(F.percentile_approx("key", probs, accuracy).alias("q")).first()["q"] or [])
+    cuts = {(k, 1 - 2**63) for k in many}
+    hot = [k for k, n in many.items() if n > 1]  # fewer than parts
+    if hot:
+        for r in keyed.where(F.col("key").isin(hot)).groupBy("key").agg(F.percentile_approx("tie", probs, accuracy).alias("q")).collect():
+            n = many[r["key"]] + 1
+            cuts |= {(r["key"], r["q"][i * parts // n - 1]) for i in range(1, n)}
+    return sorted(cuts)
 
 
 def slices(texts: pa.Array, most: int = 4 << 20):

@@ -16,15 +16,12 @@ in one pass; other columns are not touched.
 
 from __future__ import annotations
 
-from collections import Counter
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut_rows, table
 
 SECTION = 8
-LOW = 1 - 2**63
 PIECE_END = r"(?<=[.!?,;:|]) "
 
 
@@ -66,24 +63,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(docs[id_col].alias("doc_id"), tree(F.coalesce(docs[text_col], F.lit(""))).alias("tree")).select("doc_id", "tree.*")
 
 
-def _cuts(keyed: DataFrame, parts: int) -> list[tuple[int, int]]:
-    """At most parts - 1 ascending (key, tie) that cut the rows into ranges of about equal counts.
-
-    A key that several quantiles fall on (one id, or no id, of many rows) is cut again, by quantiles of its ties.
-    """
-    if parts < 2:
-        return []
-    probs, accuracy = [i / parts for i in range(1, parts)], max(10_000, 20 * parts)
-    many = Counter(keyed.agg(F.percentile_approx("key", probs, accuracy).alias("q")).first()["q"] or [])
-    cuts = {(k, LOW) for k in many}
-    hot = [k for k, n in many.items() if n > 1]  # fewer than parts
-    if hot:
-        for r in keyed.where(F.col("key").isin(hot)).groupBy("key").agg(F.percentile_approx("tie", probs, accuracy).alias("q")).collect():
-            n = many[r["key"]] + 1
-            cuts |= {(r["key"], r["q"][i * parts // n - 1]) for i in range(1, n)}
-    return sorted(cuts)
-
-
 def bucket_of(at: Column, cuts: list[tuple[int, int]]) -> Column:
     """The range that a struct<key, tie> falls in: a search in two steps, so its work grows with the root of the number of cuts."""
     if not cuts:
@@ -107,7 +86,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, parts: int | None = N
     keyed = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(top)).alias("key"), tie.alias("tie"), docs[id_col].isNull().alias("no_id"), text.alias("text"))
     parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     at = F.struct("key", "tie")
-    bucket = bucket_of(at, _cuts(keyed, parts))
+    bucket = bucket_of(at, cut_rows(keyed, parts))
     lows = sorted((r["b"], *r["lo"]) for r in keyed.groupBy(bucket.alias("b")).agg(F.min(at).alias("lo")).collect())  # one row a range
     # a range's lowest row, and the range before it (the first follows the last)
     tails = [(k, t, lows[i - 1][0]) for i, (_, k, t) in enumerate(lows)]

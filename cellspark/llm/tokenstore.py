@@ -10,7 +10,8 @@ Files are Parquet, one row a shard, written and read by Spark on any store it ca
 shard is read in one task without a shuffle.  The number of shards follows the input's bytes (SHARD_BYTES).
 
 Cases: a null text is empty and yields only the end id; null keys come last, under a key of their own; rows with equal
-keys stand together in a defined order (by text hash) and share one slot; a very long text is one run of a payload; an
+keys stand together in a defined order (by text hash) and share one slot of a shard; a key of very many rows may go on over
+several shards, which a lookup all asks; a very long text is one run of a payload; an
 empty table makes no shard; other columns are not touched.
 """
 
@@ -18,20 +19,21 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut_ids, filled, kept_in_worker, lean, raw, scratch, slices, table, u64_mix, word_array, word_spans
+from .common import cut_rows, filled, kept_in_worker, lean, raw, scratch, slices, table, u64_mix, word_array, word_spans
 
 NULL_KEY = 2**63 - 1
 BLOCK = 8 << 20
 #: Bytes of input that a shard is meant for, where the plan tells them.
 SHARD_BYTES = 64 << 20
-LAYOUT = "shard int, low long, n_ids long, bits array<binary>, prints binary, first binary, offsets binary, keys binary, payload array<binary>"
-ARROW = pa.schema([("shard", pa.int32()), ("low", pa.int64()), ("n_ids", pa.int64()), ("bits", pa.list_(pa.binary())), ("prints", pa.binary()), ("first", pa.binary()), ("offsets", pa.binary()), ("keys", pa.binary()), ("payload", pa.list_(pa.binary()))])
+LAYOUT = "shard int, low long, high long, n_ids long, bits array<binary>, prints binary, first binary, offsets binary, keys binary, payload array<binary>"
+ARROW = pa.schema([("shard", pa.int32()), ("low", pa.int64()), ("high", pa.int64()), ("n_ids", pa.int64()), ("bits", pa.list_(pa.binary())), ("prints", pa.binary()), ("first", pa.binary()), ("offsets", pa.binary()), ("keys", pa.binary()), ("payload", pa.list_(pa.binary()))])
 GAMMA = 2.0
 MAX_CHUNKS = 400_000
 
@@ -234,29 +236,38 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, dtype: str =
     Ids are encoded where the texts are read; only packed ids are shuffled.  Shards are id ranges from quantiles.
     """
     spark = docs.sparkSession
-    keyed = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_KEY)).alias("key"), docs[text_col].alias("text"))
+    text = F.coalesce(docs[text_col], F.lit(""))
+    keyed = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_KEY)).alias("key"), F.crc32(text.cast("binary")).alias("tie"), text.alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = shards or max(4 * parts, shards_for(docs))
-    cuts = np.array(cut_ids(keyed, "key", shards), np.int64)
+    cuts = np.array(cut_rows(keyed, shards), np.int64).reshape(-1, 2)
+    split = [k for k, n in Counter(cuts[:, 0].tolist()).items() if n > 1]
     end = np.array([end_id], dtype).tobytes()
 
+    def shard_of(key: np.ndarray, tie: np.ndarray) -> np.ndarray:
+        """The range that (key, tie) falls in; only keys of several ranges look at the tie."""
+        at = np.searchsorted(cuts[:, 0], key, "right")
+        for k in split:
+            mine = np.flatnonzero(key == k)
+            lo, hi = np.searchsorted(cuts[:, 0], k, "left"), np.searchsorted(cuts[:, 0], k, "right")
+            at[mine] = lo + np.searchsorted(cuts[lo:hi, 1], tie[mine], "right")
+        return at
+
     def encode(batches):
         enc = kept_in_worker(("chunks", tokenizer, dtype), lambda: ChunkEncoder(tokenizer, dtype))
         for batch in batches:
-            keys = batch.column(0).to_numpy()
-            texts = filled(batch, "text")
+            keys, ties, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), filled(batch, "text")
             for lo, hi in slices(texts):
-                part, k = texts.slice(lo, hi - lo), keys[lo:hi]
+                part, k, tie = texts.slice(lo, hi - lo), keys[lo:hi], ties[lo:hi]
                 got = [g + end for g in enc.encode(part)]
-                tie = [zlib.crc32(t.as_buffer() or b"") for t in part]
-                yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(cuts, k, "right"), pa.int32()), pa.array(k), pa.array(tie, pa.int64()), pa.array(got, pa.binary())], names=["shard", "key", "tie", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(shard_of(k, tie), pa.int32()), pa.array(k), pa.array(tie), pa.array(got, pa.binary())], names=["shard", "key", "tie", "ids"])
 
     def build(batches):
         now, keys, rows = None, [], []
 
         def flush():
             k = np.concatenate(keys)
-            row = {"shard": now, "low": int(k[0]), "keys": k[np.concatenate([[True], k[1:] != k[:-1]])].astype("<i8").tobytes()} | Shard.build(k, rows, dtype).dump()
+            row = {"shard": now, "low": int(k[0]), "high": int(k[-1]), "keys": k[np.concatenate([[True], k[1:] != k[:-1]])].astype("<i8").tobytes()} | Shard.build(k, rows, dtype).dump()
             return pa.RecordBatch.from_pylist([row], schema=ARROW)
 
         for batch in batches:
@@ -319,15 +330,18 @@ def read_keys(spark: SparkSession, path: str, keys: DataFrame, id_col: str = "do
     """The same for the distinct keys asked for; keys that the store lacks give no row."""
     files = spark.read.schema(LAYOUT).parquet(path)
     before = starts(files)
-    lows = sorted((r["low"], r["shard"]) for r in files.select("shard", "low").collect())  # one number a shard
-    if not lows:
+    known = sorted((r["shard"], r["low"], r["high"]) for r in files.select("shard", "low", "high").collect())  # two numbers a shard
+    if not known:
         return spark.createDataFrame([], ANSWER)
-    cuts, names = np.array([lo for lo, _ in lows[1:]], np.int64), np.array([s for _, s in lows], np.int64)
+    names, lows, highs = (np.array(x, np.int64) for x in zip(*known))
 
     def route(batches):
         for batch in batches:
             k = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(names[np.searchsorted(cuts, k, "right")], pa.int32()), pa.array(k)], names=["shard", "key"])
+            first, n = np.searchsorted(highs, k, "left"), np.searchsorted(lows, k, "right")
+            n = np.maximum(n - first, 0)  # shards whose range holds the key
+            at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(names[at], pa.int32()), pa.array(np.repeat(k, n))], names=["shard", "key"])
 
     def answer(batches):
         for batch in batches:

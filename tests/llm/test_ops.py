@@ -610,7 +610,7 @@ def test_one_id_is_cut_over_ranges(spark):
     rows = [(None if i % 3 else 4, "z" * i) for i in range(300)]
     d = spark.createDataFrame(rows, "doc_id long, text string")
     keyed = d.select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("key"), F.length("text").cast("long").alias("tie"))
-    assert len(merkle._cuts(keyed, 20)) >= 15
+    assert len(merkle.cut_rows(keyed, 20)) >= 15
     plan = merkle.with_next(d, "doc_id", "text", 20)
     got = sorted((r.doc_id or 9, r.text, r.next) for r in plan.collect())
     want = sorted(((i or 9, t) for i, t in rows), key=lambda r: (r[0], len(r[1])))
@@ -935,6 +935,20 @@ def test_token_store(spark, docs):
     assert sorted(map(str, map(tuple, tokenstore.read_all(spark, path).collect()))) == sorted(map(str, want))
     asked = spark.createDataFrame([(6,), (6,), (12,), (None,), (12345,)], "doc_id long")
     assert sorted(map(str, map(tuple, tokenstore.read_keys(spark, path, asked).collect()))) == sorted(str(w) for w in want if w[0] in (6, 12, None))
+    many = spark.createDataFrame([(None if i % 3 else 7, f"w {'a ' * i}") for i in range(90)] + [(1, "x")], "doc_id long, text string")
+    hot = scratch(spark, "store")
+    tokenstore.write(many, hot, tokenstore.tokenizer_path(), end_id=2, shards=12)  # two keys hold all rows but one
+    assert spark.read.parquet(hot).count() >= 8
+    whole = tokenstore.read_all(spark, hot).collect()
+    rows = sorted(texts(many), key=lambda r: (r[0] is None, r[0] or 0, zlib.crc32(r[1].encode())))
+    want, start = [], 0
+    for i, t in rows:
+        ids = [*lib.encode(t, add_special_tokens=False).ids, 2]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(str, map(tuple, whole))) == sorted(map(str, want))
+    asked = spark.createDataFrame([(7,), (None,), (5,)], "doc_id long")
+    assert sorted(map(str, map(tuple, tokenstore.read_keys(spark, hot, asked).collect()))) == sorted(str(w) for w in want if w[0] != 1)
     empty = scratch(spark, "store")
     tokenstore.write(d.limit(0), empty, tokenstore.tokenizer_path(), end_id=2)
     assert tokenstore.read_all(spark, empty).count() == 0
