@@ -103,13 +103,12 @@ def marginals(gain: np.ndarray, first: np.ndarray, trans: np.ndarray, start: flo
     width = max(16, int(np.sqrt(n)))
     e = np.exp(np.clip(gain, -30, 30))
     f = np.where(first, np.exp(start), 0)
-    fwd = np.stack([np.where(first, 1.0, trans[0, 0]), np.where(first, f, trans[0, 1]) * e, np.where(first, 1.0, trans[1, 0]), np.where(first, f, trans[1, 1]) * e])
-    alpha = _chain(fwd, width)
+    # the matrices are handed over, so each sweep's go before the next ones are made
+    alpha = _chain(np.stack([np.where(first, 1.0, trans[0, 0]), np.where(first, f, trans[0, 1]) * e, np.where(first, 1.0, trans[1, 0]), np.where(first, f, trans[1, 1]) * e]), width)
     # backward: b_t = T diag(psi_{t+1}) b_{t+1}, as row vectors over the transposed matrices in reverse order
     last = np.concatenate([first[1:], [True]])
     e1 = np.concatenate([e[1:], [1.0]])
-    bwd = np.stack([np.where(last, 1.0, trans[0, 0]), np.where(last, 1.0, trans[1, 0]), np.where(last, 1.0, trans[0, 1] * e1), np.where(last, 1.0, trans[1, 1] * e1)])
-    beta = _chain(bwd[:, ::-1], width)[:, ::-1]
+    beta = _chain(np.stack([np.where(last, 1.0, trans[0, 0]), np.where(last, 1.0, trans[1, 0]), np.where(last, 1.0, trans[0, 1] * e1), np.where(last, 1.0, trans[1, 1] * e1)])[:, ::-1], width)[:, ::-1]
     return alpha, beta, e, last
 
 
@@ -271,6 +270,7 @@ def fit(labels: np.ndarray, texts: pa.Array, owner: np.ndarray, share: float, ot
         g[0] = 0
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta += 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        del alpha, beta, e, p, fwd, bwd, pair, total  # or they would stay beside the next step's
     trans, start = np.exp(theta[n : n + 4]).reshape(2, 2), float(theta[-1])
     # the document model: logistic regression by Newton steps, then the intercept moved from the sample's share to the corpus's
     alpha, beta, _, _ = marginals(gains(), first, trans, start)
