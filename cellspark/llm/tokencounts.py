@@ -142,4 +142,5 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "flat-tokens")
     keys = write_flat(table(spark, sf_dir, "documents"), path, tokenizer_path())
     counted = count_tokens(read_blocks(spark, path, 2))
-    return keys.join(counted, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    # both sides hold a row a document, so neither is small enough to be broadcast; their keys are unique
+    return keys.join(counted.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")
