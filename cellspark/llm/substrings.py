@@ -19,9 +19,13 @@ goes.  Work follows the repeats, not the pairs:
 Texts are shuffled once (the exchange serves steps 3 and 5).  Nothing crosses documents.
 
 Crowds are split and pre-aggregated, with the same removed bytes: where a batch holds more than CROWD equal runs of an
-anchor, only the first goes on and the others go as repeats; where it holds many different ones, or all batches together
-hold more than HOT, the anchor's suffixes are dealt by their first LENGTH bytes (the interval at that depth) instead of by
-owner, after the first of each batch was kept.  repeats() never pre-aggregates, and gives those strings at LENGTH bytes.
+anchor (compared by their bytes), only the first goes on and the others go as repeats; where it holds many different ones,
+or all batches together hold more than HOT, the anchor's suffixes are dealt by their first LENGTH bytes (the interval at
+that depth, named by 128 bits) instead of by owner, after the first of each batch was kept.
+
+repeats() gives the groups and does none of this: a stretch goes to its owner with the byte before it and with the text
+behind it as far as shared anchors go on, so an owner sees every occurrence of the repeats that begin in its text, to
+their ends.  How finely owners are cut has no part in the result.
 
 Cases: a null text is empty; texts shorter than LENGTH lose nothing; rows of one id and one text are one document, and
 equal; rows of one id and different texts are documents of their own, in order of a text hash; null ids come last; very
@@ -161,7 +165,7 @@ def _batch(names: list[str], *cols: pa.Array) -> pa.RecordBatch:
 # --- 1, 2: anchors --------------------------------------------------------------------------------------------------
 
 
-def notes_by_document(docs: DataFrame, length: int, gram: int, crowd: int | None, hot: int) -> DataFrame:
+def notes_by_document(docs: DataFrame, length: int, gram: int, crowd: int | None, hot: int | None) -> DataFrame:
     """docs: doc, th, text -> doc, th, notes (packed, by start) of the documents that share an anchor."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fine = parts * FINE
@@ -178,13 +182,14 @@ def notes_by_document(docs: DataFrame, length: int, gram: int, crowd: int | None
         names = ["bucket", "records", "notes"]
         for batch in batches:
             doc, th, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
-            got = []
+            got, rows = [], []
             for lo, hi in slices(texts, 1 << 19):
                 data, off = raw(texts.slice(lo, hi - lo))
                 if len(data) < length:
                     continue
                 a, n, h, c = pieces(data, off, length, gram, powers)
                 row = np.searchsorted(off, a, "right") - 1
+                rows.append(lo + row)
                 rec = np.zeros(len(a), RECORD)
                 rec["h"], rec["c"], rec["doc"], rec["th"], rec["a"], rec["n"] = h, c & np.uint64(0xFFFFFFFF), doc[lo:hi][row], th[lo:hi][row], a - off[row], n
                 got.append(rec)
@@ -193,26 +198,34 @@ def notes_by_document(docs: DataFrame, length: int, gram: int, crowd: int | None
             rec = np.concatenate(got)
             got.clear()
             if crowd is not None:
-                rec, known = thinned(rec)
+                rec, known = thinned(rec, np.concatenate(rows), texts)
                 if len(known):
                     to, blobs = cells(spread(known["doc"], fine), known)
                     yield _batch(names, pa.array(to, pa.int32()), pa.nulls(len(to), pa.binary()), pa.array(blobs, pa.binary()))
             to, blobs = cells((rec["h"] % np.uint64(fine)).astype(np.int64), rec)
             yield _batch(names, pa.array(to, pa.int32()), pa.array(blobs, pa.binary()), pa.nulls(len(to), pa.binary()))
 
-    def thinned(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A batch's records without its crowds, and the notes on those."""
+    def thinned(rec: np.ndarray, row: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """A batch's records without its crowds, and the notes on those.  row: the text that each record is of."""
         group, size = sizes(heads(rec["h"][(order := np.argsort(rec["h"], kind="stable"))]))
         many = np.zeros(len(rec), bool)
         many[order] = size[group] > crowd
         if not many.any():
             return rec, np.zeros(0, NOTE)
-        few, rec = rec[~many], rec[many]
-        rec = rec[np.lexsort((rec["a"], rec["th"], rec["doc"], rec["c"], rec["h"]))]
-        rec = rec[heads(*[rec[c] for c in ("h", "c", "doc", "th", "a")])]
+        few, rec, row = rec[~many], rec[many], row[many]
+        order = np.lexsort((rec["a"], rec["th"], rec["doc"], rec["c"], rec["h"]))
+        rec, row = rec[order], row[order]
+        new = heads(*[rec[c] for c in ("h", "c", "doc", "th", "a")])
+        rec, row = rec[new], row[new]
         head = heads(rec["h"], rec["c"])
         group, size = sizes(head)
         later = ~head & (size[group] > crowd)
+        data, off = raw(texts)
+        begin, first = off[row] + rec["a"], np.flatnonzero(head)[group]
+        of = memoryview(data)
+        for i in np.flatnonzero(later).tolist():  # a short hash names candidates, their bytes decide
+            j = int(first[i])
+            later[i] = of[begin[i] : begin[i] + rec["n"][i]] == of[begin[j] : begin[j] + rec["n"][j]]
         known, rec = told(rec[later], REPEAT), rec[~later]
         head = heads(rec["h"])
         group, size = sizes(head)
@@ -230,7 +243,7 @@ def notes_by_document(docs: DataFrame, length: int, gram: int, crowd: int | None
         first = np.flatnonzero(head)
         by = np.lexsort((rec["c"], rec["h"]))
         kinds = np.bincount(group[by][heads(rec["h"][by], rec["c"][by])], minlength=len(first))
-        crowded = (kinds > hot) | (np.maximum.reduceat(rec["crowd"], first) > 0)
+        crowded = (kinds > (len(rec) if hot is None else hot)) | (np.maximum.reduceat(rec["crowd"], first) > 0)
         segment = np.full(len(first), SEGMENTS[-1][1])
         for most, width in reversed(SEGMENTS):
             segment[kinds <= most] = width
@@ -278,21 +291,22 @@ def notes_by_document(docs: DataFrame, length: int, gram: int, crowd: int | None
 
 # --- 3, 4: stretches and their suffixes ------------------------------------------------------------------------------
 
-STRETCH = "kind int, key long, sid binary, doc long, th long, a int, data binary"
+STRETCH = "kind int, key long, sid binary, doc long, th long, a int, data binary, own int, front int"
 _STRETCH = [x.split()[0] for x in STRETCH.split(", ")]
 
 
 def stretches(docs: DataFrame, notes: DataFrame, length: int, once: bool) -> DataFrame:
     """Rows of kind SHARED: a stretch's text under its owner's key; REPEAT: packed spans of a document; CROWDED: packed windows of a bucket.
 
-    once: of equal stretches (and windows) that a task meets, only the first goes on, and the others are repeats.
+    once: of equal stretches (and windows) that a task meets, only the first goes on, and the others are repeats.  Else a
+    stretch's text goes on as far as shared anchors do; `own` bytes are the stretch itself, `front` is the byte before it.
     """
     fine = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * FINE
 
-    def rows(kind, key, sid, doc, th, a, data):
+    def rows(kind, key, sid, doc, th, a, data, own=None, front=None):
         n = len(key)
         none = lambda t: pa.nulls(n, t)
-        return _batch(_STRETCH, pa.array([kind] * n, pa.int32()), pa.array(key, pa.int64()), pa.array(sid, pa.binary()) if sid else none(pa.binary()), pa.array(doc, pa.int64()) if doc else none(pa.int64()), pa.array(th, pa.int64()) if th else none(pa.int64()), pa.array(a, pa.int32()) if a else none(pa.int32()), pa.array(data, pa.binary()))
+        return _batch(_STRETCH, pa.array([kind] * n, pa.int32()), pa.array(key, pa.int64()), pa.array(sid, pa.binary()) if sid else none(pa.binary()), pa.array(doc, pa.int64()) if doc else none(pa.int64()), pa.array(th, pa.int64()) if th else none(pa.int64()), pa.array(a, pa.int32()) if a else none(pa.int32()), pa.array(data, pa.binary()), pa.array(own, pa.int32()) if own else none(pa.int32()), pa.array(front, pa.int32()) if front else none(pa.int32()))
 
     def cut(batches):
         met: dict[bytes, tuple] = {}
@@ -311,10 +325,16 @@ def stretches(docs: DataFrame, notes: DataFrame, length: int, once: bool) -> Dat
             new[1:] |= s["a"][1:] != stop[:-1] - length + 1
             begin = np.flatnonzero(new)
             end = np.append(begin[1:], len(s))[: len(begin)] - 1
-            keys, sids, docs_, ths, starts, data, again = [], [], [], [], [], [], []
-            for r, key, doc, th, a, b in zip(at[begin].tolist(), s["key"][begin].view(np.int64).tolist(), s["doc"][begin].tolist(), s["th"][begin].tolist(), s["a"][begin].tolist(), stop[end].tolist()):
-                text = texts[r][a:b]
-                sid = hashlib.blake2b(text, digest_size=16, key=key.to_bytes(8, "little", signed=True)).digest()
+            chain = heads(at)
+            chain[1:] |= s["a"][1:] != stop[:-1] - length + 1
+            last = np.append(np.flatnonzero(chain)[1:], len(s))[: chain.sum()] - 1
+            reach = stop[last][np.cumsum(chain) - 1] if len(s) else stop
+            cols = keys, sids, docs_, ths, starts, data, owned, fronts = [[] for _ in range(8)]
+            again, size = [], 0
+            for r, key, doc, th, a, b, far in zip(at[begin].tolist(), s["key"][begin].view(np.int64).tolist(), s["doc"][begin].tolist(), s["th"][begin].tolist(), s["a"][begin].tolist(), stop[end].tolist(), reach[begin].tolist()):
+                text = texts[r][a : b if once else far]
+                front = texts[r][a - 1] if a and not once else -1
+                sid = hashlib.blake2b(text, digest_size=16, key=key.to_bytes(8, "little", signed=True) + b"%d,%d" % (front, b - a)).digest()
                 if once:
                     first = met.get(sid)
                     if first is not None and first <= (doc, th, a):
@@ -324,13 +344,16 @@ def stretches(docs: DataFrame, notes: DataFrame, length: int, once: bool) -> Dat
                     if len(met) >= 200_000:
                         met.clear()
                     met[sid] = (doc, th, a)
-                for col, v in zip((keys, sids, docs_, ths, starts, data), (key, sid, doc, th, a, text)):
+                for col, v in zip(cols, (key, sid, doc, th, a, text, b - a, front)):
                     col.append(v)
-                if len(data) >= 5_000:
-                    yield rows(SHARED, keys, sids, docs_, ths, starts, data)
-                    keys, sids, docs_, ths, starts, data = [], [], [], [], [], []
+                size += len(text)
+                if len(data) >= 5_000 or size >= 4 << 20:
+                    yield rows(SHARED, *cols)
+                    size = 0
+                    for col in cols:
+                        col.clear()
             if keys:
-                yield rows(SHARED, keys, sids, docs_, ths, starts, data)
+                yield rows(SHARED, *cols)
             if again:
                 gone.append(tuple(np.array(c, np.int64) for c in zip(*again)))
             # windows of crowds
@@ -373,20 +396,20 @@ def firsts(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def compared(rows: DataFrame, length: int, group_bytes: int, table_of_repeats: bool) -> DataFrame:
     """Stretches by owner and crowds by window -> doc, th, spans (packed) of all occurrences but the first; or, as a table of
-    repeats, rid, length, and an occurrence's stretch and place in it, or (crowds) its document and place."""
+    repeats, rid, length, and an occurrence's stretch and place in it."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def spans(doc, th, a, n):
         d, t, packed = found(np.asarray(doc, np.int64), np.asarray(th, np.int64), np.asarray(a, np.int64), np.asarray(n, np.int64) if np.ndim(n) else n)
         return _batch(["doc", "th", "spans"], pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(packed, pa.binary()))
 
-    def occurrences(rid, n, sid, doc, th, at):
-        return _batch(["rid", "length", "sid", "doc", "th", "at"], pa.array(rid, pa.binary()), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(at, pa.int64()))
+    def occurrences(rid, n, sid, at):
+        return _batch(["rid", "length", "sid", "at"], pa.array(rid, pa.binary()), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.array(at, pa.int64()))
 
     def sort(held: list[tuple]):
-        """held: (doc, th, a, sid, text) of whole groups."""
+        """held: (doc, th, a, sid, text, own, front) of whole groups."""
         held.sort(key=lambda x: x[:3])  # so a smaller place is an earlier one
-        arr = SparseSuffixes([x[4] for x in held], length, groups=table_of_repeats)
+        arr = SparseSuffixes([x[4] for x in held], length, groups=table_of_repeats, own=[x[5] for x in held], fronts=[x[6] for x in held])
         if not table_of_repeats:
             run, at, n = arr.later()
             doc, th, a = (np.array([x[i] for x in held], np.int64)[run] for i in range(3))
@@ -396,7 +419,7 @@ def compared(rows: DataFrame, length: int, group_bytes: int, table_of_repeats: b
         for n, places in arr.repeats:
             rid = hashlib.blake2b(arr.data[places[0] : places[0] + n], digest_size=16).digest()
             run, at = arr.place(np.array(places))
-            out += [(rid, n, held[r][3], None, None, i) for r, i in zip(run.tolist(), at.tolist())]
+            out += [(rid, n, held[r][3], i) for r, i in zip(run.tolist(), at.tolist())]
         if out:
             yield occurrences(*zip(*out))
 
@@ -405,20 +428,13 @@ def compared(rows: DataFrame, length: int, group_bytes: int, table_of_repeats: b
         blobs: list[bytes] = []
 
         def crowd():
-            first, later = firsts(np.frombuffer(b"".join(blobs), WINDOW))
+            _, later = firsts(np.frombuffer(b"".join(blobs), WINDOW))
             blobs.clear()
-            if not table_of_repeats:
-                return spans(later["doc"], later["th"], later["a"], length)
-            both = np.concatenate([first, later])
-            both = both[np.lexsort((both["v"], both["w"]))]
-            group, n = sizes(heads(both["w"], both["v"]))
-            both = both[n[group] > 1]
-            rid = [x.tobytes() for x in both[["w", "v"]]]
-            return occurrences(rid, [length] * len(rid), [None] * len(rid), both["doc"], both["th"].astype(np.int64), both["a"].astype(np.int64))
+            return spans(later["doc"], later["th"], later["a"], length)
 
         for batch in batches:
             again, known = [], []
-            for k, ky, sid, doc, th, a, data in zip(*[batch.column(i).to_pylist() for i in range(7)]):
+            for k, ky, sid, doc, th, a, data, own, front in zip(*[batch.column(i).to_pylist() for i in range(9)]):
                 if (k, ky) != (kind, key):
                     if size >= group_bytes:
                         yield from sort(held)
@@ -432,11 +448,11 @@ def compared(rows: DataFrame, length: int, group_bytes: int, table_of_repeats: b
                     blobs.append(data)
                 elif last is not None and last[0] == sid:
                     if last[1:4] != (doc, th, a):  # a later occurrence of an equal stretch
-                        again.append((doc, th, a, len(data), sid, data, last[4]))
+                        again.append((doc, th, a, len(data), sid, data, last[4] or front >= 0))  # where a byte stands before all of them, the repeat begins earlier
                         last = (sid, doc, th, a, True)
                 else:
                     last = (sid, doc, th, a, False)
-                    held.append((doc, th, a, sid, data))
+                    held.append((doc, th, a, sid, data, own, front))
                     size += len(data)
             if known and not table_of_repeats:
                 d, t, packed = zip(*known)
@@ -444,7 +460,7 @@ def compared(rows: DataFrame, length: int, group_bytes: int, table_of_repeats: b
             if again and not table_of_repeats:
                 yield spans(*list(zip(*again))[:3], np.array([x[3] for x in again]))
             elif again:
-                whole = [(hashlib.blake2b(x[5], digest_size=16).digest(), x[3], x[4], None, None, 0) for x in again if not x[6]]
+                whole = [(hashlib.blake2b(x[5], digest_size=16).digest(), x[3], x[4], 0) for x in again if not x[6]]
                 if whole:
                     yield occurrences(*zip(*whole))
         if held:
@@ -453,7 +469,7 @@ def compared(rows: DataFrame, length: int, group_bytes: int, table_of_repeats: b
             yield crowd()
 
     dealt = rows.repartition(parts, "key").sortWithinPartitions("kind", "key", "sid", "doc", "th", "a")
-    return dealt.mapInArrow(lean(compare), "rid binary, length long, sid binary, doc long, th long, at long" if table_of_repeats else "doc long, th long, spans binary")
+    return dealt.mapInArrow(lean(compare), "rid binary, length long, sid binary, at long" if table_of_repeats else "doc long, th long, spans binary")
 
 # --- 5: over tables -------------------------------------------------------------------------------------------------
 
@@ -469,20 +485,19 @@ def find_repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd
     return compared(stretches(texts, notes, length, True), length, group_bytes, False).groupBy("doc", "th").agg(F.collect_list("spans").alias("spans"))
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """The maximal repeats of at least `length` bytes with all their occurrences: rid (hash of the string), length, doc_id, start.
 
-    Groups are maximal within an owner: a repeat that goes on into another owner's text, or leaves its owner's segment
-    (SEGMENTS), is given in pieces that overlap; those of crowds are given as their strings of `length` bytes.
+    A repeat is whole however many documents hold it and however long it is.  The different texts around one segment of
+    an owner (SEGMENTS) are sorted in one task, so a task's memory follows the different contexts of the most frequent string.
     """
     texts = keyed(docs, id_col, text_col)
-    notes = stored(notes_by_document(texts, length, gram, None, hot), "substring-notes")
+    notes = stored(notes_by_document(texts, length, gram, None, None), "substring-notes")
     rows = stored(stretches(texts, notes, length, False), "substring-stretches")
     places = stored(compared(rows, length, group_bytes, True), "substring-repeats")
     who = rows.where(F.col("kind") == SHARED).select("sid", "doc", "th", "a").distinct()
-    of_stretch = places.where("sid IS NOT NULL").select("rid", "length", "sid", "at").join(who, "sid").select("rid", "length", "doc", "th", (F.col("a") + F.col("at")).alias("start"))
-    of_crowd = places.where("sid IS NULL").select("rid", "length", "doc", "th", F.col("at").alias("start"))
-    return of_stretch.unionByName(of_crowd).distinct().select("rid", "length", F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "start")
+    met = places.join(who, "sid").select("rid", "length", "doc", "th", (F.col("a") + F.col("at")).alias("start"))
+    return met.distinct().select("rid", "length", F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id"), "start")
 
 
 def spans_to_cut(blobs: list[bytes]) -> list[tuple[int, int]]:

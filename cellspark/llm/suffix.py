@@ -116,18 +116,22 @@ class SparseSuffixes:
     Suffixes with equal first `least` bytes make a block.  Where all of a block follow the same byte, every repeat that
     begins there begins earlier too, so the block is passed over; the others are sorted and their interval trees climbed.
     A smaller place in the strings, laid end to end, is an earlier one.  Blocks are found by hash and compared by bytes.
+    own: of each string only the suffixes that begin in its first own bytes, and have `least` bytes there, are taken; what
+    follows only tells how far they agree.  fronts: the byte that stands before each string, or -1.
     later(): for each suffix that shares `least` bytes or more with an earlier one, the longest such string.
     repeats: (length, places) of every maximal repeat, if groups are asked for.
     """
 
     SHORT = 512  # bytes that a block is sorted by first
 
-    def __init__(self, texts: list[bytes], least: int, groups: bool = False, window: int = 1 << 20, most: int = 8 << 20):
+    def __init__(self, texts: list[bytes], least: int, groups: bool = False, window: int = 1 << 20, most: int = 8 << 20, own: list[int] | None = None, fronts: list[int] | None = None):
         self.least, self.groups, self.window = least, groups, window
         self.data = b"".join(texts)
         size = np.array([len(t) for t in texts], np.int64)
         self.stop = np.cumsum(size)
         self.begin = self.stop - size
+        self.last = self.begin + (size if own is None else np.array(own, np.int64)) - least  # the last suffix taken
+        self.fronts = np.full(len(texts), -1) if fronts is None else np.array(fronts, np.int64)
         self.repeats: list[tuple[int, list[int]]] = []
         self._at: list[int] = []
         self._n: list[int] = []
@@ -140,7 +144,7 @@ class SparseSuffixes:
         hashes, places = [], []
         for lo in range(0, len(data), self.window):
             at = np.arange(lo, min(lo + self.window, len(data)))
-            at = at[self.stop[np.searchsorted(self.begin, at, "right") - 1] - at >= self.least]
+            at = at[at <= self.last[np.searchsorted(self.begin, at, "right") - 1]]
             if len(at):
                 h = Rolling(data[lo : int(at[-1]) + self.least], 0xC2B2AE3D27D4EB4F, powers).of(at - lo, at - lo + self.least)
                 if passes > 1:
@@ -162,7 +166,7 @@ class SparseSuffixes:
         first = np.flatnonzero(head)
         block = np.cumsum(head) - 1
         run = np.searchsorted(self.begin, at, "right") - 1
-        front = np.where(self.begin[run] == at, -1 - run, data[at - 1])  # a string's begin differs from all
+        front = np.where(self.begin[run] != at, data[at - 1], np.where(self.fronts[run] < 0, -1 - run, self.fronts[run]))  # where nothing stands before, differs from all
         diverse = np.logical_or.reduceat(front != front[first][block], first)
         go = diverse[block]
         size = np.diff(np.append(first, len(at)))[diverse].tolist()

@@ -513,6 +513,48 @@ def test_a_long_passage_is_one_repeat(spark):
     assert by_length == {5000: {(i, 50 * i + 1) for i in range(5)}, 700: {(5, 0), (6, 0)}, 400: {(i, 50 * i + 1001) for i in range(5)} | {(7, 301)}}
 
 
+def test_runs_are_equal_by_their_bytes(spark, monkeypatch):
+    """Different texts around one anchor stay, though their short hashes are equal."""
+    monkeypatch.setattr(substrings, "runs", lambda *args, f=substrings.runs: (*f(*args)[:3], np.zeros(len(f(*args)[0]), np.uint64)))
+    rnd = random.Random(4)
+    some = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
+    powers: dict = {}
+    anchor = min((some(32) for _ in range(3000)), key=lambda x: int(substrings.u64_mix(np.array([int(substrings.Rolling(np.frombuffer(x.encode(), np.uint8), substrings._B1, powers).sums[-1])], np.uint64))[0]))
+    one, other = some(34) + anchor + some(34), some(34) + anchor + some(34)
+    rows = [(i, one) for i in range(80)] + [(1000, other)] + [(1001 + i, some(34) + anchor + some(34)) for i in range(90)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for how in ({}, {"crowd": 2}, {"crowd": 2, "hot": 3}):
+        assert {r.doc_id: [tuple(s) for s in r.spans] for r in substrings.removed(d, **how).collect()} == {i: [(0, 100)] if 0 < i < 80 else [] for i, _ in rows}
+
+
+@pytest.mark.parametrize("n", [3, 150, 700, 5000])
+def test_a_crowd_changes_no_repeat(spark, n):
+    rnd = random.Random(n)
+    some = lambda k: "".join(rnd.choice("abcdefghij ") for _ in range(k))
+    passage = some(5000)
+    rows = [(i, some(60) + chr(65 + i % 26) + passage + chr(65 + i % 25) + some(60)) for i in range(n)]
+    found = substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("rid", "length").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("docs"), F.min("start").alias("a"), F.max("start").alias("b")).collect()
+    assert [tuple(r)[1:] for r in found if r.n == n] == [(5000, n, n, 61, 61)]
+    assert all(5000 < r.length < 5020 for r in found if r.n < n)  # of the same letter before or behind
+
+
+@pytest.mark.parametrize("segments", [((64, 1 << 16), (512, 1 << 12), (1 << 62, 1 << 10)), ((1, 256), (1 << 62, 32))])
+def test_repeats_are_the_maximal_ones(spark, monkeypatch, segments):
+    """However finely owners are cut."""
+    monkeypatch.setattr(substrings, "SEGMENTS", segments)
+    rows = list({t: (i, t) for i, t in repetitive(60, 5)}.values())
+    strings = [t.encode() for _, t in rows]
+    got = {}
+    for r in substrings.repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=60, gram=16).collect():
+        got.setdefault((r.rid, r.length), set()).add((r.doc_id, r.start))
+    place = {i: k for k, (i, _) in enumerate(rows)}
+    have = set()
+    for (_, n), at in got.items():
+        i, a = min(at)
+        have.add((strings[place[i]][a : a + n], tuple(sorted((place[i], a) for i, a in at))))
+    assert have == brute_repeats(strings, 60) and len(have) == len(got)
+
+
 def test_repeats_against_brute_force(spark):
     rows = repetitive(40, 3)
     texts_ = [t.encode() for _, t in rows]
