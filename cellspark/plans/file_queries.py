@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import annotation, cells, counts, stats
-from ..sources import bam, fastq, paths, tables, text
+from ..sources import bam, fastq, paths, statlog, tables, text
 from .queries import CELLS, PRIM, SEQ, SEQ_SPARK
 from .views import EXON, exon_view, read
 
@@ -128,6 +128,31 @@ def stat_logs(spark: SparkSession, sf: str) -> DataFrame:
     return stats.last_values(tables.read_stat_logs(spark, path), "place")
 
 
+@query("""WITH a AS (SELECT l_returnflag AS prefix, 1 AS step, l_linestatus AS metric, count(*) AS value FROM lineitem GROUP BY ALL UNION ALL
+  SELECT l_returnflag, 2, l_linestatus, sum(l_linenumber) FROM lineitem WHERE l_linestatus = 'O' GROUP BY ALL UNION ALL SELECT l_returnflag, 3, 'suppliers', count(DISTINCT l_suppkey) FROM lineitem GROUP BY ALL)
+SELECT prefix, metric, arg_max(value, step)::BIGINT AS value FROM a GROUP BY prefix, metric""")
+def appended_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Three steps add to one log, the second counts a metric anew, and the first is tried again at the end."""
+    path = paths.scratch(spark, "statlog")
+    by = read(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("prefix"), F.col("l_linestatus").alias("metric"))
+    first = by.agg(F.count("*").alias("value"))
+    statlog.append(first, path, "count", token="count-1")
+    statlog.append(by.agg(F.sum("l_linenumber").alias("value")).where("metric = 'O'"), path, "recount", token="recount-1")
+    statlog.append(read(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("prefix")).agg(F.countDistinct("l_suppkey").alias("value")).withColumn("metric", F.lit("suppliers")), path, "suppliers")
+    statlog.append(first, path, "count", token="count-1")
+    return statlog.last_values(spark, path)
+
+
+@query(f"WITH t AS ({TRIPLETS}) SELECT CAST(cell AS VARCHAR) AS cell_id, CAST(gene AS VARCHAR) AS gene_id, sum(count)::DOUBLE AS value FROM t GROUP BY 1, 2")
+def matrix_in_file_order(spark: SparkSession, sf: str) -> DataFrame:
+    """A matrix whose annotations stand in no order of their names, as other programs write them."""
+    path = paths.scratch(spark, "foreign")
+    t = _triplets(spark, sf).groupBy(F.col("cell").cast("string").alias("cell_id"), F.col("gene").cast("string").alias("gene_id")).agg(F.sum("count").alias("count"))
+    by_hash = lambda c: t.select(c).distinct().withColumn("place", F.md5(c))
+    tables.write_matrix_bundle(t, by_hash("cell_id"), by_hash("gene_id"), path, gzip=False, cells_by="place", features_by="place")
+    return tables.read_matrix_bundle(spark, path)
+
+
 @query("SELECT s_name AS sample, CAST(s_suppkey AS VARCHAR) AS shortdt, CAST(s_nationkey AS VARCHAR) AS randomn FROM supplier WHERE s_suppkey % 2 = 1")
 def rt_tables(spark: SparkSession, sf: str) -> DataFrame:
     path = paths.scratch(spark, "rt")

@@ -8,6 +8,7 @@ readers take single files and folders alike.
 from __future__ import annotations
 
 import re
+import uuid
 import zipfile
 from xml.etree import ElementTree
 
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranks import ranked
-from .paths import exists
+from .lines import csv_rows, numbered_lines
+from .paths import exists, scratch
 
 
 def _named(path_col, pattern: str):
@@ -43,18 +45,25 @@ def read_features(spark: SparkSession, path: str, schema: str = "gene_index long
 
 
 def _each(df: DataFrame, path: str, ending: str, write) -> None:
-    """A folder <prefix><ending> of part files a prefix: one job writes all below one folder, then they are moved."""
+    """A folder <prefix><ending> of part files a prefix: one job writes all below one folder, then they are moved.
+
+    Where one of them is already there, an error is raised and nothing is moved.
+    """
     spark = df.sparkSession
-    at = f"{path.rstrip('/')}/_writing-{ending.strip('._')}"
+    at = f"{path.rstrip('/')}/_writing-{ending.strip('._')}-{uuid.uuid4().hex}"
     write(df.write.partitionBy("prefix"), at)
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(at)
     store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for f in store.listStatus(root):  # one folder a prefix
-        name = f.getPath().getName()
-        if name.startswith("prefix="):
-            store.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name.removeprefix('prefix=')}{ending}"))
-    store.delete(root, True)
+    try:
+        moves = [(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{f.getPath().getName().removeprefix('prefix=')}{ending}")) for f in store.listStatus(root) if f.getPath().getName().startswith("prefix=")]  # one a prefix
+        for _, to in moves:
+            if store.exists(to):
+                raise FileExistsError(to.toString())
+        for old, to in moves:
+            store.rename(old, to)
+    finally:
+        store.delete(root, True)
 
 
 def _csv(gzip: bool):
@@ -83,16 +92,17 @@ def write_rt_tables(tables: dict[str, DataFrame], path: str) -> None:
 
 
 def write_stat_logs(log: DataFrame, path: str) -> None:
-    """prefix, metric, value -> <prefix>.log with a value and a metric a line."""
+    """prefix, metric, value -> <prefix>.log with a value and a metric a line.  Steps that add to one log use statlog.append."""
     line = F.concat_ws("\t", F.col("value").cast("long").cast("string"), "metric").alias("line")
     _each(log.select("prefix", line), path, ".log", lambda writer, at: writer.text(at))
 
 
 def read_stat_logs(spark: SparkSession, path: str) -> DataFrame:
-    """prefix (file or folder name up to .log), metric, value, place: rows of one log in order of place."""
-    raw = spark.read.option("recursiveFileLookup", True).csv(path, sep="\t", schema="value long, metric string")
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/.]+)\.log(?:/[^/]*)?$", 1)
-    return raw.select(name.alias("prefix"), "metric", "value", F.monotonically_increasing_id().alias("place")).where("prefix <> ''")
+    """prefix (file or folder name up to .log), metric, value, place (file, line): rows of one log stand in order of place."""
+    lines = numbered_lines(spark, path, recursiveFileLookup=True)
+    row = F.from_csv("value", "value long, metric string", {"sep": "\t"})
+    name = F.regexp_extract("file", r"/([^/.]+)\.log(?:/[^/]*)?$", 1)
+    return lines.where(F.trim("value") != "").select(name.alias("prefix"), row.alias("row"), F.struct("file", "in_file").alias("place")).where("prefix <> ''").select("prefix", "row.metric", "row.value", "place")
 
 
 def write_stats(stats: DataFrame, path: str) -> None:
@@ -104,11 +114,31 @@ def write_stats(stats: DataFrame, path: str) -> None:
 
 
 def read_matrix_market(spark: SparkSession, path: str) -> DataFrame:
-    """row, col (from 0), value of a coordinate MatrixMarket file, or of a folder of its parts."""
-    lines = spark.read.text(path).withColumn("n", F.monotonically_increasing_id()).where(~F.startswith(F.col("value"), F.lit("%")))
-    size = lines.agg(F.min("n")).first()[0]
+    """row, col (from 0), value of a coordinate MatrixMarket file, or of a folder of parts that make one when laid end to end.
+
+    The size line is the first that is neither empty nor a comment in the file that holds the banner.  Entries without
+    values (pattern) are 1; of a symmetric or skew-symmetric matrix both halves are given.
+    """
+    lines = numbered_lines(spark, path, blank=False)
+    comment = F.startswith(F.col("value"), F.lit("%"))
+    banner_ = F.startswith(F.col("value"), F.lit("%%MatrixMarket"))
+    head = lines.groupBy("file").agg(F.min(F.when(~comment, F.col("line"))).alias("size"), F.min(F.when(banner_, F.col("value"))).alias("banner")).where("banner IS NOT NULL")
+    banner = head.select(F.lower("banner")).first()
+    if banner is None:
+        raise ValueError(f"no MatrixMarket banner in {path}")
+    kind = banner[0].split()
+    if len(kind) < 5 or kind[2] != "coordinate" or kind[3] not in ("integer", "real", "pattern", "double") or kind[4] not in ("general", "symmetric", "skew-symmetric"):
+        raise ValueError(f"not a coordinate matrix of real numbers: {banner[0]}")
+    body = lines.where(~comment).join(head.select(F.col("size").alias("line")), "line", "left_anti")
     c = F.split(F.trim("value"), r"\s+")
-    return lines.where(F.col("n") != (size if size is not None else -1)).select((c[0].cast("long") - 1).alias("row"), (c[1].cast("long") - 1).alias("col"), c[2].cast("double").alias("value"))
+    value = F.lit(1.0) if kind[3] == "pattern" else c[2].cast("double")
+    entries = body.select((c[0].cast("long") - 1).alias("row"), (c[1].cast("long") - 1).alias("col"), value.alias("value"))
+    if kind[4] == "general":
+        return entries
+    sign = -1.0 if kind[4].startswith("skew") else 1.0
+    other = F.struct(F.col("col").alias("row"), F.col("row").alias("col"), (F.col("value") * sign).alias("value"))
+    both = F.array(F.struct("row", "col", "value"), other)
+    return entries.select(F.explode(F.when(F.col("row") != F.col("col"), both).otherwise(F.slice(both, 1, 1))).alias("e")).select("e.*")
 
 
 def write_matrix_market(triplets: DataFrame, path: str, n_rows: int, n_cols: int, field: str = "integer", gzip: bool = False) -> None:
@@ -123,13 +153,23 @@ def write_matrix_market(triplets: DataFrame, path: str, n_rows: int, n_cols: int
     first.unionByName(body).sort("col", "row").select("line").write.text(path, compression="gzip" if gzip else "none")
 
 
-def write_matrix_bundle(counts: DataFrame, cells: DataFrame, features: DataFrame, path: str, feature: str = "gene_id", gzip: bool = True) -> None:
-    """expression_matrix.mtx, cell_annotation.csv and feature_annotation.csv: rows are features and columns cells, each in
-    the order of its table.  cells: cell_id and its columns; features: `feature` and its columns; counts: both and count.
+def write_matrix_bundle(counts: DataFrame, cells: DataFrame, features: DataFrame, path: str, feature: str = "gene_id", gzip: bool = True, cells_by: str = "cell_id", features_by: str | None = None) -> None:
+    """expression_matrix.mtx, cell_annotation.csv and feature_annotation.csv: rows are features and columns cells, in order of
+    cells_by and features_by (the ids, unless other columns are named).  cells: cell_id and its columns; features: `feature`
+    and its columns; counts: both and count.
 
-    Indices are ranks in id order, taken over ranges of ids, so no task sees all of them.
+    Indices are ranks, taken over ranges of keys, so no task sees all of them; both tables and the counts are written once
+    in the shared folder, as every count, sort and join below would compute them anew.
     """
-    c, f = ranked(cells, "cell_id", "__col"), ranked(features, feature, "__row")
+    spark = counts.sparkSession
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        at = scratch(spark, name)
+        df.write.parquet(at)
+        return spark.read.schema(df.schema).parquet(at)
+
+    counts = kept(counts, "matrix-counts")
+    c, f = kept(ranked(kept(cells, "matrix-cells"), cells_by, "__col"), "matrix-cells"), kept(ranked(kept(features, "matrix-features"), features_by or feature, "__row"), "matrix-features")
     n_cols, n_rows = c.count(), f.count()
     entries = counts.join(c.select("cell_id", "__col"), "cell_id").join(f.select(feature, "__row"), feature).select(F.col("__row").alias("row"), F.col("__col").alias("col"), F.col("count").alias("value"))
     end = ".gz" if gzip else ""
@@ -139,10 +179,10 @@ def write_matrix_bundle(counts: DataFrame, cells: DataFrame, features: DataFrame
 
 
 def read_matrix_bundle(spark: SparkSession, path: str, feature: str = "gene_id") -> DataFrame:
-    """cell_id, feature, value: the matrix with its names."""
+    """cell_id, feature, value: the matrix with its names; the n-th name of an annotation is that of column or row n, in file order."""
     end = ".gz" if exists(spark, f"{path.rstrip('/')}/expression_matrix.mtx.gz") else ""
     m = read_matrix_market(spark, f"{path.rstrip('/')}/expression_matrix.mtx{end}")
-    named = lambda name, key, index: ranked(spark.read.csv(f"{path.rstrip('/')}/{name}{end}", header=True).select(key), key, index)
+    named = lambda name, key, index: csv_rows(spark, f"{path.rstrip('/')}/{name}{end}", index).select(index, key)
     return m.join(named("cell_annotation.csv", "cell_id", "col"), "col").join(named("feature_annotation.csv", feature, "row"), "row").select("cell_id", feature, "value")
 
 

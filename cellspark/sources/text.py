@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .lines import numbered_lines
+
 SAM = "name string, flag int, chrom string, pos long, mapq int, cigar string, tags map<string,string>"
 FRAGMENTS = "prefix string, read_no long, name string, r1_seq string, r1_qual string, i5_seq string, i5_qual string, r2_seq string, r2_qual string"
 
@@ -18,8 +20,8 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_gtf(spark: SparkSession, path: str) -> DataFrame:
-    """GTF: 0-based half-open start and end, attrs as a map and the usual ones as columns, line as file order."""
-    raw = spark.read.text(path).withColumn("line", F.monotonically_increasing_id()).where(~F.startswith(F.col("value"), F.lit("#")) & (F.length("value") > 0))
+    """GTF: 0-based half-open start and end, attrs as a map and the usual ones as columns, line as file order over all parts."""
+    raw = numbered_lines(spark, path).where(~F.startswith(F.col("value"), F.lit("#")) & (F.length("value") > 0))
     c = F.split("value", "\t")
     pairs = F.transform(F.regexp_extract_all(c[8], F.lit(r'(\w+) "?[^";]*"?;?'), 0), lambda x: F.struct(F.regexp_extract(x, r"^(\w+)", 1), F.regexp_extract(x, r'^\w+ "?([^";]*)"?;?', 1)))
     attrs = F.map_from_entries(F.filter(pairs, lambda p: ~p.getField("col1").isin("tag", "ont")))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellspark.operators import alignments, cells, ranks, reads, stats
-from cellspark.sources import bam, fastq, genome, paths, tables, text
+from cellspark.sources import bam, fastq, genome, lines, paths, statlog, tables, text
 
 RND = random.Random(2)
 
@@ -101,6 +101,88 @@ def test_matrix_parts_make_one_file(spark, tmp_path, zipped):
     assert sorted(map(tuple, tables.read_matrix_market(spark, str(tmp_path / "m.mtx")).collect())) == sorted((a, b, float(c)) for a, b, c in rows)
 
 
+@pytest.fixture
+def small_splits(spark):
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 64)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    yield
+    for k, v in keep.items():
+        spark.conf.set(k, v)
+
+
+def test_lines_in_file_order(spark, tmp_path, small_splits):
+    files = {f"part-{k}": [f"{k} {i} " + "x" * RND.randrange(30) for i in range(n)] for k, n in enumerate((3, 90, 0, 41, 1))}
+    for name, rows in files.items():
+        (tmp_path / name).write_text("".join(f"{r}\n" for r in rows))
+    got = lines.numbered_lines(spark, str(tmp_path)).orderBy("line").collect()
+    assert [r.value for r in got] == [x for f in sorted(files) for x in files[f]] and [r.line for r in got] == list(range(135))
+    assert [r.in_file for r in got if r.file.endswith("part-3")] == list(range(41))
+
+
+@pytest.mark.parametrize("sizes", [(1, 50, 3, 700), (700, 3, 50, 1), (0, 10)])
+def test_matrix_in_unequal_parts(spark, tmp_path, small_splits, sizes):
+    """The parts of one file; the first holds the head."""
+    n, want = sum(sizes), []
+    for k, size in enumerate(sizes):
+        rows = [(RND.randrange(40000), RND.randrange(200), RND.randrange(1, 9)) for _ in range(size)]
+        want += [(a, b, float(v)) for a, b, v in rows]
+        head = f"%%MatrixMarket matrix coordinate integer general\n%\n40000 200 {n}\n" if k == 0 else ""
+        (tmp_path / f"part-{k}.txt").write_text(head + "".join(f"{a + 1} {b + 1} {v}\n" for a, b, v in rows))
+    assert sorted(map(tuple, tables.read_matrix_market(spark, str(tmp_path)).collect())) == sorted(want)
+
+
+def test_matrices_of_other_kinds(spark, tmp_path):
+    (tmp_path / "p.mtx").write_text("%%MatrixMarket matrix coordinate pattern general\n% a comment\n\n3 3 2\n1 2\n3 3\n")
+    (tmp_path / "s.mtx").write_text("%%MatrixMarket matrix coordinate real symmetric\n2 2 2\n1 1 0.5\n2 1 -3\n")
+    (tmp_path / "a.mtx").write_text("%%MatrixMarket matrix array real general\n1 1\n5\n")
+    (tmp_path / "none.mtx").write_text("1 1 1\n1 1 5\n")
+    get = lambda name: sorted(map(tuple, tables.read_matrix_market(spark, str(tmp_path / name)).collect()))
+    assert get("p.mtx") == [(0, 1, 1.0), (2, 2, 1.0)] and get("s.mtx") == [(0, 0, 0.5), (0, 1, -3.0), (1, 0, -3.0)]
+    for name in ("a.mtx", "none.mtx"):
+        with pytest.raises(ValueError):
+            get(name)
+
+
+def test_names_in_file_order(spark, tmp_path):
+    (tmp_path / "expression_matrix.mtx").write_text("%%MatrixMarket matrix coordinate integer general\n2 3 3\n1 1 7\n2 2 9\n2 3 4\n")
+    (tmp_path / "cell_annotation.csv").write_text('cell_id,n\nz.1,5\n"a,1",6\n\nm.1,\n')
+    (tmp_path / "feature_annotation.csv").write_text("gene_id,gene_name\nG2,b\nG1,a\n")
+    got = tables.read_matrix_bundle(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [("a,1", "G1", 9.0), ("m.1", "G1", 4.0), ("z.1", "G2", 7.0)]
+    rows = [(f"c{i}", f"g{j}", i + j) for i in range(7) for j in range(5) if (i * j) % 3]
+    counts = spark.createDataFrame(rows, "cell_id string, gene_id string, count long")
+    some = lambda c: counts.select(c).distinct().withColumn("place", F.md5(c))
+    tables.write_matrix_bundle(counts, some("cell_id"), some("gene_id"), str(tmp_path / "own"), cells_by="place", features_by="place")
+    cells_ = [r.cell_id for r in lines.csv_rows(spark, str(tmp_path / "own/cell_annotation.csv.gz"), "i").orderBy("i").collect()]
+    assert cells_ != sorted(cells_) and sorted(map(tuple, tables.read_matrix_bundle(spark, str(tmp_path / "own")).collect())) == sorted((c, g, float(n)) for c, g, n in rows)
+
+
+def test_a_log_is_not_written_over(spark, tmp_path):
+    log = spark.createDataFrame([("a", "m", 1)], "prefix string, metric string, value long")
+    tables.write_stat_logs(log, str(tmp_path / "logs"))
+    with pytest.raises(FileExistsError):
+        tables.write_stat_logs(log, str(tmp_path / "logs"))
+    assert [f.name for f in (tmp_path / "logs").iterdir() if not f.name.startswith(".")] == ["a.log"]
+    assert [tuple(r)[:3] for r in tables.read_stat_logs(spark, str(tmp_path / "logs")).collect()] == [("a", "m", 1)]
+
+
+def test_appends_are_ordered(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = lambda *r: spark.createDataFrame(r, "prefix string, metric string, value long")
+    assert statlog.last_values(spark, path).count() == 0
+    assert statlog.append(rows(("a", "x", 1), ("b", "x", 2)), path, "one", "t1") == 1
+    assert statlog.append(rows(("a", "y", 5)), path, "two") == 2
+    assert statlog.append(rows(("a", "x", 9)), path, "one again", "t2") == 3
+    assert statlog.append(rows(("a", "x", 1), ("b", "x", 2)), path, "one", "t1") == 1  # tried again
+    rows(("a", "x", 77)).write.parquet(f"{path}/data/never-committed")
+    assert statlog._create(spark, f"{path}/commits/{4:012d}.json", b'{"step": "s", "token": "t9", "data": "none"}') and not statlog._create(spark, f"{path}/commits/{4:012d}.json", b"")
+    (tmp_path / "log/commits/000000000004.json").unlink()
+    with pytest.raises(ValueError, match="more than one"):
+        statlog.append(rows(("a", "x", 1), ("a", "x", 2)), path, "twice")
+    assert {(r.prefix, r.metric): r.value for r in statlog.last_values(spark, path).collect()} == {("a", "x"): 9, ("b", "x"): 2, ("a", "y"): 5}
+
+
 def test_ranks_over_ranges(spark, monkeypatch):
     monkeypatch.setattr(ranks, "RANGE", 50)
     keys = [f"k{RND.randrange(10**6)}" for _ in range(400)]
