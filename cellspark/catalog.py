@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import exon_queries, file_queries, queries
+from .plans import exon_queries, file_queries, mapping_queries, queries
 
-QUERIES: dict = {**queries.QUERIES, **exon_queries.QUERIES, **file_queries.QUERIES}
-ORACLES: dict[str, str] = {**queries.ORACLES, **exon_queries.ORACLES, **file_queries.ORACLES}
+QUERIES: dict = {**queries.QUERIES, **exon_queries.QUERIES, **file_queries.QUERIES, **mapping_queries.QUERIES}
+ORACLES: dict[str, str] = {**queries.ORACLES, **exon_queries.ORACLES, **file_queries.ORACLES, **mapping_queries.ORACLES}

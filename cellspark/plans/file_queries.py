@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import annotation, cells, counts, stats
+from ..operators import alignments, annotation, cells, counts, stats
 from ..sources import bam, fastq, paths, statlog, tables, text
 from .queries import CELLS, PRIM, SEQ, SEQ_SPARK
 from .views import EXON, exon_view, read
@@ -78,6 +78,17 @@ def bam_scan(spark: SparkSession, sf: str) -> DataFrame:
     return _with_cb(spark.read.format("bam").load(path))
 
 
+@query(f"SELECT * FROM ({SAM_ROWS}) WHERE chrom = 'chr2' AND pos BETWEEN 100 AND 1099")
+def bam_region(spark: SparkSession, sf: str) -> DataFrame:
+    """One region of files in order of place, by their index."""
+    path = paths.scratch(spark, "bam-sorted")
+    spark.dataSource.register(bam.BamSource)
+    rows = spark.createDataFrame([], bam.SCHEMA).unionByName(_alignments(spark, sf), allowMissingColumns=True)
+    ordered = alignments.sort_by_place(rows, [c for c, _ in REFERENCES])
+    ordered.write.format("bam").option("references", ",".join(f"{c}:{n}" for c, n in REFERENCES)).option("index", "true").mode("append").save(path)
+    return _with_cb(spark.read.format("bam").option("region", "chr2:100-1100").load(path))
+
+
 @query(f"WITH exon AS ({EXON}) SELECT chrom, 'exon' AS feature, s AS start, e AS \"end\", strand, gene_id, exon_id, 't' AS gene_type FROM exon")
 def gtf_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = paths.scratch(spark, "gtf")

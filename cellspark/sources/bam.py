@@ -4,85 +4,325 @@
     spark.read.format("bam").load(path)
     df.write.format("bam").option("references", "chr1:1000,chr2:500").mode("append").save(path)
 
-Reading gives one task a file and Arrow batches; writing one file a task, each a whole BAM with the header.
+A file is read in byte ranges, a task each (option `split`, bytes).  A range takes the blocks that begin in it and the records
+that begin in those blocks.  Its first block is found by a chain of block heads, its first record by a chain of record heads
+that fit the file's references; a last record goes on into the blocks behind the range.  Records become Arrow columns by
+NumPy gathers over all records of a piece.
+
+Writing gives one file a task, each a whole BAM with the header.  With option `index` each task's rows must come in order of
+place (alignments.sort_by_place); a binning index <file>.bai is written beside each file.  A read with option `region`
+(chrom:start-end, from 0, end not included) then opens only the blocks of the region's bins and gives the rows that begin
+there; so does one with option `pushdown` and filters on chrom and pos, where spark.sql.python.filterPushdown.enabled is set.
 """
 
 from __future__ import annotations
 
-import gzip
 import struct
 import zlib
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+import pyarrow.compute as pc
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 
 SCHEMA = "name string, flag int, chrom string, pos long, mapq int, cigar string, mate_chrom string, mate_pos long, length int, seq string, qual string, tags map<string,string>"
 ARROW = pa.schema([
     ("name", pa.string()), ("flag", pa.int32()), ("chrom", pa.string()), ("pos", pa.int64()), ("mapq", pa.int32()), ("cigar", pa.string()), ("mate_chrom", pa.string()), ("mate_pos", pa.int64()), ("length", pa.int32()),
     ("seq", pa.string()), ("qual", pa.string()), ("tags", pa.map_(pa.string(), pa.string())),
 ])
-#: Fixed values of the format: CIGAR operators, bases by code, and the end-of-file block.
+#: Fixed values of the format: CIGAR operators, bases by code, sizes of tag types, and the end-of-file block.
 OPS = "MIDNSHP=X"
 BASES = "=ACMGRSVTWYHKDBN"
+NUMBERS = {"c": "<i1", "C": "<u1", "s": "<i2", "S": "<u2", "i": "<i4", "I": "<u4", "f": "<f4"}
 EOF_BLOCK = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
-NUMBERS = {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I", "f": "<f"}
-BATCH = 20_000
+HEAD = np.dtype([("size", "<i4"), ("ref", "<i4"), ("pos", "<i4"), ("l_name", "u1"), ("mapq", "u1"), ("bin", "<u2"), ("n_cigar", "<u2"), ("flag", "<u2"), ("n_seq", "<i4"), ("mate", "<i4"), ("mate_pos", "<i4"), ("length", "<i4")])
 BLOCK = 60_000
+SPLIT = 64 << 20
+#: Decompressed bytes that are decoded at once.
+PIECE = 8 << 20
+#: Heads in a row that make a place the beginning of a block or a record.
+CHAIN = 4
+WINDOW = 1 << 14
+
+
+# --- decoding -------------------------------------------------------------------------------------------------------
+
+
+def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of many stretches, end to end."""
+    size = size.astype(np.int64)
+    place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    return data[np.repeat(start.astype(np.int64), size) + place]
+
+
+def _strings(data: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Strings of the given sizes that lie end to end."""
+    return pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _tags(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
+    """Maps of tag to value: all records' first tags together, then their second ones, and so on."""
+    zeros = np.flatnonzero(data == 0)
+    at, live = start.astype(np.int64), np.arange(len(start))
+    live = live[at[live] < stop[live]]
+    owner, keys, values = [], [], []
+    while len(live):
+        p = at[live]
+        kind = data[p + 2]
+        size = np.zeros(len(live), np.int64)
+        for k in np.unique(kind).tolist():
+            c, mine = chr(k), np.flatnonzero(kind == k)
+            q = p[mine] + 3
+            if c in NUMBERS:
+                form = np.dtype(NUMBERS[c])
+                n = np.full(len(q), form.itemsize)
+                x = _gather(data, q, n).view(form)
+                text = pa.array([str(v) for v in x.astype(float).tolist()], pa.string()) if c == "f" else pc.cast(pa.array(x.astype(np.int64)), pa.string())
+            elif c == "A":
+                n = np.ones(len(q), np.int64)
+                text = _strings(data[q], n)
+            elif c in "ZH":
+                n = zeros[np.searchsorted(zeros, q)] - q + 1
+                text = _strings(_gather(data, q, n - 1), n - 1)
+            elif c == "B":
+                forms = [np.dtype(NUMBERS[chr(data[i])]) for i in q.tolist()]
+                counts = _gather(data, q + 1, np.full(len(q), 4)).view("<i4").tolist()
+                n = np.array([5 + f.itemsize * m for f, m in zip(forms, counts)], np.int64)
+                text = pa.array([chr(data[i]) + "".join(f",{v}" for v in data[i + 5 : i + 5 + f.itemsize * m].view(f).tolist()) for i, f, m in zip(q.tolist(), forms, counts)], pa.string())
+            else:
+                raise ValueError(f"a tag has the unknown type {c}")
+            size[mine] = 3 + n
+            owner.append(live[mine])
+            keys.append(_strings(_gather(data, p[mine], np.full(len(mine), 2)), np.full(len(mine), 2)))
+            values.append(text)
+        at[live] += size
+        live = live[at[live] < stop[live]]
+    n = len(start)
+    if not owner:
+        return pa.MapArray.from_arrays(pa.array(np.zeros(n + 1, np.int32)), pa.array([], pa.string()), pa.array([], pa.string()))
+    who = np.concatenate(owner)
+    order = pa.array(np.argsort(who, kind="stable"))
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=n))]).astype(np.int32)
+    return pa.MapArray.from_arrays(pa.array(offsets), pa.concat_arrays(keys).take(order), pa.concat_arrays(values).take(order))
+
+
+def decode(data: np.ndarray, at: np.ndarray, chroms: list[str]) -> pa.RecordBatch:
+    """Records that begin at the given places of decompressed bytes."""
+    n = len(at)
+    head = _gather(data, at, np.full(n, HEAD.itemsize)).view(HEAD)
+    names = pa.array(chroms, pa.string())
+    ref = lambda x: names.take(pa.array(x.astype(np.int64), mask=x < 0)) if len(chroms) else pa.nulls(n, pa.string())
+    p = at + HEAD.itemsize
+    l_name, n_cigar, n_seq = (head[c].astype(np.int64) for c in ("l_name", "n_cigar", "n_seq"))
+    name = _strings(_gather(data, p, l_name - 1), l_name - 1)
+    p = p + l_name
+    ops = _gather(data, p, 4 * n_cigar).view("<u4")
+    letters = pa.array(list(OPS), pa.string()).take(pa.array(ops & 15))
+    pieces = pc.binary_join_element_wise(pc.cast(pa.array(ops >> 4), pa.string()), letters, "")
+    cigar = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_cigar)]).astype(np.int32)), pieces), "")
+    cigar = pc.if_else(pa.array(n_cigar == 0), "*", cigar)
+    p = p + 4 * n_cigar
+    half = (n_seq + 1) // 2
+    packed = _gather(data, p, half)
+    base = np.frombuffer(BASES.encode(), np.uint8)
+    both = np.stack([base[packed >> 4], base[packed & 15]], 1).ravel()
+    odd = np.cumsum(2 * half)[n_seq % 2 == 1] - 1  # the half byte behind an odd number of bases
+    seq = _strings(np.delete(both, odd), n_seq)
+    p = p + half
+    raw, none = _gather(data, p, n_seq), n_seq == 0
+    first = np.zeros(n, np.uint8)
+    first[~none] = data[p[~none]]
+    none |= first == 255
+    qual = _strings(raw[np.repeat(~none, n_seq)] + np.uint8(33), np.where(none, 0, n_seq))
+    cols = [
+        name, pa.array(head["flag"].astype(np.int32)), ref(head["ref"]), pa.array(head["pos"].astype(np.int64)), pa.array(head["mapq"].astype(np.int32)), cigar, ref(head["mate"]), pa.array(head["mate_pos"].astype(np.int64)),
+        pa.array(head["length"].astype(np.int32)), pc.if_else(pa.array(n_seq == 0), "*", seq), pc.if_else(pa.array(none), "*", qual), _tags(data, p + n_seq, at + 4 + head["size"]),
+    ]
+    return pa.RecordBatch.from_arrays([c.cast(t) if c.type != t else c for c, t in zip(cols, ARROW.types)], schema=ARROW)
+
+
+# --- places in a file -----------------------------------------------------------------------------------------------
+
+
+def block_size(head: bytes, at: int = 0) -> int:
+    """The size of the block whose head stands there, 0 if none does, -1 if too few bytes are there to tell."""
+    if len(head) < at + 18:
+        return -1 if b"\x1f\x8b\x08\x04".startswith(head[at : at + 4]) or head[at : at + 4] == b"\x1f\x8b\x08\x04" else 0
+    if head[at : at + 4] != b"\x1f\x8b\x08\x04":
+        return 0
+    extra, stop = at + 12, at + 12 + struct.unpack_from("<H", head, at + 10)[0]
+    while extra + 6 <= min(stop, len(head)):
+        size = struct.unpack_from("<H", head, extra + 2)[0]
+        if head[extra : extra + 2] == b"BC" and size == 2:
+            return struct.unpack_from("<H", head, extra + 4)[0] + 1
+        extra += 4 + size
+    return 0
 
 
-def _tags(data: bytes) -> list[tuple[str, str]]:
-    out, at = [], 0
-    while at < len(data):
-        tag, kind = data[at : at + 2].decode(), chr(data[at + 2])
-        at += 3
-        if kind in NUMBERS:
-            size = struct.calcsize(NUMBERS[kind])
-            value = str(struct.unpack_from(NUMBERS[kind], data, at)[0])
-        elif kind == "A":
-            size, value = 1, chr(data[at])
-        elif kind in "ZH":
-            end = data.index(0, at)
-            size, value = end - at + 1, data[at:end].decode()
-        elif kind == "B":
-            form = NUMBERS[chr(data[at])]
-            n = struct.unpack_from("<i", data, at + 1)[0]
-            size = 5 + n * struct.calcsize(form)
-            value = chr(data[at]) + "".join(f",{x}" for x in struct.unpack_from(f"<{n}{form[1]}", data, at + 5))
-        else:
-            raise ValueError(f"tag {tag} has the unknown type {kind}")
-        out.append((tag, value))
-        at += size
-    return out
-
-
-def records(stream):
-    """Rows of SCHEMA of a decompressed BAM stream."""
-    if stream.read(4) != b"BAM\1":
+class Blocks:
+    """Blocks of an open file, one after another; `opened` counts those that were decompressed."""
+
+    def __init__(self, file, size: int):
+        self.file, self.size, self.opened = file, size, 0
+        self.held, self.at = b"", 0
+
+    def bytes(self, at: int, n: int) -> bytes:
+        if not self.at <= at or at + n > self.at + len(self.held):
+            want = min(max(n, 1 << 20), max(0, self.size - at))
+            self.file.seek(at)
+            self.held, self.at = self.file.read(want), at
+        return self.held[at - self.at : at - self.at + n]
+
+    def find(self, at: int) -> int:
+        """The first block that begins at or behind a place; the file's end if there is none."""
+        while at < self.size:
+            some = self.bytes(at, min(1 << 17, self.size - at))
+            i = some.find(b"\x1f\x8b\x08\x04")
+            if i < 0:
+                at += max(1, len(some) - 3)
+                continue
+            place, good = at + i, True
+            for _ in range(CHAIN):
+                n = block_size(self.bytes(place, min(1024, self.size - place)))
+                if n <= 0 or place + n > self.size:
+                    good = False
+                    break
+                place += n
+                if place == self.size:
+                    break
+            if good:
+                return at + i
+            at += i + 1
+        return self.size
+
+    def read(self, at: int) -> tuple[bytes, int]:
+        """(decompressed bytes of the block at a place, the next block's place)."""
+        n = block_size(self.bytes(at, min(1024, self.size - at)))
+        if n <= 0:
+            raise ValueError(f"no block at byte {at}")
+        raw = self.bytes(at, n)
+        extra = struct.unpack_from("<H", raw, 10)[0]
+        self.opened += 1
+        return zlib.decompress(raw[12 + extra : -8], -15), at + n
+
+
+def header(blocks: Blocks) -> tuple[list[str], int, int]:
+    """(references, block and place in it of the first record)."""
+    data, begin, at = b"", [], 0  # begin: (place in data, block)
+
+    def need(n: int) -> None:
+        nonlocal data, at
+        while len(data) < n:
+            if at >= blocks.size:
+                raise ValueError("a BAM file ends in its header")
+            begin.append((len(data), at))
+            more, at = blocks.read(at)
+            data += more
+
+    need(12)
+    if data[:4] != b"BAM\1":
         raise ValueError("not a BAM file")
-    stream.read(struct.unpack("<i", stream.read(4))[0])
-    chroms = []
-    for _ in range(struct.unpack("<i", stream.read(4))[0]):
-        chroms.append(stream.read(struct.unpack("<i", stream.read(4))[0])[:-1].decode())
-        stream.read(4)
-    pairs = [a + b for a in BASES for b in BASES]
-    while head := stream.read(4):
-        data = stream.read(struct.unpack("<i", head)[0])
-        ref, pos, l_name, mapq, _, n_cigar, flag, n_seq, mate, mate_pos, length = struct.unpack_from("<iiBBHHHiiii", data)
-        at = 32 + l_name
-        ops = struct.unpack_from(f"<{n_cigar}I", data, at)
-        at += 4 * n_cigar
-        half = (n_seq + 1) // 2
-        seq = "".join([pairs[b] for b in data[at : at + half]])[:n_seq] or "*"
-        qual = data[at + half : at + half + n_seq]
-        text = "*" if not qual or qual[0] == 255 else bytes([q + 33 for q in qual]).decode()
-        yield (
-            data[32 : 32 + l_name - 1].decode(), flag, chroms[ref] if ref >= 0 else None, pos, mapq, "".join([f"{o >> 4}{OPS[o & 15]}" for o in ops]) or "*",
-            chroms[mate] if mate >= 0 else None, mate_pos, length, seq, text, _tags(data[at + half + n_seq :]),
-        )
-
-
-def _bin(start: int, end: int) -> int:
+    p = 8 + struct.unpack_from("<i", data, 4)[0]
+    need(p + 4)
+    chroms, n = [], struct.unpack_from("<i", data, p)[0]
+    p += 4
+    for _ in range(n):
+        need(p + 4)
+        size = struct.unpack_from("<i", data, p)[0]
+        need(p + 8 + size)
+        chroms.append(data[p + 4 : p + 3 + size].decode())
+        p += 8 + size
+    if p == len(data):
+        return chroms, at, 0
+    of, block = [b for b in begin if b[0] <= p][-1]
+    return chroms, block, p - of
+
+
+def _is_record(data: bytes, at: int, n_refs: int) -> int:
+    """The size of the record that may begin there, 0 if none can, -1 if its bytes are not there."""
+    if len(data) < at + HEAD.itemsize:
+        return -1
+    size, ref, pos, l_name, _, _, n_cigar, _, n_seq, mate, mate_pos, _ = struct.unpack_from("<iiiBBHHHiiii", data, at)
+    if not (-1 <= ref < n_refs and -1 <= mate < n_refs and pos >= -1 and mate_pos >= -1 and l_name >= 1 and n_seq >= 0 and size >= 32 + l_name + 4 * n_cigar + (n_seq + 1) // 2 + n_seq):
+        return 0
+    name = data[at + 36 : at + 36 + l_name]
+    if len(name) < l_name:
+        return -1
+    if name[-1] or not all(33 <= c <= 126 for c in name[:-1]):
+        return 0
+    ops = data[at + 36 + l_name : at + 36 + l_name + 4 * n_cigar : 4]
+    return 0 if any(c & 15 > 8 for c in ops) else 4 + size
+
+
+def first_record(blocks: Blocks, at: int, n_refs: int) -> tuple[int, int]:
+    """(block, place in it) of the first record that begins in or behind the block at a place."""
+    data, begin, nxt, p = b"", [], at, 0
+    while True:
+        q, good = p, bool(data)
+        for _ in range(CHAIN) if good else ():
+            n = _is_record(data, q, n_refs)
+            if n < 0 or q + n > len(data):
+                good = None if nxt < blocks.size else False  # more bytes will tell
+                break
+            if n == 0:
+                good = False
+                break
+            q += n
+            if q == len(data) and nxt >= blocks.size:
+                break
+        if good and p < len(data):
+            of, block = [b for b in begin if b[0] <= p][-1]
+            return block, p - of
+        if good is False and p < len(data):
+            p += 1
+            continue
+        if nxt >= blocks.size:
+            return blocks.size, 0
+        begin.append((len(data), nxt))
+        more, nxt = blocks.read(nxt)
+        data += more
+
+
+def batches(blocks: Blocks, chroms: list[str], at: int, skip: int, stop: int, last: int = 0):
+    """Record batches of the records that begin at (at, skip) or behind, and before (stop, last)."""
+    if at > stop or (at == stop and skip >= last):
+        return
+    data, p, nxt = bytearray(), skip, at
+    ends = last if nxt == stop else None  # where in data the range is over
+
+    def more() -> None:
+        nonlocal nxt, ends
+        if nxt >= blocks.size:
+            raise ValueError("a BAM file ends within a record")
+        some, nxt = blocks.read(nxt)
+        data.extend(some)
+        if nxt == stop and ends is None:
+            ends = len(data) + last
+
+    while True:
+        while len(data) - p < PIECE and (ends is None or len(data) < ends):
+            more()
+        places = []
+        while p < (len(data) if ends is None else ends):
+            while p + 4 > len(data):
+                more()
+            n = 4 + struct.unpack_from("<i", data, p)[0]
+            while p + n > len(data):
+                more()
+            places.append(p)
+            p += n
+        if places:
+            yield decode(np.frombuffer(bytes(data), np.uint8), np.array(places, np.int64), chroms)
+        if ends is not None and p >= ends:
+            return
+        data, ends, p = data[p:], None if ends is None else ends - p, 0
+
+
+# --- the index ------------------------------------------------------------------------------------------------------
+
+
+def bin_of(start: int, end: int) -> int:
     """The smallest bin of the usual index that holds the interval."""
     end -= 1
     for shift, first in ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1)):
@@ -91,8 +331,80 @@ def _bin(start: int, end: int) -> int:
     return 0
 
 
-def packed(row: dict, numbers: dict[str, int]) -> bytes:
-    """A row of SCHEMA as a record; columns that a table lacks take the format's empty values, all tags are strings."""
+def bins_of(start: int, end: int) -> set[int]:
+    """All bins that may hold records over an interval."""
+    return {0} | {first + i for shift, first in ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1)) for i in range(start >> shift, (max(end, start + 1) - 1 >> shift) + 1)}
+
+
+class IndexMaker:
+    """Chunks of virtual places by reference and bin, and the first place of each window, of records that come in order."""
+
+    def __init__(self, n_refs: int):
+        self.bins: list[dict[int, list[list[int]]]] = [{} for _ in range(n_refs)]
+        self.windows: list[dict[int, int]] = [{} for _ in range(n_refs)]
+        self.before = (0, -1)
+
+    def add(self, ref: int, pos: int, end: int, start_at: int, end_at: int) -> None:
+        place = (ref if ref >= 0 else len(self.bins), pos)
+        if place < self.before:
+            raise ValueError("an index needs rows in order of place")
+        self.before = place
+        if ref < 0:
+            return
+        chunks = self.bins[ref].setdefault(bin_of(pos, end), [])
+        if chunks and chunks[-1][1] >> 16 == start_at >> 16:
+            chunks[-1][1] = end_at
+        else:
+            chunks.append([start_at, end_at])
+        for w in range(pos // WINDOW, (end - 1) // WINDOW + 1):
+            self.windows[ref].setdefault(w, start_at)
+
+    def bytes(self) -> bytes:
+        out = [b"BAI\1", struct.pack("<i", len(self.bins))]
+        for bins, windows in zip(self.bins, self.windows):
+            out.append(struct.pack("<i", len(bins)))
+            for b, chunks in sorted(bins.items()):
+                out.append(struct.pack("<Ii", b, len(chunks)) + b"".join(struct.pack("<QQ", *c) for c in chunks))
+            n, held = max(windows, default=-1) + 1, 0
+            out.append(struct.pack("<i", n))
+            for w in range(n):
+                held = windows.get(w, held)
+                out.append(struct.pack("<Q", held))
+        return b"".join(out)
+
+
+def chunks_of(index: bytes, ref: int, start: int, end: int) -> list[tuple[int, int]]:
+    """Joined chunks (virtual places) that hold all records of a reference that begin in [start, end)."""
+    if index[:4] != b"BAI\1":
+        raise ValueError("not an index of a BAM file")
+    p, wanted, found, low = 8, bins_of(start, min(end, 1 << 29)), [], 0
+    for r in range(struct.unpack_from("<i", index, 4)[0]):
+        n = struct.unpack_from("<i", index, p)[0]
+        p += 4
+        for _ in range(n):
+            b, k = struct.unpack_from("<Ii", index, p)
+            p += 8
+            if r == ref and b in wanted:
+                found += [struct.unpack_from("<QQ", index, p + 16 * i) for i in range(k)]
+            p += 16 * k
+        n = struct.unpack_from("<i", index, p)[0]
+        if r == ref and n and start >> 14 < n:
+            low = struct.unpack_from("<Q", index, p + 4 + 8 * (start >> 14))[0]
+        p += 4 + 8 * n
+    out: list[list[int]] = []
+    for a, b in sorted(c for c in found if c[1] > low):
+        if out and a >> 16 <= out[-1][1] >> 16:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return [tuple(c) for c in out]
+
+
+# --- the data source ------------------------------------------------------------------------------------------------
+
+
+def packed(row: dict, numbers: dict[str, int]) -> tuple[bytes, int, int, int]:
+    """(a row of SCHEMA as a record, its reference, start and end); columns that a table lacks take the format's empty values, all tags are strings."""
     name = (row.get("name") or "*").encode() + b"\0"
     cigar, n, ops = row.get("cigar") or "*", 0, []
     if cigar != "*":
@@ -109,12 +421,13 @@ def packed(row: dict, numbers: dict[str, int]) -> bytes:
     tags = b"".join(k.encode() + b"Z" + v.encode() + b"\0" for k, v in (row.get("tags") or []))
     pos = -1 if row.get("pos") is None else row["pos"]
     mate_pos = -1 if row.get("mate_pos") is None else row["mate_pos"]
-    span = sum(o >> 4 for o in ops if OPS[o & 15] in "MDN=X") or 1
+    end = pos + (sum(o >> 4 for o in ops if OPS[o & 15] in "MDN=X") or 1)
+    ref = numbers.get(row.get("chrom"), -1)
     fixed = struct.pack(
-        "<iiBBHHHiiii", numbers.get(row.get("chrom"), -1), pos, len(name), row.get("mapq") or 0, _bin(pos, pos + span) if pos >= 0 else 4680, len(ops), row.get("flag") or 0, len(seq), numbers.get(row.get("mate_chrom"), -1), mate_pos, row.get("length") or 0,
+        "<iiBBHHHiiii", ref, pos, len(name), row.get("mapq") or 0, bin_of(pos, end) if pos >= 0 else 4680, len(ops), row.get("flag") or 0, len(seq), numbers.get(row.get("mate_chrom"), -1), mate_pos, row.get("length") or 0,
     )
     body = fixed + name + struct.pack(f"<{len(ops)}I", *ops) + bases + qual + tags
-    return struct.pack("<i", len(body)) + body
+    return struct.pack("<i", len(body)) + body, ref, max(pos, 0), max(end, 1)
 
 
 def block(data: bytes) -> bytes:
@@ -130,46 +443,88 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path if "://" in path else "file:///" + path.removeprefix("file:").lstrip("/"))
 
 
+@dataclass
+class Range(InputPartition):
+    path: str
+    lo: int
+    hi: int
+    size: int
+    region: tuple[str, int, int] | None = None
+    index: str | None = None
+
+
 class BamReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, split: int = SPLIT, region: tuple[str, int, int] | None = None):
+        self.path, self.split = path, split
+        self.chrom, self.start, self.end = region or (None, 0, 1 << 31)
+        self.opened = 0
 
     def partitions(self):
         from pyarrow import fs
 
         store, root = _open(self.path)
         info = store.get_file_info(root)
-        files = [root] if info.is_file else [f.path for f in store.get_file_info(fs.FileSelector(root)) if f.path.endswith(".bam")]
-        return [InputPartition(f) for f in sorted(files)]
-
-    def read(self, partition):
+        found = [info] if info.is_file else store.get_file_info(fs.FileSelector(root))
+        names = {f.path for f in found} if not info.is_file else {f for f in (f"{root}.bai",) if store.get_file_info(f).is_file}
+        files = sorted((f for f in found if f.is_file and (f.path.endswith(".bam") or info.is_file)), key=lambda f: f.path)
+        region = (self.chrom, self.start, self.end) if self.chrom is not None else None
+        some = [Range(f.path, 0, f.size, f.size, region, f"{f.path}.bai") for f in files if region and f"{f.path}.bai" in names]
+        rest = [f for f in files if not (region and f"{f.path}.bai" in names)]
+        return some + [Range(f.path, lo, min(lo + self.split, f.size), f.size, region) for f in rest for lo in range(0, max(f.size, 1), self.split)]
+
+    def read(self, part):
         store, _ = _open(self.path)
-        with store.open_input_stream(partition.value, compression=None) as f, gzip.GzipFile(fileobj=f) as g:
-            held = []
-            for r in records(g):
-                held.append(r)
-                if len(held) == BATCH:
-                    yield self._batch(held)
-                    held = []
-            if held:
-                yield self._batch(held)
+        with store.open_input_file(part.path) as f:
+            blocks = Blocks(f, part.size)
+            try:
+                chroms, at, skip = header(blocks)
+                chunks = []
+                if part.index is not None:
+                    chrom, start, end = part.region
+                    if chrom in chroms and start < end:
+                        with store.open_input_stream(part.index, compression=None) as i:
+                            chunks = [(a >> 16, a & 0xFFFF, b >> 16, b & 0xFFFF) for a, b in chunks_of(i.read(), chroms.index(chrom), start, end)]
+                elif part.hi > at:
+                    if part.lo > at:
+                        at, skip = first_record(blocks, blocks.find(part.lo), len(chroms))
+                    chunks = [(at, skip, blocks.find(part.hi), 0)]
+                for chunk in chunks:
+                    for batch in batches(blocks, chroms, *chunk):
+                        yield batch if part.region is None else self._within(batch, *part.region)
+            finally:
+                self.opened += blocks.opened
 
     @staticmethod
-    def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ARROW.types)], schema=ARROW)
+    def _within(batch: pa.RecordBatch, chrom: str, start: int, end: int) -> pa.RecordBatch:
+        pos = batch.column(3)
+        return batch.filter(pc.fill_null(pc.and_(pc.equal(batch.column(2), chrom), pc.and_(pc.greater_equal(pos, start), pc.less(pos, end))), False))
+
+
+class FilteredReader(BamReader):
+    """Filters on chrom and pos choose the region; Spark tests them on every row as well."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("chrom",) and f.value is not None and self.chrom in (None, f.value):
+                self.chrom = f.value
+            elif isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)) and f.attribute == ("pos",) and f.value is not None:
+                if isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)):
+                    self.start = max(self.start, f.value + isinstance(f, GreaterThan))
+                if isinstance(f, (EqualTo, LessThan, LessThanOrEqual)):
+                    self.end = min(self.end, f.value + (not isinstance(f, LessThan)))
+            yield f  # Spark tests rows itself
 
 
 @dataclass
 class Written(WriterCommitMessage):
-    held: str
-    name: str
+    moves: list[tuple[str, str]]
 
 
 class BamWriter(DataSourceArrowWriter):
     """One file a task, under a name of its own until the job commits."""
 
-    def __init__(self, path: str, references: list[tuple[str, int]]):
-        self.path, self.references = path, references
+    def __init__(self, path: str, references: list[tuple[str, int]], index: bool = False):
+        self.path, self.references, self.index = path, references, index
 
     def write(self, iterator):
         from pyspark import TaskContext
@@ -179,37 +534,59 @@ class BamWriter(DataSourceArrowWriter):
         task = TaskContext.get()
         held, name = f"{root}/.{task.partitionId():05d}-{task.taskAttemptId()}", f"{root}/part-{task.partitionId():05d}.bam"
         numbers = {c: i for i, (c, _) in enumerate(self.references)}
-        text = ("@HD\tVN:1.6\n" + "".join(f"@SQ\tSN:{c}\tLN:{n}\n" for c, n in self.references)).encode()
-        buffer = b"BAM\1" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(self.references)) + b"".join(struct.pack("<i", len(c) + 1) + c.encode() + b"\0" + struct.pack("<i", n) for c, n in self.references)
+        text = (f"@HD\tVN:1.6\tSO:{'coordinate' if self.index else 'unknown'}\n" + "".join(f"@SQ\tSN:{c}\tLN:{n}\n" for c, n in self.references)).encode()
+        head = b"BAM\1" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(self.references)) + b"".join(struct.pack("<i", len(c) + 1) + c.encode() + b"\0" + struct.pack("<i", n) for c, n in self.references)
+        maker = IndexMaker(len(self.references)) if self.index else None
         with store.open_output_stream(held) as out:
-            parts, size = [buffer], len(buffer)
+            at = 0  # bytes written
+            for i in range(0, len(head), BLOCK):
+                at += out.write(block(head[i : i + BLOCK]))
+            buffer, size = bytearray(), 0
+            starts: list[int] = []  # of the blocks with records, a number a block
+            waiting: list[tuple[int, int, int, int, int]] = []  # reference, start, end, and the record's place and end in the blocks' bytes
+
+            def flush(everything: bool) -> None:
+                nonlocal at
+                while len(buffer) >= BLOCK or everything and buffer:
+                    starts.append(at)
+                    at += out.write(block(bytes(buffer[:BLOCK])))
+                    del buffer[:BLOCK]
+                if everything:
+                    starts.append(at)
+                known = next((i for i, w in enumerate(waiting) if w[4] // BLOCK >= len(starts)), len(waiting))
+                for ref, a, b, *ends in waiting[:known]:
+                    maker.add(ref, a, b, *[starts[-1] << 16 if everything and q == size else starts[q // BLOCK] << 16 | q % BLOCK for q in ends])
+                del waiting[:known]
+
             for batch in iterator:
                 for row in batch.to_pylist():
-                    parts.append(packed(row, numbers))
-                    size += len(parts[-1])
-                    if size >= BLOCK:
-                        self._flush(out, b"".join(parts))
-                        parts, size = [], 0
-            self._flush(out, b"".join(parts))
+                    data, ref, a, b = packed(row, numbers)
+                    buffer += data
+                    if maker is not None:
+                        waiting.append((ref, a, b, size, size + len(data)))
+                    size += len(data)
+                    if len(buffer) >= 16 * BLOCK:
+                        flush(False)
+            flush(True)
             out.write(EOF_BLOCK)
-        return Written(held, name)
-
-    @staticmethod
-    def _flush(out, data: bytes) -> None:
-        for at in range(0, len(data), BLOCK):
-            out.write(block(data[at : at + BLOCK]))
+        moves = [(held, name)]
+        if maker is not None:
+            with store.open_output_stream(f"{held}.bai") as out:
+                out.write(maker.bytes())
+            moves.append((f"{held}.bai", f"{name}.bai"))
+        return Written(moves)
 
     def commit(self, messages):
         store, _ = _open(self.path)
         for m in messages:
-            if m is not None:
-                store.move(m.held, m.name)
+            for held, name in m.moves if m is not None else ():
+                store.move(held, name)
 
     def abort(self, messages):
         store, _ = _open(self.path)
         for m in messages:
-            if m is not None:
-                store.delete_file(m.held)
+            for held, _ in m.moves if m is not None else ():
+                store.delete_file(held)
 
 
 class BamSource(DataSource):
@@ -221,10 +598,16 @@ class BamSource(DataSource):
         return SCHEMA
 
     def reader(self, schema):
-        return BamReader(self.options["path"])
+        region = self.options.get("region")
+        if region:
+            chrom, _, span = region.rpartition(":")
+            start, _, end = span.partition("-")
+            region = chrom, int(start), int(end)
+        kind = FilteredReader if self.options.get("pushdown", "false").lower() == "true" else BamReader
+        return kind(self.options["path"], int(self.options.get("split", SPLIT)), region)
 
     def writer(self, schema, overwrite):
         if overwrite:
             raise ValueError("BAM files are added to a folder, not replaced")
         pairs = [x.rpartition(":") for x in self.options.get("references", "").split(",") if x]
-        return BamWriter(self.options["path"], [(c, int(n)) for c, _, n in pairs])
+        return BamWriter(self.options["path"], [(c, int(n)) for c, _, n in pairs], self.options.get("index", "false").lower() == "true")

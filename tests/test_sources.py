@@ -66,8 +66,90 @@ def test_bam_round_trip(spark, tmp_path):
 
 
 def test_tags_of_all_types():
+    import numpy as np
+
     data = b"NHC\x03" + b"ASi" + (-5).to_bytes(4, "little", signed=True) + b"XAAq" + b"MDZ10A5\0" + b"ZBBs\x02\0\0\0\x01\0\xff\xff" + b"XFf\0\0\x80?"
-    assert bam._tags(data) == [("NH", "3"), ("AS", "-5"), ("XA", "q"), ("MD", "10A5"), ("ZB", "s,1,-1"), ("XF", "1.0")]
+    want = [("NH", "3"), ("AS", "-5"), ("XA", "q"), ("MD", "10A5"), ("ZB", "s,1,-1"), ("XF", "1.0")]
+    both = np.frombuffer(data + b"CBZx\0" + data, np.uint8)
+    cut = np.array([0, len(data), len(data) + 5, len(data) + 5])
+    assert bam._tags(both, cut, np.array([len(data), len(data) + 5, len(data) + 5, len(both)])).to_pylist() == [want, [("CB", "x")], [], want]
+
+
+def bam_rows(n, place=False):
+    """Rows of all shapes; long names and texts now and then, so that records go over blocks."""
+    rows = []
+    for i in range(n):
+        bases = "".join(RND.choice("ACGTN") for _ in range(RND.choice([0, 1, 2, 75, 150, 151, 3000])))
+        chrom = RND.choice(["chr1", "chr2", None])
+        rows.append((f"r{i}" + "x" * RND.choice([0, 5, 200]), RND.randrange(4096), chrom, RND.randrange(1 << 28) if chrom else -1, i % 60, f"{i % 90 + 1}M3000N2S" if chrom else "*", "chr1" if i % 2 else None, i if i % 2 else -1, -i, bases or "*", "".join(RND.choice("!5IJ") for _ in bases) if bases and i % 3 else "*", {"CB": f"p.{i}", "UB": "é" * (i % 5)} if i % 4 else {}))
+    return sorted(rows, key=lambda r: ({"chr1": 0, "chr2": 1, None: 2}[r[2]], r[3])) if place else rows
+
+
+def plain(r):
+    return str([*r[:11], sorted(dict(r[11] or {}).items())])
+
+
+def test_bam_in_byte_ranges(spark, tmp_path):
+    """One file in any number of tasks gives the same rows; no record twice, none lost."""
+    spark.dataSource.register(bam.BamSource)
+    rows, path = bam_rows(2500), str(tmp_path / "out")
+    spark.createDataFrame(rows, bam.SCHEMA).coalesce(1).write.format("bam").option("references", "chr1:300000000,chr2:300000000").mode("append").save(path)
+    (file,) = (tmp_path / "out").glob("*.bam")
+    size, want = file.stat().st_size, sorted(map(plain, rows))
+    for parts in (1, 2, 7, 50, 400):
+        d = spark.read.format("bam").option("split", -(-size // parts)).load(path)
+        assert sorted(map(plain, d.collect())) == want
+        assert parts == 1 or d.rdd.getNumPartitions() >= parts - 1
+    tiny = spark.read.format("bam").option("split", 97).load(str(tmp_path / "few"))
+    spark.createDataFrame(rows[:3], bam.SCHEMA).coalesce(1).write.format("bam").option("references", "chr1:300000000,chr2:300000000").mode("append").save(str(tmp_path / "few"))
+    assert sorted(map(plain, tiny.collect())) == sorted(map(plain, rows[:3]))
+
+
+def test_a_region_opens_its_blocks(spark, tmp_path):
+    from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, LessThan
+
+    spark.dataSource.register(bam.BamSource)
+    rows, path = bam_rows(6000, place=True), str(tmp_path / "sorted")
+    d = alignments.sort_by_place(spark.createDataFrame(rows, bam.SCHEMA), ["chr1", "chr2"])
+    d.write.format("bam").option("references", "chr1:300000000,chr2:300000000").option("index", "true").mode("append").save(path)
+    files = sorted((tmp_path / "sorted").glob("*.bam"))
+    assert all(f.with_name(f.name + ".bai").exists() for f in files)
+    assert sorted(map(plain, spark.read.format("bam").load(path).collect())) == sorted(map(plain, rows))
+    whole = 0
+    for f in files:
+        r = bam.BamReader(str(f))
+        n = sum(b.num_rows for p in r.partitions() for b in r.read(p))
+        whole += r.opened
+    for chrom, a, b in (("chr1", 0, 5_000_000), ("chr2", 100_000_000, 101_000_000), ("chr2", 268_000_000, 1 << 31), ("chr1", 7, 7), ("none", 0, 100)):
+        r, got = bam.FilteredReader(path), []
+        left = list(r.pushFilters([EqualTo(("chrom",), chrom), GreaterThanOrEqual(("pos",), a), LessThan(("pos",), b)]))
+        assert len(left) == 3
+        for p in r.partitions():
+            for batch in r.read(p):
+                got += [tuple(x.values()) for x in batch.to_pylist()]
+        assert sorted(map(plain, got)) == sorted(plain(x) for x in rows if x[2] == chrom and a <= x[3] < b)
+        assert r.opened < whole / 4, (r.opened, whole)
+    some = sorted(plain(x) for x in rows if x[2] == "chr2" and 1_000_000 <= x[3] < 90_000_000)
+    assert sorted(map(plain, spark.read.format("bam").option("region", "chr2:1000000-90000000").load(path).collect())) == some
+    for f in (tmp_path / "sorted").glob("*.bai"):
+        f.rename(tmp_path / f.name)
+    assert sorted(map(plain, spark.read.format("bam").option("region", "chr2:1000000-90000000").option("split", 5000).load(path).collect())) == some  # without an index all blocks are read
+    for f in tmp_path.glob("*.bai"):
+        f.rename(tmp_path / "sorted" / f.name)
+    keep = spark.conf.get("spark.sql.python.filterPushdown.enabled")
+    try:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+        d = spark.read.format("bam").option("pushdown", "true").load(path).where("chrom = 'chr2' AND pos >= 1000000 AND pos <= 90000000")
+        assert sorted(map(plain, d.collect())) == sorted(plain(x) for x in rows if x[2] == "chr2" and 1_000_000 <= x[3] <= 90_000_000)
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", keep)
+
+
+def test_an_index_needs_order():
+    maker = bam.IndexMaker(1)
+    maker.add(0, 5, 9, 0, 10)
+    with pytest.raises(ValueError, match="order"):
+        maker.add(0, 4, 9, 10, 20)
 
 
 def test_coordinate_order(spark):
