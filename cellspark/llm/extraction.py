@@ -147,7 +147,8 @@ def labelled(texts: list[str], n: int = PAGES, seed: int = SEED) -> list[tuple[l
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", n: int = PAGES, texts: int = TEXTS) -> Field:
     """A field from labelled pages with the words of `texts` pages of the table."""
     some = pages.select(pages[id_col].alias("id"), pages[html_col].alias("html")).where("html IS NOT NULL").select(F.xxhash64("id").alias("h"), "id", "html")
-    rows = some.orderBy("h", "id", F.md5(F.col("html").cast("binary"))).limit(texts).collect()
+    last = some.select("h").orderBy("h").limit(texts).agg(F.max("h")).first()[0]  # so that no task sends more html than is wanted
+    rows = some.where(F.col("h") <= F.lit(last)).orderBy("h", "id", F.md5(F.col("html").cast("binary"))).limit(texts).collect()
     return train(labelled([b.text for r in rows for b in leaf_blocks(r["html"])], n))
 
 
