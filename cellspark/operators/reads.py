@@ -96,27 +96,103 @@ def adapter_at(texts: list[str | None], adapter: str, least: int, error_rate: fl
     return [None if t is None else int(i) for t, i in zip(texts, at)]
 
 
-def trim_adapter(reads: DataFrame, column: str, adapter: str, least: int = 3, error_rate: float = 0.1, qual: str | None = None) -> DataFrame:
+def _bases(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(a row of bytes a read, sizes); 0 behind a read's end."""
+    size = np.array([len(t or "") for t in texts], np.int64)
+    base = np.zeros((len(texts), int(size.max(initial=0))), np.uint8)
+    base[np.arange(base.shape[1]) < size[:, None]] = np.frombuffer("".join(t or "" for t in texts).encode("latin-1", "replace"), np.uint8)
+    return base, size
+
+
+def adapter_ends(base: np.ndarray, size: np.ndarray, adapter: str, least: int, error_rate: float) -> np.ndarray:
+    """Which reads hold the adapter with gaps: bit-parallel edit distances of the adapter, in one machine word, against every
+    stretch of a read; all reads go a base at a time."""
+    k, n = len(adapter), len(size)
+    one, high = np.uint64(1), np.uint64(1) << np.uint64(k - 1)
+    where = np.zeros(256, np.uint64)
+    for j, c in enumerate(adapter.encode()):
+        where[c] |= one << np.uint64(j)
+    up, down = np.full(n, (1 << k) - 1, np.uint64), np.zeros(n, np.uint64)  # steps of +1 and -1 down the column
+    cost = np.full(n, k)
+    hit = np.zeros(n, bool)
+    with np.errstate(over="ignore"):
+        for i in range(base.shape[1]):
+            live = size > i
+            eq = where[base[:, i]]
+            zero = (((eq & up) + up) ^ up) | eq | down
+            right_up, right_down = down | ~(zero | up), up & zero
+            cost += np.where(live, ((right_up & high) != 0).astype(int) - ((right_down & high) != 0), 0)
+            right_up, right_down = right_up << one, right_down << one  # a match may begin anywhere
+            up = np.where(live, right_down | ~(zero | right_up), up)
+            down = np.where(live, right_up & zero, down)
+            hit |= live & (cost <= int(error_rate * k)) & (k >= least)
+    total = np.zeros(n, np.int64)
+    for j in range(1, k):  # the adapter's beginnings at the reads' ends
+        bit = one << np.uint64(j - 1)
+        total += ((up & bit) != 0).astype(np.int64) - ((down & bit) != 0)
+        hit |= (j >= least) & (total <= int(error_rate * j)) & (size > 0)
+    return hit
+
+
+def adapter_with_gaps(texts: list[str | None], adapter: str, least: int, error_rate: float) -> list[int | None]:
+    """For each read the leftmost beginning of an accepted match with the adapter, or its length.
+
+    A match is a stretch of the read that is at most error_rate * m edits (changed, inserted, deleted bases) away from the
+    whole adapter, or, at the read's end, from its first m bases, m >= least.  Of the stretches with one end the one of the
+    fewest edits counts, then the longest.
+    """
+    k = len(adapter)
+    if not 1 <= k <= 63:
+        raise ValueError("an adapter has 1 to 63 bases")
+    base, size = _bases(texts)
+    at, some = size.copy(), np.flatnonzero(adapter_ends(base, size, adapter, least, error_rate))
+    if len(some):
+        base, size = base[some], size[some]
+        step = np.arange(k + 1, dtype=np.int64)[:, None] << 32  # edits in the high half, the beginning in the low one
+        letters = np.frombuffer(adapter.encode(), np.uint8)[:, None]
+        col = np.broadcast_to(step, (k + 1, len(some))).copy()
+        found = size.copy()
+        begin = lambda v: v & 0xFFFFFFFF
+
+        def end_of_read(now: np.ndarray) -> None:
+            for j in range(least, k):
+                ok = now & ((col[j] >> 32) <= int(error_rate * j))
+                found[ok] = np.minimum(found[ok], begin(col[j])[ok])
+
+        for i in range(base.shape[1]):
+            new = np.empty_like(col)
+            new[0] = i + 1
+            new[1:] = np.minimum(col[:-1] + ((letters != base[:, i]).astype(np.int64) << 32), col[1:] + (1 << 32))
+            col = np.minimum.accumulate(new - step, 0) + step  # deleted bases of the adapter
+            whole = (size > i) & ((col[k] >> 32) <= int(error_rate * k)) & (k >= least)
+            found[whole] = np.minimum(found[whole], begin(col[k])[whole])
+            end_of_read(size == i + 1)
+        at[some] = found
+    return [None if t is None else int(i) for t, i in zip(texts, at)]
+
+
+def trim_adapter(reads: DataFrame, column: str, adapter: str, least: int = 3, error_rate: float = 0.1, qual: str | None = None, gaps: bool = False) -> DataFrame:
     """Cut a 3' adapter from `column`: the leftmost place from which the read matches the adapter, whole or to the read's
-    end, with at least `least` bases and at most error_rate mismatches (no gaps); the qualities in `qual` are cut alike.
-    Places are found in Arrow batches, a whole batch at once."""
+    end, with at least `least` bases and at most error_rate mismatches, or with `gaps` that many edits (adapter_with_gaps);
+    the qualities in `qual` are cut alike.  Places are found in Arrow batches, a whole batch at once."""
+    find = adapter_with_gaps if gaps else adapter_at
 
     @F.pandas_udf("int")
     def place(seqs: pd.Series) -> pd.Series:
-        return pd.Series(adapter_at(seqs.tolist(), adapter, least, error_rate), index=seqs.index, dtype="Int32")
+        return pd.Series(find(seqs.tolist(), adapter, least, error_rate), index=seqs.index, dtype="Int32")
 
     out = reads.withColumn("__at", place(column))
     cut = lambda c: F.substring(F.col(c), F.lit(1), F.col("__at"))
     return out.withColumns({c: cut(c) for c in (column, qual) if c}).drop("__at")
 
 
-def trim_pairs(fragments: DataFrame, adapter1: str = "AGATCGGAAGAGC", adapter2: str = "AAAAAAAA", quality: int = 20, least: int = 3, shortest: int = 20) -> DataFrame:
-    """r1 and r2 cut by quality, then by adapter; pairs of which a mate is left shorter than `shortest` go."""
+def trim_pairs(fragments: DataFrame, adapter1: str = "AGATCGGAAGAGC", adapter2: str = "AAAAAAAA", quality: int = 20, least: int = 3, shortest: int = 20, gaps: bool = False) -> DataFrame:
+    """r1 and r2 cut by quality, then by adapter (with gaps, if asked for); pairs of which a mate is left shorter than `shortest` go."""
     for mate, adapter in (("r1", adapter1), ("r2", adapter2)):
         seq, qual = f"{mate}_seq", f"{mate}_qual"
         keep = fragments.withColumn("__keep", trim_quality(F.col(seq), F.col(qual), quality))
         short = lambda c: F.substring(F.col(c), F.lit(1), F.col("__keep"))
-        fragments = trim_adapter(keep.withColumns({seq: short(seq), qual: short(qual)}).drop("__keep"), seq, adapter, least, qual=qual)
+        fragments = trim_adapter(keep.withColumns({seq: short(seq), qual: short(qual)}).drop("__keep"), seq, adapter, least, qual=qual, gaps=gaps)
     return fragments.where((F.length("r1_seq") >= shortest) & (F.length("r2_seq") >= shortest))
 
 

@@ -141,6 +141,20 @@ def adapter_trim(spark: SparkSession, sf: str) -> DataFrame:
     return reads.trim_adapter(spark.sql(ADAPTED.replace("FROM lineitem", "FROM {lineitem}"), lineitem=read(spark, sf, "lineitem")), "r2", "AAAAAAAA")
 
 
+GAPPED = """SELECT c_custkey, translate(substring(md5(c_name), 1, 20 + CAST(c_custkey % 7 AS INT)), '0123456789abcdef', 'ACGTTGCAGATCCTAG') ||
+  CASE CAST(c_custkey % 6 AS INT) WHEN 0 THEN 'AGATCGGAAGAGCTT' WHEN 1 THEN 'AGATCGAAGAGCACG' WHEN 2 THEN 'AGATCGTGAAGAGC' WHEN 3 THEN substring('AGATCGGAAGAGC', 1, CAST(c_custkey % 13 AS INT)) WHEN 4 THEN 'AGATCCGAAGA' ELSE '' END AS seq FROM customer"""
+
+
+@query(f"""WITH r AS ({GAPPED}), n AS (SELECT *, length(seq) AS n FROM r),
+whole AS (SELECT c_custkey, e, min(levenshtein(substr(seq, e - len + 1, len), 'AGATCGGAAGAGC') * 1000 + e - len) AS best FROM (SELECT *, unnest(range(1, n + 1)) AS e FROM n), (SELECT unnest([12, 13, 14]) AS len) WHERE len <= e GROUP BY ALL),
+ending AS (SELECT c_custkey, j, min(levenshtein(substr(seq, s + 1), substr('AGATCGGAAGAGC', 1, j)) * 1000 + s) AS best FROM n, (SELECT unnest(range(3, 13)) AS j), (SELECT unnest([-1, 0, 1]) AS d), LATERAL (SELECT n - j + d AS s) WHERE s BETWEEN 0 AND n - 1 GROUP BY ALL),
+hit AS (SELECT c_custkey, best % 1000 AS place FROM whole WHERE best < 2000 UNION ALL SELECT c_custkey, best % 1000 FROM ending WHERE best < CASE WHEN j < 10 THEN 1000 ELSE 2000 END)
+SELECT n.c_custkey, substr(seq, 1, coalesce(min(place), n)::BIGINT) AS seq FROM n LEFT JOIN hit USING (c_custkey) GROUP BY n.c_custkey, seq, n""")
+def adapter_trim_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Adapters with a changed, lost or added base, whole or cut short by the read's end."""
+    return reads.trim_adapter(spark.sql(GAPPED.replace("FROM customer", "FROM {customer}"), customer=read(spark, sf, "customer")), "seq", "AGATCGGAAGAGC", gaps=True)
+
+
 WELL = "SELECT s_suppkey // 2 AS well, 'S_' || CAST(s_suppkey % 2 AS VARCHAR) || '_' || CAST((s_suppkey // 2) % 2 AS VARCHAR) || '_' || replace(s_name, '#', '_') AS sample, {seq} AS barcode, s_suppkey % 2 AS kind FROM supplier"
 
 

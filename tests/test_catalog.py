@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 @pytest.fixture(scope="module")
 def db():
     c = duckdb.connect()
-    for t in ("nation", "supplier", "part", "lineitem", "events"):
+    for t in ("nation", "supplier", "customer", "part", "lineitem", "events"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 

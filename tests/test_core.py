@@ -2,6 +2,7 @@
 
 import gzip
 import io
+import random
 import struct
 
 import pytest
@@ -167,3 +168,34 @@ def test_cell_tags_and_mates(spark):
     assert [(r.CB, r.UB) for r in alignments.cell_tags(a, p).collect()] == [("i.L.t1", "U")]
     m = spark.createDataFrame([("x", 64, 1), ("x", 128, 2), ("y", 64, 1), ("y", 64, 1), ("y", 128, 3), ("z", 64, 1)], "name string, flag int, pos int")
     assert [(r.name, r.mate1.pos, r.mate2.pos) for r in alignments.pair_mates(m, ["name"]).collect()] == [("x", 1, 2)]
+
+
+def trimmed_at(t, adapter, least, rate):
+    """Cells of (edits, beginning), a base of the read at a time."""
+    k, best = len(adapter), len(t)
+    col = [(j, 0) for j in range(k + 1)]
+    for i in range(1, len(t) + 1):
+        new = [(0, i)]
+        for j in range(1, k + 1):
+            a, b, c = col[j - 1], col[j], new[j - 1]
+            new.append(min((a[0] + (adapter[j - 1] != t[i - 1]), a[1]), (b[0] + 1, b[1]), (c[0] + 1, c[1])))
+        col = new
+        if k >= least and col[k][0] <= int(rate * k):
+            best = min(best, col[k][1])
+    return min([best, *[col[j][1] for j in range(least, k) if t and col[j][0] <= int(rate * j)]])
+
+
+@pytest.mark.parametrize("size", [1, 8, 13, 33, 63])
+def test_adapters_with_gaps(size):
+    rnd = random.Random(size)
+    dna = lambda n: [rnd.choice("ACGT") for _ in range(n)]
+    adapter, texts = "".join(dna(size)), [None, ""]
+    for _ in range(300):
+        a = list(adapter)
+        for _ in range(rnd.randrange(5)):
+            at = rnd.randrange(len(a) + 1)
+            a[at : at + rnd.randrange(2)] = dna(rnd.randrange(2))
+        t = "".join(dna(rnd.randrange(50)) + a + dna(rnd.choice([0, 0, 9])))
+        texts.append(t[: len(t) - rnd.randrange(12)] if rnd.random() < 0.4 else t)
+    for least, rate in ((3, 0.1), (1, 0.2), (5, 0.3), (size + 1, 0.1)):
+        assert reads.adapter_with_gaps(texts, adapter, least, rate) == [None if t is None else trimmed_at(t, adapter, least, rate) for t in texts]
