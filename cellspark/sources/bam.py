@@ -7,7 +7,7 @@
 A file is read in byte ranges, a task each (option `split`, bytes).  A range takes the blocks that begin in it and the records
 that begin in those blocks.  Its first block is found by a chain of block heads, its first record by a chain of record heads
 that fit the file's references; a last record goes on into the blocks behind the range.  Records become Arrow columns by
-NumPy gathers over all records of a piece.
+NumPy gathers over all records of a piece.  A file of plain gzip members has no such blocks and is one task.
 
 Writing gives one file a task, each a whole BAM with the header.  With option `index` each task's rows must come in order of
 place (alignments.sort_by_place); a binning index <file>.bai is written beside each file.  A read with option `region`
@@ -17,6 +17,7 @@ there; so does one with option `pushdown` and filters on chrom and pos, where sp
 
 from __future__ import annotations
 
+import gzip
 import struct
 import zlib
 from dataclasses import dataclass
@@ -207,6 +208,23 @@ class Blocks:
         return zlib.decompress(raw[12 + extra : -8], -15), at + n
 
 
+class PlainBlocks(Blocks):
+    """A file of plain gzip members, which tell no sizes: one task takes it, in pieces that count as blocks."""
+
+    def __init__(self, file):
+        super().__init__(file, 1 << 62)
+        self.stream = gzip.GzipFile(fileobj=file)
+
+    def find(self, at: int) -> int:
+        return self.size
+
+    def read(self, at: int) -> tuple[bytes, int]:
+        self.stream.seek(at << 20)
+        data = self.stream.read(1 << 20)
+        self.opened += 1
+        return data, at + 1 if self.stream.peek(1) else self.size
+
+
 def header(blocks: Blocks) -> tuple[list[str], int, int]:
     """(references, block and place in it of the first record)."""
     data, begin, at = b"", [], 0  # begin: (place in data, block)
@@ -476,6 +494,11 @@ class BamReader(DataSourceReader):
         store, _ = _open(self.path)
         with store.open_input_file(part.path) as f:
             blocks = Blocks(f, part.size)
+            if not block_size(blocks.bytes(0, min(1024, part.size))):
+                if part.lo:
+                    return
+                f.seek(0)
+                blocks = PlainBlocks(f)
             try:
                 chroms, at, skip = header(blocks)
                 chunks = []
