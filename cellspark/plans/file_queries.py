@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import alignments, annotation, cells, counts, stats
-from ..sources import bam, fastq, paths, statlog, tables, text
+from ..sources import bam, fastq, layers, paths, statlog, tables, text
 from .queries import CELLS, PRIM, SEQ, SEQ_SPARK
 from .views import EXON, exon_view, read
 
@@ -164,6 +164,18 @@ def matrix_in_file_order(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_matrix_bundle(spark, path)
 
 
+@query("SELECT l_returnflag || '.' || CAST(l_suppkey AS VARCHAR) AS cell_id, 'g' || CAST(l_partkey AS VARCHAR) AS gene_id, l_linestatus AS layer, count(*)::DOUBLE AS count FROM lineitem GROUP BY ALL")
+def layer_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Three matrices of two layers, each with its own order of features, merged and read back."""
+    path = paths.scratch(spark, "layers")
+    l = read(spark, sf, "lineitem").select("l_returnflag", F.concat(F.lit("x:"), F.col("l_returnflag"), F.lit("."), F.col("l_suppkey").cast("string")).alias("cell_id"), F.concat(F.lit("g"), F.col("l_partkey").cast("string")).alias("gene_id"), F.col("l_linestatus").alias("layer"))
+    for flag in "ANR":
+        one = l.where(F.col("l_returnflag") == flag).groupBy("cell_id", "gene_id", "layer").agg(F.count("*").alias("count"))
+        layers.write_layers(one, f"{path}/{flag}", features=one.select("gene_id").distinct().withColumn("by", F.md5(F.concat(F.lit(flag), "gene_id"))), features_by="by")
+    layers.merge_layers(spark, [f"{path}/{flag}" for flag in "ANR"], f"{path}/all", layers.behind_colon)
+    return layers.read_layers(spark, f"{path}/all")
+
+
 @query("SELECT s_name AS sample, CAST(s_suppkey AS VARCHAR) AS shortdt, CAST(s_nationkey AS VARCHAR) AS randomn FROM supplier WHERE s_suppkey % 2 = 1")
 def rt_tables(spark: SparkSession, sf: str) -> DataFrame:
     path = paths.scratch(spark, "rt")

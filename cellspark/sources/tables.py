@@ -201,11 +201,6 @@ def read_bundle(spark: SparkSession, path: str, *names: str) -> dict[str, DataFr
     return {n: spark.read.parquet(f"{path}/{n}") for n in names}
 
 
-def write_layers(layers: DataFrame, path: str) -> None:
-    """Layer tables as Parquet, one folder a layer, for pruned reads."""
-    layers.write.partitionBy("layer").parquet(path)
-
-
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships", "p": "http://schemas.openxmlformats.org/package/2006/relationships"}
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellspark.operators import alignments, cells, ranks, reads, stats
-from cellspark.sources import bam, fastq, genome, lines, paths, statlog, tables, text
+from cellspark.sources import bam, fastq, genome, layers, lines, paths, statlog, tables, text
 
 RND = random.Random(2)
 
@@ -265,6 +265,33 @@ def test_appends_are_ordered(spark, tmp_path):
     assert {(r.prefix, r.metric): r.value for r in statlog.last_values(spark, path).collect()} == {("a", "x"): 9, ("b", "x"): 2, ("a", "y"): 5}
 
 
+def test_layers_of_blocks(spark, tmp_path):
+    rows = list({(f"s:c{RND.randrange(40):02d}", f"g{RND.randrange(30)}", RND.choice(["spliced", "unspliced", "ambiguous"])): RND.randrange(1, 9) for _ in range(900)}.items())
+    rows = [(*k, n) for k, n in rows]
+    counts = spark.createDataFrame(rows, "cell_id string, gene_id string, layer string, count long").repartition(4)
+    cells_ = spark.createDataFrame([(f"s:c{i:02d}", i) for i in range(41)], "cell_id string, n int")  # one has no counts
+    at = str(tmp_path / "a")
+    layers.write_layers(counts, at, cells=cells_, width=7)
+    plain_ = lambda df: sorted(map(tuple, df.collect()))
+    want = sorted((c, g, layer, float(n)) for c, g, layer, n in rows)
+    assert plain_(layers.read_layers(spark, at)) == want
+    assert layers.read_cells(spark, at).count() == 41 and all(r.pointers[0] == 0 and len(r.indices) == r.pointers[-1] == len(r["values"]) for r in layers.read_blocks(spark, at).collect())
+    some = layers.read_layers(spark, at, layers=["spliced"], cells=["s:c03", "s:c20", "none"])
+    assert plain_(some) == [x for x in want if x[2] == "spliced" and x[0] in ("s:c03", "s:c20")]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(layer" in plan or "PartitionFilters: [layer" in plan
+    assert "PushedFilters: [In(block" in plan or "In(block, [" in plan
+    with pytest.raises(FileExistsError):
+        layers.write_layers(counts, at)
+    other = spark.createDataFrame([("t:d1", "g7", "spliced", 3), ("t:d1", "new", "spliced", 2), ("t:d2", "g1", "other", 5)], "cell_id string, gene_id string, layer string, count long")
+    layers.write_layers(other, str(tmp_path / "b"), features=spark.createDataFrame([("new", 1, "x"), ("g7", 2, "y"), ("g1", 3, "z")], "gene_id string, o int, name string"), features_by="o")
+    layers.write_layers(counts.limit(0), str(tmp_path / "none"))
+    layers.merge_layers(spark, [at, str(tmp_path / "none"), str(tmp_path / "b")], str(tmp_path / "all"), layers.behind_colon)
+    both = want + [("t:d1", "g7", "spliced", 3.0), ("t:d1", "new", "spliced", 2.0), ("t:d2", "g1", "other", 5.0)]
+    assert plain_(layers.read_layers(spark, str(tmp_path / "all"))) == sorted((c.split(":")[1], g, layer, n) for c, g, layer, n in both)
+    assert layers.read_cells(spark, str(tmp_path / "all")).count() == 43
+
+
 def test_ranks_over_ranges(spark, monkeypatch):
     monkeypatch.setattr(ranks, "RANGE", 50)
     keys = [f"k{RND.randrange(10**6)}" for _ in range(400)]
