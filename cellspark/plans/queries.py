@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar, names, sequences
-from ..operators import alignments, annotation, assign_exon, assign_gene, barcodes, cells, counts, intervals, reads, stats
+from ..operators import alignments, annotation, assign_exon, assign_gene, barcodes, cells, counts, intervals, reads, splicing, stats
 from . import views
 from .views import EXON, GENE, PAIR, codes, exon_view, gene_view, pair_view, read, spark_sql
 
@@ -368,6 +368,33 @@ def velocity_layers(spark: SparkSession, sf: str) -> DataFrame:
     return counts.layer_counts(assigned_genes(spark, sf))
 
 
+#: Two transcripts a gene: all its exons, and those of odd lines.
+MODELS = """tx AS (SELECT gene_id, gene_id || '-' || CAST(k AS VARCHAR) AS transcript_id, chrom, s, e FROM exon, (SELECT unnest([1, 2]) AS k) WHERE k = 1 OR line % 2 = 1),
+txa AS (SELECT *, max(e) OVER (PARTITION BY transcript_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM tx),
+txb AS (SELECT *, sum(CASE WHEN seen IS NULL OR s > seen THEN 1 ELSE 0 END) OVER (PARTITION BY transcript_id ORDER BY s, e) AS island FROM txa),
+txe AS (SELECT gene_id, transcript_id, chrom, min(s) AS s, max(e) AS e FROM txb GROUP BY gene_id, transcript_id, chrom, island),
+parts AS (SELECT *, false AS intron FROM txe UNION ALL SELECT gene_id, transcript_id, chrom, e, nxt, true FROM (SELECT *, lead(s) OVER (PARTITION BY transcript_id ORDER BY s) AS nxt FROM txe) WHERE nxt IS NOT NULL),
+counted AS (SELECT pair.pid, pair.cell, umi, pair.chrom, gene_id, s1, s2 FROM res JOIN pair ON res.pid = pair.pid WHERE status = 'counted'),
+blocks AS (SELECT pid, cell, umi, chrom, gene_id, 0 AS block, s1 AS bs, s1 + 15 AS be FROM counted UNION ALL SELECT pid, cell, umi, chrom, gene_id, 1, s2, s2 + 15 FROM counted),
+shown AS (SELECT b.*, transcript_id, s, e, intron, least(be, e) - greatest(bs, s) AS shared, least(be, e) - greatest(bs, s) >= 5 AS shows FROM blocks b JOIN parts p ON b.gene_id = p.gene_id AND b.chrom = p.chrom AND bs < e AND s < be),
+edges AS (SELECT pid, block, transcript_id, bool_or(NOT intron) AS ex FROM shown WHERE shows GROUP BY ALL),
+valid AS (SELECT DISTINCT gene_id, s, e FROM shown JOIN edges USING (pid, block, transcript_id) WHERE ex AND intron AND shows),
+perblock AS (SELECT pid, cell, umi, shown.gene_id, transcript_id, block, sum(shared) AS shared, bool_or(NOT intron AND shows) AS ex, bool_or(intron AND shows) AS it, bool_or(intron AND shows AND valid.s IS NOT NULL) AS ok
+  FROM shown LEFT JOIN valid ON shown.gene_id = valid.gene_id AND shown.s = valid.s AND shown.e = valid.e GROUP BY ALL),
+perpair AS (SELECT pid, cell, umi, gene_id, transcript_id, bool_or(it) AS it, bool_or(ok OR (ex AND it)) AS ok FROM perblock GROUP BY ALL HAVING sum(shared) = 30),
+permodel AS (SELECT cell, umi, gene_id, transcript_id, count(*) AS fit, bool_or(it) AS it, bool_or(ok) AS ok FROM perpair GROUP BY ALL),
+sizes AS (SELECT cell, umi, gene_id, count(*) AS n FROM counted GROUP BY ALL),
+states AS (SELECT cell, umi, gene_id, bool_and(it) AS al, bool_or(it) AS an, bool_or(it AND ok) AS ok FROM permodel JOIN sizes USING (cell, umi, gene_id) WHERE fit = n GROUP BY ALL)"""
+
+
+@query(f"{ASSIGN}, {MODELS} SELECT cell, gene_id, CASE WHEN NOT an THEN 'spliced' WHEN al THEN 'unspliced' ELSE 'ambiguous' END AS layer, count(*) AS count FROM states WHERE NOT (al AND an AND NOT ok) GROUP BY ALL")
+def transcript_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Splicing by transcript models; unspliced molecules need proof."""
+    x = exon_view(spark, sf)
+    two = x.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("k")).where("k = 1 OR line % 2 = 1").withColumn("transcript_id", F.concat_ws("-", "gene_id", F.col("k").cast("string")))
+    return splicing.layers(assigned_genes(spark, sf), pair_view(spark, sf), two, PID, permissive=False)
+
+
 @query(f"{ASSIGN} SELECT res.pid, CASE WHEN chrom IN ('chr1', 'chr2') THEN status ELSE 'unmapped' END AS status FROM res JOIN pair ON res.pid = pair.pid")
 def gene_assign_known(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs on chromosomes that the annotation does not name count as unmapped."""

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellspark.functions import cigar, names, sequences
-from cellspark.operators import alignments, barcodes, counts, intervals, reads, stats
+from cellspark.operators import alignments, barcodes, counts, intervals, reads, splicing, stats
 from cellspark.sources import bam, fastq, tables, text
 
 
@@ -199,3 +199,25 @@ def test_adapters_with_gaps(size):
         texts.append(t[: len(t) - rnd.randrange(12)] if rnd.random() < 0.4 else t)
     for least, rate in ((3, 0.1), (1, 0.2), (5, 0.3), (size + 1, 0.1)):
         assert reads.adapter_with_gaps(texts, adapter, least, rate) == [None if t is None else trimmed_at(t, adapter, least, rate) for t in texts]
+
+
+def test_splicing_by_models(spark):
+    """Two models: exons 100-200, 300-400, 500-600, and 100-200, 500-600; the second's intron is validated by one read."""
+    x = [("g", f"t{k}", "c", "+", a, b) for k, spans in ((1, [(100, 150), (150, 200), (300, 400), (500, 600)]), (2, [(100, 200), (500, 600)])) for a, b in spans]
+    exons = spark.createDataFrame(x, "gene_id string, transcript_id string, chrom string, strand string, start long, end long")
+    assert sorted((r.transcript_id, r.start, r.end, r.intron) for r in splicing.models(exons).collect()) == [("t1", 100, 200, False), ("t1", 200, 300, True), ("t1", 300, 400, False), ("t1", 400, 500, True), ("t1", 500, 600, False), ("t2", 100, 200, False), ("t2", 200, 500, True), ("t2", 500, 600, False)]
+    rows = {
+        "exonic": [(110, 140), (120, 150)], "over the middle": [(310, 340), (350, 380)], "ends": [(150, 180), (510, 530)], "edge": [(180, 230), (110, 130)], "inside": [(220, 260), (230, 270)], "four bases over": [(150, 204), (110, 130)],
+        "second intron": [(420, 450), (430, 460)], "out": [(590, 620), (520, 540)], "two genes' worth": [(110, 140), (310, 330)],
+    }
+    pairs = [(n, n, 1, "g", "c", [b[0]], [b[1]]) for n, b in rows.items()] + [(f"mixed {i}", "mixed", 1, "g", "c", [b], [b]) for i, b in enumerate([(110, 140), (220, 260)])]
+    p = spark.createDataFrame(pairs, "pid string, cell string, umi int, gene_id string, chrom string, blocks1 array<struct<start:long,end:long>>, blocks2 array<struct<start:long,end:long>>")
+    valid = splicing.validated(p, splicing.models(exons), ["pid"])
+    assert {tuple(r) for r in valid.collect()} == {("g", 200, 300), ("g", 200, 500)}
+    get = lambda permissive: {r.cell: r.state for r in splicing.molecule_states(p, splicing.models(exons), valid, ["pid"], permissive=permissive).collect()}
+    want = {"exonic": "spliced", "over the middle": "ambiguous", "ends": "spliced", "edge": "unspliced", "inside": "unspliced", "four bases over": "spliced", "second intron": "unspliced", "two genes' worth": "ambiguous", "mixed": "unspliced"}
+    assert get(True) == want
+    lone = p.where("cell = 'second intron' or cell = 'exonic'")
+    assert splicing.validated(lone, splicing.models(exons), ["pid"]).count() == 0
+    some = lambda permissive: {r.cell: r.state for r in splicing.molecule_states(lone, splicing.models(exons), valid.limit(0), ["pid"], permissive=permissive).collect()}
+    assert some(True) == {"exonic": "spliced", "second intron": "unspliced"} and some(False) == {"exonic": "spliced"}
