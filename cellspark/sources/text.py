@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .lines import numbered_lines
@@ -30,6 +30,27 @@ def read_gtf(spark: SparkSession, path: str) -> DataFrame:
     return out.select("*", get("gene_id").alias("gene_id"), get("transcript_id").alias("transcript_id"), get("exon_id").alias("exon_id"), get("gene_type", "gene_biotype").alias("gene_type"), get("gene_name").alias("gene_name"))
 
 
+def read_fasta(spark: SparkSession, path: str, bin_lines: int = 4096) -> DataFrame:
+    """contig (a head's first word), start (from 0), seq: the sequence lines of FASTA files, as mapping.build takes them.
+
+    As in files that can be indexed, all lines of a contig but its last have one length, so a line's place follows from its
+    number; other files raise.  Lines meet their contig by bins of lines, and no file goes through one task; what does is a row a contig.
+    """
+    lines = numbered_lines(spark, path, blank=False)
+    is_head = F.startswith(F.col("value"), F.lit(">"))
+    ends = lines.groupBy("file").agg((F.max("line") + 1).alias("end"))
+    behind = F.lead("line").over(Window.partitionBy("file").orderBy("line"))
+    heads = lines.where(is_head).select("file", F.col("line").alias("head"), F.regexp_extract("value", r"^>\s*(\S*)", 1).alias("contig"), behind.alias("next")).join(ends, "file").withColumn("next", F.coalesce("next", "end"))
+    first = lines.where(~is_head).select((F.col("line") - 1).alias("head"), F.length("value").cast("long").alias("width"))
+    known = heads.join(first, "head").select("head", "contig", "next", "width", F.explode(F.sequence(F.floor(F.col("head") / bin_lines), F.floor((F.col("next") - 1) / bin_lines))).alias("bin"))
+    rows = lines.where(~is_head).select("line", "value", F.floor(F.col("line") / bin_lines).alias("bin"))
+    met = rows.join(known, (rows["bin"] == known["bin"]) & (rows["line"] > known["head"]) & (rows["line"] < known["next"]))
+    size = F.length("value")
+    good = (size == F.col("width")) | ((F.col("line") == F.col("next") - 1) & (size < F.col("width")))
+    seq = F.when(good, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("lines of unequal length in "), F.col("contig"))).cast("string"))
+    return met.select("contig", ((F.col("line") - F.col("head") - 1) * F.col("width")).alias("start"), seq.alias("seq"))
+
+
 def read_rt_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", header=True, schema="sample string, shortdt string, randomn string", mode="FAILFAST")
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellspark.operators import mapping
+from cellspark.sources import text
 
 FLIP = str.maketrans("ACGT", "TGCA")
 
@@ -105,3 +106,32 @@ def test_an_index_is_kept(spark, tmp_path):
     assert (r.contig, r.strand, r.pos, r.cigar, r.n_best) == ("c", "+", 0, "37M", 2)
     with pytest.raises(ValueError):
         mapping.build(ref, k=8)
+
+
+@pytest.mark.parametrize("split", [40, 1 << 20])
+def test_fasta(spark, tmp_path, split):
+    rnd = random.Random(split)
+    want, files = {}, {"a.fa": ["c1", "c2 two words", "empty"], "b.fa": ["c4"]}
+    for name, heads in files.items():
+        out = []
+        for h in heads:
+            seq = "" if h == "empty" else "".join(rnd.choice("ACGTN") for _ in range(rnd.choice([7, 60, 61, 500])))
+            want[h.split()[0]] = seq
+            out += [f">{h}", *[seq[i : i + 10] for i in range(0, len(seq), 10)]]
+        (tmp_path / name).write_text("\n".join(out) + "\n")
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        got = {}
+        for r in text.read_fasta(spark, str(tmp_path), bin_lines=4).collect():
+            got.setdefault(r.contig, {})[r.start] = r.seq
+        assert {k: "".join(v[i] for i in sorted(v)) for k, v in got.items()} == {k: v for k, v in want.items() if v}
+        assert all(want[k][a : a + len(s)] == s for k, v in got.items() for a, s in v.items())
+        (tmp_path / "odd").mkdir()
+        (tmp_path / "odd/x.fa").write_text(">x\nACGT\nAC\nACGT\n")
+        with pytest.raises(Exception, match="unequal"):
+            text.read_fasta(spark, str(tmp_path / "odd")).collect()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
