@@ -6,8 +6,7 @@ holds the tokens already fixed (only the last matters) and, for each earlier pla
 the present one, a node of the token trie and the tokens pending up to that place.  Tokens that all live places share are
 emitted, which happens after a bounded lookahead, as no place lives longer than the longest token.
 
-Determinisation is lazy.  A transition is kept once it was asked for OFTEN times; a short piece that asks for one before
-goes on through the same places to its end, without states being kept.  The number of transitions is
+Determinisation is lazy: a transition is made when it is first asked for, and kept.  The number of transitions is
 bounded: when a generation of states is full it becomes the old one and a new one begins, which takes over from the old
 what is still met; what is not goes with it.  A pair of tokens is tested once, by undoing the merges beside their boundary.
 
@@ -19,6 +18,7 @@ the same automaton, and give their characters at once.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 import struct
@@ -28,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import filled, kept_in_worker, lean, slices, table
 
@@ -36,9 +35,6 @@ from .common import filled, kept_in_worker, lean, slices, table
 MAX_PIECES = 300_000
 MAX_TRANSITIONS = 150_000
 MAX_PAIRS = 500_000
-#: Bytes of a piece that may go on without states being kept.
-SHORT = 256
-OFTEN = 4
 _FIRST, _SECOND = itemgetter(0), itemgetter(1)
 
 
@@ -48,12 +44,13 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class State:
-    """Tokens fixed so far (the last of them), live places (a node and the tokens pending up to it), transitions made from here."""
+    """name: the last token fixed, then each live place (a node, and the tokens pending up to it); next: transitions made from
+    here; twin: the state of this name in the old generation."""
 
-    __slots__ = ("anchor", "places", "name", "next")
+    __slots__ = ("name", "next", "twin", "__weakref__")
 
-    def __init__(self, anchor: int, places: list, name: tuple):
-        self.anchor, self.places, self.name = anchor, places, name
+    def __init__(self, name: tuple, twin: State | None):
+        self.name, self.twin = name, twin
         self.next: dict[int, tuple[State, tuple[int, ...]]] = {}
 
 
@@ -63,8 +60,8 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], most: int = MAX_TRANSITIONS):
         self.ranks, self.most = ranks, most
         self.bytes_of = {v: k for k, v in ranks.items()}
-        # the token trie: a node is (its number, byte -> (the next node, or None where no longer token goes on; the token that
-        # ends there, or -1))
+        # the token trie: a node's edges, byte -> (the next node, or 0 where no longer token goes on; the token that ends
+        # there, or -1)
         child: list[dict] = [{}]
         token = [-1]
         for k, v in ranks.items():
@@ -77,28 +74,27 @@ class Transducer:
                     token.append(-1)
                 node = to
             token[node] = v
-        nodes = [(i, {}) for i in range(len(child))]
-        for (_, edges), own in zip(nodes, child):
-            for b, to in own.items():
-                edges[b] = (nodes[to] if child[to] else None, token[to])
-        self.root = nodes[0]
+        self.edges = [{b: (to if child[to] else 0, token[to]) for b, to in own.items()} for own in child]
         self.proper: dict[int, bool] = {}
         self.pairs: dict[int, bool] = {}
         self.split: dict[int, tuple[int, int]] = {}
+        self.old: dict[tuple, State] = {}
         self.young: dict[tuple, State] = {}
-        self.asked: dict[int, int] = {}
         self.turn()
 
     def turn(self) -> None:
-        """Begin a generation of states."""
+        """Begin a generation of states; the one before the old one goes, and its circles are cut, so that counting frees it."""
+        for state in self.old.values():
+            state.next = {}
+        for state in self.young.values():
+            state.twin = None
         self.old, self.young, self.made = self.young, {}, 0
-        self.start = self._state(-1, [(self.root, ())])
+        self.start = self._state((-1, (0, ())))
 
-    def _state(self, anchor: int, places: list) -> State:
-        name = (anchor, *[x for (number, _), pending in places for x in (number, *pending, -1)])
+    def _state(self, name: tuple) -> State:
         got = self.young.get(name)
         if got is None:
-            got = self.young[name] = State(anchor, places, name)
+            got = self.young[name] = State(name, self.old.get(name))
         return got
 
     def merge(self, piece: bytes, until: int = 1) -> list[int]:
@@ -164,19 +160,21 @@ class Transducer:
         if self.made >= self.most:
             self.turn()
         self.made += 1
-        before = self.old.get(state.name)
-        got = before.next.get(byte) if before is not None else None
-        if got is not None:
-            got = state.next[byte] = (self._state(got[0].anchor, got[0].places), got[1])
-            return got
-        pairs, anchor = self.pairs, state.anchor
+        if state.twin is not None:
+            got = state.twin.next.get(byte)
+            if got is not None:
+                got = state.next[byte] = (self._state(got[0].name), got[1])
+                return got
+        edges, pairs = self.edges, self.pairs
+        places = iter(state.name)
+        anchor = next(places)
         alive, chain = [], None
-        for (_, edges), pending in state.places:
-            to = edges.get(byte)
+        for node, pending in places:
+            to = edges[node].get(byte)
             if to is None:
                 continue
             node, t = to
-            if node is not None:
+            if node:
                 alive.append((node, pending))
             if t >= 0 and chain is None:
                 last = pending[-1] if pending else anchor
@@ -185,72 +183,31 @@ class Transducer:
                     chain = (*pending, t)
         if chain is None:
             raise ValueError("the vocabulary lacks a byte")
-        alive.append((self.root, chain))
-        n = 0
-        while all(len(p) > n and p[n] == chain[n] for _, p in alive):
-            n += 1
-            if n == len(chain):
+        alive.append((0, chain))
+        out = alive[0][1]  # the tokens that all live places share are fixed
+        for _, pending in alive:
+            while out and pending[: len(out)] != out:
+                out = out[:-1]
+            if not out:
                 break
-        out = chain[:n]
-        got = state.next[byte] = (self._state(out[-1] if out else anchor, [(node, p[n:]) for node, p in alive]), out)
+        if out:
+            n, anchor = len(out), out[-1]
+            alive = [(node, pending[n:]) for node, pending in alive]
+        got = state.next[byte] = (self._state((anchor, *alive)), out)
         return got
 
-    def _rest(self, state: State, rest: bytes) -> list[int]:
-        """The tokens still to come when `rest` ends the piece: the same places, each knowing the place its last token begins at."""
-        pairs_get, allowed, root = self.pairs.get, self._allowed, self.root[1]
-        last = [pending[-1] if pending else state.anchor for _, pending in state.places]
-        begin = n = len(last)
-        back = [-1] * n
-        alive = [(i, node[1]) for i, (node, _) in enumerate(state.places)]
-        for byte in rest:
-            now = []
-            for i, edges in alive:
-                to = edges.get(byte)
-                if to is not None:
-                    node, t = to
-                    if node is not None:
-                        now.append((i, node[1]))
-                    if t >= 0 and len(last) == n:
-                        before = last[i]
-                        ok = pairs_get(before << 32 | t)
-                        if allowed(before, t) if ok is None else ok:
-                            last.append(t)
-                            back.append(i)
-            if len(last) == n:
-                raise ValueError("the vocabulary lacks a byte")
-            now.append((n, root))
-            n += 1
-            alive = now
-        out, i = [], n - 1
-        while i >= begin:
-            out.append(last[i])
-            i = back[i]
-        out.extend(reversed(state.places[i][1]))
-        out.reverse()
-        return out
-
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
         out: list[int] = []
-        state = self.start
-        for at, b in enumerate(piece):
+        state, step = self.start, self._step
+        for b in piece:
             got = state.next.get(b)
-            if got is None:
-                if len(piece) <= SHORT:
-                    key = id(state) << 8 | b
-                    times = self.asked.get(key, 0) + 1
-                    if times < OFTEN:
-                        if len(self.asked) >= self.most:
-                            self.asked.clear()
-                        self.asked[key] = times
-                        return out + self._rest(state, piece[at:])
-                got = self._step(state, b)
-            state, fixed = got
+            state, fixed = step(state, b) if got is None else got
             if fixed:
                 out += fixed
-        out += state.places[-1][1]  # the place at the end, where all before it is encoded
+        out += state.name[-1][1]  # the place at the end, where all before it is encoded
         return out
 
 
@@ -404,6 +361,13 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     def run(batches):
         enc, vocabulary = kept_in_worker(("bpe", path, pattern), lambda: build(path, pattern))
+        gc.disable()  # the tables hold no circles that outlive a generation, and searching them for some took a third of the time
+        try:
+            yield from encoded(batches, enc, vocabulary)
+        finally:
+            gc.enable()
+
+    def encoded(batches, enc, vocabulary):
         for batch in batches:
             texts = filled(batch, "text")
             for lo, hi in slices(texts, 2 << 20):
