@@ -2,8 +2,10 @@
 
 A flat file is nothing but ids, each document followed by the end-of-document id.  Files are cut in blocks of ids without
 regard to documents; a block is searched for the end id in one vectorised comparison.  A prefix scan over a file's blocks
-(a few numbers a block) gives each block the place of the last end before it and the number of documents before it, which
-stitches documents that span blocks, however many.
+gives each block the place of the last end before it and the number of documents before it, which stitches documents that
+span blocks, however many.  The scan goes by levels: groups of FAN neighbouring blocks are scanned apart from each other,
+each gives one row of sums to the level above, and what that finds before a group is added to its blocks.  So no task holds
+more than FAN blocks of one file in order, however large the file is.
 
 Cases: a document may be empty (two ends in a row), span many blocks, or end exactly at a block's end; ids after the last
 end are an unfinished document, reported with finished = false; an empty file has no documents; a trailing part of an id
@@ -25,6 +27,8 @@ from .tokenstore import ChunkEncoder, tokenizer_path
 
 BLOCK_IDS = 1 << 19
 MAX_FILE = 256 << 20
+#: Neighbouring rows of a level that are scanned together.
+FAN = 64
 END = 49407
 
 
@@ -104,7 +108,26 @@ def read_blocks(spark: SparkSession, path: str, width: int, block_ids: int = BLO
     return dealt.mapInArrow(lean(read), "file string, block long, ids binary")
 
 
-def count_tokens(blocks: DataFrame, end_id: int = END, dtype: str = "<u2") -> DataFrame:
+def before(rows: DataFrame, top: int, fan: int = FAN, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A prefix scan by levels.  rows: file, at (from 0, no gaps, up to `top`), n (ids), docs, last (place of the last end in the
+    row, or null) -> file, at, keep, base, docs and open (ids, documents and the last end's place before the row; -1 for none),
+    closing (whether it is the file's last row)."""
+    group = Window.partitionBy("file", "group").orderBy("at")
+    earlier = group.rowsBetween(Window.unboundedPreceding, -1)
+    summed = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    near = rows.withColumn("group", F.floor(F.col("at") / fan)).withColumns({"base": summed("n"), "seen": summed("docs"), "closing": F.lead("at").over(group).isNull()})
+    near = near.withColumn("end", F.col("base") + F.col("last")).withColumn("open", F.max("end").over(earlier))
+    if top < fan:
+        return near.select("file", "at", *keep, "base", F.col("seen").alias("docs"), F.coalesce("open", F.lit(-1)).alias("open"), "closing")
+    # ends are counted from their group's begin, which the rows before them in it give
+    sums = near.select("file", "group", "n", "docs", "end").groupBy("file", "group").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.max("end").alias("last"))
+    far = before(sums.withColumnRenamed("group", "at"), top // fan, fan).select("file", F.col("at").alias("group"), F.col("base").alias("far_base"), F.col("docs").alias("far_docs"), F.col("open").alias("far_open"), F.col("closing").alias("far_closing"))
+    # the rows lie by file and group already, so the merge moves the groups' sums only
+    both = near.join(far.hint("merge"), ["file", "group"])
+    return both.select("file", "at", *keep, (F.col("far_base") + F.col("base")).alias("base"), (F.col("far_docs") + F.col("seen")).alias("docs"), F.coalesce(F.col("far_base") + F.col("open"), F.col("far_open")).alias("open"), (F.col("closing") & F.col("far_closing")).alias("closing"))
+
+
+def count_tokens(blocks: DataFrame, end_id: int = END, dtype: str = "<u2", fan: int = FAN) -> DataFrame:
     """blocks: file, block (numbered from 0), ids -> file, ordinal, start (in ids of the file), n_tokens, finished."""
 
     def search(batches):
@@ -118,11 +141,10 @@ def count_tokens(blocks: DataFrame, end_id: int = END, dtype: str = "<u2") -> Da
                 last.append(int(at[-1]) if len(at) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(ends, pa.binary()), pa.array(last, pa.int64())], names=["file", "block", "n", "ends", "last"])
 
-    found = blocks.select("file", F.col("block").cast("long").alias("block"), "ids").mapInArrow(lean(search), "file string, block long, n long, ends binary, last long")
-    order = Window.partitionBy("file").orderBy("block")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    placed = found.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("end", F.col("base") + F.col("last"))
-    placed = placed.select("file", "ends", "n", "base", F.coalesce(F.max("end").over(before), F.lit(-1)).alias("open"), F.coalesce(F.sum(F.length("ends") / 4).over(before), F.lit(0)).cast("long").alias("docs"), F.lead("block").over(order).isNull().alias("closing"))
+    searched = blocks.select("file", F.col("block").cast("long").alias("block"), "ids").mapInArrow(lean(search), "file string, block long, n long, ends binary, last long")
+    found = stored(searched.withColumnRenamed("block", "at").withColumn("docs", (F.length("ends") / 4).cast("long")), "flat-ends")
+    top = found.agg(F.max("at")).first()[0] or 0
+    placed = before(found, top, fan, ("ends", "n")).select("file", "ends", "n", "base", "open", "docs", "closing")
 
     def stitch(batches):
         for batch in batches:

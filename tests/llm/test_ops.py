@@ -708,6 +708,26 @@ def test_separator_scan(spark):
         assert [tuple(r)[1:] for r in tokencounts.count_tokens(blocks, end_id=0).orderBy("ordinal").collect()] == want
 
 
+def test_one_large_file_is_scanned_by_many_tasks(spark):
+    """2,000 blocks of one file in groups of 5: five levels; no task of the lowest holds more than 5 neighbours in order."""
+    rng = np.random.default_rng(4)
+    ids = rng.integers(1, 9, 20_000).astype("<u2")
+    ids[rng.choice(20_000, 300, replace=False)] = 0
+    ids[3000:9000] = 1  # a document over many groups
+    at = np.flatnonzero(ids == 0)
+    prev = np.concatenate([[-1], at])
+    want = [("f", i, int(a) + 1, int(n), True) for i, (a, n) in enumerate(zip(prev[:-1], np.diff(prev) - 1))]
+    if at[-1] < 19_999:
+        want.append(("f", len(at), int(at[-1]) + 1, int(19_999 - at[-1]), False))
+    rows = [("f", i, ids[i * 10 : i * 10 + 10].tobytes()) for i in range(2000)] + [("g", 0, np.zeros(3, "<u2").tobytes())]
+    blocks = spark.createDataFrame(rows, "file string, block int, ids binary")
+    got = tokencounts.count_tokens(blocks, end_id=0, fan=5)
+    assert [tuple(r) for r in got.where("file = 'f'").orderBy("ordinal").collect()] == want
+    assert [tuple(r)[1:] for r in got.where("file = 'g'").orderBy("ordinal").collect()] == [(i, i, 0, True) for i in range(3)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(file" in plan and not [x for x in plan.splitlines() if "hashpartitioning(file" in x and "group" not in x]
+
+
 def test_flat_files(spark, docs):
     from tokenizers import Tokenizer
 
