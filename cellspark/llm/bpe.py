@@ -89,13 +89,8 @@ class Transducer:
         for state in self.young.values():
             state.twin = None
         self.old, self.young, self.made = self.young, {}, 0
-        self.start = self._state((-1, (0, ())))
-
-    def _state(self, name: tuple) -> State:
-        got = self.young.get(name)
-        if got is None:
-            got = self.young[name] = State(name, self.old.get(name))
-        return got
+        name = (-1, (0, ()))
+        self.start = self.young[name] = State(name, self.old.get(name))
 
     def merge(self, piece: bytes, until: int = 1) -> list[int]:
         """The definition: merge the adjacent pair of the lowest rank, leftmost first, until none or `until` parts are left."""
@@ -163,37 +158,42 @@ class Transducer:
         if state.twin is not None:
             got = state.twin.next.get(byte)
             if got is not None:
-                got = state.next[byte] = (self._state(got[0].name), got[1])
+                twin, out = got
+                to = self.young.get(twin.name)
+                if to is None:
+                    to = self.young[twin.name] = State(twin.name, twin)
+                got = state.next[byte] = (to, out)
                 return got
-        edges, pairs = self.edges, self.pairs
-        places = iter(state.name)
-        anchor = next(places)
-        alive, chain = [], None
-        for node, pending in places:
+        edges, pairs, name = self.edges, self.pairs, state.name
+        anchor = name[0]
+        alive, chain = [anchor], None
+        for node, pending in name[1:]:
             to = edges[node].get(byte)
-            if to is None:
-                continue
-            node, t = to
-            if node:
-                alive.append((node, pending))
-            if t >= 0 and chain is None:
-                last = pending[-1] if pending else anchor
-                ok = pairs.get(last << 32 | t)
-                if self._allowed(last, t) if ok is None else ok:
-                    chain = (*pending, t)
+            if to is not None:
+                node, t = to
+                if node:
+                    alive.append((node, pending))
+                if t >= 0 and chain is None:
+                    last = pending[-1] if pending else anchor
+                    ok = pairs.get(last << 32 | t)
+                    if self._allowed(last, t) if ok is None else ok:
+                        chain = (*pending, t)
         if chain is None:
             raise ValueError("the vocabulary lacks a byte")
         alive.append((0, chain))
-        out = alive[0][1]  # the tokens that all live places share are fixed
-        for _, pending in alive:
-            while out and pending[: len(out)] != out:
-                out = out[:-1]
-            if not out:
-                break
+        out = alive[1][1]  # the tokens that all live places share are fixed
         if out:
-            n, anchor = len(out), out[-1]
-            alive = [(node, pending[n:]) for node, pending in alive]
-        got = state.next[byte] = (self._state((anchor, *alive)), out)
+            for _, pending in alive[2:]:
+                while pending[: len(out)] != out:
+                    out = out[:-1]
+            if out:
+                n = len(out)
+                alive = [out[-1], *[(node, pending[n:]) for node, pending in alive[1:]]]
+        name = tuple(alive)
+        to = self.young.get(name)
+        if to is None:
+            to = self.young[name] = State(name, self.old.get(name))
+        got = state.next[byte] = (to, out)
         return got
 
     def encode(self, piece: bytes) -> list[int]:
