@@ -1,4 +1,4 @@
-"""Exons of an aligned pair: four counting policies over one containment join.
+"""Exons of an aligned pair: four counting policies over one lookup of spans in the step function of exons.
 
 Without gaps one exon interval holds a set of bases just where it holds their span, so the exons of a read (or of an
 N-free block of it) are those that contain its span.  The policies are array expressions on those sets:
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cigar import flipped
 from .intervals import containment_join
+from .steps import MOST, steps
 
 SET = "array<struct<gene_id:string,exon_id:string>>"
 WEIGHTS = "array<struct<exon_id:string,status:string,weight:double>>"
@@ -40,19 +41,34 @@ def _spans(mate: int, strand: Column, by_part: bool) -> Column:
     return F.filter(F.transform(F.sequence(F.lit(0), _last(blocks, by_part)), span), lambda s: s["start"].isNotNull())
 
 
-def sets(pairs: DataFrame, ids: list[str], exons: DataFrame, by_part: bool, width: int = 1 << 14, dealt: bool = False) -> DataFrame:
+def sets(pairs: DataFrame, ids: list[str], exons: DataFrame, by_part: bool, width: int = 1 << 14, dealt: bool = False, most: int = MOST) -> DataFrame:
     """ids, start1, end1, start2, end2 and x1, x2: arrays over parts of sets of exons; antisense sets only where both mates
     have no sense exon.
 
-    Pairs are dealt by id once, before their spans are taken apart (dealt: they are already); the spans meet the broadcast
-    exons and come back together in the same task.
+    Spans are looked up in the step function of exons where the pairs are, with no exchange.  More than `most` exons meet
+    them in a join by bins: pairs are then dealt by id once, before their spans are taken apart (dealt: they are already).
     """
     places = ["start1", "end1", "start2", "end2"]
     f = exons.select("chrom", F.col("strand").alias("f_strand"), "start", "end", "gene_id", "exon_id")
-    rows = (pairs if dealt else pairs.repartition(*ids)).select(*ids, "chrom", *places, _last(F.col("blocks1"), by_part).alias("__last1"), _last(F.col("blocks2"), by_part).alias("__last2"), F.explode_outer(F.concat(_spans(1, flipped(F.col("strand1")), by_part), _spans(2, F.col("strand2"), by_part))).alias("__s"))
-    both = containment_join(rows.select(*ids, "chrom", *places, "__last1", "__last2", "__s.*"), f, ["chrom"], width, how="left")
-    hit = F.when(F.col("f_start").isNotNull(), F.struct((F.col("strand") == F.col("f_strand")).alias("sense"), "mate", "part", F.struct("gene_id", "exon_id").alias("e")))
-    out = both.groupBy(*ids).agg(*[F.first(c).alias(c) for c in (*places, "__last1", "__last2")], F.collect_set(hit).alias("__h"))
+    lasts = [_last(F.col("blocks1"), by_part).alias("__last1"), _last(F.col("blocks2"), by_part).alias("__last2")]
+    spans = F.concat(_spans(1, flipped(F.col("strand1")), by_part), _spans(2, F.col("strand2"), by_part))
+    found = steps(f, "chrom", ["f_strand", "gene_id", "exon_id"], width=width, most=most)
+    if found:
+        at = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), (s["part"] * 2 + s["mate"] - 1).cast("int").alias("tag")))
+        met = pairs.select(*ids, *places, "strand2", flipped(F.col("strand1")).alias("__strand1"), *lasts, "chrom", at.alias("__b"))
+        met = found.meet(met, F.col("chrom"), F.col("__b"), "__h", whole=True)
+
+        def told(x: Column) -> Column:
+            mate, u = x["tag"] % 2 + 1, x["unit"]
+            strand = F.when(mate == 1, F.col("__strand1")).otherwise(F.col("strand2"))
+            return F.struct((strand == u["f_strand"]).alias("sense"), mate.alias("mate"), F.floor(x["tag"] / 2).cast("int").alias("part"), F.struct(u["gene_id"].alias("gene_id"), u["exon_id"].alias("exon_id")).alias("e"))
+
+        out = met.select(*ids, *places, "__last1", "__last2", F.transform("__h", told).alias("__h"))
+    else:
+        rows = (pairs if dealt else pairs.repartition(*ids)).select(*ids, "chrom", *places, *lasts, F.explode_outer(spans).alias("__s"))
+        both = containment_join(rows.select(*ids, "chrom", *places, "__last1", "__last2", "__s.*"), f, ["chrom"], width, how="left")
+        hit = F.when(F.col("f_start").isNotNull(), F.struct((F.col("strand") == F.col("f_strand")).alias("sense"), "mate", "part", F.struct("gene_id", "exon_id").alias("e")))
+        out = both.groupBy(*ids).agg(*[F.first(c).alias(c) for c in (*places, "__last1", "__last2")], F.collect_set(hit).alias("__h"))
     used = F.filter("__h", lambda h: h["sense"] == F.exists("__h", lambda g: g["sense"]))
 
     def of(mate: int) -> Column:
@@ -111,9 +127,9 @@ def pair_once(x1: Column, x2: Column) -> Column:
 
 def _inner(b: Column) -> Column:
     """Genes of all blocks that have any."""
-    full = F.transform(F.filter(b, lambda x: F.size(x) > 0), genes)
     none = F.array().cast("array<string>")
-    return F.when(F.size(full) > 0, F.aggregate(F.slice(full, 2, F.greatest(F.size(full), F.lit(1))), F.element_at(full, 1), F.array_intersect)).otherwise(none)
+    shared = lambda full: F.when(F.size(full) > 0, F.aggregate(F.slice(full, 2, F.greatest(F.size(full), F.lit(1))), F.element_at(full, 1), F.array_intersect)).otherwise(none)
+    return let(F.transform(F.filter(b, lambda x: F.size(x) > 0), genes), shared)
 
 
 def _outer(b: Column) -> Column:
@@ -127,8 +143,11 @@ def _count(blocks: Column, gene: Column, total: float) -> Column:
 
 def _ladder(b1: Column, b2: Column, use: Callable[[Column], Column]) -> Column:
     """use(gene) for the first of four gene intersections that holds exactly one."""
-    tries = [F.array_intersect(p(b1), q(b2)) for p in (_inner, _outer) for q in (_inner, _outer)]
-    gene = F.coalesce(*[F.when(F.size(t) == 1, F.element_at(t, 1)) for t in tries])
+    def first(p: Column) -> Column:
+        tries = [let(F.array_intersect(p[a], p[b]), lambda t: F.when(F.size(t) == 1, F.element_at(t, 1))) for a in ("in1", "out1") for b in ("in2", "out2")]
+        return F.coalesce(*tries)
+
+    gene = let(F.struct(_inner(b1).alias("in1"), _outer(b1).alias("out1"), _inner(b2).alias("in2"), _outer(b2).alias("out2")), first)
     return let(gene, lambda g: F.when(g.isNull(), note("ambiguous", 1)).otherwise(use(g)))
 
 
@@ -147,28 +166,31 @@ def block_once(b1: Column, b2: Column, apart: Column) -> Column:
 
 
 def block_half(b1: Column, b2: Column) -> Column:
-    i1, i2 = _inner(b1), _inner(b2)
     half = lambda b, g: _count(b, g, 0.5)
-    one_one = F.when(F.element_at(i1, 1) == F.element_at(i2, 1), F.concat(half(b1, F.element_at(i1, 1)), half(b2, F.element_at(i1, 1)))).otherwise(note("ambiguous", 1))
 
     def single(own: Column, other: Column, i_own: Column, i_other: Column) -> Column:
         g = F.element_at(i_own, 1)
         return F.concat(half(own, g), F.when(F.array_contains(i_other, g), half(other, g)).otherwise(note("ambiguous", 1)))
 
-    n1, n2 = F.size(i1), F.size(i2)
-    rest = _ladder(b1, b2, lambda g: F.concat(half(b1, g), half(b2, g)))
-    return F.when(_empty(b1) & _empty(b2), note("no_feature", 1)).when((n1 == 1) & (n2 == 1), one_one).when((n1 == 1) & (n2 > 1), single(b1, b2, i1, i2)).when((n1 > 1) & (n2 == 1), single(b2, b1, i2, i1)).otherwise(rest)
+    def by(p: Column) -> Column:
+        i1, i2 = p["i1"], p["i2"]
+        n1, n2 = F.size(i1), F.size(i2)
+        one_one = F.when(F.element_at(i1, 1) == F.element_at(i2, 1), F.concat(half(b1, F.element_at(i1, 1)), half(b2, F.element_at(i1, 1)))).otherwise(note("ambiguous", 1))
+        rest = _ladder(b1, b2, lambda g: F.concat(half(b1, g), half(b2, g)))
+        return F.when((n1 == 1) & (n2 == 1), one_one).when((n1 == 1) & (n2 > 1), single(b1, b2, i1, i2)).when((n1 > 1) & (n2 == 1), single(b2, b1, i2, i1)).otherwise(rest)
+
+    return F.when(_empty(b1) & _empty(b2), note("no_feature", 1)).otherwise(let(F.struct(_inner(b1).alias("i1"), _inner(b2).alias("i2")), by))
 
 
 METHODS = ("split_half", "pair_once", "block_once", "block_half")
 
 
-def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, method: str, width: int = 1 << 14, dealt: bool = False) -> DataFrame:
+def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, method: str, width: int = 1 << 14, dealt: bool = False, most: int = MOST) -> DataFrame:
     """ids, exon_id, status, weight: what each pair adds to exons (exon_id) or to no_feature and ambiguous (status)."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     by_part = method.startswith("block")
-    x = sets(pairs, ids, exons, by_part, width, dealt)
+    x = sets(pairs, ids, exons, by_part, width, dealt, most)
     if by_part:
         swap = F.col("start1") >= F.col("start2")  # of equal starts mate 2 goes first
         first, second = F.when(swap, F.col("x2")).otherwise(F.col("x1")), F.when(swap, F.col("x1")).otherwise(F.col("x2"))

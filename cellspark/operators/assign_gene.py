@@ -1,4 +1,4 @@
-"""Gene of an aligned pair: one interval join over stacked features, then the first stage that finds anything.
+"""Gene of an aligned pair: one lookup in the step function of stacked features, then the first stage that finds anything.
 
 Stages: 1 exons sense, 2 gene bodies sense, 3 gene bodies sense from blocks moved into the 3' flank, 4 exons antisense,
 5 gene bodies antisense.  Within the deciding stage a gene that covers every aligned base goes before genes that cover
@@ -6,23 +6,27 @@ some; a single one is taken, several are settled by the nearest transcript end.
 
 pairs: the id columns, chrom, strand1, strand2 (as sequenced), start1, end1, start2, blocks1, blocks2 (arrays of start and
 end), is_randomn.  Mate 1 is antisense to its gene and is flipped first.
+
+An annotation that may be sent to every task (see steps) is looked up where the pairs are, with no exchange; a larger one meets
+the blocks in a join by bins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cigar import directional_end, flipped
 from .annotation import gene_parts
 from .intervals import overlap_join
+from .steps import MOST, Steps, steps
 
 FLANK = 1000
 NEAR = 100
 
 
-def stacked_blocks(pairs: DataFrame, ids: list, flank: int = FLANK) -> DataFrame:
-    """ids, kind, chrom, strand, start, end: every M block, plain for exons and bodies, and moved for the flank.
+def _every_block(flank: int = FLANK) -> Column:
+    """array<struct<strand, start, end, kind>>: every M block, plain for exons and bodies, and moved for the flank.
 
     The flank's shift is taken from mate 2 and reduced so that its start stays at 0; mate 1 then starts from the reduced
     shift and may reduce it again.
@@ -35,8 +39,23 @@ def stacked_blocks(pairs: DataFrame, ids: list, flank: int = FLANK) -> DataFrame
     def moved(blocks, strand, kind: str, by):
         return F.transform(blocks, lambda x: F.struct(strand.alias("strand"), (x["start"] + by).alias("start"), (x["end"] + by).alias("end"), F.lit(kind).alias("kind")))
 
-    every = F.concat(*[moved(F.col(b), s, k, by) for b, s, shift in (("blocks1", s1, d1), ("blocks2", s2, d2)) for k, by in (("plain", F.lit(0).cast("long")), ("flank", shift))])
-    return pairs.select(*ids, F.explode_outer(every).alias("__b")).select(*ids, "__b.*")
+    return F.concat(*[moved(F.col(b), s, k, by) for b, s, shift in (("blocks1", s1, d1), ("blocks2", s2, d2)) for k, by in (("plain", F.lit(0).cast("long")), ("flank", shift))])
+
+
+def stacked_blocks(pairs: DataFrame, ids: list, flank: int = FLANK) -> DataFrame:
+    """ids, kind, strand, start, end: a row a block."""
+    return pairs.select(*ids, F.explode_outer(_every_block(flank)).alias("__b")).select(*ids, "__b.*")
+
+
+def _measures() -> dict[str, Column]:
+    """Aligned bases, and mate 1's directional end in sense and antisense, null for random primers."""
+    aligned = F.aggregate(F.concat("blocks1", "blocks2"), F.lit(0).cast("long"), lambda a, b: a + b["end"] - b["start"])
+    at = lambda strand: F.when(~F.col("is_randomn"), directional_end(F.col("start1"), F.col("end1"), strand))
+    return {"__aligned": aligned, "__sense": at(flipped(F.col("strand1"))), "__anti": at(F.col("strand1"))}
+
+
+def _stage(kind: Column, sense: Column, level: Column) -> Column:
+    return F.when(kind == "plain", F.when(sense & (level == "exon"), 1).when(sense, 2).when(level == "exon", 4).otherwise(5)).when(sense & (level == "gene"), 3)
 
 
 def stacked_features(exons: DataFrame, genes: DataFrame, ends: DataFrame) -> DataFrame:
@@ -56,31 +75,59 @@ def hits(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, e
     null for random primers.  Pairs are dealt by id once, before their blocks are taken apart (dealt: they are already);
     the annotation is broadcast, so all that follows by pair needs no further exchange.
     """
-    aligned = F.aggregate(F.concat("blocks1", "blocks2"), F.lit(0).cast("long"), lambda a, b: a + b["end"] - b["start"])
-    at = lambda strand: F.when(~F.col("is_randomn"), directional_end(F.col("start1"), F.col("end1"), strand))
     by_pair = [*ids, *keep, "chrom"]
-    mates = (pairs if dealt else pairs.repartition(*ids)).withColumns({"__aligned": aligned, "__sense": at(flipped(F.col("strand1"))), "__anti": at(F.col("strand1"))})
+    mates = (pairs if dealt else pairs.repartition(*ids)).withColumns(_measures())
     blocks = stacked_blocks(mates, [*by_pair, "__aligned", "__sense", "__anti"])
     both = overlap_join(blocks, stacked_features(exons, genes, ends), ["chrom", "kind"], width, how="left")
-    sense, level = F.col("strand") == F.col("f_strand"), F.col("level")
-    stage = F.when(F.col("kind") == "plain", F.when(sense & (level == "exon"), 1).when(sense, 2).when(level == "exon", 4).otherwise(5)).when(sense & (level == "gene"), 3)
+    stage = _stage(F.col("kind"), F.col("strand") == F.col("f_strand"), F.col("level"))
     own = F.when(F.col("stage") <= 3, F.col("__sense")).otherwise(F.col("__anti"))
     found = both.withColumn("stage", F.when(F.col("overlap").isNotNull(), stage)).withColumns({"gene_id": F.when(F.col("stage").isNotNull(), F.col("gene_id")), "__far": F.when(F.col("stage").isNotNull(), F.array_min(F.transform("ends", lambda e: F.abs(e - own))))})
     per = found.groupBy(*by_pair, "stage", "gene_id").agg(F.sum("overlap").alias("__covered"), F.min("__aligned").alias("__aligned"), F.min("__far").alias("distance"))
     return per.select(*by_pair, "stage", "gene_id", (F.col("__covered") == F.col("__aligned")).alias("whole"), "distance")
 
 
-def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14, chroms: DataFrame | None = None, keep: tuple[str, ...] = (), dealt: bool = False) -> DataFrame:
+def _by_bins(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int, kept: list[str], dealt: bool) -> DataFrame:
+    """ids, kept, stage, h: the stage that decides and its genes (stage, gene_id, whole, distance)."""
+    per = hits(pairs, ids, exons, genes, ends, width, tuple(c for c in kept if c != "chrom"), dealt)
+    found = F.when(F.col("stage").isNotNull(), F.struct("stage", "gene_id", "whole", "distance"))
+    per = per.groupBy(*ids).agg(*[F.first(c).alias(c) for c in kept], F.min("stage").alias("stage"), F.collect_list(found).alias("h"))
+    return per.withColumn("h", F.filter("h", lambda x: x["stage"] == F.col("stage")))
+
+
+def _by_steps(pairs: DataFrame, ids: list[str], found: Steps, kept: list[str]) -> DataFrame:
+    """As _by_bins, from the step function of stacked features."""
+    tag = lambda b: F.when(b["kind"] == "flank", 2).otherwise(0) + F.when(b["strand"] == "+", 1).otherwise(0)
+    blocks = F.transform(_every_block(), lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), tag(b).cast("int").alias("tag")))
+    rows = pairs.select(*ids, *kept, *[c.alias(n) for n, c in _measures().items()], F.col("chrom").alias("__c"), blocks.alias("__b"))
+    met = found.meet(rows, F.col("__c"), F.col("__b"), "h")
+
+    def staged(x: Column) -> Column:
+        kind = F.when(x["tag"] >= 2, "flank").otherwise("plain")
+        strand = F.when(x["tag"] % 2 == 1, "+").otherwise("-")
+        u = x["unit"]
+        return F.struct(_stage(kind, strand == u["f_strand"], u["level"]).alias("stage"), u["gene_id"].alias("gene_id"), x["overlap"].alias("overlap"), u["ends"].alias("ends"))
+
+    met = met.withColumn("h", F.transform("h", staged)).withColumn("stage", F.array_min(F.transform("h", lambda x: x["stage"])))
+    met = met.withColumn("h", F.filter("h", lambda x: x["stage"] == F.col("stage"))).withColumn("__g", F.array_distinct(F.transform("h", lambda x: x["gene_id"])))
+    # A gene comes twice only where it lies on both strands.
+    joined = F.transform("__g", lambda g: F.aggregate(F.filter("h", lambda x: x["gene_id"].eqNullSafe(g)), F.element_at("h", 1).withField("gene_id", g).withField("overlap", F.lit(0).cast("long")), lambda a, x: x.withField("overlap", a["overlap"] + x["overlap"])))
+    own = F.when(F.col("stage") <= 3, F.col("__sense")).otherwise(F.col("__anti"))
+    settled = lambda x: F.struct(x["stage"].alias("stage"), x["gene_id"].alias("gene_id"), (x["overlap"] == F.col("__aligned")).alias("whole"), F.array_min(F.transform(x["ends"], lambda e: F.abs(e - own))).alias("distance"))
+    met = met.withColumn("h", F.when(F.size("__g") == F.size("h"), F.col("h")).otherwise(joined))
+    return met.select(*ids, *kept, "stage", F.transform("h", settled).alias("h"))
+
+
+def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14, chroms: DataFrame | None = None, keep: tuple[str, ...] = (), dealt: bool = False, most: int = MOST) -> DataFrame:
     """ids, keep and stage, gene_id, region (exon or intron), status (counted, ambiguous, no_feature, unmapped), n_candidates,
-    whole (a candidate holds all aligned bases): one row a pair.
+    whole (a candidate holds all aligned bases): one row a pair; ids are one pair's each.
 
-    Several candidates are settled by the smallest distance, unless another lies within NEAR of it.
+    Several candidates are settled by the smallest distance, unless another lies within NEAR of it.  An annotation of more
+    than `most` features is joined by bins instead of looked up (dealt: pairs lie by id already).
     """
-    kept = [c for c in ("chrom", *keep) if c not in ids]
-    per = hits(pairs, ids, exons, genes, ends, width, tuple(c for c in keep if c not in ids and c != "chrom"), dealt)
-    found = F.when(F.col("stage").isNotNull(), F.struct("stage", "gene_id", "whole", "distance"))
-    per = per.groupBy(*ids).agg(*[F.first(c).alias(c) for c in kept], F.min("stage").alias("stage"), F.collect_list(found).alias("h"))
-    per = per.withColumn("h", F.filter("h", lambda x: x["stage"] == F.col("stage"))).withColumn("whole", F.exists("h", lambda x: x["whole"]))
+    kept = [c for c in dict.fromkeys(("chrom", *keep)) if c not in ids]
+    found = steps(stacked_features(exons, genes, ends).where("kind = 'plain'"), "chrom", ["gene_id", "f_strand", "level"], ("ends",), width, most)
+    per = _by_steps(pairs, ids, found, kept) if found else _by_bins(pairs, ids, exons, genes, ends, width, kept, dealt)
+    per = per.withColumn("whole", F.exists("h", lambda x: x["whole"]))
     per = per.withColumn("h", F.filter("h", lambda x: x["whole"] | ~F.col("whole"))).withColumn("low", F.array_min(F.transform("h", lambda x: x["distance"])))
     near = F.filter("h", lambda x: x["distance"] < F.col("low") + NEAR)
     gene = F.when(F.size("h") == 1, F.get("h", 0)["gene_id"]).when(F.size(near) == 1, F.get(near, 0)["gene_id"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar, names, sequences
-from ..operators import alignments, annotation, assign_exon, assign_gene, barcodes, cells, counts, intervals, reads, splicing, stats
+from ..operators import alignments, annotation, assign_exon, assign_gene, barcodes, cells, counts, intervals, reads, splicing, stats, steps
 from . import views
 from .views import EXON, GENE, PAIR, codes, exon_view, gene_view, pair_view, read, spark_sql
 
@@ -308,6 +308,16 @@ def exon_containment(spark: SparkSession, sf: str) -> DataFrame:
     return intervals.containment_join(_mate2(spark, sf), exon_view(spark, sf).drop("line"), ["chrom", "strand"], WIDTH).select("pid", "gene_id", "exon_id")
 
 
+@query(
+    f"""{VE}, cuts AS (SELECT chrom, s AS cut FROM exon UNION SELECT chrom, e FROM exon UNION SELECT chrom, k * {WIDTH} FROM (SELECT chrom, s, e, unnest(range(s // {WIDTH} + 1, (e - 1) // {WIDTH} + 1)) AS k FROM exon) t),
+seg AS (SELECT chrom, cut, lead(cut) OVER (PARTITION BY chrom ORDER BY cut) AS stop FROM cuts)
+SELECT seg.chrom, cut AS start, stop AS "end", string_agg(DISTINCT exon_id, ',' ORDER BY exon_id) AS exons FROM seg JOIN exon ON seg.chrom = exon.chrom AND s <= cut AND stop <= e GROUP BY ALL"""
+)
+def exon_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """The step function of sets of exons."""
+    return steps.step_function(exon_view(spark, sf), "chrom", WIDTH, "exon_id").select("chrom", "start", "end", F.concat_ws(",", "ids").alias("exons"))
+
+
 # --- genes of pairs -------------------------------------------------------------------------------------------------
 
 ASSIGN = f"""{V}, {MERGED},
