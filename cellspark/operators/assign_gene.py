@@ -8,18 +8,25 @@ pairs: the id columns, chrom, strand1, strand2 (as sequenced), start1, end1, sta
 end), is_randomn.  Mate 1 is antisense to its gene and is flipped first.
 
 An annotation that may be sent to every task (see steps) is looked up where the pairs are, with no exchange; a larger one meets
-the blocks in a join by bins.
+the pairs stretch by stretch, with one exchange of them, and pairs that reach over a stretch's margin join it by bins.
+Stage and gene are settled in the tasks that look blocks up, a batch at once, so no filter behind takes them apart.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructType
 
 from ..functions.cigar import directional_end, flipped
 from .annotation import gene_parts
 from .intervals import overlap_join
-from .steps import MOST, Steps, steps
+from .steps import MOST, Lookup, Tiles, extent, steps
 
 FLANK = 1000
 NEAR = 100
@@ -86,35 +93,97 @@ def hits(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, e
     return per.select(*by_pair, "stage", "gene_id", (F.col("__covered") == F.col("__aligned")).alias("whole"), "distance")
 
 
+def settle(n: int, row: np.ndarray, stage: np.ndarray, gene: np.ndarray, covered: np.ndarray, aligned: np.ndarray, far: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, ...]:
+    """stage (0: none), whole, hit (which tells the gene, or -1) and n_candidates of n pairs.
+
+    row (ascending), stage (0: no find), gene (a number) and covered bases of all hits; aligned bases of all pairs; far: of
+    the asked hits, the gene's distance to the pair's end (infinite where there is none).
+    """
+    low, whole, chosen = np.full(n, 9), np.zeros(n, bool), np.full(n, -1)
+    np.minimum.at(low, row[stage > 0], stage[stage > 0])
+    hit = np.flatnonzero(stage == low[row])
+    hit = hit[np.lexsort((gene[hit], row[hit]))]
+    if len(hit):  # a gene comes twice only where it lies on both strands
+        r, g = row[hit], gene[hit]
+        new = np.flatnonzero(np.r_[True, (np.diff(r) != 0) | (np.diff(g) != 0)])
+        all_bases = np.add.reduceat(covered[hit], new) == aligned[r[new]]
+        hit = hit[new]
+        whole[row[hit[all_bases]]] = True
+        hit = hit[all_bases | ~whole[row[hit]]]
+    count = np.bincount(row[hit], minlength=n)
+    alone = count[row[hit]] == 1
+    chosen[row[hit[alone]]] = hit[alone]
+    many = hit[~alone]
+    if len(many):
+        r, d = row[many], far(many)
+        nearest = np.full(n, np.inf)
+        np.minimum.at(nearest, r, d)
+        near = d < nearest[r] + NEAR
+        sole = near & (np.bincount(r[near], minlength=n)[r] == 1)
+        chosen[r[sole]] = many[sole]
+    return np.where(low < 9, low, 0), whole, chosen, count
+
+
+SETTLED = StructType().add("stage", IntegerType()).add("whole", BooleanType()).add("gene_id", StringType()).add("n_candidates", IntegerType())
+
+
+def _columns(stage: np.ndarray, whole: np.ndarray, gene: pa.Array, count: np.ndarray) -> list[pa.Array]:
+    return [pa.array(stage, pa.int32(), mask=stage == 0), pa.array(whole), gene, pa.array(count, pa.int32())]
+
+
 def _by_bins(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int, kept: list[str], dealt: bool) -> DataFrame:
-    """ids, kept, stage, h: the stage that decides and its genes (stage, gene_id, whole, distance)."""
+    """ids, kept and SETTLED from a join by bins."""
     per = hits(pairs, ids, exons, genes, ends, width, tuple(c for c in kept if c != "chrom"), dealt)
     found = F.when(F.col("stage").isNotNull(), F.struct("stage", "gene_id", "whole", "distance"))
-    per = per.groupBy(*ids).agg(*[F.first(c).alias(c) for c in kept], F.min("stage").alias("stage"), F.collect_list(found).alias("h"))
-    return per.withColumn("h", F.filter("h", lambda x: x["stage"] == F.col("stage")))
-
-
-def _by_steps(pairs: DataFrame, ids: list[str], found: Steps, kept: list[str]) -> DataFrame:
-    """As _by_bins, from the step function of stacked features."""
-    tag = lambda b: F.when(b["kind"] == "flank", 2).otherwise(0) + F.when(b["strand"] == "+", 1).otherwise(0)
-    blocks = F.transform(_every_block(), lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), tag(b).cast("int").alias("tag")))
-    rows = pairs.select(*ids, *kept, *[c.alias(n) for n, c in _measures().items()], F.col("chrom").alias("__c"), blocks.alias("__b"))
-    met = found.meet(rows, F.col("__c"), F.col("__b"), "h")
-
-    def staged(x: Column) -> Column:
-        kind = F.when(x["tag"] >= 2, "flank").otherwise("plain")
-        strand = F.when(x["tag"] % 2 == 1, "+").otherwise("-")
-        u = x["unit"]
-        return F.struct(_stage(kind, strand == u["f_strand"], u["level"]).alias("stage"), u["gene_id"].alias("gene_id"), x["overlap"].alias("overlap"), u["ends"].alias("ends"))
-
-    met = met.withColumn("h", F.transform("h", staged)).withColumn("stage", F.array_min(F.transform("h", lambda x: x["stage"])))
-    met = met.withColumn("h", F.filter("h", lambda x: x["stage"] == F.col("stage"))).withColumn("__g", F.array_distinct(F.transform("h", lambda x: x["gene_id"])))
-    # A gene comes twice only where it lies on both strands.
-    joined = F.transform("__g", lambda g: F.aggregate(F.filter("h", lambda x: x["gene_id"].eqNullSafe(g)), F.element_at("h", 1).withField("gene_id", g).withField("overlap", F.lit(0).cast("long")), lambda a, x: x.withField("overlap", a["overlap"] + x["overlap"])))
-    own = F.when(F.col("stage") <= 3, F.col("__sense")).otherwise(F.col("__anti"))
-    settled = lambda x: F.struct(x["stage"].alias("stage"), x["gene_id"].alias("gene_id"), (x["overlap"] == F.col("__aligned")).alias("whole"), F.array_min(F.transform(x["ends"], lambda e: F.abs(e - own))).alias("distance"))
-    met = met.withColumn("h", F.when(F.size("__g") == F.size("h"), F.col("h")).otherwise(joined))
-    return met.select(*ids, *kept, "stage", F.transform("h", settled).alias("h"))
+    per = per.groupBy(*ids).agg(*[F.first(c).alias(c) for c in kept], F.collect_list(found).alias("__h"))
+    n, schema = len(ids) + len(kept), StructType([*per.select(*ids, *kept).schema.fields, *SETTLED.fields])
+
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(n)
+            h = lists.flatten()
+            row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+            stage, distance = (pc.struct_field(h, c) for c in ("stage", "distance"))
+            names = pc.struct_field(h, "gene_id")
+            covers = pc.struct_field(h, "whole").fill_null(False).to_numpy(zero_copy_only=False).astype(np.int64)
+            far = lambda i: distance.cast(pa.float64()).fill_null(np.inf).to_numpy()[i]  # noqa: E731, B023
+            s, whole, chosen, count = settle(len(lists), row, stage.to_numpy(), np.arange(len(h)), covers, np.ones(len(lists), np.int64), far)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *_columns(s, whole, names.take(pa.array(chosen, mask=chosen < 0)), count)], names=schema.names)
+
+    return per.select(*ids, *kept, "__h").mapInArrow(settled, schema)
+
+
+def _looked_up(pairs: DataFrame, ids: list[str], found: Lookup, kept: list[str], blocks: Column) -> DataFrame:
+    """As _by_bins, from a lookup of stacked features."""
+    rows = pairs.select(*ids, *kept, *[c.alias(n) for n, c in _measures().items()], F.col("chrom").alias("__c"), blocks.alias("__b"), extent("blocks1", "blocks2", beyond=FLANK)[0].alias("__low"))
+    n = len(ids) + len(kept)
+
+    def settled(columns: list[pa.Array], index, met: tuple[np.ndarray, ...]) -> list[pa.Array]:
+        row, tag, unit, shared = met
+        aligned, sense, anti = columns[n : n + 3]
+        held = index.payload
+        names, ends = (held[c].combine_chunks() for c in ("gene_id", "ends"))
+        ids_of = pc.fill_null(names.dictionary_encode().indices, -1).to_numpy()
+        strand = np.where(pc.equal(held["f_strand"], "+").fill_null(False).to_numpy(), 1, np.where(pc.equal(held["f_strand"], "-").fill_null(False).to_numpy(), 0, 2))
+        exon = pc.equal(held["level"], "exon").to_numpy()
+        same, of_exon = strand[unit] == tag % 2, exon[unit]
+        stage = np.where(tag < 2, np.where(same, np.where(of_exon, 1, 2), np.where(of_exon, 4, 5)), np.where(same & ~of_exon, 3, 0))
+
+        def far(hit: np.ndarray) -> np.ndarray:
+            own = np.where(stage[hit] <= 3, *(pc.fill_null(c.cast(pa.float64()), np.nan).to_numpy()[row[hit]] for c in (sense, anti)))
+            of = ends.take(pa.array(unit[hit]))
+            size = pc.fill_null(pc.list_value_length(of), 0).to_numpy()
+            at = np.repeat(np.arange(len(hit)), size)
+            away = np.abs(pc.fill_null(of.flatten().cast(pa.float64()), np.nan).to_numpy() - own[at])
+            least = np.full(len(hit), np.inf)
+            np.fmin.at(least, at, away)
+            return least
+
+        s, whole, chosen, count = settle(len(aligned), row, stage, ids_of[unit], shared, pc.fill_null(aligned, -1).to_numpy(), far)
+        gene = names.take(pa.array(np.where(chosen < 0, 0, unit[chosen] if len(unit) else 0), mask=chosen < 0))
+        return [*columns[:n], *_columns(s, whole, gene, count)]
+
+    return found.each(rows, F.col("__c"), F.col("__b"), settled, StructType([*rows.schema.fields[:n], *SETTLED.fields]), spare=("__c", "__b", "__low"))
 
 
 def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14, chroms: DataFrame | None = None, keep: tuple[str, ...] = (), dealt: bool = False, most: int = MOST) -> DataFrame:
@@ -122,16 +191,20 @@ def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame,
     whole (a candidate holds all aligned bases): one row a pair; ids are one pair's each.
 
     Several candidates are settled by the smallest distance, unless another lies within NEAR of it.  An annotation of more
-    than `most` features is joined by bins instead of looked up (dealt: pairs lie by id already).
+    than `most` features meets the pairs by stretches (dealt: pairs lie by id already).
     """
     kept = [c for c in dict.fromkeys(("chrom", *keep)) if c not in ids]
-    found = steps(stacked_features(exons, genes, ends).where("kind = 'plain'"), "chrom", ["gene_id", "f_strand", "level"], ("ends",), width, most)
-    per = _by_steps(pairs, ids, found, kept) if found else _by_bins(pairs, ids, exons, genes, ends, width, kept, dealt)
-    per = per.withColumn("whole", F.exists("h", lambda x: x["whole"]))
-    per = per.withColumn("h", F.filter("h", lambda x: x["whole"] | ~F.col("whole"))).withColumn("low", F.array_min(F.transform("h", lambda x: x["distance"])))
-    near = F.filter("h", lambda x: x["distance"] < F.col("low") + NEAR)
-    gene = F.when(F.size("h") == 1, F.get("h", 0)["gene_id"]).when(F.size(near) == 1, F.get(near, 0)["gene_id"])
-    out = per.select(*ids, *kept, "stage", "whole", gene.alias("gene_id"), F.size("h").alias("n_candidates"))
+    tag = lambda b: F.when(b["kind"] == "flank", 2).otherwise(0) + F.when(b["strand"] == "+", 1).otherwise(0)
+    blocks = F.transform(_every_block(), lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), tag(b).cast("int").alias("tag")))
+    features = stacked_features(exons, genes, ends).where("kind = 'plain'")
+    unit, carry = ["gene_id", "f_strand", "level"], ("ends",)
+    if found := steps(features, "chrom", unit, carry, width, most):
+        out = _looked_up(pairs, ids, found, kept, blocks)
+    else:
+        near = Tiles.near(*extent("blocks1", "blocks2", beyond=FLANK))
+        tiles = Tiles(features, "chrom", unit, carry, width, tuple(ids), F.col("__low"))
+        out = _looked_up(pairs.where(near), ids, tiles, kept, blocks)
+        out = out.unionByName(_by_bins(pairs.where(~near), ids, exons, genes, ends, width, kept, dealt))
     status = F.when(F.col("stage").isNull(), "no_feature").when(F.col("gene_id").isNull(), "ambiguous").otherwise("counted")
     if chroms is not None:
         known = chroms.select("chrom", F.lit(True).alias("__known")).distinct()

@@ -5,8 +5,10 @@ runs in bins, so no task holds a chromosome.  Steps keeps the segments sorted in
 an interval's first and last segment by binary search and adds up what its features share with it.  Rows stay where they
 are: a lookup needs no join and no exchange.
 
-What is broadcast is bounded: steps() returns None for more than MOST features or MEMBERS entries of the sets, and its
-callers join by bins then.  A crowded segment never becomes rows; a batch is looked up in pieces of CHUNK entries.
+What is broadcast is bounded: steps() returns None for more than MOST features or MEMBERS entries of the sets.  Tiles then
+brings rows and features of one stretch together by one exchange of the rows, a row each; rows that reach beyond their
+stretch's margin are for the caller to join by bins.  A crowded segment never becomes rows; a batch is looked up in pieces
+of CHUNK entries.
 
 Empty features are nowhere; empty intervals, null intervals, null lists and groups that no feature has find nothing.  Places
 lie within 2^39 of 0.
@@ -30,6 +32,10 @@ MEMBERS = 4_000_000
 CHUNK = 1_000_000
 #: Places of one group take 2^40 numbers, with 0 in the middle.
 SPAN, HALF = 1 << 40, 1 << 39
+#: A stretch's length, how far beyond its end its rows may reach, and the parts that its rows are dealt into.
+TILE, MARGIN, DEALS = 1 << 17, 1 << 14, 4
+#: An interval's place and the caller's mark of it.
+AT = "array<struct<start:bigint,end:bigint,tag:int>>"
 
 
 def segments(features: DataFrame, on: str, width: int = 1 << 14, names: str = "id") -> DataFrame:
@@ -57,15 +63,34 @@ def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(n.sum(), dtype=np.int64) + np.repeat(first - before, n)
 
 
+def _flat(lists: pa.Array) -> tuple[np.ndarray, ...]:
+    """row, start, end, tag of all intervals in an array of lists."""
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    flat = lists.flatten()
+    return np.repeat(np.arange(len(size)), size), *(pc.fill_null(pc.struct_field(flat, c), 0).to_numpy() for c in ("start", "end", "tag"))
+
+
+def _pieces(sizes: np.ndarray) -> Iterator[slice]:
+    """Slices of neighbours whose sizes sum up to CHUNK at most, or that are one."""
+    total, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + CHUNK, "right")))
+        yield slice(a, b)
+        a = b
+
+
+def _units(table: pa.Table, unit: list[str], payload: list[str]) -> tuple[np.ndarray, pa.Table]:
+    """The unit's number of each feature, and the payload of each unit."""
+    code = table.select(unit).to_pandas().groupby(unit, dropna=False, sort=False).ngroup().to_numpy()
+    return code, table.select(payload).take(pa.array(np.unique(code, return_index=True)[1])).combine_chunks()
+
+
 class Segments:
     """The sorted arrays of a step function, as tasks hold them."""
 
     def __init__(self, table: pa.Table, on: str, unit: list[str], payload: list[str], rows: pa.Table):
         """table: the features by number; rows: group code, start, end and id of every entry of the sets."""
-        frame = table.select(unit).to_pandas()
-        code = frame.groupby(unit, dropna=False, sort=False).ngroup().to_numpy()
-        once = np.unique(code, return_index=True)[1]
-        self.unit, self.payload = code, table.select(payload).take(pa.array(once)).combine_chunks()
+        self.unit, self.payload = _units(table, unit, payload)
         self.start, self.end = (table[c].combine_chunks().to_numpy() for c in ("start", "end"))
         self.groups = table[on].combine_chunks().unique().drop_null()
         group = pc.index_in(rows[on].combine_chunks(), value_set=self.groups).to_numpy(zero_copy_only=False)
@@ -79,11 +104,8 @@ class Segments:
 
     def look(self, group: pa.Array, lists: pa.Array, whole: bool) -> tuple[np.ndarray, ...]:
         """row, tag, unit, shared bases of all that the intervals of each row meet."""
-        size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
-        flat = lists.flatten()
-        start, end, tag = (pc.fill_null(pc.struct_field(flat, c), 0).to_numpy() for c in ("start", "end", "tag"))
+        row, start, end, tag = _flat(lists)
         codes = pc.fill_null(pc.index_in(group, value_set=self.groups), -1).to_numpy().astype(np.int64)
-        row = np.repeat(np.arange(len(size)), size)
         lo, hi = _keys(codes[row], start), _keys(codes[row], end)
         live = (codes[row] >= 0) & (end > start)
         first = np.searchsorted(self.stops, lo, "right")
@@ -91,13 +113,11 @@ class Segments:
         if whole:  # what holds the interval covers its first base
             last = np.minimum(last, np.searchsorted(self.begins, lo, "right"))
         last = np.where(live, np.maximum(first, last), first)
-        entries = np.cumsum(np.bincount(row, (self.offsets[last] - self.offsets[first]).astype(float), minlength=len(size)).astype(np.int64))
-        stops = np.cumsum(size)
-        out, a = [], 0
-        while a < len(size):
-            done = entries[a - 1] if a else 0
-            b = max(a + 1, int(np.searchsorted(entries, done + CHUNK, "right")))
-            i = np.arange(stops[a - 1] if a else 0, stops[b - 1])
+        entries = np.bincount(row, (self.offsets[last] - self.offsets[first]).astype(float), minlength=len(lists)).astype(np.int64)
+        stops = np.append(0, np.cumsum(np.bincount(row, minlength=len(lists))))
+        out = []
+        for piece in _pieces(entries):
+            i = np.arange(stops[piece.start], stops[piece.stop])
             n = (last - first)[i]
             seg, at = _spread(first[i], n), np.repeat(i, n)
             m = self.offsets[seg + 1] - self.offsets[seg]
@@ -109,7 +129,6 @@ class Segments:
             else:
                 shared = np.repeat(np.minimum(hi[at], self.stops[seg]) - np.maximum(lo[at], self.begins[seg]), m)
             out.append(self._summed(row[by], tag[by], self.unit[member], shared))
-            a = b
         return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.empty(0, np.int64),) * 4
 
     @staticmethod
@@ -122,35 +141,157 @@ class Segments:
         return row[new], tag[new], unit[new], np.add.reduceat(shared, new)
 
 
-class Steps:
-    """A step function in every task; made by steps()."""
+class Binned:
+    """The features of one stretch by bins, looked up as Segments are."""
 
-    def __init__(self, spark, kept: Segments, fields: StructType):
-        self.kept = spark.sparkContext.broadcast(kept)
-        self.type = ArrayType(StructType().add("tag", IntegerType()).add("overlap", LongType()).add("unit", fields))
+    def __init__(self, table: pa.Table, unit: list[str], payload: list[str], width: int):
+        self.unit, self.payload = _units(table, unit, payload)
+        self.start, self.end = (table[c].combine_chunks().to_numpy() for c in ("start", "end"))
+        self.width = width
+        low = self.start // width
+        n = (self.end - 1) // width - low + 1
+        bin = _spread(low, n)
+        order = np.argsort(bin, kind="stable")
+        self.bin, self.feature = bin[order], np.repeat(np.arange(len(low)), n)[order]
+
+    def look(self, group: pa.Array, lists: pa.Array, whole: bool) -> tuple[np.ndarray, ...]:
+        row, start, end, tag = _flat(lists)
+        live = np.flatnonzero(end > start)
+        low = start[live] // self.width
+        n = np.ones(len(live), np.int64) if whole else (end[live] - 1) // self.width - low + 1
+        bin, at = _spread(low, n), np.repeat(live, n)
+        first = np.searchsorted(self.bin, bin, "left")
+        m = np.searchsorted(self.bin, bin, "right") - first
+        met: list[tuple[np.ndarray, ...]] = []
+        for i in _pieces(m):
+            f, by = self.feature[_spread(first[i], m[i])], np.repeat(at[i], m[i])
+            a, b = np.maximum(self.start[f], start[by]), np.minimum(self.end[f], end[by])
+            held = (a == start[by]) & (b == end[by]) if whole else (a < b) & (a // self.width == np.repeat(bin[i], m[i]))
+            met.append(Segments._summed(row[by[held]], tag[by[held]], self.unit[f[held]], (b - a)[held]))
+        # a row's intervals may lie in two pieces
+        return Segments._summed(*(np.concatenate(c) for c in zip(*met))) if met else (np.empty(0, np.int64),) * 4
 
-    def meet(self, df: DataFrame, group: Column, intervals: Column, name: str, whole: bool = False) -> DataFrame:
+
+class Lookup:
+    """What meets the intervals of a row, in tasks; Steps and Tiles say where the features come from."""
+
+    unit: StructType
+
+    def each(self, df: DataFrame, group: Column, intervals: Column, use, schema: StructType, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
+        """use(df's columns but the spare ones as arrays, the found index, what its look() gives) -> the arrays of schema, for each
+        batch."""
+        raise NotImplementedError
+
+    def meet(self, df: DataFrame, group: Column, intervals: Column, name: str, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
         """df and `name`, an array of (tag, overlap, unit): the units that a row's intervals (an array of start, end, tag) meet,
         with the bases that its intervals of one tag share with the unit's features.  Features of one unit that overlap count
         for each.  whole: only features that hold an interval as a whole count.  df must not have columns __group, __at or
         `name`."""
-        if clash := {"__group", "__at", name} & set(df.columns):
-            raise ValueError(f"columns are taken: {sorted(clash)}")
-        kept, n = self.kept, len(df.columns)
+        if name in df.columns:
+            raise ValueError(f"columns are taken: {[name]}")
+
+        def found(rest: list[pa.Array], index, hits: tuple[np.ndarray, ...]) -> list[pa.Array]:
+            row, tag, unit, shared = hits
+            columns = index.payload.take(pa.array(unit)).combine_chunks()
+            held = pa.StructArray.from_arrays([c.combine_chunks() for c in columns.columns], names=columns.column_names)
+            every = pa.StructArray.from_arrays([pa.array(tag, pa.int32()), pa.array(shared, pa.int64()), held], names=["tag", "overlap", "unit"])
+            return [*rest, pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(row, minlength=len(rest[0])))), pa.int32()), every)]
+
+        type = ArrayType(StructType().add("tag", IntegerType()).add("overlap", LongType()).add("unit", self.unit))
+        fields = [f for f in df.schema.fields if f.name not in spare]
+        return self.each(df, group, intervals, found, StructType([*fields, StructField(name, type)]), whole, spare)
+
+
+def _free(df: DataFrame, *names: str) -> None:
+    if clash := set(names) & set(df.columns):
+        raise ValueError(f"columns are taken: {sorted(clash)}")
+
+
+def extent(*blocks: str, beyond: int = 0) -> tuple[Column, Column]:
+    """Between which places the blocks of a row lie, and so many bases more."""
+    low = F.least(*[F.array_min(F.col(b)["start"]) for b in blocks]) - beyond
+    return low, F.greatest(*[F.array_max(F.col(b)["end"]) for b in blocks]) + beyond
+
+
+class Steps(Lookup):
+    """A step function in every task; made by steps()."""
+
+    def __init__(self, spark, kept: Segments, fields: StructType):
+        self.kept, self.unit = spark.sparkContext.broadcast(kept), fields
+
+    def each(self, df: DataFrame, group: Column, intervals: Column, use, schema: StructType, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
+        _free(df, "__group", "__at")
+        columns = [c for c in df.columns if c not in spare]
+        kept, n, names = self.kept, len(columns), schema.names
+
+        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = kept.value
+            for batch in batches:
+                hits = index.look(batch.column(n), batch.column(n + 1), whole)
+                yield pa.RecordBatch.from_arrays(use(batch.columns[:n], index, hits), names=names)
+
+        return df.select(*columns, group.alias("__group"), intervals.cast(AT).alias("__at")).mapInArrow(found, schema)
+
+
+class Tiles(Lookup):
+    """Features and rows of one stretch in one task: each row goes to the stretch in which `low` lies, where its intervals begin at the earliest, each
+    feature to all stretches whose rows may meet it.  Features come first in a stretch and are held; rows pass by in batches,
+    so a crowded place takes time but no memory; its rows are dealt into DEALS parts by the columns `by`.
+
+    Only rows for which near() holds may be looked up, and `low` is told from columns of df alone.
+    """
+
+    def __init__(self, features: DataFrame, on: str, unit: list[str], carry: tuple[str, ...], width: int, by: tuple[str, ...], low: Column):
+        self.on, self.keys, self.payload, self.width, self.by, self.low = on, unit, [*unit, *carry], width, by, low
+        self.features = features.where("start < end").select(on, F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), *self.payload)
+        self.unit = StructType([self.features.schema[c] for c in self.payload])
+
+    @staticmethod
+    def _tile(low: Column) -> Column:
+        return F.coalesce(F.floor(low / TILE), F.lit(0))
+
+    @staticmethod
+    def near(low: Column, high: Column) -> Column:
+        """Whether intervals within low and high end at most MARGIN behind the stretch in which low lies."""
+        return F.coalesce(high <= (Tiles._tile(low) + 1) * TILE + MARGIN, F.lit(True))
+
+    def each(self, df: DataFrame, group: Column, intervals: Column, use, schema: StructType, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
+        _free(df, "__group", "__at", "__tile", "__deal", "__feature")
+        fields = [f for f in df.schema.fields if f.name not in spare]
+        n, names, width, unit, payload = len(fields), schema.names, self.width, self.keys, self.payload
+        rows = df.select(*[f.name for f in fields], intervals.cast(AT).alias("__at"), F.lit(None).cast(StructType([self.features.schema[c] for c in ("start", "end")] + self.unit.fields)).alias("__feature"), group.alias("__group"), self._tile(self.low).alias("__tile"), F.pmod(F.xxhash64(*self.by), F.lit(DEALS)).cast("int").alias("__deal"))
+        low, high = F.col("__tile") * TILE, (F.col("__tile") + 1) * TILE + MARGIN
+        tiled = self.features.withColumn("__tile", F.explode(F.sequence(F.floor((F.col("start") - MARGIN) / TILE), F.floor((F.col("end") - 1) / TILE)))).withColumn("__deal", F.explode(F.array(*[F.lit(i) for i in range(DEALS)])))
+        tiled = tiled.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields], F.lit(None).cast(AT).alias("__at"), F.struct(F.greatest("start", low).alias("start"), F.least("end", high).alias("end"), *payload).alias("__feature"), F.col(self.on).alias("__group"), "__tile", "__deal")
+        key = ["__group", "__tile", "__deal"]
+        both = tiled.union(rows).repartition(*key).sortWithinPartitions(*key, F.col("__feature").isNull())
 
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            steps = kept.value
+            now, held, index = None, [], None
             for batch in batches:
-                rest, group, lists = batch.columns[:n], batch.column(n), batch.column(n + 1)
-                row, tag, unit, shared = steps.look(group, lists, whole)
-                columns = steps.payload.take(pa.array(unit)).combine_chunks()
-                held = pa.StructArray.from_arrays([c.combine_chunks() for c in columns.columns], names=columns.column_names)
-                every = pa.StructArray.from_arrays([pa.array(tag, pa.int32()), pa.array(shared, pa.int64()), held], names=["tag", "overlap", "unit"])
-                met = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(row, minlength=batch.num_rows))), pa.int32()), every)
-                yield pa.RecordBatch.from_arrays([*rest, met], names=[*df_columns, name])
-
-        df_columns, schema = df.columns, StructType([*df.schema.fields, StructField(name, self.type)])
-        return df.select("*", group.alias("__group"), intervals.cast("array<struct<start:bigint,end:bigint,tag:int>>").alias("__at")).mapInArrow(found, schema)
+                keys = [batch.column(n + 2 + i) for i in range(3)]
+                feature = batch.column(n + 1)
+                change = np.zeros(batch.num_rows, bool)
+                change[:1] = True
+                of_feature = feature.is_valid().to_numpy(zero_copy_only=False)
+                change[1:] = of_feature[1:] != of_feature[:-1]
+                for k in keys:
+                    code = k.dictionary_encode().indices.fill_null(-1).to_numpy()
+                    change[1:] |= code[1:] != code[:-1]
+                edges = [*np.flatnonzero(change).tolist(), batch.num_rows]
+                for a, b in zip(edges, edges[1:]):
+                    if (at := tuple(k[a].as_py() for k in keys)) != now:
+                        now, held, index = at, [], None
+                    if of_feature[a]:
+                        held.append(feature.slice(a, b - a))
+                        continue
+                    if index is None:
+                        table = pa.Table.from_batches([pa.RecordBatch.from_struct_array(h) for h in held or [feature.slice(0, 0)]])
+                        index, held = Binned(table, unit, payload, width), []
+                    part = batch.slice(a, b - a)
+                    yield pa.RecordBatch.from_arrays(use(part.columns[:n], index, index.look(None, part.column(n), whole)), names=names)
+
+        return both.mapInArrow(found, schema)
 
 
 def steps(features: DataFrame, on: str, unit: list[str], carry: tuple[str, ...] = (), width: int = 1 << 14, most: int = MOST, members: int = MEMBERS) -> Steps | None:

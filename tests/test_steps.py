@@ -125,3 +125,29 @@ def test_a_gene_on_both_strands_counts_once(spark):
     none = x.where("false").select("chrom", "strand", "start", "end", "gene_id")
     both = [assign_gene.assign(p, ["pid"], x, none, x.selectExpr("gene_id", "end AS end_d"), 64, most=m).collect() for m in (steps.MOST, 0)]
     assert both[0] == both[1] and both[0][0].gene_id == "g" and both[0][0].whole
+
+
+def test_genes_of_far_and_near_pairs_by_stretches(spark, monkeypatch):
+    """Stretches give what steps give, at their edges, beyond their margins, for null places and for a status that is filtered."""
+    from cellspark.operators import assign_exon, assign_gene, steps
+
+    monkeypatch.setattr(steps, "TILE", 4000)
+    monkeypatch.setattr(steps, "MARGIN", 2500)
+    exons = spark.createDataFrame([("c", "+-"[i % 2], 150 * i, 150 * i + 90 + i % 70, f"g{i // 3}", f"e{i}", i) for i in range(200)], "chrom string, strand string, start long, end long, gene_id string, exon_id string, line long")
+    genes = exons.groupBy("chrom", "strand", "gene_id").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("line").alias("line"))
+    block = lambda a: [(a, a + 15, 0)]
+    rows = [(i, None if i % 50 == 9 else "c", "+-"[i % 2], "-+"[i % 2], i % 3 == 0, 67 * i, 67 * i + 15, 67 * i + d, 67 * i + d + 15, block(67 * i), None if i % 71 == 5 else block(67 * i + d)) for i in range(450) for d in ([0, 12, 40, 9000][i % 4],)]
+    blocks = "array<struct<start:bigint,end:bigint,part:int>>"
+    pairs = spark.createDataFrame(rows, f"id int, chrom string, strand1 string, strand2 string, is_randomn boolean, start1 long, end1 long, start2 long, end2 long, blocks1 {blocks}, blocks2 {blocks}")
+    from cellspark.operators.annotation import transcript_ends
+
+    gene = lambda most: assign_gene.assign(pairs, ["id"], exons, genes, transcript_ends(exons), 64, most=most)
+    by_steps, by_stretches = (sorted(map(tuple, gene(m).collect()), key=str) for m in (10_000, 10))
+    assert by_steps == by_stretches and len(by_steps) == 450 and len({r[4] for r in by_steps}) == 3
+    counted = gene(10_000).where("status = 'counted'")
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert counted.count() == sum(r[4] == "counted" for r in by_steps)
+    assert len(plan) < 100_000  # a filter behind does not take the choice of a gene apart
+    for method in assign_exon.METHODS:
+        a, b = (sorted(map(tuple, assign_exon.assign(pairs, ["id"], exons, method, 64, most=m).collect()), key=str) for m in (10_000, 10))
+        assert a == b
