@@ -6,7 +6,9 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,6 +41,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(store.exists(at))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    store, at = _store(spark, path)
+    store.delete(at, True)
+
+
+def place(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path in it, for tasks."""
+    return fs.FileSystem.from_uri(path if "://" in path else "file:///" + path.removeprefix("file:").lstrip("/"))
+
+
+def file_name(value: Column) -> Column:
+    """A value as a part of a path, as partitioned writes spell it: what paths keep for themselves is escaped."""
+    text = F.when(value.cast("string") == "", None).otherwise(value.cast("string"))
+    letters = F.transform(F.split(text, ""), lambda c: F.when(c.rlike("[\\x01-\\x1f\"#%'*/:=?\\\\\\x7f{\\[\\]^]"), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))).otherwise(c))
+    return F.when(text.isNull(), "__HIVE_DEFAULT_PARTITION__").otherwise(F.concat_ws("", letters))
+
+
 def require(spark: SparkSession, *paths: str) -> None:
     """Raise for the first path that is not there."""
     for p in paths:

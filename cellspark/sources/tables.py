@@ -10,14 +10,17 @@ from __future__ import annotations
 import re
 import uuid
 import zipfile
+from collections.abc import Iterator
 from xml.etree import ElementTree
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranks import ranked
 from .lines import csv_rows, numbered_lines
-from .paths import exists, scratch
+from .paths import exists, file_name, place, remove, scratch
 
 
 def _named(path_col, pattern: str):
@@ -92,17 +95,63 @@ def write_rt_tables(tables: dict[str, DataFrame], path: str) -> None:
 
 
 def write_stat_logs(log: DataFrame, path: str) -> None:
-    """prefix, metric, value -> <prefix>.log with a value and a metric a line.  Steps that add to one log use statlog.append."""
+    """prefix, metric, value -> <prefix>.log with a value and a metric a line.  Steps that add to one log use statlog.append.
+
+    A prefix's lines come to one task, which writes its file; tasks write below one folder of their own try, and the files are
+    moved by tasks, so the driver handles no file.  Where a log is already there, an error is raised and nothing is moved.
+    """
+    spark, root = log.sparkSession, path.rstrip("/")
+    at = f"{root}/_writing-log-{uuid.uuid4().hex}"
     line = F.concat_ws("\t", F.col("value").cast("long").cast("string"), "metric").alias("line")
-    _each(log.select("prefix", line), path, ".log", lambda writer, at: writer.text(at))
+    dealt = log.select("prefix", F.struct(F.monotonically_increasing_id().alias("at"), line).alias("l")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "prefix")
+    # a log has a line a metric and step, in the order of the rows
+    texts = dealt.groupBy("prefix").agg(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list("l")), lambda x: x["line"])).alias("text"))
+    texts = texts.select(file_name(F.col("prefix")).alias("prefix"), "text")
+
+    def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = place(at)
+        own = f"{base}/{uuid.uuid4().hex}"
+        store.create_dir(own)
+        for batch in batches:
+            for prefix, text in zip(*(c.to_pylist() for c in batch.columns)):
+                with store.open_output_stream(f"{own}/{prefix}.log") as out:
+                    out.write(f"{text}\n".encode())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([own] * batch.num_rows)], names=["prefix", "own"])
+
+    def there(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = place(root)
+        for batch in batches:
+            kinds = store.get_file_info([f"{base}/{p}.log" for p in batch.column(0).to_pylist()])
+            yield batch.filter(pa.array([k.type != fs.FileType.NotFound for k in kinds], pa.bool_()))
+
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = place(root)
+        for batch in batches:
+            for prefix, own in zip(*(c.to_pylist() for c in batch.columns)):
+                if store.get_file_info(f"{base}/{prefix}.log").type == fs.FileType.NotFound:  # a task tried again has moved some
+                    store.move(f"{own}/{prefix}.log", f"{base}/{prefix}.log")
+        yield from ()
+
+    held = scratch(spark, "stat-logs")
+    try:
+        texts.mapInArrow(written, "prefix string, own string").write.parquet(held)
+        names = spark.read.schema("prefix string, own string").parquet(held)
+        if known := names.mapInArrow(there, "prefix string, own string").first():
+            raise FileExistsError(f"{root}/{known['prefix']}.log")
+        names.mapInArrow(moved, "prefix string, own string").count()
+    finally:
+        remove(spark, at)
 
 
 def read_stat_logs(spark: SparkSession, path: str) -> DataFrame:
-    """prefix (file or folder name up to .log), metric, value, place (file, line): rows of one log stand in order of place."""
-    lines = numbered_lines(spark, path, recursiveFileLookup=True)
+    """prefix (file or folder name up to .log), metric, value, place (file, split, line): rows of one log stand in order of place.
+
+    Lines are numbered as they are read: a split is one task's, whose numbers ascend; no pass counts the lines before.
+    """
+    text = spark.read.option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line"), "value")
     row = F.from_csv("value", "value long, metric string", {"sep": "\t"})
     name = F.regexp_extract("file", r"/([^/.]+)\.log(?:/[^/]*)?$", 1)
-    return lines.where(F.trim("value") != "").select(name.alias("prefix"), row.alias("row"), F.struct("file", "in_file").alias("place")).where("prefix <> ''").select("prefix", "row.metric", "row.value", "place")
+    return text.where(F.trim("value") != "").select(name.alias("prefix"), row.alias("row"), F.struct("file", "split", "line").alias("place")).where("prefix <> ''").select("prefix", "row.metric", "row.value", "place")
 
 
 def write_stats(stats: DataFrame, path: str) -> None:

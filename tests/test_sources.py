@@ -249,6 +249,18 @@ def test_a_log_is_not_written_over(spark, tmp_path):
     assert [tuple(r)[:3] for r in tables.read_stat_logs(spark, str(tmp_path / "logs")).collect()] == [("a", "m", 1)]
 
 
+def test_many_logs_are_a_file_each(spark, tmp_path):
+    """A log is one file in the order of its rows, from however many parts its rows come; names are escaped as partitions are."""
+    log = spark.range(4000, numPartitions=8).selectExpr("'p' || (id % 1000) AS prefix", "'m' || (id div 1000) AS metric", "id AS value")
+    odd = spark.createDataFrame([("a/b=c", "m", 1), ("a/b=c", "m", 2), (None, "m", 3)], "prefix string, metric string, value long").coalesce(1)
+    tables.write_stat_logs(log.unionByName(odd), str(tmp_path / "logs"))
+    files = [f for f in (tmp_path / "logs").iterdir() if not f.name.startswith(".")]
+    assert len(files) == 1002 and all(f.is_file() for f in files)
+    assert (tmp_path / "logs/a%2Fb%3Dc.log").read_text() == "1\tm\n2\tm\n" and (tmp_path / "logs/__HIVE_DEFAULT_PARTITION__.log").exists()
+    back = {(r.prefix, r.metric): r.value for r in stats.last_values(tables.read_stat_logs(spark, str(tmp_path / "logs")), "place").collect()}
+    assert len(back) == 4001 and back["p7", "m3"] == 3007  # readers pass over names that begin with _
+
+
 def test_appends_are_ordered(spark, tmp_path):
     path = str(tmp_path / "log")
     rows = lambda *r: spark.createDataFrame(r, "prefix string, metric string, value long")
