@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cigar import flipped
 from .intervals import containment_join
-from .steps import MOST, steps
+from .steps import MOST, Lookup, Tiles, extent, steps
 
 SET = "array<struct<gene_id:string,exon_id:string>>"
 WEIGHTS = "array<struct<exon_id:string,status:string,weight:double>>"
@@ -46,29 +46,38 @@ def sets(pairs: DataFrame, ids: list[str], exons: DataFrame, by_part: bool, widt
     have no sense exon.
 
     Spans are looked up in the step function of exons where the pairs are, with no exchange.  More than `most` exons meet
-    them in a join by bins: pairs are then dealt by id once, before their spans are taken apart (dealt: they are already).
+    the pairs stretch by stretch, with one exchange of them; those that reach over a stretch's margin meet exons in a join by
+    bins and are dealt by id before their spans are taken apart (dealt: they are already).
     """
     places = ["start1", "end1", "start2", "end2"]
     f = exons.select("chrom", F.col("strand").alias("f_strand"), "start", "end", "gene_id", "exon_id")
     lasts = [_last(F.col("blocks1"), by_part).alias("__last1"), _last(F.col("blocks2"), by_part).alias("__last2")]
     spans = F.concat(_spans(1, flipped(F.col("strand1")), by_part), _spans(2, F.col("strand2"), by_part))
-    found = steps(f, "chrom", ["f_strand", "gene_id", "exon_id"], width=width, most=most)
-    if found:
+    unit = ["f_strand", "gene_id", "exon_id"]
+
+    def met(pairs: DataFrame, found: Lookup) -> DataFrame:
         at = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), (s["part"] * 2 + s["mate"] - 1).cast("int").alias("tag")))
-        met = pairs.select(*ids, *places, "strand2", flipped(F.col("strand1")).alias("__strand1"), *lasts, "chrom", at.alias("__b"))
-        met = found.meet(met, F.col("chrom"), F.col("__b"), "__h", whole=True)
+        rows = pairs.select(*ids, *places, "strand2", flipped(F.col("strand1")).alias("__strand1"), *lasts, "chrom", at.alias("__b"), extent("blocks1", "blocks2")[0].alias("__low"))
+        rows = found.meet(rows, F.col("chrom"), F.col("__b"), "__h", whole=True, spare=("chrom", "__b", "__low"))
 
         def told(x: Column) -> Column:
             mate, u = x["tag"] % 2 + 1, x["unit"]
             strand = F.when(mate == 1, F.col("__strand1")).otherwise(F.col("strand2"))
             return F.struct((strand == u["f_strand"]).alias("sense"), mate.alias("mate"), F.floor(x["tag"] / 2).cast("int").alias("part"), F.struct(u["gene_id"].alias("gene_id"), u["exon_id"].alias("exon_id")).alias("e"))
 
-        out = met.select(*ids, *places, "__last1", "__last2", F.transform("__h", told).alias("__h"))
-    else:
+        return rows.select(*ids, *places, "__last1", "__last2", F.transform("__h", told).alias("__h"))
+
+    def joined(pairs: DataFrame) -> DataFrame:
         rows = (pairs if dealt else pairs.repartition(*ids)).select(*ids, "chrom", *places, *lasts, F.explode_outer(spans).alias("__s"))
         both = containment_join(rows.select(*ids, "chrom", *places, "__last1", "__last2", "__s.*"), f, ["chrom"], width, how="left")
         hit = F.when(F.col("f_start").isNotNull(), F.struct((F.col("strand") == F.col("f_strand")).alias("sense"), "mate", "part", F.struct("gene_id", "exon_id").alias("e")))
-        out = both.groupBy(*ids).agg(*[F.first(c).alias(c) for c in (*places, "__last1", "__last2")], F.collect_set(hit).alias("__h"))
+        return both.groupBy(*ids).agg(*[F.first(c).alias(c) for c in (*places, "__last1", "__last2")], F.collect_set(hit).alias("__h"))
+
+    if found := steps(f, "chrom", unit, width=width, most=most):
+        out = met(pairs, found)
+    else:
+        near = Tiles.near(*extent("blocks1", "blocks2"))
+        out = met(pairs.where(near), Tiles(f, "chrom", unit, (), width, tuple(ids), F.col("__low"))).unionByName(joined(pairs.where(~near)))
     used = F.filter("__h", lambda h: h["sense"] == F.exists("__h", lambda g: g["sense"]))
 
     def of(mate: int) -> Column:

@@ -111,7 +111,7 @@ for _name, _sql in (("split_half", SPLIT_HALF), ("pair_once", PAIR_ONCE), ("bloc
 
 
 def cell_exon_counts(spark: SparkSession, sf: str) -> DataFrame:
-    a = assigned(spark, sf, "split_half").join(pair_view(spark, sf).select("pid", "cell"), "pid")
+    a = assign_exon.assign(pair_view(spark, sf, spliced=True), [*PID, "cell"], exon_view(spark, sf), "split_half", WIDTH)
     return counts.feature_counts(a.where("exon_id IS NOT NULL"), ["cell", "exon_id"], "weight").withColumn("count", F.round("count", 6))
 
 

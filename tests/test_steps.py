@@ -151,3 +151,11 @@ def test_genes_of_far_and_near_pairs_by_stretches(spark, monkeypatch):
     for method in assign_exon.METHODS:
         a, b = (sorted(map(tuple, assign_exon.assign(pairs, ["id"], exons, method, 64, most=m).collect()), key=str) for m in (10_000, 10))
         assert a == b
+
+
+def test_cells_of_exon_counts_come_with_the_pairs(spark):
+    """The pairs' view, which is distinct over all lines, is made once, and no join brings cells back."""
+    from cellspark.plans import exon_queries
+
+    plan = exon_queries.cell_exon_counts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("lineitem") <= 1
