@@ -22,7 +22,6 @@ import gc
 import hashlib
 import re
 import struct
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,8 @@ from .common import filled, kept_in_worker, lean, slices, table
 MAX_PIECES = 300_000
 MAX_TRANSITIONS = 150_000
 MAX_PAIRS = 500_000
-_FIRST, _SECOND = itemgetter(0), itemgetter(1)
+#: Pieces and transitions where other operators ran before in the same executor and left it less memory.
+TIGHT = (75_000, 50_000)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -58,7 +58,7 @@ class Transducer:
     """Encodes one piece of bytes at a time by `ranks`."""
 
     def __init__(self, ranks: dict[bytes, int], most: int = MAX_TRANSITIONS):
-        self.ranks, self.most = ranks, most
+        self.ranks, self.most, self.most_pairs = ranks, most, min(MAX_PAIRS, 4 * most)
         self.bytes_of = {v: k for k, v in ranks.items()}
         # the token trie: a node's edges, byte -> (the next node, or 0 where no longer token goes on; the token that ends
         # there, or -1)
@@ -145,7 +145,7 @@ class Transducer:
             return True
         key = before << 32 | token
         if key not in self.pairs:
-            if len(self.pairs) >= MAX_PAIRS:
+            if len(self.pairs) >= self.most_pairs:
                 self.pairs.clear()
             self.pairs[key] = self._follows(before, token)
         return self.pairs[key]
@@ -212,19 +212,19 @@ class Transducer:
 
 
 class Pieces(dict):
-    """Remembered pieces: 'id id ...' and packed ids.  A full generation becomes the old one, from which pieces that are met
+    """Remembered pieces: packed ids.  A full generation becomes the old one, from which pieces that are met
     again come back, so the memory follows a change of language."""
 
     def __init__(self, fst: Transducer, most: int):
         super().__init__()
         self.fst, self.most = fst, most
-        self.old: dict[str, tuple[str, bytes]] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[str, bytes]:
+    def __missing__(self, piece: str) -> bytes:
         got = self.old.get(piece)
         if got is None:
             ids = self.fst.encode(piece.encode())
-            got = (" ".join(map(str, ids)), struct.pack(f"<{len(ids)}I", *ids))
+            got = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
             if len(self) >= self.most:
                 self.old = dict(self)
@@ -242,17 +242,18 @@ def ascii_form(pattern: str) -> str | None:
 class TextEncoder:
     """Pieces by a pattern, each encoded by the transducer."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = MAX_PIECES):
-        self.fst, self.find = Transducer(ranks), regex.compile(pattern).findall
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = MAX_PIECES, transitions: int = MAX_TRANSITIONS):
+        self.fst, self.find = Transducer(ranks, transitions), regex.compile(pattern).findall
         short = ascii_form(pattern)
         self.find_ascii = re.compile(short).findall if short else self.find
         self.known = Pieces(self.fst, most)
+        self.decimal = list(map(str, range(max(ranks.values(), default=-1) + 1)))
 
     def encode(self, text: str) -> tuple[int, str, np.ndarray]:
         """(number of ids, decimal ids joined by spaces, ids)."""
         got = list(map(self.known.__getitem__, (self.find_ascii if text.isascii() else self.find)(text)))
-        ids = np.frombuffer(b"".join(map(_SECOND, got)), "<u4")
-        return len(ids), " ".join(map(_FIRST, got)), ids
+        ids = np.frombuffer(b"".join(got), "<u4")
+        return len(ids), " ".join(map(self.decimal.__getitem__, ids.tolist())), ids
 
 
 class Utf8Stream:
@@ -344,14 +345,16 @@ def decode_bytes(ids: np.ndarray, vocabulary: Vocabulary, chunk: int = 8192):
     stream.close()
 
 
-def build(path: str, pattern: str) -> tuple[TextEncoder, Vocabulary]:
+def build(path: str, pattern: str, tight: bool = False) -> tuple[TextEncoder, Vocabulary]:
     ranks = load_ranks(path)
-    return TextEncoder(ranks, pattern), Vocabulary(ranks)
+    return TextEncoder(ranks, pattern, *(TIGHT if tight else ())), Vocabulary(ranks)
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False, tight: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids array<int>) of every whole text.
 
+    tight: remember less, which takes more time and gives the same ids.
+
     Cases: a null text counts as empty; an empty text has no ids, and both digests are those of no bytes; repeated rows
     are encoded alike; a very long text is encoded in one pass with state bounded by the vocabulary; an empty table gives
     an empty table; other columns are not touched.
@@ -360,7 +363,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     kind = narrow.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        enc, vocabulary = kept_in_worker(("bpe", path, pattern), lambda: build(path, pattern))
+        enc, vocabulary = kept_in_worker(("bpe", path, pattern, tight), lambda: build(path, pattern, tight))
         gc.disable()  # the tables hold no circles that outlive a generation, and searching them for some took a third of the time
         try:
             yield from encoded(batches, enc, vocabulary)

@@ -36,7 +36,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row a taken copy: doc_id, n_tokens, digests of ids and of the decoded bytes, ids."""
     import public_tokenizers
 
-    return bpe.encode_documents(docs, bpe.tokenizer_path(), public_tokenizers.PATTERN, ids=True)
+    return bpe.encode_documents(docs, bpe.tokenizer_path(), public_tokenizers.PATTERN, ids=True, tight=True)
 
 
 STAGES = [

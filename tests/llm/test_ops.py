@@ -411,6 +411,22 @@ def test_utf8_stream():
         assert got == want
 
 
+def test_bpe_with_little_memory_gives_the_same_ids(spark, docs):
+    """What the pipeline's workers remember is a third of what the operator's own do, and a piece is remembered as its ids alone."""
+    import public_tokenizers as P
+
+    enc, _ = bpe.build(bpe.tokenizer_path(), P.PATTERN, tight=True)
+    assert 2 * enc.known.most < bpe.MAX_PIECES and 2 * enc.fst.most < bpe.MAX_TRANSITIONS
+    rnd = random.Random(8)
+    enc.known.most, enc.fst.most = 50, 40
+    for _ in range(300):
+        enc.encode(" ".join("".join(rnd.choice("etaoin") for _ in range(9)) for _ in range(5)))
+    assert len(enc.known) <= 50 and len(enc.known.old) <= 50 and enc.fst.made <= 40
+    assert all(isinstance(ids, bytes) for ids in enc.known.values())
+    both = [sorted(map(tuple, bpe.encode_documents(docs, bpe.tokenizer_path(), P.PATTERN, ids=True, tight=t).collect()), key=str) for t in (False, True)]
+    assert both[0] == both[1]
+
+
 def test_bpe_documents(spark, docs, tik):
     import public_tokenizers as P
 
