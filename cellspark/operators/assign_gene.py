@@ -96,7 +96,7 @@ def hits(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, e
 def settle(n: int, row: np.ndarray, stage: np.ndarray, gene: np.ndarray, covered: np.ndarray, aligned: np.ndarray, far: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, ...]:
     """stage (0: none), whole, hit (which tells the gene, or -1) and n_candidates of n pairs.
 
-    row (ascending), stage (0: no find), gene (a number) and covered bases of all hits; aligned bases of all pairs; far: of
+    row, stage (0: no find), gene (a number) and covered bases of all hits; aligned bases of all pairs; far: of
     the asked hits, the gene's distance to the pair's end (infinite where there is none).
     """
     low, whole, chosen = np.full(n, 9), np.zeros(n, bool), np.full(n, -1)
@@ -153,24 +153,79 @@ def _by_bins(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFram
     return per.select(*ids, *kept, "__h").mapInArrow(settled, schema)
 
 
-def _looked_up(pairs: DataFrame, ids: list[str], found: Lookup, kept: list[str], blocks: Column) -> DataFrame:
-    """As _by_bins, from a lookup of stacked features."""
-    rows = pairs.select(*ids, *kept, *[c.alias(n) for n, c in _measures().items()], F.col("chrom").alias("__c"), blocks.alias("__b"), extent("blocks1", "blocks2", beyond=FLANK)[0].alias("__low"))
-    n = len(ids) + len(kept)
-
-    def settled(columns: list[pa.Array], index, met: tuple[np.ndarray, ...]) -> list[pa.Array]:
-        row, tag, unit, shared = met
-        aligned, sense, anti = columns[n : n + 3]
+def _long(column: pa.Array) -> np.ndarray:
+    return pc.fill_null(column, 0).to_numpy().astype(np.int64)
+
+
+class Blocks:
+    """The blocks of a batch of pairs, plain and moved as _every_block() moves them, and the measures of _measures(), as arrays."""
+
+    @staticmethod
+    def columns() -> dict[str, Column]:
+        """Few bytes a pair: strands and primer in one number, places of both mates' blocks in two lists."""
+        bits = F.when(flipped(F.col("strand1")) == "+", 1).otherwise(0) + F.when(F.col("strand2") == "+", 2).otherwise(0) + F.when(~F.col("is_randomn"), 4).otherwise(0)
+        every = lambda c: F.concat(F.col("blocks1")[c], F.col("blocks2")[c])
+        return {"__bits": bits.cast("int"), **{f"__{c}": F.col(c).cast("long") for c in ("start1", "end1", "start2")}, "__first": F.size("blocks1").cast("int"), "__starts": every("start"), "__ends": every("end")}
+
+    def __init__(self, columns: list[pa.Array]):
+        bits, start1, end1, start2, first, starts, ends = columns
+        self.n = n = len(bits)
+        bits = _long(bits)
+        self.plus = np.stack([bits & 1, bits >> 1 & 1])  # by mate
+        size = pc.fill_null(pc.list_value_length(starts), 0).to_numpy().astype(np.int64)
+        self.row = np.repeat(np.arange(n), size)
+        self.start, self.end = _long(starts.flatten()), _long(ends.flatten())
+        self.mate = (np.arange(len(self.row)) - np.repeat(np.cumsum(size) - size, size) >= _long(first)[self.row]).astype(np.int64)
+        self.aligned = np.where(starts.is_valid().to_numpy(zero_copy_only=False), np.bincount(self.row, self.end - self.start, minlength=n).astype(np.int64), -1)
+        d = np.where(self.plus[1] == 1, -FLANK, FLANK)
+        shift = []
+        for at in (start2, start1):
+            known, place = at.is_valid().to_numpy(zero_copy_only=False), _long(at)
+            d = np.where(known & (d < 0) & (place <= -d), -place, d)
+            shift.insert(0, d)
+        self.shift = np.stack(shift)
+        behind, ahead = (np.where((bits & 4 > 0) & c.is_valid().to_numpy(zero_copy_only=False), _long(c) - less, np.nan) for c, less in ((end1, 0), (start1, 1)))
+        own = self.plus[0] == 1
+        self.sense, self.anti = np.where(own, behind, ahead), np.where(own, ahead, behind)
+
+    def plain(self) -> tuple[np.ndarray, ...]:
+        return self.row, self.start, self.end, self.plus[self.mate, self.row]
+
+    def moved(self, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The blocks of some pairs, in the flank."""
+        i = np.flatnonzero(rows[self.row])
+        by = self.shift[self.mate[i], self.row[i]]
+        return self.row[i], self.start[i] + by, self.end[i] + by, 2 + self.plus[self.mate[i], self.row[i]]
+
+
+def _facts(index) -> tuple:
+    """A number for each unit's gene, its strand (1: +, 0: -, 2: none) and whether it is an exon; made once for an index, not for each batch."""
+    if not hasattr(index, "facts"):
         held = index.payload
-        names, ends = (held[c].combine_chunks() for c in ("gene_id", "ends"))
-        ids_of = pc.fill_null(names.dictionary_encode().indices, -1).to_numpy()
         strand = np.where(pc.equal(held["f_strand"], "+").fill_null(False).to_numpy(), 1, np.where(pc.equal(held["f_strand"], "-").fill_null(False).to_numpy(), 0, 2))
-        exon = pc.equal(held["level"], "exon").to_numpy()
+        names, ends = (held[c].combine_chunks() for c in ("gene_id", "ends"))
+        index.facts = names, ends, pc.fill_null(names.dictionary_encode().indices, -1).to_numpy(), strand, pc.equal(held["level"], "exon").to_numpy()
+    return index.facts
+
+
+def _looked_up(pairs: DataFrame, ids: list[str], found: Lookup, kept: list[str]) -> DataFrame:
+    """As _by_bins, from a lookup of stacked features.  Blocks are made of their places in the task; the flank is looked up only
+    for pairs that meet no feature in sense, as no later stage decides for the others."""
+    rows = pairs.select(*ids, *kept, *[c.alias(n) for n, c in Blocks.columns().items()], F.col("chrom").alias("__c"), extent("blocks1", "blocks2", beyond=FLANK)[0].alias("__low"))
+    n = len(ids) + len(kept)
+
+    def settled(columns: list[pa.Array], index, meet) -> list[pa.Array]:
+        blocks = Blocks(columns[n:])
+        names, ends, ids_of, strand, exon = _facts(index)
+        row, tag, unit, shared = meet(*blocks.plain())
+        none = np.ones(blocks.n, bool)
+        none[row[strand[unit] == tag]] = False
+        row, tag, unit, shared = (np.concatenate(c) for c in zip((row, tag, unit, shared), meet(*blocks.moved(none))))
         same, of_exon = strand[unit] == tag % 2, exon[unit]
         stage = np.where(tag < 2, np.where(same, np.where(of_exon, 1, 2), np.where(of_exon, 4, 5)), np.where(same & ~of_exon, 3, 0))
 
         def far(hit: np.ndarray) -> np.ndarray:
-            own = np.where(stage[hit] <= 3, *(pc.fill_null(c.cast(pa.float64()), np.nan).to_numpy()[row[hit]] for c in (sense, anti)))
+            own = np.where(stage[hit] <= 3, blocks.sense[row[hit]], blocks.anti[row[hit]])
             of = ends.take(pa.array(unit[hit]))
             size = pc.fill_null(pc.list_value_length(of), 0).to_numpy()
             at = np.repeat(np.arange(len(hit)), size)
@@ -179,11 +234,11 @@ def _looked_up(pairs: DataFrame, ids: list[str], found: Lookup, kept: list[str],
             np.fmin.at(least, at, away)
             return least
 
-        s, whole, chosen, count = settle(len(aligned), row, stage, ids_of[unit], shared, pc.fill_null(aligned, -1).to_numpy(), far)
+        s, whole, chosen, count = settle(blocks.n, row, stage, ids_of[unit], shared, blocks.aligned, far)
         gene = names.take(pa.array(np.where(chosen < 0, 0, unit[chosen] if len(unit) else 0), mask=chosen < 0))
         return [*columns[:n], *_columns(s, whole, gene, count)]
 
-    return found.each(rows, F.col("__c"), F.col("__b"), settled, StructType([*rows.schema.fields[:n], *SETTLED.fields]), spare=("__c", "__b", "__low"))
+    return found.each(rows, F.col("__c"), None, settled, StructType([*rows.schema.fields[:n], *SETTLED.fields]), spare=("__c", "__low"))
 
 
 def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, width: int = 1 << 14, chroms: DataFrame | None = None, keep: tuple[str, ...] = (), dealt: bool = False, most: int = MOST) -> DataFrame:
@@ -194,16 +249,14 @@ def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame,
     than `most` features meets the pairs by stretches (dealt: pairs lie by id already).
     """
     kept = [c for c in dict.fromkeys(("chrom", *keep)) if c not in ids]
-    tag = lambda b: F.when(b["kind"] == "flank", 2).otherwise(0) + F.when(b["strand"] == "+", 1).otherwise(0)
-    blocks = F.transform(_every_block(), lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), tag(b).cast("int").alias("tag")))
     features = stacked_features(exons, genes, ends).where("kind = 'plain'")
     unit, carry = ["gene_id", "f_strand", "level"], ("ends",)
     if found := steps(features, "chrom", unit, carry, width, most):
-        out = _looked_up(pairs, ids, found, kept, blocks)
+        out = _looked_up(pairs, ids, found, kept)
     else:
         near = Tiles.near(*extent("blocks1", "blocks2", beyond=FLANK))
         tiles = Tiles(features, "chrom", unit, carry, width, tuple(ids), F.col("__low"))
-        out = _looked_up(pairs.where(near), ids, tiles, kept, blocks)
+        out = _looked_up(pairs.where(near), ids, tiles, kept)
         out = out.unionByName(_by_bins(pairs.where(~near), ids, exons, genes, ends, width, kept, dealt))
     status = F.when(F.col("stage").isNull(), "no_feature").when(F.col("gene_id").isNull(), "ambiguous").otherwise("counted")
     if chroms is not None:

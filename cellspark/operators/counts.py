@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .intervals import containment_join
+from .steps import steps
 
 
 def feature_counts(assigned: DataFrame, by: list[str], weight: str | None = None) -> DataFrame:
@@ -103,11 +104,18 @@ def layer_counts(assigned: DataFrame, cell: str = "cell", umi: str = "umi", span
     return one.groupBy(cell, "gene_id", layer.alias("layer")).agg(F.count("*").alias("count"))
 
 
-def mask_repeats(assigned: DataFrame, pairs: DataFrame, repeats: DataFrame, ids: list[str], width: int = 1 << 14) -> DataFrame:
+def mask_repeats(assigned: DataFrame, pairs: DataFrame | None, repeats: DataFrame, ids: list[str], width: int = 1 << 14) -> DataFrame:
     """assigned without those intronic pairs of which a mate lies in a repeat (chrom, start, end) as a whole.
 
-    pairs: ids, chrom, start1, end1, start2, end2.
+    pairs: ids, chrom, start1, end1, start2, end2, or None where assigned has these columns: then mates are looked up where
+    the pairs are, with no join, as long as the repeats may be sent to every task (see steps).
     """
+    if pairs is None:
+        mate = lambda i: F.struct(F.col(f"start{i}").alias("start"), F.col(f"end{i}").alias("end"), F.lit(0).alias("tag"))
+        if found := steps(repeats.select("chrom", "start", "end", F.lit(1).alias("one")), "chrom", ["one"], width=width):
+            marked = found.meet(assigned, F.col("chrom"), F.when(F.col("region") == "intron", F.array(mate(1), mate(2))), "__masked", whole=True)
+            return marked.where(F.size("__masked") == 0).drop("__masked")
+        pairs = assigned
     mates = pairs.select(*ids, "chrom", F.explode(F.array(F.struct(F.col("start1").alias("start"), F.col("end1").alias("end")), F.struct(F.col("start2").alias("start"), F.col("end2").alias("end")))).alias("m"))
     inside = containment_join(mates.select(*ids, "chrom", "m.start", "m.end"), repeats.select("chrom", "start", "end"), ["chrom"], width).select(*ids).distinct()
     marked = assigned.join(inside.withColumn("__masked", F.lit(True)), ids, "left")

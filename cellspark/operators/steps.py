@@ -17,6 +17,7 @@ lie within 2^39 of 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -104,7 +105,10 @@ class Segments:
 
     def look(self, group: pa.Array, lists: pa.Array, whole: bool) -> tuple[np.ndarray, ...]:
         """row, tag, unit, shared bases of all that the intervals of each row meet."""
-        row, start, end, tag = _flat(lists)
+        return self.met(group, len(lists), *_flat(lists), whole)
+
+    def met(self, group: pa.Array, size: int, row: np.ndarray, start: np.ndarray, end: np.ndarray, tag: np.ndarray, whole: bool = False) -> tuple[np.ndarray, ...]:
+        """As look(), of intervals in arrays, in order of their rows, which are `size`."""
         codes = pc.fill_null(pc.index_in(group, value_set=self.groups), -1).to_numpy().astype(np.int64)
         lo, hi = _keys(codes[row], start), _keys(codes[row], end)
         live = (codes[row] >= 0) & (end > start)
@@ -113,8 +117,8 @@ class Segments:
         if whole:  # what holds the interval covers its first base
             last = np.minimum(last, np.searchsorted(self.begins, lo, "right"))
         last = np.where(live, np.maximum(first, last), first)
-        entries = np.bincount(row, (self.offsets[last] - self.offsets[first]).astype(float), minlength=len(lists)).astype(np.int64)
-        stops = np.append(0, np.cumsum(np.bincount(row, minlength=len(lists))))
+        entries = np.bincount(row, (self.offsets[last] - self.offsets[first]).astype(float), minlength=size).astype(np.int64)
+        stops = np.append(0, np.cumsum(np.bincount(row, minlength=size)))
         out = []
         for piece in _pieces(entries):
             i = np.arange(stops[piece.start], stops[piece.stop])
@@ -133,12 +137,19 @@ class Segments:
 
     @staticmethod
     def _summed(row: np.ndarray, tag: np.ndarray, unit: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, ...]:
-        order = np.lexsort((unit, tag, row))
-        row, tag, unit, shared = row[order], tag[order], unit[order], shared[order]
         if not len(row):
             return row, tag, unit, shared
-        new = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(tag) != 0) | (np.diff(unit) != 0)])
-        return row[new], tag[new], unit[new], np.add.reduceat(shared, new)
+        tags, units = int(tag.max()) + 1, int(unit.max()) + 1
+        if tag.min() < 0 or (int(row.max()) + 1) * tags * units >= 1 << 63:  # too much for one number
+            tag_at = np.unique(tag, return_inverse=True)[1]
+            order = np.lexsort((unit, tag_at, row))
+            new = np.flatnonzero(np.r_[True, (np.diff(row[order]) != 0) | (np.diff(tag_at[order]) != 0) | (np.diff(unit[order]) != 0)])
+        else:
+            key = (row.astype(np.int64) * tags + tag) * units + unit
+            order = np.argsort(key)
+            new = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
+        first = order[new]
+        return row[first], tag[first], unit[first], np.add.reduceat(shared[order], new)
 
 
 class Binned:
@@ -155,21 +166,23 @@ class Binned:
         self.bin, self.feature = bin[order], np.repeat(np.arange(len(low)), n)[order]
 
     def look(self, group: pa.Array, lists: pa.Array, whole: bool) -> tuple[np.ndarray, ...]:
-        row, start, end, tag = _flat(lists)
+        return self.met(group, len(lists), *_flat(lists), whole)
+
+    def met(self, group: pa.Array, size: int, row: np.ndarray, start: np.ndarray, end: np.ndarray, tag: np.ndarray, whole: bool = False) -> tuple[np.ndarray, ...]:
         live = np.flatnonzero(end > start)
         low = start[live] // self.width
         n = np.ones(len(live), np.int64) if whole else (end[live] - 1) // self.width - low + 1
         bin, at = _spread(low, n), np.repeat(live, n)
         first = np.searchsorted(self.bin, bin, "left")
         m = np.searchsorted(self.bin, bin, "right") - first
-        met: list[tuple[np.ndarray, ...]] = []
+        out: list[tuple[np.ndarray, ...]] = []
         for i in _pieces(m):
             f, by = self.feature[_spread(first[i], m[i])], np.repeat(at[i], m[i])
             a, b = np.maximum(self.start[f], start[by]), np.minimum(self.end[f], end[by])
             held = (a == start[by]) & (b == end[by]) if whole else (a < b) & (a // self.width == np.repeat(bin[i], m[i]))
-            met.append(Segments._summed(row[by[held]], tag[by[held]], self.unit[f[held]], (b - a)[held]))
+            out.append(Segments._summed(row[by[held]], tag[by[held]], self.unit[f[held]], (b - a)[held]))
         # a row's intervals may lie in two pieces
-        return Segments._summed(*(np.concatenate(c) for c in zip(*met))) if met else (np.empty(0, np.int64),) * 4
+        return Segments._summed(*(np.concatenate(c) for c in zip(*out))) if out else (np.empty(0, np.int64),) * 4
 
 
 class Lookup:
@@ -177,9 +190,10 @@ class Lookup:
 
     unit: StructType
 
-    def each(self, df: DataFrame, group: Column, intervals: Column, use, schema: StructType, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
+    def each(self, df: DataFrame, group: Column, intervals: Column | None, use, schema: StructType, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
         """use(df's columns but the spare ones as arrays, the found index, what its look() gives) -> the arrays of schema, for each
-        batch."""
+        batch.  Without intervals, use() makes them of the columns and gets a function of their row, start, end and tag instead
+        of what they meet."""
         raise NotImplementedError
 
     def meet(self, df: DataFrame, group: Column, intervals: Column, name: str, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
@@ -219,7 +233,7 @@ class Steps(Lookup):
     def __init__(self, spark, kept: Segments, fields: StructType):
         self.kept, self.unit = spark.sparkContext.broadcast(kept), fields
 
-    def each(self, df: DataFrame, group: Column, intervals: Column, use, schema: StructType, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
+    def each(self, df: DataFrame, group: Column, intervals: Column | None, use, schema: StructType, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
         _free(df, "__group", "__at")
         columns = [c for c in df.columns if c not in spare]
         kept, n, names = self.kept, len(columns), schema.names
@@ -227,10 +241,11 @@ class Steps(Lookup):
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = kept.value
             for batch in batches:
-                hits = index.look(batch.column(n), batch.column(n + 1), whole)
+                hits = partial(index.met, batch.column(n), batch.num_rows) if bare else index.look(batch.column(n), batch.column(n + 1), whole)
                 yield pa.RecordBatch.from_arrays(use(batch.columns[:n], index, hits), names=names)
 
-        return df.select(*columns, group.alias("__group"), intervals.cast(AT).alias("__at")).mapInArrow(found, schema)
+        bare = intervals is None
+        return df.select(*columns, group.alias("__group"), *([] if bare else [intervals.cast(AT).alias("__at")])).mapInArrow(found, schema)
 
 
 class Tiles(Lookup):
@@ -255,11 +270,12 @@ class Tiles(Lookup):
         """Whether intervals within low and high end at most MARGIN behind the stretch in which low lies."""
         return F.coalesce(high <= (Tiles._tile(low) + 1) * TILE + MARGIN, F.lit(True))
 
-    def each(self, df: DataFrame, group: Column, intervals: Column, use, schema: StructType, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
+    def each(self, df: DataFrame, group: Column, intervals: Column | None, use, schema: StructType, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
         _free(df, "__group", "__at", "__tile", "__deal", "__feature")
         fields = [f for f in df.schema.fields if f.name not in spare]
         n, names, width, unit, payload = len(fields), schema.names, self.width, self.keys, self.payload
-        rows = df.select(*[f.name for f in fields], intervals.cast(AT).alias("__at"), F.lit(None).cast(StructType([self.features.schema[c] for c in ("start", "end")] + self.unit.fields)).alias("__feature"), group.alias("__group"), self._tile(self.low).alias("__tile"), F.pmod(F.xxhash64(*self.by), F.lit(DEALS)).cast("int").alias("__deal"))
+        bare = intervals is None
+        rows = df.select(*[f.name for f in fields], (F.lit(None) if bare else intervals).cast(AT).alias("__at"), F.lit(None).cast(StructType([self.features.schema[c] for c in ("start", "end")] + self.unit.fields)).alias("__feature"), group.alias("__group"), self._tile(self.low).alias("__tile"), F.pmod(F.xxhash64(*self.by), F.lit(DEALS)).cast("int").alias("__deal"))
         low, high = F.col("__tile") * TILE, (F.col("__tile") + 1) * TILE + MARGIN
         tiled = self.features.withColumn("__tile", F.explode(F.sequence(F.floor((F.col("start") - MARGIN) / TILE), F.floor((F.col("end") - 1) / TILE)))).withColumn("__deal", F.explode(F.array(*[F.lit(i) for i in range(DEALS)])))
         tiled = tiled.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields], F.lit(None).cast(AT).alias("__at"), F.struct(F.greatest("start", low).alias("start"), F.least("end", high).alias("end"), *payload).alias("__feature"), F.col(self.on).alias("__group"), "__tile", "__deal")
@@ -289,7 +305,8 @@ class Tiles(Lookup):
                         table = pa.Table.from_batches([pa.RecordBatch.from_struct_array(h) for h in held or [feature.slice(0, 0)]])
                         index, held = Binned(table, unit, payload, width), []
                     part = batch.slice(a, b - a)
-                    yield pa.RecordBatch.from_arrays(use(part.columns[:n], index, index.look(None, part.column(n), whole)), names=names)
+                    hits = partial(index.met, None, part.num_rows) if bare else index.look(None, part.column(n), whole)
+                    yield pa.RecordBatch.from_arrays(use(part.columns[:n], index, hits), names=names)
 
         return both.mapInArrow(found, schema)
 

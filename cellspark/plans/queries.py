@@ -341,10 +341,10 @@ res AS (SELECT pair.pid, cell, d.stage, coalesce(p1.gene_id, sole.g) AS gene_id,
   FROM pair LEFT JOIN dec d ON pair.pid = d.pid LEFT JOIN anyw ON pair.pid = anyw.pid LEFT JOIN (SELECT pid, gene_id FROM pick WHERE n = 1) p1 ON pair.pid = p1.pid LEFT JOIN sole ON pair.pid = sole.pid)"""
 
 
-def assigned_genes(spark: SparkSession, sf: str) -> DataFrame:
+def assigned_genes(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     x = exon_view(spark, sf)
     p = pair_view(spark, sf)
-    return assign_gene.assign(p, PID, x, gene_view(x), views.ends_view(x), WIDTH, keep=("cell", "umi"))
+    return assign_gene.assign(p, PID, x, gene_view(x), views.ends_view(x), WIDTH, keep=("cell", "umi", *keep))
 
 
 @query(f"{ASSIGN} SELECT pid, stage, gene_id, region, status FROM res")
@@ -402,7 +402,7 @@ def transcript_layers(spark: SparkSession, sf: str) -> DataFrame:
     """Splicing by transcript models; unspliced molecules need proof."""
     x = exon_view(spark, sf)
     two = x.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("k")).where("k = 1 OR line % 2 = 1").withColumn("transcript_id", F.concat_ws("-", "gene_id", F.col("k").cast("string")))
-    return splicing.layers(assigned_genes(spark, sf), pair_view(spark, sf), two, PID, permissive=False)
+    return splicing.layers(assigned_genes(spark, sf, "chrom", "blocks1", "blocks2"), None, two, PID, permissive=False)
 
 
 @query(f"{ASSIGN} SELECT res.pid, CASE WHEN chrom IN ('chr1', 'chr2') THEN status ELSE 'unmapped' END AS status FROM res JOIN pair ON res.pid = pair.pid")
@@ -421,9 +421,9 @@ mol AS (SELECT res.cell, umi, res.gene_id, bool_and(region = 'intron' OR NOT w)
 SELECT split_part('x:' || CAST(cell AS VARCHAR), ':', 2) AS cell, gene_id, CASE WHEN al THEN 'unspliced' WHEN an THEN 'ambiguous' ELSE 'spliced' END AS layer, count(*) AS count FROM mol GROUP BY 1, 2, 3""")
 def masked_layers(spark: SparkSession, sf: str) -> DataFrame:
     """Layers without intronic pairs in repeats; pairs that leave an exon count for the intron; cells lose their prefix."""
-    x, p = exon_view(spark, sf), pair_view(spark, sf)
+    x = exon_view(spark, sf)
     repeats = x.where("line % 3 = 0").select("chrom", (F.col("start") - F.col("start") % 40).alias("start"), (F.col("start") - F.col("start") % 40 + 40).alias("end"))
-    a = counts.mask_repeats(assigned_genes(spark, sf), p.select("pid", "chrom", "start1", "end1", "start2", "end2"), repeats, PID, WIDTH)
+    a = counts.mask_repeats(assigned_genes(spark, sf, "chrom", "start1", "end1", "start2", "end2"), None, repeats, PID, WIDTH)
     one = counts.layer_counts(a.withColumn("cell", F.concat(F.lit("x:"), F.col("cell").cast("string"))), spanning=True)
     return counts.combine_layers(one.where("layer = 'spliced'"), one.where("layer <> 'spliced'"))
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +160,29 @@ def test_cells_of_exon_counts_come_with_the_pairs(spark):
 
     plan = exon_queries.cell_exon_counts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and plan.count("lineitem") <= 1
+
+
+def test_masked_layers_join_no_pairs(spark):
+    """Masking takes the places of pairs along, and no join brings them back."""
+    from cellspark.plans import queries
+
+    plan = queries.masked_layers(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_the_flank_is_looked_up_only_for_pairs_without_a_feature_in_sense():
+    import pyarrow as pa
+
+    p = lambda x: pa.array(x, pa.int64())
+    made = assign_gene.Blocks([pa.array([3, 0], pa.int32()), p([100, 5]), p([110, None]), p([2000, 900]), pa.array([1, 1], pa.int32()), pa.array([[100, 2000], [5, 900]]), pa.array([[110, 2010], [15, 905]])])
+    assert [x.tolist() for x in made.plain()] == [[0, 0, 1, 1], [100, 2000, 5, 900], [110, 2010, 15, 905], [1, 1, 0, 0]]
+    row, start, end, tag = made.moved(np.array([True, False]))
+    assert row.tolist() == [0, 0] and start.tolist() == [0, 1000] and end.tolist() == [10, 1010] and tag.tolist() == [3, 3]
+    assert made.aligned.tolist() == [20, 15] and np.isnan(made.sense).all()
+
+
+def test_sums_of_shared_bases_by_one_number_or_by_three():
+    rng = np.random.default_rng(3)
+    row, tag, unit, shared = rng.integers(0, 40, 3000), rng.integers(0, 4, 3000), rng.integers(0, 9, 3000), rng.integers(1, 30, 3000)
+    one, three = steps.Segments._summed(row, tag, unit, shared), steps.Segments._summed(row, tag - 2, unit, shared)
+    assert all((a == b).all() for a, b in zip((one[0], one[1] - 2, *one[2:]), three)) and one[3].sum() == shared.sum()
