@@ -9,6 +9,16 @@ from .intervals import containment_join
 from .steps import steps
 
 
+PART = 500_000
+
+
+def dealt(df: DataFrame, *by: str, rows: int = PART) -> DataFrame:
+    """df in parts of about `rows` rows by key, however large it is.  Sums whose keys hold `by` need no further exchange, and a
+    task that makes them holds a part's keys: Spark joins small parts into larger ones by their bytes, but not these."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(parts, df.count() // rows + 1), *by)
+
+
 def feature_counts(assigned: DataFrame, by: list[str], weight: str | None = None) -> DataFrame:
     """Summed weight (or number of rows) a cell and feature; partial sums are made before the shuffle."""
     return assigned.groupBy(*by).agg((F.sum(weight) if weight else F.count("*")).alias("count"))

@@ -432,7 +432,8 @@ COUNTS = "SELECT l_suppkey AS cell, l_partkey AS gene, count(*) AS count FROM li
 
 
 def _counts(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.feature_counts(read(spark, sf, "lineitem").select(F.col("l_suppkey").alias("cell"), F.col("l_partkey").alias("gene")), ["cell", "gene"])
+    l = read(spark, sf, "lineitem").select(F.col("l_suppkey").alias("cell"), F.col("l_partkey").alias("gene"))
+    return counts.feature_counts(counts.dealt(l, "cell", "gene"), ["cell", "gene"])
 
 
 @query(f"WITH c AS ({COUNTS}) SELECT cell, sum(count)::BIGINT AS umi_count, count(*) FILTER (count > 0) AS gene_count FROM c GROUP BY cell HAVING sum(count) > 0")

@@ -221,3 +221,15 @@ def test_splicing_by_models(spark):
     assert splicing.validated(lone, splicing.models(exons), ["pid"]).count() == 0
     some = lambda permissive: {r.cell: r.state for r in splicing.molecule_states(lone, splicing.models(exons), valid.limit(0), ["pid"], permissive=permissive).collect()}
     assert some(True) == {"exonic": "spliced", "second intron": "unspliced"} and some(False) == {"exonic": "spliced"}
+
+
+def test_counts_are_made_in_parts_that_stay_apart(spark):
+    """A task's keys are a part's, as many parts as the rows ask for, and merged primers need no further exchange."""
+    from cellspark.operators import counts
+    from cellspark.plans import file_queries
+
+    some = counts.dealt(spark.range(5000).selectExpr("id % 50 AS cell", "id AS gene"), "cell", "gene", rows=100)
+    one = counts.feature_counts(some, ["cell", "gene"])
+    assert one.count() == 5000 and len(one.mapInArrow(lambda b: b, one.schema).rdd.glom().filter(len).collect()) > 30
+    plan = file_queries.merged_matrix(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
