@@ -209,7 +209,8 @@ def _final_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, D
     p = p.select(s("rt").alias("rt"), s("shortdt").alias("shortdt"), "is_randomn", "sample")
     l = read(spark, sf, "lineitem").select(F.col("l_returnflag").alias("pcr_batch"), (F.col("l_orderkey") % 8).cast("string").alias("ligation_barcodes"), s("l_suppkey").alias("rt_barcodes"), F.col("l_partkey").alias("gene_id"), "l_quantity")
     c = l.groupBy(*cells.CELL).agg((F.sum(F.when(F.col("l_quantity") < 10, 1.0).otherwise(0.0)) / (F.count("*") + 1)).alias("unmatched_rate"))
-    return counts.feature_counts(l, [*cells.CELL, "gene_id"]), c, p
+    # both primers of a cell lie with their gene, so their counts are added up where they were made
+    return counts.feature_counts(counts.dealt(l.select(*cells.CELL, "gene_id"), *cells.UNIT, "gene_id"), [*cells.CELL, "gene_id"]), c, p
 
 
 @query(FINAL)
