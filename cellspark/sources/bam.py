@@ -42,6 +42,8 @@ BLOCK = 60_000
 SPLIT = 64 << 20
 #: Decompressed bytes that are decoded at once.
 PIECE = 8 << 20
+#: Bytes of rows that are packed at once.
+SLICE = 2 << 20
 #: Heads in a row that make a place the beginning of a block or a record.
 CHAIN = 4
 WINDOW = 1 << 14
@@ -363,19 +365,38 @@ class IndexMaker:
         self.before = (0, -1)
 
     def add(self, ref: int, pos: int, end: int, start_at: int, end_at: int) -> None:
-        place = (ref if ref >= 0 else len(self.bins), pos)
-        if place < self.before:
+        self.extend(*(np.array([x], np.int64) for x in (ref, pos, end, start_at, end_at)))
+
+    def extend(self, ref: np.ndarray, pos: np.ndarray, end: np.ndarray, start_at: np.ndarray, end_at: np.ndarray) -> None:
+        """Many records: those of one bin that follow one another in a block are one chunk."""
+        if not len(ref):
+            return
+        known = np.where(ref >= 0, ref, len(self.bins))
+        if (int(known[0]), int(pos[0])) < self.before or ((known[1:] < known[:-1]) | (known[1:] == known[:-1]) & (pos[1:] < pos[:-1])).any():
             raise ValueError("an index needs rows in order of place")
-        self.before = place
-        if ref < 0:
+        self.before = (int(known[-1]), int(pos[-1]))
+        mapped = ref >= 0
+        ref, pos, end, start_at, end_at = (x[mapped] for x in (ref, pos, end, start_at, end_at))
+        if not len(ref):
             return
-        chunks = self.bins[ref].setdefault(bin_of(pos, end), [])
-        if chunks and chunks[-1][1] >> 16 == start_at >> 16:
-            chunks[-1][1] = end_at
-        else:
-            chunks.append([start_at, end_at])
-        for w in range(pos // WINDOW, (end - 1) // WINDOW + 1):
-            self.windows[ref].setdefault(w, start_at)
+        bins = _bins(pos, end)
+        order = np.lexsort((bins, ref))
+        r, b, first, last = ref[order], bins[order], start_at[order], end_at[order]
+        cut = np.flatnonzero((r[1:] != r[:-1]) | (b[1:] != b[:-1]) | (last[:-1] >> 16 != first[1:] >> 16)) + 1
+        lo, hi = np.concatenate([[0], cut]), np.concatenate([cut - 1, [len(r) - 1]])
+        for one, at, x, y in zip(r[lo].tolist(), b[lo].tolist(), first[lo].tolist(), last[hi].tolist()):
+            chunks = self.bins[one].setdefault(at, [])
+            if chunks and chunks[-1][1] >> 16 == x >> 16:
+                chunks[-1][1] = y
+            else:
+                chunks.append([x, y])
+        # the first record of each reference and span of windows
+        w, v = pos // WINDOW, (end - 1) // WINDOW
+        spans = np.lexsort((np.arange(len(ref)), v, w, ref))
+        new = np.concatenate([[True], (np.diff(ref[spans]) != 0) | (np.diff(w[spans]) != 0) | (np.diff(v[spans]) != 0)])
+        for i in np.sort(spans[new]).tolist():
+            for x in range(int(w[i]), int(v[i]) + 1):
+                self.windows[int(ref[i])].setdefault(x, int(start_at[i]))
 
     def bytes(self) -> bytes:
         out = [b"BAI\1", struct.pack("<i", len(self.bins))]
@@ -421,31 +442,117 @@ def chunks_of(index: bytes, ref: int, start: int, end: int) -> list[tuple[int, i
 # --- the data source ------------------------------------------------------------------------------------------------
 
 
-def packed(row: dict, numbers: dict[str, int]) -> tuple[bytes, int, int, int]:
-    """(a row of SCHEMA as a record, its reference, start and end); columns that a table lacks take the format's empty values, all tags are strings."""
-    name = (row.get("name") or "*").encode() + b"\0"
-    cigar, n, ops = row.get("cigar") or "*", 0, []
-    if cigar != "*":
-        for c in cigar:
-            if c.isdigit():
-                n = 10 * n + int(c)
-            else:
-                ops.append((n << 4) | OPS.index(c))
-                n = 0
-    seq = "" if (row.get("seq") or "*") == "*" else row["seq"].upper()
-    codes = [BASES.index(b) if b in BASES else 15 for b in seq] + [0] * (len(seq) % 2)
-    bases = bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2]))
-    qual = bytes([255] * len(seq)) if (row.get("qual") or "*") == "*" else bytes(ord(q) - 33 for q in row["qual"])
-    tags = b"".join(k.encode() + b"Z" + v.encode() + b"\0" for k, v in (row.get("tags") or []))
-    pos = -1 if row.get("pos") is None else row["pos"]
-    mate_pos = -1 if row.get("mate_pos") is None else row["mate_pos"]
-    end = pos + (sum(o >> 4 for o in ops if OPS[o & 15] in "MDN=X") or 1)
-    ref = numbers.get(row.get("chrom"), -1)
-    fixed = struct.pack(
-        "<iiBBHHHiiii", ref, pos, len(name), row.get("mapq") or 0, bin_of(pos, end) if pos >= 0 else 4680, len(ops), row.get("flag") or 0, len(seq), numbers.get(row.get("mate_chrom"), -1), mate_pos, row.get("length") or 0,
-    )
-    body = fixed + name + struct.pack(f"<{len(ops)}I", *ops) + bases + qual + tags
-    return struct.pack("<i", len(body)) + body, ref, max(pos, 0), max(end, 1)
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(the bytes of strings end to end, their sizes); a null is empty."""
+    column = column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    size = np.diff(ends).astype(np.int64)
+    if column.null_count:
+        none = column.is_null().to_numpy(zero_copy_only=False)
+        return (_gather(data, ends[:-1], np.where(none, 0, size)), np.where(none, 0, size)) if size[none].any() else (data[ends[0] : ends[-1]], size)
+    return data[ends[0] : ends[-1]], size
+
+
+def _binary(data: np.ndarray, size: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _ops(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(CIGAR operators of all rows end to end, packed; their number a row)."""
+    data, size = _flat(text)
+    digit = (data >= 48) & (data <= 57)
+    at, owner = np.flatnonzero(~digit), np.repeat(np.arange(len(size)), size)
+    letters = np.full(256, 255, np.uint8)
+    letters[np.frombuffer(OPS.encode(), np.uint8)] = np.arange(len(OPS))
+    kind = letters[data[at]]
+    if (kind == 255).any():
+        raise ValueError("a CIGAR holds an unknown operator")
+    digits = np.flatnonzero(digit)
+    of = np.searchsorted(at, digits)  # the operator behind a digit, which may be another row's
+    mine = of < len(at)
+    mine[mine] = owner[at[of[mine]]] == owner[digits[mine]]
+    digits, of = digits[mine], of[mine]
+    power = at[of] - digits - 1
+    if (power > 11).any():
+        raise ValueError("a CIGAR holds a number beyond the format")
+    n = np.bincount(of, (data[digits].astype(np.int64) - 48) * 10**power, minlength=len(at)).astype(np.int64)
+    if (n >= 1 << 28).any():
+        raise ValueError("a CIGAR holds a number beyond the format")
+    return (n << 4 | kind).astype(np.uint32), np.bincount(owner[at], minlength=len(size))
+
+
+def _bins(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """bin_of, for many intervals."""
+    end, out = end - 1, np.zeros(len(start), np.int64)
+    for shift, first in ((26, 1), (23, 9), (20, 73), (17, 585), (14, 4681)):
+        out = np.where(start >> shift == end >> shift, first + (start >> shift), out)
+    return out
+
+
+def packed(batch: pa.RecordBatch, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(rows of SCHEMA as records end to end, their sizes, references, starts and ends); columns that a table lacks take the
+    format's empty values, all tags are strings."""
+    rows = batch.num_rows
+
+    def of(name: str, kind: pa.DataType) -> pa.Array:
+        i = batch.schema.get_field_index(name)
+        return batch.column(i).cast(kind) if i >= 0 else pa.nulls(rows, kind)
+
+    def text(name: str) -> pa.Array:
+        column = pc.fill_null(of(name, pa.string()), "")
+        return pc.if_else(pc.equal(column, "*"), "", column)
+
+    whole = lambda name, other: pc.fill_null(of(name, pa.int64()), other).to_numpy(zero_copy_only=False)
+    ref = lambda name: pc.fill_null(pc.index_in(of(name, pa.string()), pa.array(list(numbers), pa.string()), skip_nulls=True), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    name = text("name")
+    name = pc.if_else(pc.equal(name, ""), "*", name).cast(pa.binary())
+    ops, n_ops = _ops(text("cigar"))
+    seq, n_seq = _flat(pc.replace_substring_regex(text("seq"), r"[^\x00-\x7F]", "N"))
+    codes = np.full(256, 15, np.uint8)
+    codes[np.frombuffer(BASES.encode(), np.uint8)] = codes[np.frombuffer(BASES.lower().encode(), np.uint8)] = np.arange(16)
+    half = np.insert(codes[seq], np.cumsum(n_seq)[n_seq % 2 == 1], 0)
+    half = half[::2] << 4 | half[1::2]
+    raw, n_raw = _flat(text("qual"))
+    told = n_raw > 0
+    if (n_raw[told] != n_seq[told]).any():
+        raise ValueError("a row has more or fewer qualities than bases")
+    if ((raw < 33) | (raw > 126)).any():
+        raise ValueError("a quality is beyond the format")
+    qual = np.full(len(seq), 255, np.uint8)
+    qual[np.repeat(told, n_seq)] = raw - np.uint8(33)
+    i = batch.schema.get_field_index("tags")
+    tags, n_tags = np.zeros(0, np.uint8), np.zeros(rows, np.int64)
+    if i >= 0:
+        held = batch.column(i)
+        held = held.cast(pa.list_(pa.struct([pa.field("key", pa.string(), False), pa.field("value", pa.string())])))
+        each = held.flatten()
+        key, value = pc.struct_field(each, "key"), pc.struct_field(each, "value")
+        if value.null_count:
+            raise ValueError("a tag has no value")
+        tags, size = _flat(pc.binary_join_element_wise(key, pc.binary_join_element_wise("Z", value, ""), "\0", ""))
+        n_tags = pc.fill_null(pc.list_value_length(held), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        n_tags = np.diff(np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n_tags)])])
+    pos = whole("pos", -1)
+    kind = ops & 15
+    long = np.isin(kind, [OPS.index(c) for c in "MDN=X"])
+    length = np.bincount(np.repeat(np.arange(rows), n_ops), (ops >> 4) * long, minlength=rows).astype(np.int64)
+    end = pos + np.maximum(length, 1)
+    head, n_name = np.zeros(rows, HEAD), pc.binary_length(name).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    fields = {
+        "size": 32 + n_name + 4 * n_ops + (n_seq + 1) // 2 + n_seq + n_tags, "ref": ref("chrom"), "pos": pos, "l_name": n_name, "mapq": whole("mapq", 0), "bin": np.where(pos >= 0, _bins(pos, end), 4680), "n_cigar": n_ops,
+        "flag": whole("flag", 0), "n_seq": n_seq, "mate": ref("mate_chrom"), "mate_pos": whole("mate_pos", -1), "length": whole("length", 0),
+    }
+    for field, x in fields.items():
+        bounds = np.iinfo(HEAD[field])
+        if len(x) and not bounds.min <= x.min() <= x.max() <= bounds.max:
+            raise ValueError(f"a row's {field} is beyond the format")
+        head[field] = x
+    same = np.full(rows, HEAD.itemsize)
+    parts = [_binary(head.view(np.uint8), same), pc.binary_join_element_wise(name, b"", b"\0"), _binary(ops.view(np.uint8), 4 * n_ops), _binary(half, (n_seq + 1) // 2), _binary(qual, n_seq), _binary(tags, n_tags)]
+    data, size = _flat(pc.binary_join_element_wise(*parts, b""))
+    return data, size, fields["ref"], np.maximum(pos, 0), np.maximum(end, 1)
 
 
 def block(data: bytes) -> bytes:
@@ -565,28 +672,42 @@ class BamWriter(DataSourceArrowWriter):
             for i in range(0, len(head), BLOCK):
                 at += out.write(block(head[i : i + BLOCK]))
             buffer, size = bytearray(), 0
-            starts: list[int] = []  # of the blocks with records, a number a block
-            waiting: list[tuple[int, int, int, int, int]] = []  # reference, start, end, and the record's place and end in the blocks' bytes
+            starts: list[int] = []  # of the blocks that waiting records lie in, a number a block
+            gone = 0  # blocks before those
+            waiting: list[list[np.ndarray]] = []  # references, starts, ends, and the records' places and ends in the blocks' bytes
 
             def flush(everything: bool) -> None:
-                nonlocal at
-                while len(buffer) >= BLOCK or everything and buffer:
+                nonlocal at, gone
+                done = len(buffer) if everything else len(buffer) // BLOCK * BLOCK
+                view = memoryview(buffer)
+                for i in range(0, done, BLOCK):
                     starts.append(at)
-                    at += out.write(block(bytes(buffer[:BLOCK])))
-                    del buffer[:BLOCK]
+                    at += out.write(block(view[i : min(i + BLOCK, done)]))
+                view.release()
+                del buffer[:done]
                 if everything:
                     starts.append(at)
-                known = next((i for i, w in enumerate(waiting) if w[4] // BLOCK >= len(starts)), len(waiting))
-                for ref, a, b, *ends in waiting[:known]:
-                    maker.add(ref, a, b, *[starts[-1] << 16 if everything and q == size else starts[q // BLOCK] << 16 | q % BLOCK for q in ends])
-                del waiting[:known]
+                if not waiting:
+                    del starts[:]
+                    return
+                rows = [np.concatenate(x) for x in zip(*waiting)]
+                known = int(np.searchsorted(rows[4] // BLOCK, gone + len(starts)))
+                places = np.array(starts, np.int64) << 16
+                virtual = [np.where(everything & (q == size), places[-1], places[np.minimum(q // BLOCK - gone, len(places) - 1)] | q % BLOCK) for q in (x[:known] for x in rows[3:])]
+                maker.extend(*(x[:known] for x in rows[:3]), *virtual)
+                waiting[:] = [[x[known:] for x in rows]] if known < len(rows[0]) else []
+                keep = (int(rows[3][known]) if known < len(rows[0]) else size) // BLOCK
+                del starts[: keep - gone]
+                gone = max(gone, keep)
 
             for batch in iterator:
-                for row in batch.to_pylist():
-                    data, ref, a, b = packed(row, numbers)
-                    buffer += data
+                step = max(1, batch.num_rows * SLICE // max(batch.nbytes, 1))
+                for lo in range(0, batch.num_rows, step):
+                    data, sizes, *places = packed(batch.slice(lo, step), numbers)
+                    buffer += memoryview(data)
                     if maker is not None:
-                        waiting.append((ref, a, b, size, size + len(data)))
+                        ends = size + np.cumsum(sizes)
+                        waiting.append([*places, ends - sizes, ends])
                     size += len(data)
                     if len(buffer) >= 16 * BLOCK:
                         flush(False)

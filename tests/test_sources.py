@@ -4,6 +4,8 @@ import gzip
 import random
 import zipfile
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +154,46 @@ def test_an_index_needs_order():
         maker.add(0, 4, 9, 10, 20)
 
 
+def test_rows_are_packed_together():
+    """A batch's records, with the format's empty values, and slices of a batch."""
+    chroms = {"chr1": 0, "chr2": 1}
+    rows = [
+        {"name": "a", "flag": 16, "chrom": "chr2", "pos": 16380, "mapq": 9, "cigar": "5S10M100N3I4D2=", "mate_chrom": "chr1", "mate_pos": 7, "length": -5, "seq": "ACGTn", "qual": "IIII!", "tags": [("CB", "a:b"), ("UB", "")]},
+        {"name": None, "flag": None, "chrom": "other", "pos": None, "mapq": None, "cigar": None, "mate_chrom": None, "mate_pos": None, "length": None, "seq": "*", "qual": "*", "tags": None},
+        {"name": "", "flag": 4, "chrom": None, "pos": 0, "mapq": 255, "cigar": "*", "mate_chrom": "chr2", "mate_pos": 0, "length": 0, "seq": "acg", "qual": None, "tags": []},
+    ]
+    batch = pa.RecordBatch.from_pylist(rows, schema=bam.ARROW)
+    for lo, hi in ((0, 3), (1, 3), (2, 3), (0, 0)):
+        data, size, ref, start, end = bam.packed(batch.slice(lo, hi - lo), chroms)
+        assert int(size.sum()) == len(data) and ref.tolist() == [1, -1, -1][lo:hi] and start.tolist() == [16380, 0, 0][lo:hi] and end.tolist() == [16496, 1, 1][lo:hi]
+        if hi > lo:
+            got = bam.decode(data, np.cumsum(size) - size, list(chroms)).to_pylist()
+            want = [rows[0] | {"seq": "ACGTN"}, {"name": "*", "flag": 0, "chrom": None, "pos": -1, "mapq": 0, "cigar": "*", "mate_chrom": None, "mate_pos": -1, "length": 0, "seq": "*", "qual": "*", "tags": []}, rows[2] | {"name": "*", "seq": "ACG", "qual": "*"}]
+            assert got == want[lo:hi]
+    for field, value in (("qual", "II"), ("mapq", 256), ("cigar", "3Q"), ("cigar", f"{1 << 28}M"), ("name", "x" * 255)):
+        with pytest.raises(ValueError):
+            bam.packed(pa.RecordBatch.from_pylist([rows[0] | {field: value}], schema=bam.ARROW), chroms)
+
+
+def test_an_index_of_many_records_at_once():
+    rnd, at, rows = random.Random(3), 0, []
+    for ref, pos in sorted((rnd.randrange(2), rnd.randrange(1 << 19)) for _ in range(4000)):
+        size = rnd.randrange(40, 3000)
+        rows.append((ref, pos, pos + rnd.choice([1, 60, 20_000, 300_000]), *[q // 60_000 * 777 << 16 | q % 60_000 for q in (at, at + size)]))
+        at += size
+    one, all_, bins = bam.IndexMaker(3), bam.IndexMaker(3), [{} for _ in range(3)]
+    for row in rows:
+        one.add(*row)
+        chunks = bins[row[0]].setdefault(bam.bin_of(*row[1:3]), [])
+        if chunks and chunks[-1][1] >> 16 == row[3] >> 16:
+            chunks[-1][1] = row[4]
+        else:
+            chunks.append(list(row[3:]))
+    for part in (rows[:1], rows[1:1500], rows[1500:]):
+        all_.extend(*np.array(part, np.int64).T)
+    assert all_.bins == bins and one.bytes() == all_.bytes()
+
+
 def test_coordinate_order(spark):
     rows = [("b", "chr2", 5), ("a", "chr10", 1), ("c", "chr2", 5), ("d", None, -1), ("e", "chr1", 9), ("f", "odd", 0)]
     d = spark.createDataFrame(rows, "name string, chrom string, pos long")
