@@ -41,7 +41,7 @@ HEAD = np.dtype([("size", "<i4"), ("ref", "<i4"), ("pos", "<i4"), ("l_name", "u1
 BLOCK = 60_000
 SPLIT = 64 << 20
 #: Decompressed bytes that are decoded at once.
-PIECE = 8 << 20
+PIECE = 2 << 20
 #: Bytes of rows that are packed at once.
 SLICE = 2 << 20
 #: Heads in a row that make a place the beginning of a block or a record.
@@ -323,8 +323,8 @@ def batches(blocks: Blocks, chroms: list[str], at: int, skip: int, stop: int, la
     while True:
         while len(data) - p < PIECE and (ends is None or len(data) < ends):
             more()
-        places = []
-        while p < (len(data) if ends is None else ends):
+        places, piece = [], len(data) if ends is None else ends  # fixed here: a last record's bytes make data longer
+        while p < piece:
             while p + 4 > len(data):
                 more()
             n = 4 + struct.unpack_from("<i", data, p)[0]

@@ -175,6 +175,18 @@ def test_rows_are_packed_together():
             bam.packed(pa.RecordBatch.from_pylist([rows[0] | {field: value}], schema=bam.ARROW), chroms)
 
 
+def test_decoded_pieces_are_small(tmp_path):
+    """What a task holds of a file is bounded by a piece, whatever the file's size."""
+    rows = pa.RecordBatch.from_pylist([{"name": f"read{i}", "pos": i, "seq": "ACGT" * 25} for i in range(60_000)], schema=bam.ARROW)
+    data = np.concatenate([bam.packed(rows.slice(i, 5000), {})[0] for i in range(0, 60_000, 5000)]).tobytes()
+    head = b"BAM\1" + bytes(8)
+    path = tmp_path / "x.bam"
+    path.write_bytes(b"".join(bam.block(x) for x in [head, *[data[i : i + bam.BLOCK] for i in range(0, len(data), bam.BLOCK)]]) + bam.EOF_BLOCK)
+    reader = bam.BamReader(str(path))
+    got = [b for part in reader.partitions() for b in reader.read(part)]
+    assert sum(b.num_rows for b in got) == 60_000 and len(data) > 8 << 20 and max(b.nbytes for b in got) < 6 << 20
+
+
 def test_an_index_of_many_records_at_once():
     rnd, at, rows = random.Random(3), 0, []
     for ref, pos in sorted((rnd.randrange(2), rnd.randrange(1 << 19)) for _ in range(4000)):
