@@ -12,11 +12,12 @@ from .steps import steps
 PART = 500_000
 
 
-def dealt(df: DataFrame, *by: str, rows: int = PART) -> DataFrame:
+def dealt(df: DataFrame, *by: str, rows: int = PART, of: int | None = None) -> DataFrame:
     """df in parts of about `rows` rows by key, however large it is.  Sums whose keys hold `by` need no further exchange, and a
-    task that makes them holds a part's keys: Spark joins small parts into larger ones by their bytes, but not these."""
+    task that makes them holds a part's keys: Spark joins small parts into larger ones by their bytes, but not these.  of: the
+    number of rows, where it is known."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(parts, df.count() // rows + 1), *by)
+    return df.repartition(max(parts, (df.count() if of is None else of) // rows + 1), *by)
 
 
 def feature_counts(assigned: DataFrame, by: list[str], weight: str | None = None) -> DataFrame:

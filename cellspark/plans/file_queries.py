@@ -122,11 +122,21 @@ def count_tables(spark: SparkSession, sf: str) -> DataFrame:
     return back.join(tables.read_features(spark, f"{path}/gene_ids.csv.gz", "gene_index long, gene_id string"), "gene_index").select("prefix", "gene_index", "cell_index", "count", "cell_id", "unmatched_rate", "gene_id")
 
 
+def _matrix_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Triplets of all prefixes, summed in parts of a bounded number of lines and written once, as both annotations come of them too."""
+    l = read(spark, sf, "lineitem").select(F.col("l_returnflag").alias("prefix"), F.col("l_suppkey").cast("string").alias("cell_id"), F.col("l_partkey").cast("string").alias("gene_id"))
+    t = counts.feature_counts(counts.dealt(l, "cell_id", "gene_id"), ["prefix", "cell_id", "gene_id"])
+    t = t.groupBy("cell_id", "gene_id").agg(F.sum("count").alias("count"))
+    path = paths.scratch(spark, "matrix-triplets")
+    t.write.parquet(path)
+    return spark.read.schema(t.schema).parquet(path)
+
+
 @query(f"WITH t AS ({TRIPLETS}) SELECT CAST(cell AS VARCHAR) AS cell_id, CAST(gene AS VARCHAR) AS gene_id, sum(count)::DOUBLE AS value FROM t GROUP BY 1, 2")
 def matrix_bundle(spark: SparkSession, sf: str) -> DataFrame:
     """A MatrixMarket matrix with its annotations, written in parts and read back by name."""
     path = paths.scratch(spark, "matrix")
-    t = _triplets(spark, sf).groupBy(F.col("cell").cast("string").alias("cell_id"), F.col("gene").cast("string").alias("gene_id")).agg(F.sum("count").alias("count"))
+    t = _matrix_counts(spark, sf)
     tables.write_matrix_bundle(t, t.groupBy("cell_id").agg(F.sum("count").alias("umi_count")), t.select("gene_id").distinct(), path)
     return tables.read_matrix_bundle(spark, path)
 
@@ -158,7 +168,7 @@ def appended_logs(spark: SparkSession, sf: str) -> DataFrame:
 def matrix_in_file_order(spark: SparkSession, sf: str) -> DataFrame:
     """A matrix whose annotations stand in no order of their names, as other programs write them."""
     path = paths.scratch(spark, "foreign")
-    t = _triplets(spark, sf).groupBy(F.col("cell").cast("string").alias("cell_id"), F.col("gene").cast("string").alias("gene_id")).agg(F.sum("count").alias("count"))
+    t = _matrix_counts(spark, sf)
     by_hash = lambda c: t.select(c).distinct().withColumn("place", F.md5(c))
     tables.write_matrix_bundle(t, by_hash("cell_id"), by_hash("gene_id"), path, gzip=False, cells_by="place", features_by="place")
     return tables.read_matrix_bundle(spark, path)

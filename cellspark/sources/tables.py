@@ -18,6 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.counts import dealt
 from ..operators.ranks import ranked
 from .lines import csv_rows, numbered_lines
 from .paths import exists, file_name, place, remove, scratch
@@ -162,23 +163,39 @@ def write_stats(stats: DataFrame, path: str) -> None:
 # --- matrices -------------------------------------------------------------------------------------------------------
 
 
+def _matrix_market(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """read_matrix_market's rows, and how many entries the size line tells."""
+    comment = F.startswith(F.col("value"), F.lit("%"))
+    text = spark.read.text(path).where(F.trim("value") != "").select(F.col("_metadata.file_path").alias("file"), "value")
+    banners = text.where(F.startswith(F.col("value"), F.lit("%%MatrixMarket"))).groupBy("file").agg(F.min("value").alias("banner")).sort("file").collect()  # a row a file that holds one
+    if not banners:
+        raise ValueError(f"no MatrixMarket banner in {path}")
+    banner, headed = banners[0]["banner"].lower(), [r["file"] for r in banners]
+    kind = banner.split()
+    if len(kind) < 5 or kind[2] != "coordinate" or kind[3] not in ("integer", "real", "pattern", "double") or kind[4] not in ("general", "symmetric", "skew-symmetric"):
+        raise ValueError(f"not a coordinate matrix of real numbers: {banner}")
+    # lines of the files that hold banners are numbered, to leave their size lines out; those of all others are entries
+    lines = numbered_lines(spark, path, blank=False, only=headed).where(~comment)
+    sizes = lines.groupBy("file").agg(F.min("in_file").alias("in_file")).collect()
+    told = spark.createDataFrame([tuple(r) for r in sizes], "file string, in_file long")
+    first = lines.join(F.broadcast(told), ["file", "in_file"]).sort("file").select("value").head(1)
+    body = lines.join(F.broadcast(told), ["file", "in_file"], "left_anti").select("value")
+    body = body.unionByName(text.where(~F.col("file").isin(headed) & ~comment).select("value"))
+    numbers = first[0][0].split() if first else []
+    n = int(numbers[2]) if len(numbers) == 3 and numbers[2].isdecimal() else 0
+    return _entries(body, kind), n
+
+
 def read_matrix_market(spark: SparkSession, path: str) -> DataFrame:
     """row, col (from 0), value of a coordinate MatrixMarket file, or of a folder of parts that make one when laid end to end.
 
     The size line is the first that is neither empty nor a comment in the file that holds the banner.  Entries without
     values (pattern) are 1; of a symmetric or skew-symmetric matrix both halves are given.
     """
-    lines = numbered_lines(spark, path, blank=False)
-    comment = F.startswith(F.col("value"), F.lit("%"))
-    banner_ = F.startswith(F.col("value"), F.lit("%%MatrixMarket"))
-    head = lines.groupBy("file").agg(F.min(F.when(~comment, F.col("line"))).alias("size"), F.min(F.when(banner_, F.col("value"))).alias("banner")).where("banner IS NOT NULL")
-    banner = head.select(F.lower("banner")).first()
-    if banner is None:
-        raise ValueError(f"no MatrixMarket banner in {path}")
-    kind = banner[0].split()
-    if len(kind) < 5 or kind[2] != "coordinate" or kind[3] not in ("integer", "real", "pattern", "double") or kind[4] not in ("general", "symmetric", "skew-symmetric"):
-        raise ValueError(f"not a coordinate matrix of real numbers: {banner[0]}")
-    body = lines.where(~comment).join(head.select(F.col("size").alias("line")), "line", "left_anti")
+    return _matrix_market(spark, path)[0]
+
+
+def _entries(body: DataFrame, kind: list[str]) -> DataFrame:
     c = F.split(F.trim("value"), r"\s+")
     value = F.lit(1.0) if kind[3] == "pattern" else c[2].cast("double")
     entries = body.select((c[0].cast("long") - 1).alias("row"), (c[1].cast("long") - 1).alias("col"), value.alias("value"))
@@ -207,8 +224,9 @@ def write_matrix_bundle(counts: DataFrame, cells: DataFrame, features: DataFrame
     cells_by and features_by (the ids, unless other columns are named).  cells: cell_id and its columns; features: `feature`
     and its columns; counts: both and count.
 
-    Indices are ranks, taken over ranges of keys, so no task sees all of them; both tables and the counts are written once
-    in the shared folder, as every count, sort and join below would compute them anew.
+    Indices are ranks, taken over ranges of keys, so no task sees all of them; both tables, the counts and the entries are
+    written once in the shared folder, as every count, sort and join below would compute them anew.  Counts meet the features
+    in parts of a bounded number of rows.
     """
     spark = counts.sparkSession
 
@@ -220,9 +238,9 @@ def write_matrix_bundle(counts: DataFrame, cells: DataFrame, features: DataFrame
     counts = kept(counts, "matrix-counts")
     c, f = kept(ranked(kept(cells, "matrix-cells"), cells_by, "__col"), "matrix-cells"), kept(ranked(kept(features, "matrix-features"), features_by or feature, "__row"), "matrix-features")
     n_cols, n_rows = c.count(), f.count()
-    entries = counts.join(c.select("cell_id", "__col"), "cell_id").join(f.select(feature, "__row"), feature).select(F.col("__row").alias("row"), F.col("__col").alias("col"), F.col("count").alias("value"))
+    entries = dealt(counts.join(c.select("cell_id", "__col"), "cell_id"), feature, of=counts.count()).join(f.select(feature, "__row"), feature).select(F.col("__row").alias("row"), F.col("__col").alias("col"), F.col("count").alias("value"))
     end = ".gz" if gzip else ""
-    write_matrix_market(entries, f"{path.rstrip('/')}/expression_matrix.mtx{end}", n_rows, n_cols, gzip=gzip)
+    write_matrix_market(kept(entries, "matrix-entries"), f"{path.rstrip('/')}/expression_matrix.mtx{end}", n_rows, n_cols, gzip=gzip)
     for df, order, name in ((c, "__col", "cell_annotation.csv"), (f, "__row", "feature_annotation.csv")):
         df.sort(order).drop(order).write.csv(f"{path.rstrip('/')}/{name}{end}", header=True, compression="gzip" if gzip else "none")
 
@@ -230,9 +248,10 @@ def write_matrix_bundle(counts: DataFrame, cells: DataFrame, features: DataFrame
 def read_matrix_bundle(spark: SparkSession, path: str, feature: str = "gene_id") -> DataFrame:
     """cell_id, feature, value: the matrix with its names; the n-th name of an annotation is that of column or row n, in file order."""
     end = ".gz" if exists(spark, f"{path.rstrip('/')}/expression_matrix.mtx.gz") else ""
-    m = read_matrix_market(spark, f"{path.rstrip('/')}/expression_matrix.mtx{end}")
+    m, n = _matrix_market(spark, f"{path.rstrip('/')}/expression_matrix.mtx{end}")
     named = lambda name, key, index: csv_rows(spark, f"{path.rstrip('/')}/{name}{end}", index).select(index, key)
-    return m.join(named("cell_annotation.csv", "cell_id", "col"), "col").join(named("feature_annotation.csv", feature, "row"), "row").select("cell_id", feature, "value")
+    met = m.join(named("cell_annotation.csv", "cell_id", "col"), "col")
+    return dealt(met, "row", of=n).join(named("feature_annotation.csv", feature, "row"), "row").select("cell_id", feature, "value")
 
 
 # --- bundles and sheets ---------------------------------------------------------------------------------------------

@@ -280,6 +280,17 @@ def test_matrices_of_other_kinds(spark, tmp_path):
             get(name)
 
 
+def test_packed_lines_are_not_sent_to_every_task(spark, tmp_path):
+    spark.range(3000).select(F.concat(F.lit("a,"), F.col("id").cast("string")).alias("x")).repartition(3).write.csv(str(tmp_path / "m"), header=True, compression="gzip")
+    for df in (lines.numbered_lines(spark, str(tmp_path / "m")), lines.csv_rows(spark, str(tmp_path / "m"), "i")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BuildLeft" not in plan and "SortMergeJoin" not in plan
+    assert sorted(r.i for r in lines.csv_rows(spark, str(tmp_path / "m"), "i").collect()) == list(range(3000))
+    assert [r[0] for r in lines.numbered_lines(spark, str(tmp_path / "m")).select("nth").distinct().sort("nth").collect()] == [1, 2, 3]
+    one = lines.numbered_lines(spark, str(tmp_path / "m")).where("nth = 2").first().file
+    assert lines.numbered_lines(spark, str(tmp_path / "m"), only=[one]).agg(F.min("line"), F.countDistinct("file"), F.count("*")).first()[:2] == (0, 1)
+
+
 def test_names_in_file_order(spark, tmp_path):
     (tmp_path / "expression_matrix.mtx").write_text("%%MatrixMarket matrix coordinate integer general\n2 3 3\n1 1 7\n2 2 9\n2 3 4\n")
     (tmp_path / "cell_annotation.csv").write_text('cell_id,n\nz.1,5\n"a,1",6\n\nm.1,\n')
