@@ -29,8 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .counts import dealt
+
 TILE = 1 << 16
 MOST = 1000
+#: Reads a task.
+PART = 20_000
 #: Rows up to which the table of frequent codes is broadcast.
 SMALL = 1_000_000
 
@@ -234,14 +238,17 @@ def map_reads(reads: DataFrame, index: Index, max_mismatch: float = 0.05, block:
 
     An intron stands once in a read at most; pos is from 0; motif is the strand that the intron's motif names, or empty.
     """
+    # few bytes of reads give many diagonals, so reads are dealt by their number and not by the splits of their files
     reads = reads.select("read_id", F.upper("seq").alias("seq")).where(F.length("seq") <= index.overlap)
+    n = reads.count()
+    reads = dealt(reads, "read_id", rows=PART, of=n)
     size = F.lit(index.tile).cast("long")
     wanted = diagonals(reads, index).withColumn("tile", F.floor(F.col("diag") / size))
     window = F.substring(F.col("t.seq"), (F.col("diag") - F.col("t.tile") * size + 1).cast("int"), F.lit(index.overlap))
     with_ref = wanted.alias("d").join(index.tiles.alias("t"), ["contig", "tile"]).select("read_id", "contig", "strand", "diag", window.alias("ref"))
     kind = reads.schema["read_id"].dataType.simpleString()
     met = with_ref.join(reads, "read_id").select("read_id", "seq", "contig", "strand", "diag", F.expr("substring(ref, 1, length(seq))").alias("ref"))
-    parts = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // PART + 1)
 
     def run(batches):
         now, seq, found, rows = None, None, [], []

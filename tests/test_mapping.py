@@ -74,6 +74,17 @@ def test_reads_against_all_places(spark, tile, most):
     assert mapping.map_reads(d.limit(0), index, **terms).count() == 0
 
 
+def test_reads_of_one_split_are_dealt(spark):
+    """Diagonals are made in as many tasks as there are parts of reads, though all reads come in one split."""
+    rnd = random.Random(5)
+    ref = "".join(rnd.choice("ACGT") for _ in range(300))
+    index = mapping.build(spark.createDataFrame([("a", 0, ref)], "contig string, start long, seq string"), k=7, w=2, longest_read=48)
+    d = spark.createDataFrame([(i, ref[i : i + 48]) for i in range(200)], "read_id long, seq string").coalesce(1)
+    placed = mapping.map_reads(d, index, max_mismatch=1 / 48, block=17)
+    assert "REPARTITION_BY_NUM" in placed._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[-1]
+    assert {r.read_id: r.pos for r in placed.collect()} == {i: i for i in range(200)}
+
+
 @pytest.mark.parametrize("k,w", [(5, 1), (7, 4), (15, 10), (31, 3)])
 def test_minimizers(k, w):
     rnd = random.Random(k)
