@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.counts import dealt
+from ..operators.counts import PART, dealt
 from ..operators.ranks import ranked
 from .lines import csv_rows, numbered_lines
 from .paths import exists, file_name, place, remove, scratch
@@ -213,10 +213,12 @@ def write_matrix_market(triplets: DataFrame, path: str, n_rows: int, n_cols: int
     Entries are sorted by column, then row, in ranges; the head sorts before them, so the first part begins with it.
     """
     entry = F.concat_ws(" ", (F.col("row") + 1).cast("string"), (F.col("col") + 1).cast("string"), F.col("value").cast("long" if field == "integer" else "double").cast("string"))
-    head = f"%%MatrixMarket matrix coordinate {field} general\n%\n{n_rows} {n_cols} {triplets.count()}"
+    n = triplets.count()
+    head = f"%%MatrixMarket matrix coordinate {field} general\n%\n{n_rows} {n_cols} {n}"
     first = triplets.sparkSession.createDataFrame([(-1, -1, head)], "col long, row long, line string")
     body = triplets.select(F.col("col").cast("long").alias("col"), F.col("row").cast("long").alias("row"), entry.alias("line"))
-    first.unionByName(body).sort("col", "row").select("line").write.text(path, compression="gzip" if gzip else "none")
+    parts = max(int(triplets.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // PART + 1)
+    first.unionByName(body).repartitionByRange(parts, "col", "row").sortWithinPartitions("col", "row").select("line").write.text(path, compression="gzip" if gzip else "none")
 
 
 def write_matrix_bundle(counts: DataFrame, cells: DataFrame, features: DataFrame, path: str, feature: str = "gene_id", gzip: bool = True, cells_by: str = "cell_id", features_by: str | None = None) -> None:
