@@ -22,6 +22,7 @@ import gc
 import hashlib
 import re
 import struct
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ MAX_TRANSITIONS = 150_000
 MAX_PAIRS = 500_000
 #: Pieces and transitions where other operators ran before in the same executor and left it less memory.
 TIGHT = (75_000, 50_000)
+#: Of so many tasks of a worker, one is followed by a search of all its objects for circles.
+SEARCHED = 8
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -44,8 +47,8 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class State:
-    """name: the last token fixed, then each live place (a node, and the tokens pending up to it); next: transitions made from
-    here; twin: the state of this name in the old generation."""
+    """name: the last token fixed, then of each live place a node and the tokens pending up to it, side by side; next:
+    transitions made from here; twin: the state of this name in the old generation."""
 
     __slots__ = ("name", "next", "twin", "__weakref__")
 
@@ -60,6 +63,8 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], most: int = MAX_TRANSITIONS):
         self.ranks, self.most, self.most_pairs = ranks, most, min(MAX_PAIRS, 4 * most)
         self.bytes_of = {v: k for k, v in ranks.items()}
+        # a pair's key is first * width + second: with the second alone in its low bits, a table's slots would be those of the second
+        self.width = max(ranks.values(), default=0) + 1 | 1
         # the token trie: a node's edges, byte -> (the next node, or 0 where no longer token goes on; the token that ends
         # there, or -1)
         child: list[dict] = [{}]
@@ -85,11 +90,11 @@ class Transducer:
     def turn(self) -> None:
         """Begin a generation of states; the one before the old one goes, and its circles are cut, so that counting frees it."""
         for state in self.old.values():
-            state.next = {}
+            state.next.clear()
         for state in self.young.values():
             state.twin = None
         self.old, self.young, self.made = self.young, {}, 0
-        name = (-1, (0, ()))
+        name = (-1, 0, ())
         self.start = self.young[name] = State(name, self.old.get(name))
 
     def merge(self, piece: bytes, until: int = 1) -> list[int]:
@@ -122,19 +127,20 @@ class Transducer:
         (the leftmost first among equal ranks) joins across the boundary.
         """
         used_x = used_y = len(self.bytes_of) + 1_000_000
-        bytes_of, ranks = self.bytes_of, self.ranks
+        bytes_of, ranks, split = self.bytes_of, self.ranks, self.split
+        left, right = bytes_of[x], bytes_of[y]
         while True:
-            r = ranks.get(bytes_of[x] + bytes_of[y])
+            r = ranks.get(left + right)
             if r is not None and r < used_x and r <= used_y:
                 return False
-            made_x = x if len(bytes_of[x]) > 1 else -1
-            made_y = y if len(bytes_of[y]) > 1 else -1
-            if made_x < 0 and made_y < 0:
-                return True
-            if made_x > made_y:
-                used_x, x = x, self._halves(x)[1]
+            if len(left) > 1 and (len(right) == 1 or x > y):
+                used_x, x = x, (split.get(x) or self._halves(x))[1]
+                left = bytes_of[x]
+            elif len(right) > 1:
+                used_y, y = y, (split.get(y) or self._halves(y))[0]
+                right = bytes_of[y]
             else:
-                used_y, y = y, self._halves(y)[0]
+                return True
 
     def _allowed(self, before: int, token: int) -> bool:
         if token not in self.proper:
@@ -143,7 +149,7 @@ class Transducer:
             return False
         if before < 0:
             return True
-        key = before << 32 | token
+        key = before * self.width + token
         if key not in self.pairs:
             if len(self.pairs) >= self.most_pairs:
                 self.pairs.clear()
@@ -164,31 +170,33 @@ class Transducer:
                     to = self.young[twin.name] = State(twin.name, twin)
                 got = state.next[byte] = (to, out)
                 return got
-        edges, pairs, name = self.edges, self.pairs, state.name
-        anchor = name[0]
+        edges, pairs, width, name = self.edges, self.pairs, self.width, state.name
+        places = iter(name)
+        anchor = next(places)
         alive, chain = [anchor], None
-        for node, pending in name[1:]:
+        for node, pending in zip(places, places):
             to = edges[node].get(byte)
             if to is not None:
                 node, t = to
                 if node:
-                    alive.append((node, pending))
+                    alive += node, pending
                 if t >= 0 and chain is None:
                     last = pending[-1] if pending else anchor
-                    ok = pairs.get(last << 32 | t)
+                    ok = pairs.get(last * width + t)
                     if self._allowed(last, t) if ok is None else ok:
                         chain = (*pending, t)
         if chain is None:
             raise ValueError("the vocabulary lacks a byte")
-        alive.append((0, chain))
-        out = alive[1][1]  # the tokens that all live places share are fixed
+        alive += 0, chain
+        out = alive[2]  # the tokens that all live places share are fixed
         if out:
-            for _, pending in alive[2:]:
+            for pending in alive[4::2]:
                 while pending[: len(out)] != out:
                     out = out[:-1]
             if out:
                 n = len(out)
-                alive = [out[-1], *[(node, pending[n:]) for node, pending in alive[1:]]]
+                alive[0] = out[-1]
+                alive[2::2] = [pending[n:] for pending in alive[2::2]]
         name = tuple(alive)
         to = self.young.get(name)
         if to is None:
@@ -207,7 +215,7 @@ class Transducer:
             state, fixed = step(state, b) if got is None else got
             if fixed:
                 out += fixed
-        out += state.name[-1][1]  # the place at the end, where all before it is encoded
+        out += state.name[-1]  # the place at the end, where all before it is encoded
         return out
 
 
@@ -247,6 +255,7 @@ class TextEncoder:
         short = ascii_form(pattern)
         self.find_ascii = re.compile(short).findall if short else self.find
         self.known = Pieces(self.fst, most)
+        self.tasks = 0
         self.decimal = list(map(str, range(max(ranks.values(), default=-1) + 1)))
 
     def encode(self, text: str) -> tuple[int, str, np.ndarray]:
@@ -345,6 +354,26 @@ def decode_bytes(ids: np.ndarray, vocabulary: Vocabulary, chunk: int = 8192):
     stream.close()
 
 
+@contextmanager
+def unsearched(encoder: TextEncoder):
+    """While it encodes and after it, the collector leaves alone what the encoder keeps.
+
+    Its tables are a million objects, and their circles are cut by hand when a generation goes, but a search for circles at
+    each task's end walks through all of them.  So they are frozen; at every eighth task all are searched once, so that
+    circles that something else left in the worker go too.
+    """
+    gc.disable()
+    try:
+        yield
+    finally:
+        encoder.tasks += 1
+        if encoder.tasks % SEARCHED:
+            gc.freeze()
+        else:
+            gc.unfreeze()
+        gc.enable()
+
+
 def build(path: str, pattern: str, tight: bool = False) -> tuple[TextEncoder, Vocabulary]:
     ranks = load_ranks(path)
     return TextEncoder(ranks, pattern, *(TIGHT if tight else ())), Vocabulary(ranks)
@@ -364,11 +393,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     def run(batches):
         enc, vocabulary = kept_in_worker(("bpe", path, pattern, tight), lambda: build(path, pattern, tight))
-        gc.disable()  # the tables hold no circles that outlive a generation, and searching them for some took a third of the time
-        try:
+        with unsearched(enc):
             yield from encoded(batches, enc, vocabulary)
-        finally:
-            gc.enable()
 
     def encoded(batches, enc, vocabulary):
         for batch in batches:

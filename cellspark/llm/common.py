@@ -177,12 +177,20 @@ def _home() -> types.ModuleType:
     return sys.modules.setdefault("_cellspark_worker", types.ModuleType("_cellspark_worker"))
 
 
+def let_go() -> None:
+    """What is kept goes; what of it was frozen is searched for circles again."""
+    import gc
+
+    _home().held = None
+    gc.unfreeze()
+
+
 def kept_in_worker(key: tuple, make):
     """make() once in a Python worker process, which Spark uses for many tasks; only the last such object is kept."""
     home = _home()
     held = getattr(home, "held", None)
     if held is None or held[0] != key:
-        home.held = None
+        let_go()
         held = home.held = (key, make())
     return held[1]
 
@@ -204,7 +212,7 @@ def lean(run, keeps: bool = False):
 
     def wrapped(batches):
         if not keeps:
-            _home().held = None
+            let_go()
         try:
             yield from run(batches)
         finally:

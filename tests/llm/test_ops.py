@@ -427,6 +427,46 @@ def test_bpe_with_little_memory_gives_the_same_ids(spark, docs):
     assert both[0] == both[1]
 
 
+def test_bpe_tables_are_not_searched_for_circles_after_each_task(docs, monkeypatch):
+    """A search of a worker's tables took a second a task.  Circles that something else leaves still go after some tasks,
+    and the next operator's tasks find nothing frozen."""
+    import gc
+    import weakref
+
+    import public_tokenizers as P
+    import pyarrow as pa
+
+    from cellspark.llm import common
+
+    class Ring:
+        def __init__(self):
+            self.me = self
+
+    def made_of(batches):
+        rings.append(weakref.ref(Ring()))
+        yield from batches
+
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    task = bpe.encode_documents(docs, bpe.tokenizer_path(), P.PATTERN)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["indivisibleness ofonattith", None]})
+    rings, searched = [], []
+    try:
+        for _ in range(8):
+            got = [r for b in task(made_of([batch])) for r in b.to_pylist()]
+            assert [r["doc_id"] for r in got] == [1, 2] and got[1]["n_tokens"] == 0 and gc.isenabled()
+            start = common._home().held[1][0].fst.start
+            searched.append(any(o is start for o in gc.get_objects()))
+        assert searched == [False] * 7 + [True]
+        assert all(r() is None for r in rings)
+        list(task(made_of([batch])))
+        assert gc.get_freeze_count() > 10_000
+        list(common.lean(lambda batches: batches)([]))
+        assert gc.get_freeze_count() == 0 and common._home().held is None
+    finally:
+        common._home().held = None
+        gc.unfreeze()
+
+
 def test_bpe_documents(spark, docs, tik):
     import public_tokenizers as P
 
