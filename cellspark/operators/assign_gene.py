@@ -167,7 +167,16 @@ class Blocks:
         every = lambda c: F.concat(F.col("blocks1")[c], F.col("blocks2")[c])
         return {"__bits": bits.cast("int"), **{f"__{c}": F.col(c).cast("long") for c in ("start1", "end1", "start2")}, "__first": F.size("blocks1").cast("int"), "__starts": every("start"), "__ends": every("end")}
 
-    def __init__(self, columns: list[pa.Array]):
+    @staticmethod
+    def near_columns() -> dict[str, Column]:
+        """As columns(), with places from start1 on and lengths of blocks instead of their ends: small numbers, which an exchange
+        packs into a third of the bytes."""
+        base = F.coalesce(F.col("start1").cast("long"), F.lit(0).cast("long"))
+        every = F.concat("blocks1", "blocks2")
+        return Blocks.columns() | {"__end1": F.col("end1").cast("long") - base, "__start2": F.col("start2").cast("long") - base, "__starts": F.transform(every, lambda b: b["start"] - base), "__ends": F.transform(every, lambda b: b["end"] - b["start"])}
+
+    def __init__(self, columns: list[pa.Array], near: bool = False):
+        """near: of near_columns()."""
         bits, start1, end1, start2, first, starts, ends = columns
         self.n = n = len(bits)
         bits = _long(bits)
@@ -175,16 +184,20 @@ class Blocks:
         size = pc.fill_null(pc.list_value_length(starts), 0).to_numpy().astype(np.int64)
         self.row = np.repeat(np.arange(n), size)
         self.start, self.end = _long(starts.flatten()), _long(ends.flatten())
+        base = _long(start1) if near else np.zeros(n, np.int64)
+        if near:
+            self.start = self.start + base[self.row]
+            self.end = self.end + self.start
         self.mate = (np.arange(len(self.row)) - np.repeat(np.cumsum(size) - size, size) >= _long(first)[self.row]).astype(np.int64)
         self.aligned = np.where(starts.is_valid().to_numpy(zero_copy_only=False), np.bincount(self.row, self.end - self.start, minlength=n).astype(np.int64), -1)
         d = np.where(self.plus[1] == 1, -FLANK, FLANK)
         shift = []
-        for at in (start2, start1):
-            known, place = at.is_valid().to_numpy(zero_copy_only=False), _long(at)
+        for at, more in ((start2, base), (start1, 0)):
+            known, place = at.is_valid().to_numpy(zero_copy_only=False), _long(at) + more
             d = np.where(known & (d < 0) & (place <= -d), -place, d)
             shift.insert(0, d)
         self.shift = np.stack(shift)
-        behind, ahead = (np.where((bits & 4 > 0) & c.is_valid().to_numpy(zero_copy_only=False), _long(c) - less, np.nan) for c, less in ((end1, 0), (start1, 1)))
+        behind, ahead = (np.where((bits & 4 > 0) & c.is_valid().to_numpy(zero_copy_only=False), _long(c) + more, np.nan) for c, more in ((end1, base), (start1, -1)))
         own = self.plus[0] == 1
         self.sense, self.anti = np.where(own, behind, ahead), np.where(own, ahead, behind)
 
@@ -208,35 +221,44 @@ def _facts(index) -> tuple:
     return index.facts
 
 
-def _looked_up(pairs: DataFrame, ids: list[str], found: Lookup, kept: list[str]) -> DataFrame:
-    """As _by_bins, from a lookup of stacked features.  Blocks are made of their places in the task; the flank is looked up only
+def _decided(blocks: Blocks, index, meet) -> tuple[np.ndarray, ...]:
+    """stage (0: none), whole, unit of the chosen gene (or -1) and n_candidates of a batch of pairs.  The flank is looked up only
     for pairs that meet no feature in sense, as no later stage decides for the others."""
-    rows = pairs.select(*ids, *kept, *[c.alias(n) for n, c in Blocks.columns().items()], F.col("chrom").alias("__c"), extent("blocks1", "blocks2", beyond=FLANK)[0].alias("__low"))
+    _, ends, ids_of, strand, exon = _facts(index)
+    row, tag, unit, shared = meet(*blocks.plain())
+    none = np.ones(blocks.n, bool)
+    none[row[strand[unit] == tag]] = False
+    row, tag, unit, shared = (np.concatenate(c) for c in zip((row, tag, unit, shared), meet(*blocks.moved(none))))
+    same, of_exon = strand[unit] == tag % 2, exon[unit]
+    stage = np.where(tag < 2, np.where(same, np.where(of_exon, 1, 2), np.where(of_exon, 4, 5)), np.where(same & ~of_exon, 3, 0))
+
+    def far(hit: np.ndarray) -> np.ndarray:
+        own = np.where(stage[hit] <= 3, blocks.sense[row[hit]], blocks.anti[row[hit]])
+        of = ends.take(pa.array(unit[hit]))
+        size = pc.fill_null(pc.list_value_length(of), 0).to_numpy()
+        at = np.repeat(np.arange(len(hit)), size)
+        away = np.abs(pc.fill_null(of.flatten().cast(pa.float64()), np.nan).to_numpy() - own[at])
+        least = np.full(len(hit), np.inf)
+        np.fmin.at(least, at, away)
+        return least
+
+    s, whole, chosen, count = settle(blocks.n, row, stage, ids_of[unit], shared, blocks.aligned, far)
+    return s, whole, np.where(chosen < 0, -1, unit[chosen] if len(unit) else -1), count
+
+
+def _rows(pairs: DataFrame, kept: list[str]) -> DataFrame:
+    """What a lookup takes of pairs: few numbers, of which their blocks are made in the task."""
+    return pairs.select(*kept, *[c.alias(n) for n, c in Blocks.near_columns().items()], F.col("chrom").alias("__c"), extent("blocks1", "blocks2", beyond=FLANK)[0].alias("__low"))
+
+
+def _looked_up(pairs: DataFrame, ids: list[str], found: Lookup, kept: list[str]) -> DataFrame:
+    """As _by_bins, from a lookup of stacked features."""
+    rows = _rows(pairs, [*ids, *kept])
     n = len(ids) + len(kept)
 
     def settled(columns: list[pa.Array], index, meet) -> list[pa.Array]:
-        blocks = Blocks(columns[n:])
-        names, ends, ids_of, strand, exon = _facts(index)
-        row, tag, unit, shared = meet(*blocks.plain())
-        none = np.ones(blocks.n, bool)
-        none[row[strand[unit] == tag]] = False
-        row, tag, unit, shared = (np.concatenate(c) for c in zip((row, tag, unit, shared), meet(*blocks.moved(none))))
-        same, of_exon = strand[unit] == tag % 2, exon[unit]
-        stage = np.where(tag < 2, np.where(same, np.where(of_exon, 1, 2), np.where(of_exon, 4, 5)), np.where(same & ~of_exon, 3, 0))
-
-        def far(hit: np.ndarray) -> np.ndarray:
-            own = np.where(stage[hit] <= 3, blocks.sense[row[hit]], blocks.anti[row[hit]])
-            of = ends.take(pa.array(unit[hit]))
-            size = pc.fill_null(pc.list_value_length(of), 0).to_numpy()
-            at = np.repeat(np.arange(len(hit)), size)
-            away = np.abs(pc.fill_null(of.flatten().cast(pa.float64()), np.nan).to_numpy() - own[at])
-            least = np.full(len(hit), np.inf)
-            np.fmin.at(least, at, away)
-            return least
-
-        s, whole, chosen, count = settle(blocks.n, row, stage, ids_of[unit], shared, blocks.aligned, far)
-        gene = names.take(pa.array(np.where(chosen < 0, 0, unit[chosen] if len(unit) else 0), mask=chosen < 0))
-        return [*columns[:n], *_columns(s, whole, gene, count)]
+        stage, whole, unit, count = _decided(Blocks(columns[n:], near=True), index, meet)
+        return [*columns[:n], *_columns(stage, whole, _facts(index)[0].take(pa.array(unit, mask=unit < 0)), count)]
 
     return found.each(rows, F.col("__c"), None, settled, StructType([*rows.schema.fields[:n], *SETTLED.fields]), spare=("__c", "__low"))
 
@@ -265,3 +287,33 @@ def assign(pairs: DataFrame, ids: list[str], exons: DataFrame, genes: DataFrame,
         status = F.when(F.col("__known").isNull(), "unmapped").otherwise(status)
     region = F.when(F.col("stage").isNotNull(), F.when((F.col("stage") == 1) | ((F.col("stage") == 4) & F.col("whole")), "exon").otherwise("intron"))
     return out.select(*ids, *keep, "stage", "gene_id", region.alias("region"), status.alias("status"), "n_candidates", "whole")
+
+
+def counted(pairs: DataFrame, keep: list[str], exons: DataFrame, genes: DataFrame, ends: DataFrame, beside: DataFrame, make: Callable, fields: StructType, width: int = 1 << 14, most: int = MOST) -> tuple[DataFrame, DataFrame | None]:
+    """What `make` gives for pairs that assign() counts, as columns `fields`, in the tasks that settle their genes; and, where an
+    annotation is too large to be sent to every task, the few counted pairs that reach over a stretch's margin, as they came,
+    with gene_id.
+
+    make(columns of keep, gene_id, blocks, index) of each batch, with blocks as (row, start, end, bases or -1) and beside's rows
+    as index.beside (see steps).  keep has chrom.  Pairs need no ids and may come repeatedly; of those over a margin one is given.
+    """
+    features = stacked_features(exons, genes, ends).where("kind = 'plain'")
+    unit, carry, n = ["gene_id", "f_strand", "level"], ("ends",), len(keep)
+    found, far = steps(features, "chrom", unit, carry, width, most, beside=beside), None
+    if not found:
+        near = Tiles.near(*extent("blocks1", "blocks2", beyond=FLANK))
+        found = Tiles(features, "chrom", unit, carry, width, tuple(c for c in keep if c != "chrom"), F.col("__low"), beside)
+        ids = [*dict.fromkeys([*(c for c in keep if c != "chrom"), "strand1", "strand2", "is_randomn", "start1", "end1", "start2", "blocks1", "blocks2"]), "__chrom"]
+        over = pairs.where(~near).withColumn("__chrom", F.col("chrom")).select(*ids, "chrom").distinct()
+        far = _by_bins(over, ids, exons, genes, ends, width, ["chrom"], False).where("gene_id IS NOT NULL").drop("__chrom")
+        pairs = pairs.where(near)
+
+    def made(columns: list[pa.Array], index, meet) -> list[pa.Array]:
+        blocks = Blocks(columns[n:], near=True)
+        unit = _decided(blocks, index, meet)[2]
+        some = np.flatnonzero(unit >= 0)
+        mine = unit[blocks.row] >= 0
+        row = (np.cumsum(unit >= 0) - 1)[blocks.row[mine]]
+        return make([c.take(pa.array(some)) for c in columns[:n]], _facts(index)[0].take(pa.array(unit[some])), (row, blocks.start[mine], blocks.end[mine], blocks.aligned[some]), index)
+
+    return found.each(_rows(pairs, keep), F.col("__c"), None, made, fields, spare=("__c", "__low")), far

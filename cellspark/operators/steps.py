@@ -102,6 +102,7 @@ class Segments:
         self.begins, at = np.unique(key[order], return_index=True)
         self.stops = _keys(group, stop)[order][at]
         self.offsets = np.append(at, len(order))
+        self.beside: pa.Table | None = None
 
     def look(self, group: pa.Array, lists: pa.Array, whole: bool) -> tuple[np.ndarray, ...]:
         """row, tag, unit, shared bases of all that the intervals of each row meet."""
@@ -164,6 +165,7 @@ class Binned:
         bin = _spread(low, n)
         order = np.argsort(bin, kind="stable")
         self.bin, self.feature = bin[order], np.repeat(np.arange(len(low)), n)[order]
+        self.beside: pa.Table | None = None
 
     def look(self, group: pa.Array, lists: pa.Array, whole: bool) -> tuple[np.ndarray, ...]:
         return self.met(group, len(lists), *_flat(lists), whole)
@@ -186,7 +188,10 @@ class Binned:
 
 
 class Lookup:
-    """What meets the intervals of a row, in tasks; Steps and Tiles say where the features come from."""
+    """What meets the intervals of a row, in tasks; Steps and Tiles say where the features come from.
+
+    A lookup may bring a table `beside`, which is not looked up: the found index of a task has as `beside` those of its rows that
+    may concern the task's rows by their place."""
 
     unit: StructType
 
@@ -221,6 +226,15 @@ def _free(df: DataFrame, *names: str) -> None:
         raise ValueError(f"columns are taken: {sorted(clash)}")
 
 
+def _blank(field: StructField) -> Column:
+    """Nothing of a field's type: a list is empty, as Arrow's writer goes over all nulls before it again for each null list."""
+    return F.array().cast(field.dataType) if isinstance(field.dataType, ArrayType) else F.lit(None).cast(field.dataType)
+
+
+def _filled(field: StructField) -> Column:
+    return F.coalesce(field.name, F.array().cast(field.dataType)).alias(field.name) if isinstance(field.dataType, ArrayType) else F.col(field.name)
+
+
 def extent(*blocks: str, beyond: int = 0) -> tuple[Column, Column]:
     """Between which places the blocks of a row lie, and so many bases more."""
     low = F.least(*[F.array_min(F.col(b)["start"]) for b in blocks]) - beyond
@@ -253,13 +267,17 @@ class Tiles(Lookup):
     feature to all stretches whose rows may meet it.  Features come first in a stretch and are held; rows pass by in batches,
     so a crowded place takes time but no memory; its rows are dealt into DEALS parts by the columns `by`.
 
-    Only rows for which near() holds may be looked up, and `low` is told from columns of df alone.
+    Only rows for which near() holds may be looked up, and `low` is told from columns of df alone.  beside: on, start, end and
+    columns of other names than the features', the first without nulls.
     """
 
-    def __init__(self, features: DataFrame, on: str, unit: list[str], carry: tuple[str, ...], width: int, by: tuple[str, ...], low: Column):
+    def __init__(self, features: DataFrame, on: str, unit: list[str], carry: tuple[str, ...], width: int, by: tuple[str, ...], low: Column, beside: DataFrame | None = None):
         self.on, self.keys, self.payload, self.width, self.by, self.low = on, unit, [*unit, *carry], width, by, low
         self.features = features.where("start < end").select(on, F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), *self.payload)
         self.unit = StructType([self.features.schema[c] for c in self.payload])
+        self.extra = [c for c in beside.columns if c not in (on, "start", "end")] if beside is not None else []
+        if beside is not None:
+            self.features = self.features.unionByName(beside.where("start < end"), allowMissingColumns=True)
 
     @staticmethod
     def _tile(low: Column) -> Column:
@@ -273,14 +291,16 @@ class Tiles(Lookup):
     def each(self, df: DataFrame, group: Column, intervals: Column | None, use, schema: StructType, whole: bool = False, spare: tuple[str, ...] = ()) -> DataFrame:
         _free(df, "__group", "__at", "__tile", "__deal", "__feature")
         fields = [f for f in df.schema.fields if f.name not in spare]
-        n, names, width, unit, payload = len(fields), schema.names, self.width, self.keys, self.payload
+        n, names, width, unit, payload, extra = len(fields), schema.names, self.width, self.keys, self.payload, self.extra
         bare = intervals is None
-        rows = df.select(*[f.name for f in fields], (F.lit(None) if bare else intervals).cast(AT).alias("__at"), F.lit(None).cast(StructType([self.features.schema[c] for c in ("start", "end")] + self.unit.fields)).alias("__feature"), group.alias("__group"), self._tile(self.low).alias("__tile"), F.pmod(F.xxhash64(*self.by), F.lit(DEALS)).cast("int").alias("__deal"))
+        none = F.struct(*[_blank(self.features.schema[c]).alias(c) for c in ("start", "end", *payload, *extra)]).alias("__feature")
+        nowhere = F.array().cast(AT).alias("__at")
+        rows = df.select(*[f.name for f in fields], nowhere if bare else F.coalesce(intervals.cast(AT), F.array().cast(AT)).alias("__at"), none, group.alias("__group"), self._tile(self.low).alias("__tile"), F.pmod(F.xxhash64(*self.by), F.lit(DEALS)).cast("int").alias("__deal"))
         low, high = F.col("__tile") * TILE, (F.col("__tile") + 1) * TILE + MARGIN
         tiled = self.features.withColumn("__tile", F.explode(F.sequence(F.floor((F.col("start") - MARGIN) / TILE), F.floor((F.col("end") - 1) / TILE)))).withColumn("__deal", F.explode(F.array(*[F.lit(i) for i in range(DEALS)])))
-        tiled = tiled.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields], F.lit(None).cast(AT).alias("__at"), F.struct(F.greatest("start", low).alias("start"), F.least("end", high).alias("end"), *payload).alias("__feature"), F.col(self.on).alias("__group"), "__tile", "__deal")
+        tiled = tiled.select(*[_blank(f).alias(f.name) for f in fields], nowhere, F.struct(F.greatest("start", low).alias("start"), F.least("end", high).alias("end"), *[_filled(self.features.schema[c]) for c in (*payload, *extra)]).alias("__feature"), F.col(self.on).alias("__group"), "__tile", "__deal")
         key = ["__group", "__tile", "__deal"]
-        both = tiled.union(rows).repartition(*key).sortWithinPartitions(*key, F.col("__feature").isNull())
+        both = tiled.union(rows).repartition(*key).sortWithinPartitions(*key, F.col("__feature.start").isNull())
 
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             now, held, index = None, [], None
@@ -289,7 +309,7 @@ class Tiles(Lookup):
                 feature = batch.column(n + 1)
                 change = np.zeros(batch.num_rows, bool)
                 change[:1] = True
-                of_feature = feature.is_valid().to_numpy(zero_copy_only=False)
+                of_feature = pc.is_valid(pc.struct_field(feature, "start")).to_numpy(zero_copy_only=False)
                 change[1:] = of_feature[1:] != of_feature[:-1]
                 for k in keys:
                     code = k.dictionary_encode().indices.fill_null(-1).to_numpy()
@@ -303,7 +323,9 @@ class Tiles(Lookup):
                         continue
                     if index is None:
                         table = pa.Table.from_batches([pa.RecordBatch.from_struct_array(h) for h in held or [feature.slice(0, 0)]])
-                        index, held = Binned(table, unit, payload, width), []
+                        apart = pc.is_valid(table[extra[0]]) if extra else None
+                        index, held = Binned(table.filter(pc.invert(apart)) if extra else table, unit, payload, width), []
+                        index.beside = table.filter(apart).select(extra) if extra else None
                     part = batch.slice(a, b - a)
                     hits = partial(index.met, None, part.num_rows) if bare else index.look(None, part.column(n), whole)
                     yield pa.RecordBatch.from_arrays(use(part.columns[:n], index, hits), names=names)
@@ -311,18 +333,25 @@ class Tiles(Lookup):
         return both.mapInArrow(found, schema)
 
 
-def steps(features: DataFrame, on: str, unit: list[str], carry: tuple[str, ...] = (), width: int = 1 << 14, most: int = MOST, members: int = MEMBERS) -> Steps | None:
+def steps(features: DataFrame, on: str, unit: list[str], carry: tuple[str, ...] = (), width: int = 1 << 14, most: int = MOST, members: int = MEMBERS, beside: DataFrame | None = None) -> Steps | None:
     """features: on, start, end, the unit's columns, and columns that are one for a unit (carry).  None where the features or the
-    entries of their sets are more than may be sent to every task."""
+    entries of their sets are more than may be sent to every task, or where `beside`, as Tiles takes it with `entries`, a list in
+    each row, has more rows than features may be or more entries in all than sets may have."""
     spark = features.sparkSession
     payload = [*unit, *carry]
     cols = features.where("start < end").select(on, F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), *payload)
     table = cols.limit(most + 1).toArrow()
     if table.num_rows > most:
         return None
+    if beside is not None:
+        n, entries = beside.agg(F.count(F.lit(1)), F.sum(F.size("entries"))).first()
+        if n > most or (entries or 0) > members:
+            return None
     numbered = table.select([on, "start", "end"]).append_column("id", pa.array(np.arange(table.num_rows)))
     schema = StructType([f for f in cols.schema if f.name in (on, "start", "end")]).add("id", LongType())
     rows = segments(spark.createDataFrame(numbered.to_pandas(), schema) if table.num_rows else spark.createDataFrame([], schema), on, width).limit(members + 1).toArrow()
     if rows.num_rows > members:
         return None
-    return Steps(spark, Segments(table, on, unit, payload, rows), StructType([cols.schema[c] for c in payload]))
+    made = Segments(table, on, unit, payload, rows)
+    made.beside = beside.drop(on, "start", "end").toArrow() if beside is not None else None
+    return Steps(spark, made, StructType([cols.schema[c] for c in payload]))

@@ -402,7 +402,8 @@ def transcript_layers(spark: SparkSession, sf: str) -> DataFrame:
     """Splicing by transcript models; unspliced molecules need proof."""
     x = exon_view(spark, sf)
     two = x.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("k")).where("k = 1 OR line % 2 = 1").withColumn("transcript_id", F.concat_ws("-", "gene_id", F.col("k").cast("string")))
-    return splicing.layers(assigned_genes(spark, sf, "chrom", "blocks1", "blocks2"), None, two, PID, permissive=False)
+    p = pair_view(spark, sf, repeated=True).where("pid IS NOT NULL").drop("pid")
+    return splicing.layers(p, x, gene_view(x), views.ends_view(x), two, WIDTH, permissive=False)
 
 
 @query(f"{ASSIGN} SELECT res.pid, CASE WHEN chrom IN ('chr1', 'chr2') THEN status ELSE 'unmapped' END AS status FROM res JOIN pair ON res.pid = pair.pid")

@@ -43,10 +43,12 @@ def ends_view(exons: DataFrame) -> DataFrame:
     return transcript_ends(exons)
 
 
-def pair_view(spark: SparkSession, sf_dir: str, spliced: bool = False) -> DataFrame:
-    """Pairs in the shape that the assignment operators take."""
+def pair_view(spark: SparkSession, sf_dir: str, spliced: bool = False, repeated: bool = False) -> DataFrame:
+    """Pairs in the shape that the assignment operators take.  repeated: a pair may come several times, which saves the exchange
+    that makes them distinct."""
     exons = exon_view(spark, sf_dir).withColumnsRenamed({"start": "s", "end": "e"})
-    p = spark.sql(spark_sql(PAIR).replace("FROM exon", "FROM {exon}").replace("FROM lineitem", "FROM {lineitem}"), exon=exons, lineitem=read(spark, sf_dir, "lineitem"))
+    text = spark_sql(PAIR).replace("SELECT DISTINCT", "SELECT") if repeated else spark_sql(PAIR)
+    p = spark.sql(text.replace("FROM exon", "FROM {exon}").replace("FROM lineitem", "FROM {lineitem}"), exon=exons, lineitem=read(spark, sf_dir, "lineitem"))
     block = lambda a, b, part=0: F.struct(F.col(a).alias("start") if isinstance(a, str) else a.alias("start"), F.col(b).alias("end") if isinstance(b, str) else b.alias("end"), F.lit(part).alias("part"))
     s2 = F.col("s2")
     whole = F.array(block(s2, s2 + 15))

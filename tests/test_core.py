@@ -233,3 +233,68 @@ def test_counts_are_made_in_parts_that_stay_apart(spark):
     assert one.count() == 5000 and len(one.mapInArrow(lambda b: b, one.schema).rdd.glom().filter(len).collect()) > 30
     plan = file_queries.merged_matrix(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_layers_by_models_in_every_way(spark, monkeypatch):
+    """Pairs whose genes are looked up everywhere, by stretches or beyond their margins, and pairs that come twice, give the same
+    layers as gene assignment with molecules of its pairs behind."""
+    from cellspark.operators import assign_gene, steps
+    from cellspark.operators.annotation import transcript_ends
+
+    monkeypatch.setattr(steps, "TILE", 4000)
+    monkeypatch.setattr(steps, "MARGIN", 2500)
+    exons = spark.createDataFrame([("c", "+-"[i // 3 % 2], 150 * i, 150 * i + 60 + i % 70, f"g{i // 3}", f"e{i}", i) for i in range(200)], "chrom string, strand string, start long, end long, gene_id string, exon_id string, line long")
+    genes = exons.groupBy("chrom", "strand", "gene_id").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    two = exons.withColumn("k", F.explode(F.array(F.lit("a"), F.lit("b")))).where("k = 'a' OR line % 3 <> 1").withColumn("transcript_id", F.concat("gene_id", "k"))
+    block = lambda a: [(a, a + 15, 0)]
+    at = lambda i: 31 * i % 29_000
+    rows = [(i, None if i % 97 == 5 else i % 7, i % 3, None if i % 50 == 9 else "c", "+-"[i % 2], "-+"[i % 2], i % 3 == 0, at(i), at(i) + 15, at(i) + d, at(i) + d + 15, block(at(i)), None if i % 71 == 5 else block(at(i) + d)) for i in range(1500) for d in ([0, 12, 40, 230, 9000][i % 5],)]
+    # two pairs of one molecule over the margin, within one gene's only model
+    exons = exons.unionByName(spark.createDataFrame([("c", "+", a, a + 40, "long", f"l{a}", 1000) for a in (40_000, 52_000)], "chrom string, strand string, start long, end long, gene_id string, exon_id string, line long"))
+    genes = genes.unionByName(spark.createDataFrame([("c", "+", "long", 40_000, 52_040)], "chrom string, strand string, gene_id string, start long, end long"))
+    two = two.unionByName(exons.where("gene_id = 'long'").withColumn("transcript_id", F.lit("long")), allowMissingColumns=True)
+    rows += [(9000 + i, 1, 1, "c", "-", "+", True, 40_000 + i, 40_015 + i, 52_000 - i, 52_015 - i, block(40_000 + i), block(52_000 - i)) for i in (0, 9)]
+    blocks = "array<struct<start:bigint,end:bigint,part:int>>"
+    pairs = spark.createDataFrame(rows, f"id int, cell int, umi int, chrom string, strand1 string, strand2 string, is_randomn boolean, start1 long, end1 long, start2 long, end2 long, blocks1 {blocks}, blocks2 {blocks}").cache()
+    for permissive, ways in ((False, (("steps", pairs, 10_000), ("stretches, twice", pairs.unionByName(pairs), 10))), (True, (("twice", pairs.unionByName(pairs), 10_000),))):
+        got = {}
+        for way, some, most in ways:
+            out = splicing.layers(some.drop("id"), exons, genes, transcript_ends(exons), two, 64, permissive=permissive, most=most)
+            got[way] = sorted(map(tuple, out.select("cell", "gene_id", "layer", "count").collect()))
+        a = assign_gene.assign(pairs, ["id"], exons, genes, transcript_ends(exons), 64, keep=("cell", "umi", "chrom", "blocks1", "blocks2")).where("status = 'counted'")
+        parts = splicing.models(two)
+        states = splicing.molecule_states(a, parts, splicing.validated(a, parts, ["id"]), ["id"], permissive=permissive)
+        want = sorted(map(tuple, states.groupBy("cell", "gene_id", "state").count().collect()))
+        assert all(x == want for x in got.values()), {k: len(v) for k, v in got.items()}
+        assert {r[2] for r in want} == {"spliced", "unspliced", "ambiguous"} and any(r[1] == "long" for r in want)
+
+
+def test_layers_by_models_write_little(spark):
+    """A line costs few bytes of exchanges: pairs are not made distinct, carry no ids, and go once, by cell and gene."""
+    from cellspark.plans import queries
+
+    def written():
+        return spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+
+    at = "/root/testdata/sf0.01"
+    before = written()
+    rows = queries.transcript_layers(spark, at).collect()
+    assert len(rows) == 30_540 and (written() - before) / spark.read.parquet(f"{at}/lineitem.parquet").count() < 200
+
+
+def test_stretches_send_no_null_lists(spark):
+    """Arrow's writer goes over a run of null lists again for each of them; lists are sent empty instead."""
+    from cellspark.operators import steps
+
+    f = spark.createDataFrame([("a", 10, 20, "g", [1]), ("a", 30, 40, "h", None)], "chrom string, start long, end long, gene string, w array<long>")
+    tiles = steps.Tiles(f, "chrom", ["gene"], ("w",), 64, ("rid",), F.col("low"))
+    df = spark.createDataFrame([(1, "a", 12, [7]), (2, "a", 33, None)], "rid int, chrom string, low long, other array<int>")
+    sent = []
+    seen = type(df).mapInArrow
+    try:
+        type(df).mapInArrow = lambda self, *a, **k: sent.append(self) or seen(self, *a, **k)
+        out = tiles.meet(df, F.col("chrom"), F.array(F.struct(F.col("low").alias("start"), (F.col("low") + 3).alias("end"), F.lit(0).alias("tag"))), "found")
+    finally:
+        type(df).mapInArrow = seen
+    assert sorted((r.rid, r.other, [(x.unit.gene, x.overlap) for x in r.found]) for r in out.collect()) == [(1, [7], [("g", 3)]), (2, None, [("h", 3)])]
+    assert sent[0].where("__at IS NULL OR __feature.w IS NULL OR (__feature.start IS NOT NULL AND other IS NULL)").count() == 0
