@@ -16,6 +16,7 @@ lie within 2^39 of 0.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import partial
 
@@ -24,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from .intervals import bins, containment_join
@@ -231,10 +233,6 @@ def _blank(field: StructField) -> Column:
     return F.array().cast(field.dataType) if isinstance(field.dataType, ArrayType) else F.lit(None).cast(field.dataType)
 
 
-def _filled(field: StructField) -> Column:
-    return F.coalesce(field.name, F.array().cast(field.dataType)).alias(field.name) if isinstance(field.dataType, ArrayType) else F.col(field.name)
-
-
 def extent(*blocks: str, beyond: int = 0) -> tuple[Column, Column]:
     """Between which places the blocks of a row lie, and so many bases more."""
     low = F.least(*[F.array_min(F.col(b)["start"]) for b in blocks]) - beyond
@@ -265,7 +263,8 @@ class Steps(Lookup):
 class Tiles(Lookup):
     """Features and rows of one stretch in one task: each row goes to the stretch in which `low` lies, where its intervals begin at the earliest, each
     feature to all stretches whose rows may meet it.  Features come first in a stretch and are held; rows pass by in batches,
-    so a crowded place takes time but no memory; its rows are dealt into DEALS parts by the columns `by`.
+    so a crowded place takes time but no memory; its rows are dealt into DEALS parts by the columns `by`.  A feature goes as JSON, for
+    which a row has one null; so unit and carry are numbers, strings and lists of them.
 
     Only rows for which near() holds may be looked up, and `low` is told from columns of df alone.  beside: on, start, end and
     columns of other names than the features', the first without nulls.
@@ -293,23 +292,23 @@ class Tiles(Lookup):
         fields = [f for f in df.schema.fields if f.name not in spare]
         n, names, width, unit, payload, extra = len(fields), schema.names, self.width, self.keys, self.payload, self.extra
         bare = intervals is None
-        none = F.struct(*[_blank(self.features.schema[c]).alias(c) for c in ("start", "end", *payload, *extra)]).alias("__feature")
-        nowhere = F.array().cast(AT).alias("__at")
-        rows = df.select(*[f.name for f in fields], nowhere if bare else F.coalesce(intervals.cast(AT), F.array().cast(AT)).alias("__at"), none, group.alias("__group"), self._tile(self.low).alias("__tile"), F.pmod(F.xxhash64(*self.by), F.lit(DEALS)).cast("int").alias("__deal"))
+        spots = [] if bare else [F.coalesce(intervals.cast(AT), F.array().cast(AT)).alias("__at")]
+        rows = df.select(*[f.name for f in fields], *spots, F.lit(None).cast("string").alias("__feature"), group.alias("__group"), self._tile(self.low).alias("__tile"), F.pmod(F.xxhash64(*self.by), F.lit(DEALS)).cast("int").alias("__deal"))
         low, high = F.col("__tile") * TILE, (F.col("__tile") + 1) * TILE + MARGIN
         tiled = self.features.withColumn("__tile", F.explode(F.sequence(F.floor((F.col("start") - MARGIN) / TILE), F.floor((F.col("end") - 1) / TILE)))).withColumn("__deal", F.explode(F.array(*[F.lit(i) for i in range(DEALS)])))
-        tiled = tiled.select(*[_blank(f).alias(f.name) for f in fields], nowhere, F.struct(F.greatest("start", low).alias("start"), F.least("end", high).alias("end"), *[_filled(self.features.schema[c]) for c in (*payload, *extra)]).alias("__feature"), F.col(self.on).alias("__group"), "__tile", "__deal")
+        feature = F.to_json(F.struct(F.greatest("start", low).alias("start"), F.least("end", high).alias("end"), *payload, *extra)).alias("__feature")
+        tiled = tiled.select(*[_blank(f).alias(f.name) for f in fields], *([] if bare else [F.array().cast(AT).alias("__at")]), feature, F.col(self.on).alias("__group"), "__tile", "__deal")
+        typed = to_arrow_schema(StructType([self.features.schema[c] for c in ("start", "end", *payload, *extra)]))
         key = ["__group", "__tile", "__deal"]
-        both = tiled.union(rows).repartition(*key).sortWithinPartitions(*key, F.col("__feature.start").isNull())
+        both = tiled.union(rows).repartition(*key).sortWithinPartitions(*key, F.col("__feature").isNull())
 
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             now, held, index = None, [], None
             for batch in batches:
-                keys = [batch.column(n + 2 + i) for i in range(3)]
-                feature = batch.column(n + 1)
+                feature, *keys = batch.columns[-4:]
                 change = np.zeros(batch.num_rows, bool)
                 change[:1] = True
-                of_feature = pc.is_valid(pc.struct_field(feature, "start")).to_numpy(zero_copy_only=False)
+                of_feature = feature.is_valid().to_numpy(zero_copy_only=False)
                 change[1:] = of_feature[1:] != of_feature[:-1]
                 for k in keys:
                     code = k.dictionary_encode().indices.fill_null(-1).to_numpy()
@@ -322,7 +321,7 @@ class Tiles(Lookup):
                         held.append(feature.slice(a, b - a))
                         continue
                     if index is None:
-                        table = pa.Table.from_batches([pa.RecordBatch.from_struct_array(h) for h in held or [feature.slice(0, 0)]])
+                        table = pa.Table.from_pylist([json.loads(x) for h in held for x in h.to_pylist()], schema=typed)
                         apart = pc.is_valid(table[extra[0]]) if extra else None
                         index, held = Binned(table.filter(pc.invert(apart)) if extra else table, unit, payload, width), []
                         index.beside = table.filter(apart).select(extra) if extra else None
