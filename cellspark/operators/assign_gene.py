@@ -169,8 +169,8 @@ class Blocks:
 
     @staticmethod
     def near_columns() -> dict[str, Column]:
-        """As columns(), with places from start1 on and lengths of blocks instead of their ends: small numbers, which an exchange
-        packs into a third of the bytes."""
+        """As columns(), with places from start1 on and lengths of blocks instead of their ends: small numbers, of which an exchange
+        takes fewer bytes."""
         base = F.coalesce(F.col("start1").cast("long"), F.lit(0).cast("long"))
         every = F.concat("blocks1", "blocks2")
         return Blocks.columns() | {"__end1": F.col("end1").cast("long") - base, "__start2": F.col("start2").cast("long") - base, "__starts": F.transform(every, lambda b: b["start"] - base), "__ends": F.transform(every, lambda b: b["end"] - b["start"])}
